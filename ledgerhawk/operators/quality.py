@@ -50,9 +50,10 @@ def numeric_violations(df: DataFrame, col: str, precision: int = 10, scale: int
     return df.where(c.isNotNull() & c.try_cast(DecimalType(precision, scale)).isNull())
 
 
-def history_violations(hist: DataFrame, key: str) -> DataFrame:
-    """SCD2 invariants per key: at most one open version, the open version
-    is the latest, and each closed version ends where the next one starts.
+def history_check(hist: DataFrame, key: str) -> DataFrame:
+    """Every version with a ``problem`` column (NULL when fine). SCD2
+    invariants per key: at most one open version, the open version is the
+    latest, and each closed version ends where the next one starts.
     Versions are few per key, so the window stays small."""
     w = Window.partitionBy(key).orderBy("start_dt")
     nxt = F.lead("start_dt").over(w)
@@ -62,7 +63,12 @@ def history_violations(hist: DataFrame, key: str) -> DataFrame:
                .when(F.col("end_dt").isNull() & F.col("_next").isNotNull(), F.lit("open_not_last"))
                .when(F.col("end_dt").isNotNull() & F.col("_next").isNull(), F.lit("closed_last"))
                .when(F.col("end_dt") != F.col("_next"), F.lit("gap_or_overlap")))
-    return h.withColumn("problem", problem).where(F.col("problem").isNotNull()).drop("_next", "_n_open")
+    return h.withColumn("problem", problem).drop("_next", "_n_open")
+
+
+def history_violations(hist: DataFrame, key: str) -> DataFrame:
+    """Versions breaking an SCD2 invariant (see :func:`history_check`)."""
+    return history_check(hist, key).where(F.col("problem").isNotNull())
 
 
 def string_columns(df: DataFrame) -> list[str]:
