@@ -82,11 +82,11 @@ def busy_cards(fact: DataFrame, min_exclusive: int) -> DataFrame:
             .where(F.col("n_trans") > min_exclusive))
 
 
-def enrich(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def enrich(fact: DataFrame, dims: dict[str, DataFrame], profile: DataFrame | None = None) -> DataFrame:
     """Fact rows joined to their owner profile (inner: rows whose card,
     account or client is unknown drop, as in the reference)."""
     f = with_day(fact)
-    return f.join(profile_for(f, dims), ["card_num", DAY])
+    return f.join(profile if profile is not None else profile_for(f, dims), ["card_num", DAY])
 
 
 def report_rows(df: DataFrame, fraud_dt: str, fraud_type: Column, report_dt: Column) -> DataFrame:
@@ -137,9 +137,9 @@ def city_hops(fact: DataFrame, terminals: DataFrame, max_gap_seconds: int = CITY
 
 
 def rule_city_hop(fact, dims, report_dt: Column, max_gap_seconds: int = CITY_HOP_MAX_GAP_SECONDS,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None) -> DataFrame:
     hops = city_hops(fact, dims["terminals"], max_gap_seconds, chunk_seconds)
-    e = hops.join(profile_for(hops, dims), ["card_num", DAY])
+    e = hops.join(profile if profile is not None else profile_for(hops, dims), ["card_num", DAY])
     return report_rows(e, "trans_date", F.lit(FRAUD_CITY_HOP), report_dt)
 
 
@@ -176,9 +176,9 @@ def amount_probes(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
 
 def rule_amount_probe(fact, dims, report_dt: Column, domains: Domains = REFERENCE_DOMAINS,
                       min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None) -> DataFrame:
     probes = amount_probes(fact, domains, min_ops_exclusive, chunk_seconds)
-    e = probes.join(profile_for(probes, dims), ["card_num", DAY])
+    e = probes.join(profile if profile is not None else profile_for(probes, dims), ["card_num", DAY])
     return report_rows(e, "trans_date", F.lit(FRAUD_AMOUNT_PROBE), report_dt)
 
 
@@ -186,11 +186,14 @@ def fraud_report(fact: DataFrame, dims: dict[str, DataFrame], report_dt: Column,
                  domains: Domains = REFERENCE_DOMAINS,
                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """All four rules, appended (bag semantics). Rules 1 and 2 share one
-    enriched pass."""
-    e = expiry_flags(enrich(fact, dims))
+    enriched pass, and all rules share one owner profile of the fact's
+    (card, day) pairs: the same plan under every join, so its exchanges
+    are computed once and reused."""
+    profile = profile_for(with_day(fact), dims)
+    e = expiry_flags(enrich(fact, dims, profile))
     r12 = report_rows(e, "trans_date", F.col("fraud_type"), report_dt)
-    r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds)
-    r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds)
+    r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds, profile=profile)
+    r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds, profile=profile)
     return r12.unionByName(r3).unionByName(r4)
 
 

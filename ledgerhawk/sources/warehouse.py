@@ -13,7 +13,7 @@ intact. Layout under ``root/<mode>/``::
     dim_<name>_hist/load_dt=D/state=closed  versions closed on day D (append-only history)
     fact_transactions/trans_dt=/oper_type=/oper_result=
     report/load_dt=D
-    audit/load_dt=D/table_name=/action=
+    audit/load_dt=D
     quarantine/load_dt=D                  landing rows not of day D
 """
 
@@ -125,9 +125,13 @@ class Warehouse:
          .partitionBy("state")
          .parquet(f"{self.path('dim_' + name + '_hist')}/load_dt={as_date(d).isoformat()}"))
 
-    def write_hist_closed(self, name: str, closed: DataFrame) -> None:
-        """Closed versions of many days at once, each under the day it closed."""
-        (closed.withColumn("load_dt", F.to_date("end_dt")).withColumn("state", F.lit("closed"))
+    def write_hist_range(self, name: str, hist: DataFrame, end: date | str) -> None:
+        """One write for a multi-day result: each version closed before
+        ``end`` goes under the day it closed (``state=closed``); open
+        versions and those closed on ``end`` form the snapshot of ``end``."""
+        end_day = F.lit(as_date(end))
+        (hist.withColumn("load_dt", F.coalesce(F.to_date("end_dt"), end_day))
+         .withColumn("state", F.when(F.col("end_dt").isNull(), F.lit("open")).otherwise(F.lit("closed")))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("load_dt", "state").parquet(self.path(f"dim_{name}_hist")))
 
@@ -163,7 +167,9 @@ class Warehouse:
     def write_audit(self, audit: DataFrame, load_dt) -> None:
         df = audit.withColumn("load_dt", load_dt if not isinstance(load_dt, (str, date))
                               else F.lit(as_date(load_dt)))
-        self._write_days(df.select(*AUDIT.fieldNames(), "load_dt"), "audit", ["load_dt", "table_name", "action"])
+        # 9 rows a day: one partition per day (sub-partitions by table and
+        # action would only make tiny files).
+        self._write_days(df.select(*AUDIT.fieldNames(), "load_dt").coalesce(1), "audit", ["load_dt"])
 
     def read_audit(self, d: date | str | None = None) -> DataFrame:
         df = self.spark.read.parquet(self.path("audit"))
