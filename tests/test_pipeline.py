@@ -77,3 +77,34 @@ def test_report_range_matches_daily(spark, warehouse):
     wh = Warehouse(spark, warehouse, "scd2")
     rep = wh.read_report(DAY)
     assert sorted(dict(counts(rep)).values()) == [5, 7, 9]
+
+
+def test_catalog_tables_and_state_views(spark, warehouse):
+    from ledgerhawk.sources.catalog import init_warehouse, register_state_views
+    names = init_warehouse(spark, warehouse, "scd2", database="lh_test", recreate=True)
+    assert "`lh_test`.`report`" in names
+    n = spark.sql("SELECT count(*) FROM lh_test.report WHERE load_dt = DATE'2024-01-15'").first()[0]
+    assert n == 21
+    register_state_views(spark, warehouse, DAY, "scd2")
+    cur = spark.sql("SELECT count(*) FROM dim_terminals_hist WHERE end_dt IS NULL").first()[0]
+    assert cur == 10
+
+
+@pytest.mark.skipif(not __import__("os").environ.get("LH_SLOW"), reason="4-minute replay; set LH_SLOW=1")
+def test_literal_modes_golden_counts_sf001(spark, tmp_path):
+    """FIXTURES.md §3 'literal' semantics at sf0.01 (day-by-day replay)."""
+    from conftest import SF001
+    from ledgerhawk.plans.daily import days_between
+    from ledgerhawk.plans.etl import run_etl
+    root = str(tmp_path)
+    fixture_landing(spark, SF001).withColumn("batch_dt", F.to_date("date")).write \
+        .partitionBy("batch_dt").parquet(root + "/landing")
+    for d in days_between("2024-01-01", "2024-01-30"):
+        run_etl(spark, root, d, "scd1", gate="all_or_nothing")
+        run_etl(spark, root, d, "scd2", gate="literal")
+    w1, w2 = Warehouse(spark, root, "scd1"), Warehouse(spark, root, "scd2")
+    assert {n: w1.read_dim(n, "2024-01-30").count() for n in ("clients", "accounts", "cards", "terminals")} == \
+        {"clients": 134, "accounts": 268, "cards": 134, "terminals": 10}
+    h = w2.read_hist("cards", "2024-01-30")
+    assert h.count() == 6853 and h.where("end_dt IS NULL").count() == 4006
+    assert h.groupBy("card_num", "start_dt").count().where("count > 1").count() == 212
