@@ -27,7 +27,7 @@ def test_keys_orphans_nulls_domain_width(spark):
     assert nulls == {"card_num": 0, "account_num": 1, "oper_type": 1}
     bad = sorted(str(r.oper_type) for r in domain_violations(df, "oper_type", ("payment", "refill")).collect())
     assert bad == ["None", "bogus"]
-    wide = {r.column_name: r.n_too_long for r in width_violations(df, {"oper_type": 6}).collect()}
+    wide = {r.column_name: r.n_too_long for r in width_violations(df, {"oper_type": 5}).collect()}
     assert wide == {"oper_type": 2}
 
 
