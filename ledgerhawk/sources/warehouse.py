@@ -20,7 +20,7 @@ intact. Layout under ``root/<mode>/``::
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,26 +93,60 @@ class Warehouse:
         (df.write.mode("overwrite")
          .parquet(f"{self.path('dim_' + name)}/load_dt={as_date(d).isoformat()}"))
 
+    def _open_snapshot_day(self, table: str, upto: date) -> tuple[str | None, bool]:
+        """Latest day <= ``upto`` holding an open snapshot, and whether it
+        alone gives the state at ``upto`` (no later partition up to then)."""
+        days = [d for d in list_partitions(self.spark, self.path(table), "load_dt") if d <= upto.isoformat()]
+        for i in range(len(days) - 1, -1, -1):
+            states = list_partitions(self.spark, f"{self.path(table)}/load_dt={days[i]}", "state")
+            if "open" in states:
+                return days[i], i == len(days) - 1
+        return None, not days
+
     def read_open(self, name: str, upto: date | str) -> DataFrame:
-        """SCD2 open versions as of the end of day ``upto``."""
+        """SCD2 open versions as of the end of day ``upto``: the day's open
+        snapshot when there is one (daily runs write one per day), otherwise
+        rebuilt from the full history (after a backfill only its last day
+        has a snapshot)."""
         spec, schema = DIMS[name], dim_schema(DIMS[name], "scd2")
         table = f"dim_{name}_hist"
-        day = self._latest(table, as_date(upto))
-        if day is None:
+        upto = as_date(upto)
+        day, exact = self._open_snapshot_day(table, upto)
+        if day is None and exact:
             return self._empty(schema)
-        return self.spark.read.schema(schema).parquet(
-            f"{self.path(table)}/load_dt={day}/state=open").select(*spec.columns, "start_dt", "end_dt")
+        if exact:
+            return self.spark.read.schema(schema).parquet(
+                f"{self.path(table)}/load_dt={day}/state=open").select(*spec.columns, "start_dt", "end_dt")
+        return self._rebuilt(name, upto).where(F.col("end_dt").isNull())
+
+    def _rebuilt(self, name: str, upto: date) -> DataFrame:
+        """History as of ``upto`` from every stored version (any layout)."""
+        spec = DIMS[name]
+        table = f"dim_{name}_hist"
+        days = list_partitions(self.spark, self.path(table), "load_dt")
+        last_open, _ = self._open_snapshot_day(table, date.fromisoformat(days[-1]))
+        every = (self.spark.read.parquet(self.path(table))
+                 .where((F.col("state") == "closed")
+                        | ((F.col("state") == "open") & (F.col("load_dt") == F.lit(date.fromisoformat(last_open)))))
+                 .select(*spec.columns, "start_dt", "end_dt"))
+        hi = F.lit((upto + timedelta(days=1)).isoformat()).cast("timestamp_ntz")
+        return every.where(F.col("start_dt") < hi).withColumn(
+            "end_dt", F.when(F.col("end_dt") < hi, F.col("end_dt")))
 
     def read_hist(self, name: str, upto: date | str) -> DataFrame:
         """Full SCD2 history as of the end of day ``upto``: the open
         snapshot plus every closed partition up to that day (pruned)."""
         spec = DIMS[name]
         table = f"dim_{name}_hist"
+        upto = as_date(upto)
+        day, exact = self._open_snapshot_day(table, upto)
+        if day is None and exact:
+            return self._empty(dim_schema(spec, "scd2"))
+        if not exact:
+            return self._rebuilt(name, upto)
         opened = self.read_open(name, upto)
-        if not list_partitions(self.spark, self.path(table), "load_dt"):
-            return opened
         closed = (self.spark.read.parquet(self.path(table))
-                  .where((F.col("state") == "closed") & (F.col("load_dt") <= F.lit(as_date(upto))))
+                  .where((F.col("state") == "closed") & (F.col("load_dt") <= F.lit(upto)))
                   .select(*spec.columns, "start_dt", "end_dt"))
         return closed.unionByName(opened)
 
