@@ -323,6 +323,35 @@ def build() -> dict[str, str]:
         f"""SELECT {acc_cols}, MIN(create_dt) AS create_dt FROM stg
             WHERE account_num NOT IN (SELECT account_num FROM h_hist WHERE account_num IS NOT NULL)
             GROUP BY {acc_cols}""")
+    o["scd1_literal_accounts"] = _with(
+        hist_sql("accounts", prev, "a") + [scd1_sql("accounts", "a"), stg_sql("accounts", "stg", _on_day("date", D)),
+                                           f"""v AS (SELECT {acc_cols}, MIN(create_dt) AS create_dt FROM stg
+                                               WHERE account_num IS NOT NULL GROUP BY {acc_cols})""",
+                                           """u AS (SELECT v.* FROM v JOIN a_scd1 p USING (account_num)
+                                               WHERE v.valid_to <> p.valid_to OR v.client <> p.client)"""],
+        """SELECT p.account_num, COALESCE(u.valid_to, p.valid_to) AS valid_to, COALESCE(u.client, p.client) AS client,
+                  p.create_dt, COALESCE(u.create_dt, p.update_dt) AS update_dt
+           FROM a_scd1 p LEFT JOIN u USING (account_num)
+           UNION ALL
+           SELECT account_num, valid_to, client, create_dt, NULL AS update_dt FROM v
+           WHERE NOT EXISTS (SELECT 1 FROM a_scd1 WHERE account_num IN (SELECT account_num FROM v))""")
+    o["scd2_cards_literal"] = _with(
+        hist_sql("cards", prev, "h") + [
+            stg_sql("cards", "stg", _on_day("date", D)),
+            """v AS (SELECT card_num, account_num, MIN(create_dt) AS create_dt FROM stg
+                     WHERE card_num IS NOT NULL GROUP BY card_num, account_num)""",
+            """a AS (SELECT h.card_num, h.account_num, h.start_dt,
+                       COALESCE(h.end_dt, (SELECT MIN(v.create_dt) FROM v WHERE v.card_num = h.card_num
+                                          AND v.account_num <> h.account_num AND h.end_dt IS NULL)) AS end_dt
+                     FROM h_hist h)""",
+            """b AS (SELECT v.card_num, v.account_num, v.create_dt AS start_dt, CAST(NULL AS TIMESTAMP) AS end_dt
+                     FROM v, a WHERE a.card_num = v.card_num AND a.end_dt = v.create_dt
+                     AND a.account_num <> v.account_num)""",
+            "ab AS (SELECT * FROM a UNION ALL SELECT * FROM b)"],
+        """SELECT * FROM ab
+           UNION ALL
+           SELECT card_num, account_num, create_dt AS start_dt, CAST(NULL AS TIMESTAMP) AS end_dt FROM v
+           WHERE account_num NOT IN (SELECT card_num FROM ab WHERE card_num IS NOT NULL)""")
     o["audit_scd1"] = _audit_sql("scd1")
     o["audit_scd2"] = _audit_sql("scd2")
     o["audit_fact"] = _with([], f"""SELECT 'transactions' AS table_name, 'INSERTED' AS action,

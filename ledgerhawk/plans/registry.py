@@ -42,7 +42,7 @@ from ..operators import (
 )
 from ..operators.rules import day_report_dt
 from ..operators.quality import history_check
-from ..operators.scd import anti_null_aware, with_day_validity
+from ..operators.scd import anti_null_aware, scd1_upsert_literal, scd2_merge_literal, with_day_validity
 from ..schemas import DIMS, LANDING, LANDING_WIDTHS
 from ..sources import conform, drop_blank, fixture_landing, split_late
 
@@ -161,6 +161,24 @@ def q_scd2_insert_not_in(spark, sf_dir):
     return anti_null_aware(v, "account_num", hist, "account_num")
 
 
+def q_scd1_literal_accounts(spark, sf_dir):
+    """Accounts after the report day under the reference's all-or-nothing
+    insert gate, starting from the per-key state of the day before."""
+    lnd = _landing(spark, sf_dir)
+    spec = DIMS["accounts"]
+    dim = scd1_backfill(stage(_before(lnd, REPORT_DAY), None)["accounts"], spec)
+    return scd1_upsert_literal(dim, variants(stage(lnd, REPORT_DAY)["accounts"], spec), spec)
+
+
+def q_scd2_cards_literal(spark, sf_dir):
+    """Card history after the reference's three SCD2 statements for the
+    report day, taken literally (``account_num NOT IN (card_num …)``)."""
+    lnd = _landing(spark, sf_dir)
+    spec = DIMS["cards"]
+    hist = scd2_backfill(stage(_before(lnd, REPORT_DAY), None)["cards"], spec)
+    return scd2_merge_literal(hist, variants(stage(lnd, REPORT_DAY)["cards"], spec), spec, "account_num")
+
+
 # ------------------------------------------------------------------ audit
 
 def q_audit_scd1(spark, sf_dir):
@@ -325,6 +343,8 @@ def build() -> dict:
     for n in DIMS:
         q[f"scd2_{n}"] = _scd2_query(n)
     q.update({
+        "scd1_literal_accounts": q_scd1_literal_accounts,
+        "scd2_cards_literal": q_scd2_cards_literal,
         "scd2_insert_not_in": q_scd2_insert_not_in,
         "audit_scd1": q_audit_scd1,
         "audit_scd2": q_audit_scd2,
