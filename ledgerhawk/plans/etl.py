@@ -18,7 +18,7 @@ from ..config import ACTION_INSERTED, ACTION_UPDATED, as_date, day_start, defaul
 from ..operators import audit_fact, audit_scd1, audit_scd2, scd1_upsert, scd2_step, stage, variants
 from ..operators.scd import _collapse_scd1, scd1_upsert_literal, scd2_merge_literal
 from ..schemas import DIMS
-from ..sources.landing import BATCH_COL, read_landing, split_late
+from ..sources.landing import BATCH_COL, read_landing, read_landing_range, split_late
 from ..sources.warehouse import Warehouse
 
 MODES = ("scd1", "scd2")
@@ -106,7 +106,7 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     start, end = as_date(start), as_date(end)
     wh = Warehouse(spark, root, mode)
     prev = start - timedelta(days=1)
-    batches = read_landing(spark, root).where(F.col(BATCH_COL).between(F.lit(start), F.lit(end)))
+    batches = read_landing_range(spark, root, start, end)
     day = F.to_date("date")
     on_day = batches.where(day == F.col(BATCH_COL)).drop(BATCH_COL)
     off_day = batches.where(day.isNull() | (day != F.col(BATCH_COL)))

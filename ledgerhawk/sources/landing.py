@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..config import as_date, day_end, day_start
 from ..schemas import LANDING
@@ -110,11 +110,24 @@ def _file_name(p: str) -> str:
 
 
 def read_landing(spark: SparkSession, root: str, batch_dt: date | str | None = None) -> DataFrame:
-    """Landing rows, optionally of one batch (partition-pruned)."""
-    df = spark.read.parquet(landing_path(root))
-    if batch_dt is not None:
-        df = df.where(F.col(BATCH_COL) == F.lit(as_date(batch_dt)))
-    return df
+    """Landing rows, optionally of one batch (only that directory is listed)."""
+    from .warehouse import read_partition
+    if batch_dt is None:
+        return spark.read.parquet(landing_path(root))
+    schema = StructType(LANDING.fields + [StructField(BATCH_COL, DateType())])
+    return read_partition(spark, landing_path(root), BATCH_COL, as_date(batch_dt).isoformat(), schema)
+
+
+def read_landing_range(spark: SparkSession, root: str, start: date | str, end: date | str) -> DataFrame:
+    """Landing rows of the batches from ``start`` to ``end``: only those
+    partition directories are listed and read."""
+    from .warehouse import list_partitions
+    lo, hi = as_date(start).isoformat(), as_date(end).isoformat()
+    base = landing_path(root)
+    days = [d for d in list_partitions(spark, base, BATCH_COL) if lo <= d <= hi]
+    if not days:
+        return spark.createDataFrame([], StructType(LANDING.fields + [StructField(BATCH_COL, DateType())]))
+    return spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={d}" for d in days])
 
 
 def split_late(landing: DataFrame, d: date | str) -> tuple[DataFrame, DataFrame]:

@@ -24,7 +24,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
 
 from ..config import as_date
 from ..schemas import AUDIT, DIMS, LANDING, REPORT, DimSpec
@@ -61,6 +61,22 @@ def list_partitions(spark: SparkSession, path: str, col: str) -> list[str]:
     return sorted(out)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_partition(spark: SparkSession, base: str, col: str, value: str, schema: StructType) -> DataFrame:
+    """Rows of one ``col=value`` partition, listing only that directory
+    (``basePath`` keeps the partition columns). A table-wide read filtered
+    on the column would first list every file of every partition."""
+    path = f"{base}/{col}={value}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.option("basePath", base).parquet(path)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -182,10 +198,12 @@ class Warehouse:
                          "fact_transactions", ["trans_dt", "oper_type", "oper_result"])
 
     def read_fact(self, d: date | str | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path("fact_transactions"))
-        if d is not None:
-            df = df.where(F.col("trans_dt") == F.lit(as_date(d)))
-        return df.select(*fact_schema().fieldNames())
+        cols = fact_schema().fieldNames()
+        if d is None:
+            return self.spark.read.parquet(self.path("fact_transactions")).select(*cols)
+        empty = StructType(fact_schema().fields + [StructField("trans_dt", DateType())])
+        return read_partition(self.spark, self.path("fact_transactions"), "trans_dt",
+                              as_date(d).isoformat(), empty).select(*cols)
 
     def write_report(self, report: DataFrame, load_dt) -> None:
         df = report.withColumn("load_dt", load_dt if not isinstance(load_dt, (str, date))
@@ -193,10 +211,10 @@ class Warehouse:
         self._write_days(df.select(*REPORT.fieldNames(), "load_dt"), "report", ["load_dt"])
 
     def read_report(self, d: date | str | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path("report"))
-        if d is not None:
-            df = df.where(F.col("load_dt") == F.lit(as_date(d)))
-        return df
+        if d is None:
+            return self.spark.read.parquet(self.path("report"))
+        empty = StructType(REPORT.fields + [StructField("load_dt", DateType())])
+        return read_partition(self.spark, self.path("report"), "load_dt", as_date(d).isoformat(), empty)
 
     def write_audit(self, audit: DataFrame, load_dt) -> None:
         df = audit.withColumn("load_dt", load_dt if not isinstance(load_dt, (str, date))
@@ -206,10 +224,10 @@ class Warehouse:
         self._write_days(df.select(*AUDIT.fieldNames(), "load_dt").coalesce(1), "audit", ["load_dt"])
 
     def read_audit(self, d: date | str | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path("audit"))
-        if d is not None:
-            df = df.where(F.col("load_dt") == F.lit(as_date(d)))
-        return df
+        if d is None:
+            return self.spark.read.parquet(self.path("audit"))
+        empty = StructType(AUDIT.fields + [StructField("load_dt", DateType())])
+        return read_partition(self.spark, self.path("audit"), "load_dt", as_date(d).isoformat(), empty)
 
     def write_quarantine(self, rows: DataFrame, load_dt: date | str) -> None:
         self._write_days(rows.withColumn("load_dt", F.lit(as_date(load_dt))), "quarantine", ["load_dt"])

@@ -34,3 +34,11 @@ def test_column_pruning_reaches_scan(spark):
     p = plan(registry.q_busy_cards(spark, SF0001))
     scans = [ln for ln in p.splitlines() if ln.strip().startswith("ReadSchema") and "value" in ln]
     assert all("props" not in ln for ln in scans)
+
+
+def test_sequences_are_split_by_time_chunk(spark):
+    """The big exchange of rule 3 is on (card, day, chunk), not on card alone."""
+    p = plan(registry.build()["rule_city_hop"](spark, SF0001))
+    assert "hashpartitioning(card_num" in p
+    exchanges = [ln for ln in p.splitlines() if "hashpartitioning(card_num" in ln and "_chunk" in ln]
+    assert exchanges
