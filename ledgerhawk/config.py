@@ -81,15 +81,23 @@ def default_run_ts(d: date | str) -> str:
     return (as_date(d) + timedelta(days=1)).isoformat() + " 00:00:00"
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by the cluster.
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir`` (installed on the context if needed), or None."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if current:
+        sc.setCheckpointDir(current)
+    return current
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (tests, local runs) is ``fallback`` installed.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Like :func:`configured_checkpoint_dir`; only when the session names
+    none (tests, local runs) is ``fallback`` installed."""
+    current = configured_checkpoint_dir(spark)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")

@@ -30,7 +30,9 @@ from .scd import (
     current,
     hist_as_of,
     insert_missing,
+    collapse_scd1,
     scd1_backfill,
+    scd1_chain,
     scd1_from_history,
     scd1_upsert,
     scd1_upsert_literal,
@@ -38,6 +40,7 @@ from .scd import (
     scd2_merge,
     scd2_merge_literal,
     scd2_step,
+    version_chain,
     with_day_validity,
 )
 from .sequence import exact_lag, time_chunk

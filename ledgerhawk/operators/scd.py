@@ -24,7 +24,7 @@ from .staging import DAY
 SRC = "_src"  # 0 = stored version, 1 = new variant (stored first on ties)
 
 
-def _chain(cands: DataFrame, spec: DimSpec) -> DataFrame:
+def version_chain(cands: DataFrame, spec: DimSpec) -> DataFrame:
     """Keep the first candidate of each key and every candidate whose
     attributes changed; ``end_dt`` = start of the next kept version."""
     w = Window.partitionBy(spec.key).orderBy("start_dt", SRC, *spec.attrs)
@@ -52,7 +52,7 @@ def scd2_step(open_rows: DataFrame, day_variants: DataFrame, spec: DimSpec) -> D
     not read."""
     stored = open_rows.select(*spec.columns, "start_dt", F.lit(0).alias(SRC))
     new = day_variants.select(*spec.columns, F.col("create_dt").alias("start_dt"), F.lit(1).alias(SRC))
-    return _chain(stored.unionByName(new), spec).select(*spec.columns, "start_dt", "end_dt")
+    return version_chain(stored.unionByName(new), spec).select(*spec.columns, "start_dt", "end_dt")
 
 
 def scd2_merge(hist: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
@@ -68,7 +68,7 @@ def scd2_backfill(stg_all: DataFrame, spec: DimSpec) -> DataFrame:
          .withColumn(DAY, F.to_date("create_dt"))
          .groupBy(*spec.columns, DAY)
          .agg(F.min("create_dt").alias("start_dt")))
-    return _chain(v.select(*spec.columns, "start_dt", F.lit(1).alias(SRC)), spec).select(
+    return version_chain(v.select(*spec.columns, "start_dt", F.lit(1).alias(SRC)), spec).select(
         *spec.columns, "start_dt", "end_dt")
 
 
@@ -131,27 +131,36 @@ def scd2_merge_literal(hist: DataFrame, day_variants: DataFrame, spec: DimSpec,
 
 # ----------------------------------------------------------------- SCD type 1
 
-def scd1_upsert(dim: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
-    """Dimension after one day's load (type 1): changed keys take the
-    latest variant and ``update_dt`` = its first-seen time; unseen keys are
-    inserted with ``create_dt`` and ``update_dt`` NULL; other rows pass
-    through. One shuffle on the key."""
+def scd1_chain(dim: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
+    """Version chain of stored type 1 rows and new variants (one or many
+    days), keeping what :func:`collapse_scd1` needs."""
     stored = dim.select(*spec.columns, F.coalesce("update_dt", "create_dt").alias("start_dt"),
                         F.lit(0).alias(SRC), "create_dt", "update_dt")
     new = day_variants.select(*spec.columns, F.col("create_dt").alias("start_dt"), F.lit(1).alias(SRC),
                               "create_dt", F.lit(None).cast("timestamp_ntz").alias("update_dt"))
-    return _collapse_scd1(_chain(stored.unionByName(new), spec), spec)
+    return version_chain(stored.unionByName(new), spec)
 
 
-def _collapse_scd1(kept: DataFrame, spec: DimSpec) -> DataFrame:
+def collapse_scd1(chain: DataFrame, spec: DimSpec) -> DataFrame:
+    """One type 1 row per key from its version chain: the last version's
+    attributes, ``create_dt`` = first seen, ``update_dt`` = start of the last
+    version if there is more than one (else the stored ``update_dt``)."""
     wk = Window.partitionBy(spec.key)
-    last = (kept.withColumn("_n", F.count(F.lit(1)).over(wk))
+    last = (chain.withColumn("_n", F.count(F.lit(1)).over(wk))
             .withColumn("_first", F.min("create_dt").over(wk))
             .where(F.col("end_dt").isNull()))
     update_dt = F.when(F.col(SRC) == 0, F.col("update_dt")).when(F.col("_n") > 1, F.col("start_dt"))
     return last.select(*spec.columns, F.col("_first").alias("create_dt"), update_dt.alias("update_dt"))
 
 
+def scd1_upsert(dim: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
+    """Dimension after one day's load (type 1): changed keys take the
+    latest variant and ``update_dt`` = its first-seen time; unseen keys are
+    inserted with ``create_dt`` and ``update_dt`` NULL; other rows pass
+    through. One shuffle on the key."""
+    return collapse_scd1(scd1_chain(dim, day_variants, spec), spec)
+
+
 def scd1_from_history(hist: DataFrame, spec: DimSpec) -> DataFrame:
     """Type 1 view of a type 2 history: current attributes, ``create_dt`` =
     first version start, ``update_dt`` = current version start if the key
@@ -159,7 +168,7 @@ def scd1_from_history(hist: DataFrame, spec: DimSpec) -> DataFrame:
     kept = hist.select(*spec.columns, "start_dt", "end_dt", F.lit(1).alias(SRC),
                        F.col("start_dt").alias("create_dt"),
                        F.lit(None).cast("timestamp_ntz").alias("update_dt"))
-    return _collapse_scd1(kept, spec)
+    return collapse_scd1(kept, spec)
 
 
 def scd1_backfill(stg_all: DataFrame, spec: DimSpec) -> DataFrame:

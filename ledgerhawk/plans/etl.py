@@ -14,9 +14,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACTION_INSERTED, ACTION_UPDATED, as_date, day_start, default_run_ts
+from ..config import ACTION_INSERTED, ACTION_UPDATED, as_date, configured_checkpoint_dir, day_start, default_run_ts
 from ..operators import audit_fact, audit_scd1, audit_scd2, scd1_upsert, scd2_step, stage, variants
-from ..operators.scd import _collapse_scd1, scd1_upsert_literal, scd2_merge_literal
+from ..operators.scd import collapse_scd1, scd1_chain, scd1_upsert_literal, scd2_merge_literal
 from ..schemas import DIMS
 from ..sources.landing import BATCH_COL, read_landing, read_landing_range, split_late
 from ..sources.warehouse import Warehouse
@@ -41,7 +41,7 @@ def _materialize(df: DataFrame) -> DataFrame:
     """Cut lineage of a frame used twice: reliable checkpoint into the
     cluster's ``spark.checkpoint.dir`` when one is configured, otherwise the
     plan is simply recomputed (never a machine-local checkpoint)."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
+    if configured_checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     return df
 
@@ -118,12 +118,9 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
         spec = DIMS[name]
         v = variants(stg[name], spec, by_day=True).drop("load_dt")
         if mode == "scd1":
-            dim = wh.read_dim(name, prev)
-            stored = dim.select(*spec.columns, F.coalesce("update_dt", "create_dt").alias("start_dt"),
-                                F.lit(0).alias("_src"), "create_dt", "update_dt")
             # One chain feeds both the new snapshot and the daily audit.
-            chain = _materialize(scd2_step_with_src(stored, v, spec))
-            wh.write_dim(name, _collapse_scd1(chain, spec), end)
+            chain = _materialize(scd1_chain(wh.read_dim(name, prev), v, spec))
+            wh.write_dim(name, collapse_scd1(chain, spec), end)
             return _daily_audit_scd1(chain, name, start)
         step = scd2_step(wh.read_open(name, prev), v, spec)
         wh.write_hist_range(name, step, end)
@@ -153,15 +150,6 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     _write_days(audit.coalesce(1), wh.path("audit"), ["load_dt"])
 
 
-def scd2_step_with_src(stored: DataFrame, day_variants: DataFrame, spec) -> DataFrame:
-    """The version chain of stored SCD1 rows and new variants, keeping the
-    columns the SCD1 collapse needs (``_src``, ``create_dt``, ``update_dt``)."""
-    from ..operators.scd import _chain
-    new = day_variants.select(*spec.columns, F.col("create_dt").alias("start_dt"), F.lit(1).alias("_src"),
-                              "create_dt", F.lit(None).cast("timestamp_ntz").alias("update_dt"))
-    return _chain(stored.unionByName(new), spec)
-
-
 def _write_days(df: DataFrame, path: str, parts: list[str]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
