@@ -24,7 +24,7 @@ from ..config import (
     Domains,
 )
 from ..functions import falling_flag, full_name, result_code, within
-from .sequence import DEFAULT_CHUNK_SECONDS, exact_lag, time_chunk
+from .sequence import DEFAULT_CHUNK_SECONDS, exact_prev, time_chunk
 
 DAY = "day"
 ORDER = ["trans_date", "trans_id"]  # ties in time are broken by trans_id
@@ -114,61 +114,93 @@ def rule_expired_account(fact, dims, report_dt: Column) -> DataFrame:
     return report_rows(e, "trans_date", F.lit(FRAUD_EXPIRED_ACCOUNT), report_dt)
 
 
+def _left_join_dim(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str, take: list[str]) -> DataFrame:
+    """Left join on the key (and version of the row's day); ``_known`` tells
+    whether a dimension row matched."""
+    d = dim.select(F.col(dim_key).alias("_k"), *[F.col(c).alias(f"_d_{c}") for c in take],
+                   *[c for c in ("valid_from_day", "valid_to_day") if c in dim.columns])
+    cond = left[left_key] == d["_k"]
+    valid = _valid_on(d, left[DAY])
+    if valid is not None:
+        cond = cond & valid
+    return left.join(d, cond, "left").select(*left.columns, *[F.col(f"_d_{c}").alias(c) for c in take],
+                                             d["_k"].isNotNull().alias("_known"))
+
+
+def operation_sequences(fact: DataFrame, terminals: DataFrame | None = None,
+                        chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Every operation of a card's day with the card's previous operation
+    (``prev_op``: amount, result; rule 4) and its previous operation at a
+    known terminal (``prev_at_terminal``: time, city; rule 3, where the
+    terminal inner join comes before LAG, so unknown terminals leave that
+    sequence). Both come from one exchange on (card, day, time chunk)."""
+    f = with_day(fact).select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal", DAY)
+    if terminals is None:
+        t = f.withColumn("cur_city", F.lit(None).cast("string")).withColumn("_known", F.lit(False))
+    else:
+        t = _left_join_dim(f, terminals, "terminal", "terminal_id", ["terminal_city"])
+        t = t.withColumnRenamed("terminal_city", "cur_city")
+    values = {
+        "prev_op": F.struct(F.col("amt"), F.col("oper_result")),
+        "prev_at_terminal": F.when(F.col("_known"), F.struct(F.col("trans_date"), F.col("cur_city"))),
+    }
+    return exact_prev(t, ["card_num", DAY], ORDER, values, time_chunk("trans_date", chunk_seconds))
+
+
 def city_sequence(fact: DataFrame, terminals: DataFrame,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Per card and day, each operation with the time and city of the
-    card's previous operation. The terminal join comes first, so operations
-    at unknown terminals leave the sequence."""
-    f = with_day(fact).select("trans_id", "trans_date", "card_num", "terminal", DAY)
-    t = _join_dim(f, terminals, "terminal", "terminal_id", ["terminal_city"])
-    t = t.withColumnRenamed("terminal_city", "cur_city")
-    s = exact_lag(t, ["card_num", DAY], ORDER, ["trans_date", "cur_city"], time_chunk("trans_date", chunk_seconds))
-    return s.withColumnRenamed("prev_cur_city", "prev_city")
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
+    """Per card and day, each operation at a known terminal with the time
+    and city of the card's previous such operation."""
+    s = seq if seq is not None else operation_sequences(fact, terminals, chunk_seconds)
+    return s.where("_known").select(
+        "trans_id", "trans_date", "card_num", DAY, "cur_city",
+        F.col("prev_at_terminal.trans_date").alias("prev_trans_date"),
+        F.col("prev_at_terminal.cur_city").alias("prev_city"))
 
 
 def city_hops(fact: DataFrame, terminals: DataFrame, max_gap_seconds: int = CITY_HOP_MAX_GAP_SECONDS,
-              chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+              chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
     """(card, day, trans_date) of operations within ``max_gap_seconds``
     (inclusive) of the card's previous one, in another city."""
-    s = city_sequence(fact, terminals, chunk_seconds)
+    s = city_sequence(fact, terminals, chunk_seconds, seq)
     hop = within(F.col("trans_date") - F.col("prev_trans_date"), max_gap_seconds) & (
         F.col("prev_city") != F.col("cur_city"))
     return s.where(hop).select("card_num", DAY, "trans_date")
 
 
 def rule_city_hop(fact, dims, report_dt: Column, max_gap_seconds: int = CITY_HOP_MAX_GAP_SECONDS,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None) -> DataFrame:
-    hops = city_hops(fact, dims["terminals"], max_gap_seconds, chunk_seconds)
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None,
+                  seq: DataFrame | None = None) -> DataFrame:
+    hops = city_hops(fact, dims["terminals"], max_gap_seconds, chunk_seconds, seq)
     e = hops.join(profile if profile is not None else profile_for(hops, dims), ["card_num", DAY])
     return report_rows(e, "trans_date", F.lit(FRAUD_CITY_HOP), report_dt)
 
 
 def amount_sequence(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
                     min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
     """Per busy card and day: number of operations, time of the last one,
     number of successes, number of non-falling steps and the last result.
 
     The reference's four whole-partition windows collapse into one group-by
     (partial aggregation, so a hot card is combined map-side)."""
-    f = with_day(fact).select("trans_id", "trans_date", "card_num", "amt", "oper_result", DAY)
-    s = exact_lag(f, ["card_num", DAY], ORDER, ["amt"], time_chunk("trans_date", chunk_seconds))
+    s = seq if seq is not None else operation_sequences(fact, None, chunk_seconds)
     last = F.struct(*[F.col(c) for c in ORDER])
     return (s.groupBy("card_num", DAY).agg(
         F.count(F.lit(1)).alias("n_trans"),
         F.max(last)["trans_date"].alias("last_trans_date"),
         F.sum(result_code("oper_result", domains.success, domains.refused)).alias("oper_result_total"),
-        F.sum(falling_flag("amt", "prev_amt")).alias("prev_less_than_cur_total"),
+        F.sum(falling_flag("amt", F.col("prev_op.amt"))).alias("prev_less_than_cur_total"),
         F.max_by("oper_result", last).alias("last_oper"))
         .where(F.col("n_trans") > min_ops_exclusive))
 
 
 def amount_probes(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
                   min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
     """Busy cards whose amounts strictly fell, with exactly one success and
     that success last; fraud time = the last operation."""
-    a = amount_sequence(fact, domains, min_ops_exclusive, chunk_seconds)
+    a = amount_sequence(fact, domains, min_ops_exclusive, chunk_seconds, seq)
     hit = ((F.col("oper_result_total") == 1) & (F.col("last_oper") == domains.success)
            & (F.col("prev_less_than_cur_total") == 0))
     return a.where(hit).select("card_num", DAY, F.col("last_trans_date").alias("trans_date"))
@@ -176,8 +208,9 @@ def amount_probes(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
 
 def rule_amount_probe(fact, dims, report_dt: Column, domains: Domains = REFERENCE_DOMAINS,
                       min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None) -> DataFrame:
-    probes = amount_probes(fact, domains, min_ops_exclusive, chunk_seconds)
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None,
+                      seq: DataFrame | None = None) -> DataFrame:
+    probes = amount_probes(fact, domains, min_ops_exclusive, chunk_seconds, seq)
     e = probes.join(profile if profile is not None else profile_for(probes, dims), ["card_num", DAY])
     return report_rows(e, "trans_date", F.lit(FRAUD_AMOUNT_PROBE), report_dt)
 
@@ -192,8 +225,10 @@ def fraud_report(fact: DataFrame, dims: dict[str, DataFrame], report_dt: Column,
     profile = profile_for(with_day(fact), dims)
     e = expiry_flags(enrich(fact, dims, profile))
     r12 = report_rows(e, "trans_date", F.col("fraud_type"), report_dt)
-    r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds, profile=profile)
-    r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds, profile=profile)
+    # Rules 3 and 4 read one shared sequence (one exchange of the operations).
+    seq = operation_sequences(fact, dims["terminals"], chunk_seconds)
+    r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds, profile=profile, seq=seq)
+    r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds, profile=profile, seq=seq)
     return r12.unionByName(r3).unionByName(r4)
 
 

@@ -3,9 +3,10 @@
 ``LAG(x) OVER (PARTITION BY card ORDER BY ts)`` puts a whole card into one
 task; a card holding a third of all rows would stall the job. Here each
 sequence is cut into chunks by a value that grows with the order (the time
-bucket), the lag is taken inside each chunk, and the first row of a chunk
-gets the last row of the previous non-empty chunk, found with a second,
-small window over one row per chunk. The result is exactly ``LAG``.
+bucket), the previous value is taken inside each chunk, and the first rows of
+a chunk get the last value of the previous chunks, found with a second,
+small window over one row per chunk. The result is exactly ``LAG`` (or, for
+:func:`exact_prev`, "the latest earlier non-NULL value").
 """
 
 from __future__ import annotations
@@ -24,25 +25,43 @@ def time_chunk(ts: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> Column:
     return F.floor(seconds_of_day(ts) / F.lit(chunk_seconds)).cast("int")
 
 
-def exact_lag(df: DataFrame, by: list[str], order: list[str], values: list[str],
-              chunk: Column, prefix: str = "prev_") -> DataFrame:
-    """Add ``prev_<v>`` = value of ``v`` on the previous row of the same
-    ``by`` group in ``order``. ``chunk`` must be non-decreasing in ``order``
-    within a group; it only decides how the work is split."""
+def exact_prev(df: DataFrame, by: list[str], order: list[str], values: dict[str, Column],
+               chunk: Column) -> DataFrame:
+    """For each ``name -> expr`` add ``name``: the value of ``expr`` on the
+    nearest earlier row of the same ``by`` group (in ``order``) where it is
+    not NULL. With an expression that is never NULL (a struct) this is
+    ``LAG``. ``chunk`` must be non-decreasing in ``order`` within a group;
+    it only decides how the work is split."""
+    names = list(values)
     w_in = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    rows = df.withColumn("_chunk", chunk).select(
+    before = w_in.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (df.withColumn("_chunk", chunk)
+            .select("*", *[values[n].alias(f"_v_{n}") for n in names]))
+    rows = rows.select(
         "*",
-        *[F.lag(v).over(w_in).alias(f"_in_{v}") for v in values],
-        (F.row_number().over(w_in) == 1).alias("_head"),
+        *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in names],
+        *[F.last(f"_v_{n}", ignorenulls=True).over(upto).alias(f"_upto_{n}") for n in names],
         F.lead(F.lit(1)).over(w_in).isNull().alias("_last"),
     )
-    # One row per non-empty chunk: its last values, then the previous chunk's.
-    w_chunks = Window.partitionBy(*by).orderBy("_chunk")
+    # One row per non-empty chunk: its latest values, then the previous chunks'.
+    w_chunks = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     prev_tail = (rows.where("_last")
-                 .select(*by, "_chunk", F.struct(*values).alias("_tail"))
-                 .select(*by, "_chunk", F.lag("_tail").over(w_chunks).alias("_ptail")))
+                 .select(*by, "_chunk",
+                         *[F.last(f"_upto_{n}", ignorenulls=True).over(w_chunks).alias(f"_pt_{n}")
+                           for n in names]))
     out = rows.join(prev_tail, [*by, "_chunk"], "left")
+    for n in names:
+        out = out.withColumn(n, F.coalesce(F.col(f"_in_{n}"), F.col(f"_pt_{n}")))
+    drop = ["_chunk", "_last"] + [f"{p}{n}" for n in names for p in ("_v_", "_in_", "_upto_", "_pt_")]
+    return out.drop(*drop)
+
+
+def exact_lag(df: DataFrame, by: list[str], order: list[str], values: list[str],
+              chunk: Column, prefix: str = "prev_") -> DataFrame:
+    """Add ``prev_<v>`` = value of ``v`` on the previous row of the same
+    ``by`` group in ``order`` (``LAG``), split by ``chunk``."""
+    out = exact_prev(df, by, order, {"_lag": F.struct(*[F.col(v) for v in values])}, chunk)
     for v in values:
-        out = out.withColumn(f"{prefix}{v}",
-                             F.when(F.col("_head"), F.col(f"_ptail.{v}")).otherwise(F.col(f"_in_{v}")))
-    return out.drop("_chunk", "_head", "_last", "_ptail", *[f"_in_{v}" for v in values])
+        out = out.withColumn(f"{prefix}{v}", F.col("_lag")[v])
+    return out.drop("_lag")
