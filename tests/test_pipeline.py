@@ -123,3 +123,19 @@ def test_as_of_reads_inside_a_backfill(spark, warehouse):
         got = wh.read_hist(name, "2024-01-07")
         assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
         assert wh.read_open(name, "2024-01-07").count() == exp.where("end_dt IS NULL").count()
+
+
+def test_day_without_a_batch(spark, warehouse):
+    """No landing batch for the day: dimensions carry over unchanged, the
+    audit counts zero and the report is empty."""
+    empty_day = "2024-02-10"
+    for mode in ("scd1", "scd2"):
+        run_day(spark, warehouse, empty_day, mode)
+        wh = Warehouse(spark, warehouse, mode)
+        assert wh.read_report(empty_day).count() == 0
+        assert {r.amount for r in wh.read_audit(empty_day).collect()} == {0}
+    wh1 = Warehouse(spark, warehouse, "scd1")
+    a, b = wh1.read_dim("clients", DAY), wh1.read_dim("clients", empty_day)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    wh2 = Warehouse(spark, warehouse, "scd2")
+    assert wh2.read_open("cards", empty_day).count() == wh2.read_open("cards", DAY).count()
