@@ -36,6 +36,18 @@ def version_chain(cands: DataFrame, spec: DimSpec) -> DataFrame:
     return kept.withColumn("end_dt", F.lead("start_dt").over(w))
 
 
+def split_touched(stored: DataFrame, day_variants: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows whose key has new variants, and the rest.
+
+    Untouched rows pass through unchanged, so the version chain (a shuffle
+    on the key) only sees the touched keys. The day's key set is usually far
+    smaller than the dimension: when Spark (or AQE at run time) finds it
+    small enough to broadcast, the stored rows are filtered in place and
+    never shuffled; otherwise both joins share one exchange."""
+    keys = day_variants.select(key).distinct()
+    return stored.join(keys, key, "left_semi"), stored.join(keys, key, "left_anti")
+
+
 # ----------------------------------------------------------------- SCD type 2
 
 def current(hist: DataFrame) -> DataFrame:
@@ -44,15 +56,17 @@ def current(hist: DataFrame) -> DataFrame:
 
 
 def scd2_step(open_rows: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
-    """Chain the open versions with one day's variants.
+    """Chain the open versions with one day's (or several days') variants.
 
-    Result rows: open versions that stay open, open versions closed today
+    Result rows: open versions that stay open, open versions closed
     (``end_dt`` = first-seen time of the changed variant) and the new
     versions (changed keys and unseen keys). Closed history is untouched and
-    not read."""
-    stored = open_rows.select(*spec.columns, "start_dt", F.lit(0).alias(SRC))
+    not read; open versions of keys without variants pass through."""
+    touched, untouched = split_touched(open_rows, day_variants, spec.key)
+    stored = touched.select(*spec.columns, "start_dt", F.lit(0).alias(SRC))
     new = day_variants.select(*spec.columns, F.col("create_dt").alias("start_dt"), F.lit(1).alias(SRC))
-    return version_chain(stored.unionByName(new), spec).select(*spec.columns, "start_dt", "end_dt")
+    chained = version_chain(stored.unionByName(new), spec).select(*spec.columns, "start_dt", "end_dt")
+    return untouched.select(*spec.columns, "start_dt", "end_dt").unionByName(chained)
 
 
 def scd2_merge(hist: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
@@ -156,9 +170,11 @@ def collapse_scd1(chain: DataFrame, spec: DimSpec) -> DataFrame:
 def scd1_upsert(dim: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataFrame:
     """Dimension after one day's load (type 1): changed keys take the
     latest variant and ``update_dt`` = its first-seen time; unseen keys are
-    inserted with ``create_dt`` and ``update_dt`` NULL; other rows pass
-    through. One shuffle on the key."""
-    return collapse_scd1(scd1_chain(dim, day_variants, spec), spec)
+    inserted with ``create_dt`` and ``update_dt`` NULL; rows of keys without
+    variants pass through (see :func:`split_touched`)."""
+    touched, untouched = split_touched(dim, day_variants, spec.key)
+    merged = collapse_scd1(scd1_chain(touched, day_variants, spec), spec)
+    return untouched.select(*spec.columns, "create_dt", "update_dt").unionByName(merged)
 
 
 def scd1_from_history(hist: DataFrame, spec: DimSpec) -> DataFrame:
