@@ -133,7 +133,9 @@ def operation_sequences(fact: DataFrame, terminals: DataFrame | None = None,
     (``prev_op``: amount, result; rule 4) and its previous operation at a
     known terminal (``prev_at_terminal``: time, city; rule 3, where the
     terminal inner join comes before LAG, so unknown terminals leave that
-    sequence). Both come from one exchange on (card, day, time chunk)."""
+    sequence). Both come from one window pass over an exchange on (card,
+    day, time chunk); a consumer that reads only one of them gets a plan
+    pruned to its columns."""
     f = with_day(fact).select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal", DAY)
     if terminals is None:
         t = f.withColumn("cur_city", F.lit(None).cast("string")).withColumn("_known", F.lit(False))
@@ -225,7 +227,8 @@ def fraud_report(fact: DataFrame, dims: dict[str, DataFrame], report_dt: Column,
     profile = profile_for(with_day(fact), dims)
     e = expiry_flags(enrich(fact, dims, profile))
     r12 = report_rows(e, "trans_date", F.col("fraud_type"), report_dt)
-    # Rules 3 and 4 read one shared sequence (one exchange of the operations).
+    # Rules 3 and 4 use the same sequence operator; column pruning gives
+    # each branch its own (narrower) exchange.
     seq = operation_sequences(fact, dims["terminals"], chunk_seconds)
     r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds, profile=profile, seq=seq)
     r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds, profile=profile, seq=seq)

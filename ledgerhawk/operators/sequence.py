@@ -31,7 +31,11 @@ def exact_prev(df: DataFrame, by: list[str], order: list[str], values: dict[str,
     nearest earlier row of the same ``by`` group (in ``order``) where it is
     not NULL. With an expression that is never NULL (a struct) this is
     ``LAG``. ``chunk`` must be non-decreasing in ``order`` within a group;
-    it only decides how the work is split."""
+    it only decides how the work is split.
+
+    Plan: one exchange of the rows on (by, chunk) with the in-chunk window,
+    and a narrow exchange of one tail row per chunk for the window over
+    chunks; the join back is on the rows' existing partitioning."""
     names = list(values)
     w_in = Window.partitionBy(*by, "_chunk").orderBy(*order)
     before = w_in.rowsBetween(Window.unboundedPreceding, -1)
