@@ -33,31 +33,27 @@ def exact_prev(df: DataFrame, by: list[str], order: list[str], values: dict[str,
     ``LAG``. ``chunk`` must be non-decreasing in ``order`` within a group;
     it only decides how the work is split.
 
-    Plan: one exchange of the rows on (by, chunk) with the in-chunk window,
-    and a narrow exchange of one tail row per chunk for the window over
-    chunks; the join back is on the rows' existing partitioning."""
+    Plan: one exchange of the rows on (by, chunk) with the in-chunk window;
+    the chunk tails (latest non-NULL value per chunk) are a ``max_by``
+    aggregation, combined map-side, followed by a small window over one row
+    per chunk; the join back is on the rows' existing partitioning."""
     names = list(values)
+    base = df.withColumn("_chunk", chunk).select("*", *[values[n].alias(f"_v_{n}") for n in names])
     w_in = Window.partitionBy(*by, "_chunk").orderBy(*order)
     before = w_in.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (df.withColumn("_chunk", chunk)
-            .select("*", *[values[n].alias(f"_v_{n}") for n in names]))
-    rows = rows.select(
-        "*",
-        *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in names],
-        *[F.last(f"_v_{n}", ignorenulls=True).over(upto).alias(f"_upto_{n}") for n in names],
-        F.lead(F.lit(1)).over(w_in).isNull().alias("_last"),
-    )
-    # One row per non-empty chunk: its latest values, then the previous chunks'.
+    rows = base.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_in_{n}")
+                              for n in names])
+    position = F.struct(*[F.col(c) for c in order])
+    tails = base.groupBy(*by, "_chunk").agg(
+        *[F.max_by(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), position)).alias(f"_t_{n}")
+          for n in names])
     w_chunks = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    prev_tail = (rows.where("_last")
-                 .select(*by, "_chunk",
-                         *[F.last(f"_upto_{n}", ignorenulls=True).over(w_chunks).alias(f"_pt_{n}")
-                           for n in names]))
+    prev_tail = tails.select(*by, "_chunk", *[F.last(f"_t_{n}", ignorenulls=True).over(w_chunks).alias(f"_pt_{n}")
+                                              for n in names])
     out = rows.join(prev_tail, [*by, "_chunk"], "left")
     for n in names:
         out = out.withColumn(n, F.coalesce(F.col(f"_in_{n}"), F.col(f"_pt_{n}")))
-    drop = ["_chunk", "_last"] + [f"{p}{n}" for n in names for p in ("_v_", "_in_", "_upto_", "_pt_")]
+    drop = ["_chunk"] + [f"{p}{n}" for n in names for p in ("_v_", "_in_", "_pt_")]
     return out.drop(*drop)
 
 
