@@ -77,7 +77,9 @@ def main() -> None:
          "(card, day) pairs and shared (ReusedExchange); rules 3 and 4 each exchange their own pruned "
          "columns on (card, day, _chunk), plus a narrow exchange of chunk tails.", report),
         ("Rule 3 over all days (as-of-day terminals)",
-         "Exchange on (card_num, day, _chunk), in-chunk window, chunk tails window, join back.", hops),
+         "Exchange on (card_num, day, _chunk) and the in-chunk window; chunk tails by a partial "
+         "(map-side, sort-based) `max_by` aggregation, a window over one row per chunk, broadcast or "
+         "shuffled back by AQE; join back on the rows' partitioning.", hops),
     ]
     with open(target, "w") as fh:
         fh.write("# Executed physical plans\n\nGenerated by `tools/show_plans.py` "
