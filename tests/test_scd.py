@@ -143,3 +143,15 @@ def test_incremental_replay_equals_closed_form(spark):
         assert d1.exceptAll(c1).count() == 0 and c1.exceptAll(d1).count() == 0, name
         # SCD1 attributes == SCD2 current attributes
         assert current(h).select(*spec.columns).exceptAll(d1.select(*spec.columns)).count() == 0
+
+
+def test_scd1_two_variants_in_a_day(spark):
+    """D2: variants are chained by first-seen time; the last one wins and
+    update_dt is its time. A new key with two variants is inserted once."""
+    dim = spark.createDataFrame([("C1", "A", t("2024-01-01 09:00:00"), None)], H1)
+    v = day_vars(spark, [("C1", "B", "2024-01-02 10:00:00"), ("C1", "C", "2024-01-02 11:00:00"),
+                         ("C2", "X", "2024-01-02 08:00:00"), ("C2", "Y", "2024-01-02 12:00:00")])
+    out = scd1_upsert(dim, v, CARDS)
+    assert rows_of(out, "card_num", "account_num", "create_dt", "update_dt") == [
+        ("C1", "C", "2024-01-01 09:00:00", "2024-01-02 11:00:00"),
+        ("C2", "Y", "2024-01-02 08:00:00", "2024-01-02 12:00:00")]
