@@ -19,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerhawk.config import FIXTURE_DOMAINS, build_session, checkpoint_dir, ts_literal  # noqa: E402
 from ledgerhawk.operators import scd2_step, stage, variants  # noqa: E402
-from ledgerhawk.operators.rules import city_hops, day_report_dt, fraud_report  # noqa: E402
+from ledgerhawk.operators.rules import city_hops, fraud_report  # noqa: E402
 from ledgerhawk.operators.scd import with_day_validity  # noqa: E402
 from ledgerhawk.plans.etl import backfill, run_etl  # noqa: E402
 from ledgerhawk.plans.report import report_dims  # noqa: E402
