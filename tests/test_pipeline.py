@@ -70,6 +70,10 @@ def test_dimension_counts_and_history(spark, warehouse):
         cols = [c for c in s1.columns if c not in ("create_dt", "update_dt")]
         assert s1.select(cols).exceptAll(cur.select(cols)).count() == 0
         assert cur.select(cols).exceptAll(s1.select(cols)).count() == 0
+        # K6: one open version per key, contiguous history
+        from ledgerhawk.operators import history_violations
+        from ledgerhawk.schemas import DIMS
+        assert history_violations(wh2.read_hist(name, DAY), DIMS[name].key).count() == 0
 
 
 @pytest.mark.parametrize("mode", ["scd1", "scd2"])
