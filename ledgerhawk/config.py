@@ -52,12 +52,16 @@ FIXTURE_DOMAINS = Domains(
 
 
 def as_date(d: date | str) -> date:
-    """Parse the load-day parameter once (``'2024-01-15'`` or a date)."""
+    """Parse the load-day parameter once: a date, or text ``Y-M-D`` with or
+    without zero padding (``'2020-05-01'``, ``'2020-5-1'``), optionally
+    followed by a time, which is ignored."""
     if isinstance(d, datetime):
         return d.date()
     if isinstance(d, date):
         return d
-    return date.fromisoformat(str(d).strip()[:10])
+    text = str(d).strip().split("T")[0].split(" ")[0]
+    y, m, dd = (int(x) for x in text.split("-"))
+    return date(y, m, dd)
 
 
 def day_start(d: date | str) -> Column:
