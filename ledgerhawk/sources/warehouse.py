@@ -119,6 +119,16 @@ class Warehouse:
                 return days[i], i == len(days) - 1
         return None, not days
 
+    def open_snapshot_is_exact(self, name: str, upto: date | str) -> bool:
+        """Whether the state at ``upto`` is a stored open snapshot (else it is
+        rebuilt from every stored version, which may include later days)."""
+        day, exact = self._open_snapshot_day(f"dim_{name}_hist", as_date(upto))
+        return exact
+
+    def read_dim_day(self, name: str, upto: date | str) -> str | None:
+        """Day of the SCD1 snapshot that holds the state at ``upto``, if any."""
+        return self._latest(f"dim_{name}", as_date(upto))
+
     def read_open(self, name: str, upto: date | str) -> DataFrame:
         """SCD2 open versions as of the end of day ``upto``: the day's open
         snapshot when there is one (daily runs write one per day), otherwise

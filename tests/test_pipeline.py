@@ -146,3 +146,32 @@ def test_day_without_a_batch(spark, warehouse):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     wh2 = Warehouse(spark, warehouse, "scd2")
     assert wh2.read_open("cards", empty_day).count() == wh2.read_open("cards", DAY).count()
+
+
+def test_rerun_inside_backfilled_range(spark, tmp_path):
+    """SCD2: a day inside a backfilled range can be re-run (its input is
+    checkpointed first) and leaves the history unchanged. SCD1: the state of
+    the day before is not stored, so the run is refused."""
+    from ledgerhawk.plans.etl import run_etl
+    root = str(tmp_path)
+    fixture_landing(spark, SF0001).withColumn("batch_dt", F.to_date("date")).write \
+        .partitionBy("batch_dt").parquet(root + "/landing")
+    backfill(spark, root, "2024-01-01", "2024-01-10", "scd2")
+    wh = Warehouse(spark, root, "scd2")
+    before = wh.read_hist("clients", "2024-01-10").collect()
+    run_etl(spark, root, "2024-01-06", "scd2")
+    after = wh.read_hist("clients", "2024-01-10").collect()
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
+    backfill(spark, root, "2024-01-01", "2024-01-10", "scd1")
+    with pytest.raises(ValueError):
+        run_etl(spark, root, "2024-01-06", "scd1")
+
+
+def test_rerun_first_day_is_allowed(spark, tmp_path):
+    from ledgerhawk.plans.etl import run_etl
+    root = str(tmp_path)
+    fixture_landing(spark, SF0001).where(F.to_date("date") <= F.lit("2024-01-02").cast("date")) \
+        .withColumn("batch_dt", F.to_date("date")).write.partitionBy("batch_dt").parquet(root + "/landing")
+    for d in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        run_etl(spark, root, d, "scd1")
+    assert Warehouse(spark, root, "scd1").read_dim("terminals", "2024-01-01").count() > 0
