@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from ledgerhawk.schemas import LANDING
-from ledgerhawk.sources import cast_rejects, conform, drop_blank, fixture_landing, land, land_many, split_late
+from ledgerhawk.sources import cast_rejects, conform, drop_blank, fixture_landing, land, land_many, read_daily, split_late
 from ledgerhawk.sources.landing import read_landing
 
 
@@ -53,3 +53,17 @@ def test_land_is_idempotent_and_land_many_reads_csv(spark, scratch):
     land_many(spark, {f: "2024-01-04"}, scratch, fmt="csv")
     got = read_landing(spark, scratch, "2024-01-04").drop("batch_dt")
     assert got.exceptAll(lnd).count() == 0 and lnd.exceptAll(got).count() == 0
+
+
+def test_read_daily_json_and_parquet(spark, scratch):
+    lnd = fixture_landing(spark, SF0001).where(F.to_date("date") == F.lit("2024-01-05").cast("date"))
+    n = lnd.count()
+    jdir, pdir = os.path.join(scratch, "json"), os.path.join(scratch, "pq")
+    (lnd.drop("address").write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(jdir))
+    lnd.drop("address").write.parquet(pdir)
+    exp = lnd.withColumn("address", F.lit(None).cast("string"))
+    for fmt, path in (("json", jdir), ("parquet", pdir)):
+        got = read_daily(spark, path, fmt=fmt)
+        assert got.columns == LANDING.fieldNames()
+        assert got.count() == n
+        assert got.exceptAll(exp).count() == 0, fmt
