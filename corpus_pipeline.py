@@ -1,4 +1,4 @@
-"""Training-corpus pipeline over ``documents``: quality rules, near-duplicates, packing.
+"""Training-corpus pipeline over ``documents``: language, quality rules, near-duplicates, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet to the shared folder and reread as the next stage's ``docs``.
@@ -11,12 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerhawk.llm import outliers, packing, simhash
+from ledgerhawk.llm import langid, outliers, packing, simhash
 from ledgerhawk.llm.common import keep, read, ready
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: A text stays if this share of its letters is in one language.
+MIN_LANGUAGE_SHARE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a main language, go."""
+    ready(spark)
+    return langid.with_language(docs, MIN_LANGUAGE_SHARE)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base limits or lie far outside their cell go."""
     ready(spark)
@@ -36,6 +46,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
     ("quality rules", quality_rules),
     ("near duplicates", near_duplicates),
     ("packing", sequences),

@@ -16,6 +16,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,37 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         yield batch.slice(start)
 
 
+def text_groups(batches: Iterator[pa.RecordBatch], column: str = "text",
+                limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Like :func:`text_slices`, but small batches are joined up to ``limit`` as well."""
+    held, size = [], 0
+    for part in text_slices(batches, column, limit):
+        n = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+        if held and size + n > limit:
+            yield _joined(held)
+            held, size = [], 0
+        held.append(part)
+        size += n
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(parts) == 1:
+        return parts[0]
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def distinct_pieces(texts: pa.Array, lower=pc.ascii_lower) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Texts (null: empty) cut at ASCII white space: the code of every piece in order,
+    the distinct pieces, and each text's offsets in the codes."""
+    pieces = pc.ascii_split_whitespace(lower(pc.fill_null(texts.cast(pa.string()), "")))
+    offsets = np.asarray(pieces.offsets, dtype=np.int64)
+    values = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    codes = np.asarray(values.indices)
+    return codes, values.dictionary.to_numpy(zero_copy_only=False).tolist(), offsets - offsets[0]
+
+
 def doc_bucket(doc_id, n: int) -> int:
     """crc32 of the id as text, modulo ``n``: the fixed split into folds."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepared, text_slices
+from .common import prepared, text_groups
 from .subword import default_path, encoder, with_end
 
 CAPACITY = 2048
@@ -76,7 +76,7 @@ def document_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int
         enc = encoder(vocabulary)
         # the row's place in its task deals the groups: no key of the data can make one large
         rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
-        for batch in text_slices(batches):
+        for batch in text_groups(batches):
             ids, bounds = with_end(*enc.encode(batch.column("text")), end_id)
             raw, out = memoryview(ids.tobytes()), []
             grp = rng.integers(0, groups, batch.num_rows).tolist()

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import outliers, packing, simhash
-from .common import read
+from . import bytebpe, langid, outliers, packing, simhash, simple8b
+from .common import read, shared_folder
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexed(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(bytebpe.encode(read(spark, sf_dir, "documents")))
+
+
+def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    simple8b.write_files(read(spark, sf_dir, "documents"), path)
+    return simple8b.documents(simple8b.read_files(spark, path))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train_on(docs)).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "n_spans")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.verdicts(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -26,7 +42,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_simhash, op7_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_packing, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,7 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+
+from .common import distinct_pieces
 
 #: Words remembered by one worker (about 150 bytes each).
 MEMO_WORDS = 1_200_000
@@ -63,13 +64,8 @@ class WordEncoder:
         """White-space separated pieces: their codes' ids, gathered for the texts in order.
 
         Returns (piece codes, ids per piece, ids, offsets of each text in pieces)."""
-        lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))
-        pieces = pc.ascii_split_whitespace(lowered)
-        offsets = np.asarray(pieces.offsets, dtype=np.int64)
-        values = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets = offsets - offsets[0]
-        codes = np.asarray(values.indices)
-        known = self._pieces(values.dictionary.to_numpy(zero_copy_only=False).tolist())
+        codes, distinct, offsets = distinct_pieces(texts)
+        known = self._pieces(distinct)
         sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) >> 2
         flat = np.frombuffer(b"".join(known), dtype="<u4")
         starts = np.cumsum(sizes) - sizes
