@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytebpe, langid, outliers, packing, simhash, simple8b
+from . import bytebpe, langid, licenses, multi_index, outliers, packing, qda, simhash, simple8b
 from .common import read, shared_folder
 
 
@@ -14,6 +14,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest_neighbours(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexed(found["fp"]).alias("fingerprint"), "component_id")
@@ -41,9 +45,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "distance")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qda.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_packing, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules)}
+        op1_packing, op2_multi_index, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules,
+        op9_licenses, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
