@@ -83,14 +83,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to a Parquet table in the shared folder and read back.
 
     Cuts the lineage: later steps re-read the table, so a lost executor costs at
     most the tasks that ran on it, and nothing that feeds several steps is
     computed twice."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytebpe, langid, licenses, multi_index, outliers, packing, qda, simhash, simple8b
+from . import attention_lm, bytebpe, langid, licenses, multi_index, outliers, packing, qda, simhash, simple8b
 from .common import read, shared_folder
 
 
@@ -45,6 +45,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "distance")
 
 
+def op8_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(read(spark, sf_dir, "documents"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -57,7 +61,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_multi_index, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules,
-        op9_licenses, op10_quality_classifier)}
+        op8_attention_lm, op9_licenses, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
