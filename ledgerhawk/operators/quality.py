@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType
+from pyspark.sql.types import DecimalType
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,7 +69,3 @@ def history_check(hist: DataFrame, key: str) -> DataFrame:
 def history_violations(hist: DataFrame, key: str) -> DataFrame:
     """Versions breaking an SCD2 invariant (see :func:`history_check`)."""
     return history_check(hist, key).where(F.col("problem").isNotNull())
-
-
-def string_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]

@@ -24,7 +24,7 @@ from ..config import (
     Domains,
 )
 from ..functions import falling_flag, full_name, result_code, within
-from .sequence import DEFAULT_CHUNK_SECONDS, exact_prev, time_chunk
+from .sequence import HOT_ROWS, exact_lag
 
 DAY = "day"
 ORDER = ["trans_date", "trans_id"]  # ties in time are broken by trans_id
@@ -82,16 +82,17 @@ def busy_cards(fact: DataFrame, min_exclusive: int) -> DataFrame:
             .where(F.col("n_trans") > min_exclusive))
 
 
-def enrich(fact: DataFrame, dims: dict[str, DataFrame], profile: DataFrame | None = None) -> DataFrame:
+def enrich(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows joined to their owner profile (inner: rows whose card,
     account or client is unknown drop, as in the reference)."""
     f = with_day(fact)
-    return f.join(profile if profile is not None else profile_for(f, dims), ["card_num", DAY])
+    return f.join(profile_for(f, dims), ["card_num", DAY])
 
 
-def report_rows(df: DataFrame, fraud_dt: str, fraud_type: Column, report_dt: Column) -> DataFrame:
+def report_rows(df: DataFrame, fraud_dt: str, fraud_type: Column, report_dt: Column,
+                keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(F.col(fraud_dt).alias("fraud_dt"), F.col("passport_num").alias("passport"),
-                     "fio", "phone", fraud_type.alias("fraud_type"), report_dt.alias("report_dt"))
+                     "fio", "phone", fraud_type.alias("fraud_type"), report_dt.alias("report_dt"), *keep)
 
 
 def expiry_flags(enriched: DataFrame) -> DataFrame:
@@ -114,95 +115,70 @@ def rule_expired_account(fact, dims, report_dt: Column) -> DataFrame:
     return report_rows(e, "trans_date", F.lit(FRAUD_EXPIRED_ACCOUNT), report_dt)
 
 
-def _left_join_dim(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str, take: list[str]) -> DataFrame:
-    """Left join on the key (and version of the row's day); ``_known`` tells
-    whether a dimension row matched."""
-    d = dim.select(F.col(dim_key).alias("_k"), *[F.col(c).alias(f"_d_{c}") for c in take],
-                   *[c for c in ("valid_from_day", "valid_to_day") if c in dim.columns])
-    cond = left[left_key] == d["_k"]
-    valid = _valid_on(d, left[DAY])
-    if valid is not None:
-        cond = cond & valid
-    return left.join(d, cond, "left").select(*left.columns, *[F.col(f"_d_{c}").alias(c) for c in take],
-                                             d["_k"].isNotNull().alias("_known"))
-
-
-def operation_sequences(fact: DataFrame, terminals: DataFrame | None = None,
-                        chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Every operation of a card's day with the card's previous operation
-    (``prev_op``: amount, result; rule 4) and its previous operation at a
-    known terminal (``prev_at_terminal``: time, city; rule 3, where the
-    terminal inner join comes before LAG, so unknown terminals leave that
-    sequence). Both come from one window pass over an exchange on (card,
-    day, time chunk); a consumer that reads only one of them gets a plan
-    pruned to its columns."""
-    f = with_day(fact).select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal", DAY)
-    if terminals is None:
-        t = f.withColumn("cur_city", F.lit(None).cast("string")).withColumn("_known", F.lit(False))
-    else:
-        t = _left_join_dim(f, terminals, "terminal", "terminal_id", ["terminal_city"])
-        t = t.withColumnRenamed("terminal_city", "cur_city")
-    values = {
-        "prev_op": F.struct(F.col("amt"), F.col("oper_result")),
-        "prev_at_terminal": F.when(F.col("_known"), F.struct(F.col("trans_date"), F.col("cur_city"))),
-    }
-    return exact_prev(t, ["card_num", DAY], ORDER, values, time_chunk("trans_date", chunk_seconds))
-
-
-def city_sequence(fact: DataFrame, terminals: DataFrame,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
-    """Per card and day, each operation at a known terminal with the time
-    and city of the card's previous such operation."""
-    s = seq if seq is not None else operation_sequences(fact, terminals, chunk_seconds)
-    return s.where("_known").select(
-        "trans_id", "trans_date", "card_num", DAY, "cur_city",
-        F.col("prev_at_terminal.trans_date").alias("prev_trans_date"),
-        F.col("prev_at_terminal.cur_city").alias("prev_city"))
+def with_owner(hits: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Few rows (rule hits) joined straight to card, account and client."""
+    p = _join_dim(hits, dims["cards"], "card_num", "card_num", ["account_num"])
+    p = _join_dim(p, dims["accounts"], "account_num", "account_num", ["client"])
+    p = _join_dim(p, dims["clients"], "client", "client_id",
+                  ["passport_num", "last_name", "first_name", "patronymic", "phone"])
+    return p.select(*hits.columns, "passport_num", full_name("last_name", "first_name", "patronymic").alias("fio"),
+                    "phone")
+
+
+def city_sequence(fact: DataFrame, terminals: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Per card and day, each operation at a known terminal with the time and
+    city of the card's previous such operation (the terminal join comes before
+    LAG, so unknown terminals leave the sequence). One exchange on (card, day)."""
+    f = with_day(fact).select("trans_id", "trans_date", "card_num", "terminal", DAY)
+    t = _join_dim(f, terminals, "terminal", "terminal_id", ["terminal_city"]).drop("terminal")
+    t = t.withColumnRenamed("terminal_city", "city")
+    s = exact_lag(t, ["card_num", DAY], ORDER, ["trans_date", "city"], hot_rows=hot_rows)
+    return s.select("trans_id", "trans_date", "card_num", DAY, F.col("city").alias("cur_city"),
+                    "prev_trans_date", "prev_city")
 
 
 def city_hops(fact: DataFrame, terminals: DataFrame, max_gap_seconds: int = CITY_HOP_MAX_GAP_SECONDS,
-              chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """(card, day, trans_date) of operations within ``max_gap_seconds``
     (inclusive) of the card's previous one, in another city."""
-    s = city_sequence(fact, terminals, chunk_seconds, seq)
+    s = city_sequence(fact, terminals, hot_rows)
     hop = within(F.col("trans_date") - F.col("prev_trans_date"), max_gap_seconds) & (
         F.col("prev_city") != F.col("cur_city"))
     return s.where(hop).select("card_num", DAY, "trans_date")
 
 
 def rule_city_hop(fact, dims, report_dt: Column, max_gap_seconds: int = CITY_HOP_MAX_GAP_SECONDS,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None,
-                  seq: DataFrame | None = None) -> DataFrame:
-    hops = city_hops(fact, dims["terminals"], max_gap_seconds, chunk_seconds, seq)
-    e = hops.join(profile if profile is not None else profile_for(hops, dims), ["card_num", DAY])
-    return report_rows(e, "trans_date", F.lit(FRAUD_CITY_HOP), report_dt)
+                  hot_rows: int = HOT_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    e = with_owner(city_hops(fact, dims["terminals"], max_gap_seconds, hot_rows), dims)
+    return report_rows(e, "trans_date", F.lit(FRAUD_CITY_HOP), report_dt, keep)
 
 
 def amount_sequence(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
                     min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per busy card and day: number of operations, time of the last one,
     number of successes, number of non-falling steps and the last result.
 
-    The reference's four whole-partition windows collapse into one group-by
-    (partial aggregation, so a hot card is combined map-side)."""
-    s = seq if seq is not None else operation_sequences(fact, None, chunk_seconds)
+    The reference's four whole-partition windows collapse into one group-by on
+    the LAG's own exchange. No terminal is read."""
+    f = with_day(fact).select("trans_id", "trans_date", "card_num", "amt", "oper_result", DAY)
+    s = exact_lag(f, ["card_num", DAY], ORDER, ["amt"], hot_rows=hot_rows)
     last = F.struct(*[F.col(c) for c in ORDER])
     return (s.groupBy("card_num", DAY).agg(
         F.count(F.lit(1)).alias("n_trans"),
-        F.max(last)["trans_date"].alias("last_trans_date"),
+        F.max("trans_date").alias("last_trans_date"),
         F.sum(result_code("oper_result", domains.success, domains.refused)).alias("oper_result_total"),
-        F.sum(falling_flag("amt", F.col("prev_op.amt"))).alias("prev_less_than_cur_total"),
+        F.sum(falling_flag("amt", F.col("prev_amt"))).alias("prev_less_than_cur_total"),
         F.max_by("oper_result", last).alias("last_oper"))
         .where(F.col("n_trans") > min_ops_exclusive))
 
 
 def amount_probes(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
                   min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS, seq: DataFrame | None = None) -> DataFrame:
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Busy cards whose amounts strictly fell, with exactly one success and
     that success last; fraud time = the last operation."""
-    a = amount_sequence(fact, domains, min_ops_exclusive, chunk_seconds, seq)
+    a = amount_sequence(fact, domains, min_ops_exclusive, hot_rows)
     hit = ((F.col("oper_result_total") == 1) & (F.col("last_oper") == domains.success)
            & (F.col("prev_less_than_cur_total") == 0))
     return a.where(hit).select("card_num", DAY, F.col("last_trans_date").alias("trans_date"))
@@ -210,28 +186,21 @@ def amount_probes(fact: DataFrame, domains: Domains = REFERENCE_DOMAINS,
 
 def rule_amount_probe(fact, dims, report_dt: Column, domains: Domains = REFERENCE_DOMAINS,
                       min_ops_exclusive: int = AMOUNT_PROBE_MIN_OPS_EXCLUSIVE,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, profile: DataFrame | None = None,
-                      seq: DataFrame | None = None) -> DataFrame:
-    probes = amount_probes(fact, domains, min_ops_exclusive, chunk_seconds, seq)
-    e = probes.join(profile if profile is not None else profile_for(probes, dims), ["card_num", DAY])
-    return report_rows(e, "trans_date", F.lit(FRAUD_AMOUNT_PROBE), report_dt)
+                      hot_rows: int = HOT_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    e = with_owner(amount_probes(fact, domains, min_ops_exclusive, hot_rows), dims)
+    return report_rows(e, "trans_date", F.lit(FRAUD_AMOUNT_PROBE), report_dt, keep)
 
 
 def fraud_report(fact: DataFrame, dims: dict[str, DataFrame], report_dt: Column,
-                 domains: Domains = REFERENCE_DOMAINS,
-                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                 domains: Domains = REFERENCE_DOMAINS, hot_rows: int = HOT_ROWS,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """All four rules, appended (bag semantics). Rules 1 and 2 share one
-    enriched pass, and all rules share one owner profile of the fact's
-    (card, day) pairs: the same plan under every join, so its exchanges
-    are computed once and reused."""
-    profile = profile_for(with_day(fact), dims)
-    e = expiry_flags(enrich(fact, dims, profile))
-    r12 = report_rows(e, "trans_date", F.col("fraud_type"), report_dt)
-    # Rules 3 and 4 use the same sequence operator; column pruning gives
-    # each branch its own (narrower) exchange.
-    seq = operation_sequences(fact, dims["terminals"], chunk_seconds)
-    r3 = rule_city_hop(fact, dims, report_dt, chunk_seconds=chunk_seconds, profile=profile, seq=seq)
-    r4 = rule_amount_probe(fact, dims, report_dt, domains, chunk_seconds=chunk_seconds, profile=profile, seq=seq)
+    enriched pass; rules 3 and 4 join their few hits to the owners. Columns
+    named in ``keep`` (``day``) go along."""
+    e = expiry_flags(enrich(fact, dims))
+    r12 = report_rows(e, "trans_date", F.col("fraud_type"), report_dt, keep)
+    r3 = rule_city_hop(fact, dims, report_dt, hot_rows=hot_rows, keep=keep)
+    r4 = rule_amount_probe(fact, dims, report_dt, domains, hot_rows=hot_rows, keep=keep)
     return r12.unionByName(r3).unionByName(r4)
 
 

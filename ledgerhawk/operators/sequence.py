@@ -1,67 +1,94 @@
 """Skew-safe ``LAG`` over long ordered sequences.
 
-``LAG(x) OVER (PARTITION BY card ORDER BY ts)`` puts a whole card into one
-task; a card holding a third of all rows would stall the job. Here each
-sequence is cut into chunks by a value that grows with the order (the time
-bucket), the previous value is taken inside each chunk, and the first rows of
-a chunk get the last value of the previous chunks, found with a second,
-small window over one row per chunk. The result is exactly ``LAG`` (or, for
-:func:`exact_prev`, "the latest earlier non-NULL value").
+``LAG(x) OVER (PARTITION BY card, day ORDER BY ts)`` is one exchange and one
+sort, and that is what runs for every group of ordinary size. A group with more
+than ``HOT_ROWS`` rows would be one long task; such groups are found beforehand
+by a count that is combined map-side into a fixed number of hash buckets (so it
+shuffles next to nothing), and only their rows are cut into ranges of the
+order. The previous row is then taken inside each range, and a range's first row
+gets the last row of the ranges before, from one row per range. The result is
+exactly ``LAG`` however the rows are cut, also if all rows share one minute.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import seconds_of_day
-
-DEFAULT_CHUNK_SECONDS = 60
-
-
-def time_chunk(ts: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> Column:
-    """Chunk number inside a day; non-decreasing in ``ts``. Sequences must
-    also be partitioned by the day."""
-    return F.floor(seconds_of_day(ts) / F.lit(chunk_seconds)).cast("int")
-
-
-def exact_prev(df: DataFrame, by: list[str], order: list[str], values: dict[str, Column],
-               chunk: Column) -> DataFrame:
-    """For each ``name -> expr`` add ``name``: the value of ``expr`` on the
-    nearest earlier row of the same ``by`` group (in ``order``) where it is
-    not NULL. With an expression that is never NULL (a struct) this is
-    ``LAG``. ``chunk`` must be non-decreasing in ``order`` within a group;
-    it only decides how the work is split.
-
-    Plan: one exchange of the rows on (by, chunk) with the in-chunk window;
-    the chunk tails (latest non-NULL value per chunk) are a ``max_by``
-    aggregation, combined map-side, followed by a small window over one row
-    per chunk; the join back is on the rows' existing partitioning."""
-    names = list(values)
-    base = df.withColumn("_chunk", chunk).select("*", *[values[n].alias(f"_v_{n}") for n in names])
-    w_in = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    before = w_in.rowsBetween(Window.unboundedPreceding, -1)
-    rows = base.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_in_{n}")
-                              for n in names])
-    position = F.struct(*[F.col(c) for c in order])
-    tails = base.groupBy(*by, "_chunk").agg(
-        *[F.max_by(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), position)).alias(f"_t_{n}")
-          for n in names])
-    w_chunks = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    prev_tail = tails.select(*by, "_chunk", *[F.last(f"_t_{n}", ignorenulls=True).over(w_chunks).alias(f"_pt_{n}")
-                                              for n in names])
-    out = rows.join(prev_tail, [*by, "_chunk"], "left")
-    for n in names:
-        out = out.withColumn(n, F.coalesce(F.col(f"_in_{n}"), F.col(f"_pt_{n}")))
-    drop = ["_chunk"] + [f"{p}{n}" for n in names for p in ("_v_", "_in_", "_pt_")]
-    return out.drop(*drop)
+#: Rows of one group that a single task may sort.
+HOT_ROWS = 1_000_000
+#: Ranges that all hot groups together are cut into, and the sample the cut points come from.
+RANGES, _SAMPLE = 256, 20_000
+_BUCKETS = 1 << 16
+
+
+def hot_groups(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+    """Keys of the groups with more than ``hot_rows`` rows (at most one per
+    ``hot_rows`` rows of the input, so the list stays short)."""
+    bucket = F.pmod(F.xxhash64(*by), F.lit(_BUCKETS))
+    full = [r["b"] for r in df.groupBy(bucket.alias("b")).count().where(F.col("count") > hot_rows).collect()]
+    if not full:
+        return []
+    counts = df.where(bucket.isin(full)).groupBy(*by).count().where(F.col("count") > hot_rows)
+    return [tuple(r[c] for c in by) for r in counts.collect()]
+
+
+def _in_groups(by: list[str], keys: list[tuple]) -> Column:
+    one = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, k, strict=True)])
+           for k in keys]
+    return reduce(lambda a, b: a | b, one)
 
 
 def exact_lag(df: DataFrame, by: list[str], order: list[str], values: list[str],
-              chunk: Column, prefix: str = "prev_") -> DataFrame:
-    """Add ``prev_<v>`` = value of ``v`` on the previous row of the same
-    ``by`` group in ``order`` (``LAG``), split by ``chunk``."""
-    out = exact_prev(df, by, order, {"_lag": F.struct(*[F.col(v) for v in values])}, chunk)
-    for v in values:
-        out = out.withColumn(f"{prefix}{v}", F.col("_lag")[v])
-    return out.drop("_lag")
+              prefix: str = "prev_", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``prev_<v>``: the value of ``v`` on the previous row of the same
+    ``by`` group in ``order`` (``LAG``); ``order`` must not leave ties that matter."""
+    hot = hot_groups(df, by, hot_rows)
+    w = Window.partitionBy(*by).orderBy(*order)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
+
+    if not hot:
+        return plain(df)
+    is_hot = _in_groups(by, hot)
+    rows = df.where(is_hot)
+    return plain(df.where(~is_hot)).unionByName(
+        _lag_by_ranges(rows, by, order, values, prefix, _range_bounds(rows, by, order)))
+
+
+def _range_bounds(rows: DataFrame, by: list[str], order: list[str]) -> dict[tuple, list[tuple]]:
+    """Per hot group about ``RANGES`` cut points of the order, from a sample of
+    bounded expected size. They only decide how the work is split."""
+    n = rows.count()
+    picked = rows.select(*by, *order).sample(min(1.0, _SAMPLE / max(1, n)), seed=1).collect()
+    groups: dict[tuple, list[tuple]] = {}
+    for r in picked:
+        at = tuple(r[c] for c in order)
+        if None not in at:
+            groups.setdefault(tuple(r[c] for c in by), []).append(at)
+    step = max(1, len(picked) // RANGES)
+    return {k: sorted(v)[step // 2::step] for k, v in groups.items()}
+
+
+def _lag_by_ranges(df: DataFrame, by: list[str], order: list[str], values: list[str], prefix: str,
+                   bounds: dict[tuple, list[tuple]]) -> DataFrame:
+    """``LAG`` of few, very large groups: each is cut into ranges of the order."""
+    place = F.struct(*[F.col(c) for c in order])
+    types = [df.schema[c].dataType for c in order]
+    cut = F.lit(0)
+    for key, at in bounds.items():
+        points = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, order, strict=True)])
+                           for b in at])
+        cut = F.when(_in_groups(by, [key]), F.size(F.filter(points, lambda b: b <= place))).otherwise(cut)
+    rows = df.withColumn("_range", cut).withColumn("_v", F.struct(*[F.col(v) for v in values]))
+    inside = Window.partitionBy(*by, "_range").orderBy(*order)
+    rows = rows.withColumn("_p", F.lag("_v").over(inside)).withColumn("_n", F.row_number().over(inside))
+    last = rows.groupBy(*by, "_range").agg(F.max_by("_v", place).alias("_v"))
+    before = Window.partitionBy(*by).orderBy("_range")  # one row per range
+    last = last.select(*by, "_range", F.lag("_v").over(before).alias("_q"))
+    joined = rows.join(last, [*by, "_range"], "left")
+    prev = F.when(F.col("_n") == 1, F.col("_q")).otherwise(F.col("_p"))
+    return joined.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])

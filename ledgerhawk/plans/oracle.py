@@ -48,7 +48,7 @@ landing AS (
   FROM events e
   JOIN customer c ON c.c_custkey = e.user_id
   JOIN nation n1 ON n1.n_nationkey = c.c_nationkey
-  JOIN supplier s ON s.s_suppkey = e.event_id % 10
+  JOIN supplier s ON s.s_suppkey = e.event_id % (SELECT max(s_suppkey) + 1 FROM supplier)
   JOIN nation n2 ON n2.n_nationkey = s.s_nationkey
 )"""
 
@@ -170,7 +170,7 @@ AMOUNT_SEQ_SQL = """aseq AS (
            AS oper_result_total,
          CAST(SUM(CASE WHEN prev_amt IS NULL THEN 0 WHEN amt < prev_amt THEN 0 ELSE 1 END) AS BIGINT)
            AS prev_less_than_cur_total,
-         arg_max(oper_result, trans_date) AS last_oper
+         arg_max(oper_result, {'d': trans_date, 'i': trans_id}) AS last_oper
   FROM (SELECT *, LAG(amt) OVER (PARTITION BY card_num ORDER BY trans_date, trans_id) AS prev_amt
         FROM fact WHERE card_num IS NOT NULL) q
   GROUP BY card_num, CAST(trans_date AS DATE)
@@ -225,7 +225,7 @@ def _report_all_days_sql() -> str:
   SELECT card_num, day, COUNT(*) AS n_trans, MAX(trans_date) AS last_trans_date,
          SUM(CASE WHEN oper_result = 'refused' THEN 0 WHEN oper_result = 'success' THEN 1 END) AS ort,
          SUM(CASE WHEN prev_amt IS NULL THEN 0 WHEN amt < prev_amt THEN 0 ELSE 1 END) AS plt,
-         arg_max(oper_result, trans_date) AS last_oper
+         arg_max(oper_result, {'d': trans_date, 'i': trans_id}) AS last_oper
   FROM (SELECT *, LAG(amt) OVER (PARTITION BY card_num, day ORDER BY trans_date, trans_id) AS prev_amt
         FROM fact) q
   GROUP BY card_num, day HAVING COUNT(*) > 3)""",

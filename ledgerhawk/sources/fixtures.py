@@ -1,8 +1,8 @@
 """Landing rows derived from the driver's star-schema tables.
 
 Row source: ``events`` joined to ``customer`` (client), its ``nation`` (middle
-name), a ``supplier`` chosen by ``event_id % 10`` (terminal) and that
-supplier's ``nation`` (city). ``dn`` is the day number from 2024-01-01, used
+name), a ``supplier`` chosen by ``event_id`` over the whole range of supplier
+keys (terminal) and that supplier's ``nation`` (city). ``dn`` is the day number from 2024-01-01, used
 so that accounts, passports and addresses change every few days.
 """
 
@@ -30,21 +30,17 @@ def fixture_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # event_id % 10 lies in (-10, 10); s_suppkey is the supplier key, so at
-    # most 19 supplier rows can match: a proven bound, safe to broadcast.
-    s = (
-        read_table(spark, sf_dir, "supplier")
-        .where((F.col("s_suppkey") > -10) & (F.col("s_suppkey") < 10))
-        .select("s_suppkey", "s_nationkey")
-    )
-    n1 = F.broadcast(n.select(F.col("n_nationkey").alias("n1_key"), F.col("n_name").alias("n1_name")))
-    n2 = F.broadcast(n.select(F.col("n_nationkey").alias("n2_key"), F.col("n_name").alias("n2_name")))
-    terminals = F.broadcast(s.join(n2, F.col("s_nationkey") == F.col("n2_key")))
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n_keys = s.select((F.max("s_suppkey") + 1).alias("n")).scalar()
+    n1 = n.select(F.col("n_nationkey").alias("n1_key"), F.col("n_name").alias("n1_name"))
+    n2 = n.select(F.col("n_nationkey").alias("n2_key"), F.col("n_name").alias("n2_name"))
+    terminals = s.join(n2, F.col("s_nationkey") == F.col("n2_key"))
 
     j = (
-        e.join(c, F.col("c_custkey") == F.col("user_id"))
+        e.withColumn("terminal_key", F.col("event_id") % n_keys)
+        .join(c, F.col("c_custkey") == F.col("user_id"))
         .join(n1, F.col("n1_key") == F.col("c_nationkey"))
-        .join(terminals, F.col("s_suppkey") == F.col("event_id") % 10)
+        .join(terminals, F.col("s_suppkey") == F.col("terminal_key"))
     )
     uid, ck, sk = F.col("user_id"), F.col("c_custkey"), F.col("s_suppkey")
     et = F.col("event_type")

@@ -1,5 +1,5 @@
 """Physical-plan checks: pushdown, no Cartesian products, no Python in the
-hot path, one big exchange per sequence."""
+hot path, one exchange per sequence."""
 
 import io
 from contextlib import redirect_stdout
@@ -36,9 +36,31 @@ def test_column_pruning_reaches_scan(spark):
     assert all("props" not in ln for ln in scans)
 
 
-def test_sequences_are_split_by_time_chunk(spark):
-    """The big exchange of rule 3 is on (card, day, chunk), not on card alone."""
-    p = plan(registry.build()["rule_city_hop"](spark, SF0001))
-    assert "hashpartitioning(card_num" in p
-    exchanges = [ln for ln in p.splitlines() if "hashpartitioning(card_num" in ln and "_chunk" in ln]
-    assert exchanges
+def test_one_fact_exchange_per_sequence(spark, tmp_path):
+    """With broadcasts off: the sequence of rule 3 and of rule 4 is one exchange of
+    the fact on (card, day), and each rule scans the fact once."""
+    from pyspark.sql import functions as F
+
+    from ledgerhawk.config import REFERENCE_DOMAINS
+    from ledgerhawk.operators import rule_amount_probe, rule_city_hop
+    from ledgerhawk.sources import fixture_landing
+    from ledgerhawk.operators import stage
+
+    st = stage(fixture_landing(spark, SF0001), None)
+    st["transactions"].drop("load_dt").write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    dims = {}
+    for n in ("cards", "accounts", "clients", "terminals"):
+        st[n].drop("load_dt").dropDuplicates([st[n].columns[0]]).write.parquet(str(tmp_path / n))
+        dims[n] = spark.read.parquet(str(tmp_path / n))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+        for rule in (rule_city_hop(fact, dims, now), rule_amount_probe(fact, dims, now, REFERENCE_DOMAINS)):
+            text = plan(rule)
+            assert text.count("fact]") == 1, text.count("fact]")
+            on_card_day = [ln for ln in text.splitlines() if "hashpartitioning(card_num" in ln and "day" in ln]
+            assert len(on_card_day) == 1, on_card_day
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -12,9 +12,9 @@ def RT():
     return ts_literal("2024-01-02 00:00:00")
 
 
-def hops(spark, rows, chunk_seconds=60):
+def hops(spark, rows, hot_rows=1_000_000):
     t = terminals(spark, [("T1", "Moscow"), ("T2", "Kazan"), ("T3", "Moscow")])
-    out = city_hops(fact(spark, rows), t, chunk_seconds=chunk_seconds)
+    out = city_hops(fact(spark, rows), t, hot_rows=hot_rows)
     return sorted((r.card_num, str(r.trans_date)) for r in out.collect())
 
 

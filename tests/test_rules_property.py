@@ -74,7 +74,7 @@ def test_city_hops_match_brute_force(spark, seed):
     terms = spark.createDataFrame([(k, "POS", v, "a") for k, v in CITY.items()],
                                   "terminal_id string, terminal_type string, terminal_city string, "
                                   "terminal_address string")
-    got = sorted((r.card_num, r.trans_date) for r in city_hops(fact, terms, chunk_seconds=600).collect())
+    got = sorted((r.card_num, r.trans_date) for r in city_hops(fact, terms, hot_rows=4).collect())
     assert got == brute_hops(rows)
 
 
@@ -91,6 +91,6 @@ def test_amount_probes_match_brute_force(spark, seed):
             rows.append((f"p{k}{j}", day + timedelta(minutes=3 * j), f"probe{k}", "payment",
                          Decimal(100 - 10 * j), res, "T1"))
     fact = spark.createDataFrame(rows, FACT_DDL)
-    got = sorted((r.card_num, r.trans_date) for r in amount_probes(fact, FIXTURE_DOMAINS, chunk_seconds=60).collect())
+    got = sorted((r.card_num, r.trans_date) for r in amount_probes(fact, FIXTURE_DOMAINS, hot_rows=4).collect())
     exp = brute_probes(rows)
     assert got == exp and len(exp) >= 6

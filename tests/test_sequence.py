@@ -1,4 +1,4 @@
-"""exact_lag equals a plain LAG window whatever the chunking."""
+"""exact_lag equals a plain LAG window whichever groups are split, and how."""
 
 import random
 
@@ -6,24 +6,43 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerhawk.operators.sequence import exact_lag, time_chunk
+from ledgerhawk.operators.sequence import exact_lag, hot_groups
 
 
-@pytest.mark.parametrize("chunk_seconds", [1, 7, 60, 3600, 86400])
-def test_exact_lag_equals_window_lag(spark, chunk_seconds):
-    rnd = random.Random(chunk_seconds)
+def operations(spark, seed, one_minute):
+    rnd = random.Random(seed)
     rows = []
     for i in range(600):
-        card = "HOT" if rnd.random() < 0.5 else f"c{rnd.randint(0, 20)}"
-        day = f"2024-01-0{rnd.randint(1, 3)}"
-        t = f"{day} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:{rnd.randint(0, 59):02d}"
+        card = "HOT" if rnd.random() < 0.4 else f"c{rnd.randint(0, 20)}"
+        day = "2024-01-01" if card == "HOT" else f"2024-01-0{rnd.randint(1, 3)}"
+        t = f"{day} 10:00:00" if one_minute else \
+            f"{day} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:{rnd.randint(0, 59):02d}"
         rows.append((f"{i:05d}", t, card, rnd.choice(["a", "b", None]), rnd.randint(0, 9)))
-    df = (spark.createDataFrame(rows, "id string, t string, card string, city string, v int")
-          .withColumn("ts", F.col("t").cast("timestamp_ntz")).withColumn("day", F.to_date("ts")))
-    got = exact_lag(df, ["card", "day"], ["ts", "id"], ["ts", "city", "v"], time_chunk("ts", chunk_seconds))
+    return (spark.createDataFrame(rows, "id string, t string, card string, city string, v int")
+            .withColumn("ts", F.col("t").cast("timestamp_ntz")).withColumn("day", F.to_date("ts")))
+
+
+@pytest.mark.parametrize("hot_rows", [1, 8, 50, 1000])
+@pytest.mark.parametrize("one_minute", [False, True])
+def test_exact_lag_equals_window_lag(spark, hot_rows, one_minute):
+    df = operations(spark, hot_rows, one_minute)
+    got = exact_lag(df, ["card", "day"], ["ts", "id"], ["ts", "city", "v"], hot_rows=hot_rows)
     w = Window.partitionBy("card", "day").orderBy("ts", "id")
     exp = df.select("id", F.lag("ts").over(w).alias("prev_ts"), F.lag("city").over(w).alias("prev_city"),
                     F.lag("v").over(w).alias("prev_v"))
     g = got.select("id", "prev_ts", "prev_city", "prev_v")
     assert g.exceptAll(exp).count() == 0 and exp.exceptAll(g).count() == 0
     assert g.count() == 600
+
+
+def test_only_the_hot_group_is_split(spark):
+    df = operations(spark, 3, True)
+    assert [k[0] for k in hot_groups(df, ["card", "day"], 100)] == ["HOT"]
+    assert hot_groups(df, ["card", "day"], 600) == []
+
+
+def test_hot_group_is_cut_into_ranges(spark):
+    from ledgerhawk.operators.sequence import _range_bounds
+    df = operations(spark, 3, True).where("card = 'HOT'")
+    bounds = _range_bounds(df, ["card", "day"], ["ts", "id"])
+    assert len(bounds) == 1 and len(next(iter(bounds.values()))) > 50
