@@ -47,8 +47,10 @@ def parser() -> argparse.ArgumentParser:
                        ("backfill", ("start", "end")), ("report-range", ("start", "end"))):
         c = cmd(name, *days)
         c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
-        c.add_argument("--gate", default="per_key", choices=["per_key", "all_or_nothing", "literal"])
-        c.add_argument("--domains", default="reference", choices=sorted(DOMAINS))
+        if name in ("run-day", "run-etl"):
+            c.add_argument("--gate", default="per_key", choices=["per_key", "all_or_nothing", "literal"])
+        if name not in ("run-etl", "backfill"):
+            c.add_argument("--domains", default="reference", choices=sorted(DOMAINS))
         c.add_argument("--run-ts", default=None, help="timestamp recorded as report/audit time")
     c = cmd("run-days", "start", "end")
     c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
@@ -64,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"ledgerhawk-{a.cmd}").getOrCreate()
     dom = DOMAINS.get(getattr(a, "domains", "reference"))
     if a.cmd == "land":
-        land(read_daily(spark, a.file, fmt=a.format), a.root, a.day)
+        land(read_daily(spark, a.file, fmt=a.format, bad_cells=True), a.root, a.day)
     elif a.cmd == "run-day":
         run_day(spark, a.root, a.day, a.mode, a.run_ts, a.gate, dom)
     elif a.cmd == "run-etl":
@@ -75,9 +77,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for d in days_between(a.start, a.end):
             run_day(spark, a.root, d, a.mode, domains=dom)
     elif a.cmd == "backfill":
-        backfill(spark, a.root, a.start, a.end, a.mode)
+        backfill(spark, a.root, a.start, a.end, a.mode, a.run_ts)
     elif a.cmd == "report-range":
-        report_range(spark, a.root, a.start, a.end, a.mode, dom)
+        report_range(spark, a.root, a.start, a.end, a.mode, dom, a.run_ts)
     elif a.cmd == "init":
         for t in init_warehouse(spark, a.root, a.mode, a.database):
             print(t)

@@ -7,7 +7,7 @@ kept together below under "Fixed values".
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +80,20 @@ def ts_literal(ts: str | datetime) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def default_run_ts(d: date | str) -> str:
-    """Deterministic stand-in for NOW(): end of the load day."""
-    return (as_date(d) + timedelta(days=1)).isoformat() + " 00:00:00"
+def default_run_ts(d: date | str | None = None) -> str:
+    """The run's own time (UTC): one value for everything a job writes."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+GATES = {"scd1": ("per_key", "all_or_nothing"), "scd2": ("per_key", "literal")}
+
+
+def check_mode(mode: str, gate: str = "per_key") -> None:
+    """Raise on a mode or insert gate that does not exist (in that mode)."""
+    if mode not in GATES:
+        raise ValueError(f"mode must be one of {sorted(GATES)}, not {mode!r}")
+    if gate not in GATES[mode]:
+        raise ValueError(f"gate of {mode} must be one of {GATES[mode]}, not {gate!r}")
 
 
 def configured_checkpoint_dir(spark: SparkSession) -> str | None:

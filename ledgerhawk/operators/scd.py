@@ -77,8 +77,9 @@ def scd2_merge(hist: DataFrame, day_variants: DataFrame, spec: DimSpec) -> DataF
 
 def scd2_backfill(stg_all: DataFrame, spec: DimSpec) -> DataFrame:
     """Closed form over many days: ``stg_all`` is staging of every day. Equal
-    to replaying :func:`scd2_merge` day by day (tested)."""
-    v = (stg_all.where(F.col(spec.key).isNotNull() & F.col("create_dt").isNotNull())
+    to replaying :func:`scd2_merge` day by day (tested). Rows with a NULL key or
+    attribute take no part, as in :func:`staging.variants`."""
+    v = (stg_all.na.drop(subset=[*spec.columns, "create_dt"])
          .withColumn(DAY, F.to_date("create_dt"))
          .groupBy(*spec.columns, DAY)
          .agg(F.min("create_dt").alias("start_dt")))

@@ -41,9 +41,9 @@ def variants(stg: DataFrame, spec: DimSpec, by_day: bool = False) -> DataFrame:
     ``GROUP BY key, attrs [, load_dt]`` + ``MIN(create_dt)``.
 
     A hot key collapses map-side (partial aggregation) before the shuffle.
-    Rows with a NULL key cannot enter a dimension and are left out (the
-    quality checks report them)."""
+    Dimensions refuse NULL keys and attributes, so rows that hold one are left
+    out (the load quarantines them with a reason)."""
     keys = [spec.key, *spec.attrs] + ([DAY] if by_day else [])
-    return (stg.where(F.col(spec.key).isNotNull())
+    return (stg.na.drop(subset=[spec.key, *spec.attrs])
             .groupBy(*keys)
             .agg(F.min("create_dt").alias("create_dt")))

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from ..config import FIXTURE_DOMAINS, Domains, as_date
+from ..config import REFERENCE_DOMAINS, Domains, as_date
 from .etl import run_etl
 from .report import run_report
 
@@ -18,7 +18,7 @@ def days_between(start: date | str, end: date | str) -> list[date]:
 
 def run_day(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
             run_ts: str | None = None, gate: str = "per_key",
-            domains: Domains = FIXTURE_DOMAINS) -> None:
+            domains: Domains = REFERENCE_DOMAINS) -> None:
     """``run_etl`` then ``run_report`` for one day. Each output is one
     atomic job per table; a failed day is simply run again."""
     run_etl(spark, root, d, mode, run_ts, gate)
@@ -26,7 +26,7 @@ def run_day(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
 
 
 def run_days(spark: SparkSession, root: str, start: date | str, end: date | str,
-             mode: str = "scd1", gate: str = "per_key", domains: Domains = FIXTURE_DOMAINS) -> None:
+             mode: str = "scd1", gate: str = "per_key", domains: Domains = REFERENCE_DOMAINS) -> None:
     """Replay days in order. State passes between days through the written
     snapshots, so lineage never grows across days."""
     for d in days_between(start, end):

@@ -4,6 +4,10 @@ audit), and ``backfill``: many days in one pass.
 The four dimension merges and the fact load are independent, so they are
 submitted as concurrent Spark jobs (one driver thread each); on a cluster
 they share the executors, here they overlap their small stages.
+
+A load is one unit: its run marker is removed before anything is written and
+set after everything is, and loading a day makes every later day count as not
+loaded, because its state was built on the old one.
 """
 
 from __future__ import annotations
@@ -14,14 +18,21 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACTION_INSERTED, ACTION_UPDATED, as_date, configured_checkpoint_dir, day_start, default_run_ts
+from ..config import (
+    ACTION_INSERTED,
+    ACTION_UPDATED,
+    as_date,
+    check_mode,
+    configured_checkpoint_dir,
+    day_start,
+    default_run_ts,
+    ts_literal,
+)
 from ..operators import audit_fact, audit_scd1, audit_scd2, scd1_upsert, scd2_step, stage, variants
 from ..operators.scd import collapse_scd1, scd1_chain, scd1_upsert_literal, scd2_merge_literal
 from ..schemas import DIMS
-from ..sources.landing import BATCH_COL, landing_path, read_landing, read_landing_range, split_late
-from ..sources.warehouse import Warehouse, list_partitions
-
-MODES = ("scd1", "scd2")
+from ..sources.landing import BATCH_COL, landing_path, quarantined, read_landing, read_landing_range, split_late
+from ..sources.warehouse import Warehouse, days_in, list_partitions
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -53,12 +64,6 @@ def load_dimension(wh: Warehouse, name: str, day_variants: DataFrame, d: date, r
     spec = DIMS[name]
     prev = d - timedelta(days=1)
     if wh.mode == "scd1":
-        if wh.read_dim_day(name, prev) is None and _landed_before(wh, d):
-            # Batches before d were loaded but no state of the day before is
-            # stored (only a backfill's last day has an SCD1 snapshot): this
-            # day cannot be re-run alone.
-            raise ValueError(f"no stored state of dim_{name} before {d} (inside a backfilled range?); "
-                             "re-run the backfill")
         dim = wh.read_dim(name, prev)
         merge = scd1_upsert_literal if gate == "all_or_nothing" else scd1_upsert
         wh.write_dim(name, merge(dim, day_variants, spec), d)
@@ -86,45 +91,62 @@ def load_dimension(wh: Warehouse, name: str, day_variants: DataFrame, d: date, r
     return audit_scd2(written, name, d, run_ts)
 
 
-def _landed_before(wh: Warehouse, d: date) -> bool:
-    return any(b < d.isoformat() for b in list_partitions(wh.spark, landing_path(wh.root), BATCH_COL))
+def _landed(wh: Warehouse) -> list[str]:
+    return list_partitions(wh.spark, landing_path(wh.root), BATCH_COL)
 
 
 def run_etl(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
             run_ts: str | None = None, gate: str = "per_key") -> None:
-    """Load batch ``d`` from ``root/landing``: quarantine off-day rows, merge
-    the four dimensions, append the fact, write the audit.
+    """Load batch ``d`` from ``root/landing``: quarantine what cannot enter, merge
+    the four dimensions, write the fact and the audit.
 
-    Idempotent: a re-run reads the state of the day before and overwrites
-    the day's outputs."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
+    The batch before ``d`` must be loaded. A re-run reads the state of the day
+    before and overwrites the day's outputs; later days must then be run again."""
+    check_mode(mode, gate)
     d = as_date(d)
-    run_ts = run_ts or default_run_ts(d)
+    run_ts = run_ts or default_run_ts()
     wh = Warehouse(spark, root, mode)
+    wh.require_previous(d, _landed(wh))
+    wh.invalidate_from(d)
     on_day, off_day = split_late(read_landing(spark, root, d).drop(BATCH_COL), d)
     stg = stage(on_day, d)
     jobs = [lambda n=n, s=s: load_dimension(wh, n, variants(stg[n], s), d, run_ts, gate)
             for n, s in DIMS.items()]
-    jobs += [lambda: wh.write_fact(stg["transactions"]), lambda: wh.write_quarantine(off_day, d)]
+    jobs += [lambda: wh.write_fact(stg["transactions"], d),
+             lambda: wh.write_quarantine(quarantined(on_day, off_day), d)]
     audits = [a for a in _concurrently(jobs) if a is not None]
     audits.append(audit_fact(wh.read_fact(d), d, run_ts))
     wh.write_audit(_union_all(audits), d)
+    wh.mark_loaded(d)
 
 
 def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
-             mode: str = "scd1") -> None:
+             mode: str = "scd1", run_ts: str | None = None) -> None:
     """Load every batch from ``start`` to ``end`` in one pass (closed form).
 
     Equal to running :func:`run_etl` day by day from the warehouse state of
     the day before ``start``: variants are grouped per key and day, chained
     once per key, and each day's audit is derived from the version starts
-    and ends. Leaves the dimension state as of ``end``."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
+    and ends. Leaves the dimension state as of ``end``; what the range's days held
+    before is removed, and later days count as not loaded."""
+    check_mode(mode)
     start, end = as_date(start), as_date(end)
+    run_ts = run_ts or default_run_ts()
     wh = Warehouse(spark, root, mode)
+    landed = _landed(wh)
+    wh.require_previous(start, landed)
     prev = start - timedelta(days=1)
+    before = {}
+    for n in DIMS:  # the state of the day before, also if it is stored in the days that are written anew
+        if mode == "scd1":
+            before[n] = wh.read_dim(n, prev)
+        else:
+            exact = wh.open_snapshot_is_exact(n, prev)
+            if not exact and not configured_checkpoint_dir(spark):
+                raise ValueError(f"loading from {start} inside a backfilled range needs spark.checkpoint.dir")
+            before[n] = wh.read_open(n, prev) if exact else _materialize(wh.read_open(n, prev))
+    wh.invalidate_from(start)
+    wh.clear_days(days_in(start, end))
     batches = read_landing_range(spark, root, start, end)
     day = F.to_date("date")
     on_day = batches.where(day == F.col(BATCH_COL)).drop(BATCH_COL)
@@ -138,10 +160,10 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
         v = variants(stg[name], spec, by_day=True).drop("load_dt")
         if mode == "scd1":
             # One chain feeds both the new snapshot and the daily audit.
-            chain = _materialize(scd1_chain(wh.read_dim(name, prev), v, spec))
+            chain = _materialize(scd1_chain(before[name], v, spec))
             wh.write_dim(name, collapse_scd1(chain, spec), end)
             return _daily_audit_scd1(chain, name, start)
-        step = scd2_step(wh.read_open(name, prev), v, spec)
+        step = scd2_step(before[name], v, spec)
         wh.write_hist_range(name, step, end)
         written = wh.read_hist(name, end).where(
             (F.col("start_dt") >= day_start(start)) | (F.col("end_dt") >= day_start(start)))
@@ -149,10 +171,13 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
 
     jobs = [lambda n=n: dim_job(n) for n in DIMS]
     jobs += [lambda: wh.write_fact(stg["transactions"].drop("load_dt")),
-             lambda: _write_days(off_day.withColumn("reason", reason).withColumnRenamed(BATCH_COL, "load_dt"),
-                                 wh.path("quarantine"), ["load_dt"])]
+             lambda: wh.write_range(quarantined(batches.where(day == F.col(BATCH_COL)),
+                                                off_day.withColumn("reason", reason))
+                                    .withColumnRenamed(BATCH_COL, "load_dt"), "quarantine", ["load_dt"])]
     audits = [a for a in _concurrently(jobs) if a is not None]
-    fact_audit = (stg["transactions"].groupBy("load_dt").agg(F.count(F.lit(1)).alias("amount"))
+    # counted on what was written, from its partition values
+    fact_audit = (wh.read_fact_range(start, end).groupBy(F.col("trans_dt").alias("load_dt"))
+                  .agg(F.count(F.lit(1)).alias("amount"))
                   .select(F.lit("transactions").alias("table_name"), F.lit(ACTION_INSERTED).alias("action"),
                           "amount", "load_dt"))
     # Every (day, table, action) gets a row, zero counts included, as in a
@@ -165,13 +190,12 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     counts = _union_all(audits + [fact_audit])
     audit = spine.join(counts, ["load_dt", "table_name", "action"], "left").select(
         "table_name", "action", F.coalesce(F.col("amount"), F.lit(0)).cast("int").alias("amount"),
-        F.date_add("load_dt", 1).cast("timestamp_ntz").alias("action_date"), "load_dt")
-    _write_days(audit.coalesce(1), wh.path("audit"), ["load_dt"])
-
-
-def _write_days(df: DataFrame, path: str, parts: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
+        ts_literal(run_ts).alias("action_date"), "load_dt")
+    wh.write_range(audit, "audit", ["load_dt"])
+    for x in (date.fromisoformat(x) for x in landed):
+        if start <= x < end:
+            wh.mark_loaded(x, "range")
+    wh.mark_loaded(end)
 
 
 def _audit_rows(counts: DataFrame, name: str) -> DataFrame:

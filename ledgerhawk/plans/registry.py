@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_DOMAINS, REFERENCE_OPER_TYPES, day_start, default_run_ts, ts_literal
+from ..config import FIXTURE_DOMAINS, REFERENCE_OPER_TYPES, day_start, ts_literal
 from ..operators import (
     amount_sequence,
     audit_fact,
@@ -48,7 +48,7 @@ from ..sources import conform, drop_blank, fixture_landing, split_late
 
 REPORT_DAY = date(2024, 1, 15)
 LAST_DAY = date(2024, 1, 30)
-RUN_TS = default_run_ts(REPORT_DAY)
+RUN_TS = "2024-01-16 00:00:00"
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,19 +3,18 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_DOMAINS, Domains, as_date, default_run_ts, ts_literal
-from ..operators import fraud_report
-from ..operators.rules import DAY, day_report_dt
-from ..operators import stage
-from ..operators.scd import scd2_backfill, with_day_validity
-from ..sources.landing import BATCH_COL, read_landing
+from ..config import REFERENCE_DOMAINS, Domains, as_date, default_run_ts, ts_literal
+from ..operators import fraud_report, stage, variants
+from ..operators.rules import DAY
+from ..operators.scd import scd1_chain, with_day_validity
 from ..schemas import DIMS
-from ..sources.warehouse import Warehouse
+from ..sources.landing import BATCH_COL, landing_path, read_landing_range
+from ..sources.warehouse import Warehouse, days_in, drop_days, list_partitions
 
 
 def report_dims(wh: Warehouse, d: date) -> dict:
@@ -27,39 +26,54 @@ def report_dims(wh: Warehouse, d: date) -> dict:
 
 
 def run_report(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
-               run_ts: str | None = None, domains: Domains = FIXTURE_DOMAINS) -> None:
+               run_ts: str | None = None, domains: Domains = REFERENCE_DOMAINS) -> None:
     """Write the four rules' rows for day ``d`` to ``report/load_dt=d``
-    (replacing an earlier run of the same day)."""
+    (replacing an earlier run of the same day, also by no rows). The day must be
+    loaded; in ``scd1`` with its own stored state (else use :func:`report_range`)."""
     d = as_date(d)
     wh = Warehouse(spark, root, mode)
-    rep = fraud_report(wh.read_fact(d), report_dims(wh, d), ts_literal(run_ts or default_run_ts(d)), domains)
+    wh.require_loaded(d, ("state",) if mode == "scd1" else ("state", "range"))
+    rep = fraud_report(wh.read_fact(d), report_dims(wh, d), ts_literal(run_ts or default_run_ts()), domains)
     wh.write_report(rep, d)
 
 
 def report_range(spark: SparkSession, root: str, start: date | str, end: date | str,
-                 mode: str = "scd2", domains: Domains = FIXTURE_DOMAINS) -> None:
+                 mode: str = "scd2", domains: Domains = REFERENCE_DOMAINS, run_ts: str | None = None) -> None:
     """Reports of every day from ``start`` to ``end`` in one job, each
     operation joined to the dimension versions in force at the end of its
-    day. ``scd2`` reads the stored history; ``scd1`` keeps none, so the
-    versions are rebuilt (closed form) from the retained landing batches up
-    to ``end`` -- the states the daily SCD1 loads had (per-key gate)."""
+    day. ``scd2`` reads the stored history. ``scd1`` keeps none: its versions are
+    the last stored snapshot before ``start`` chained with the range's batches
+    (the states the daily loads had, per-key gate)."""
     start, end = as_date(start), as_date(end)
     wh = Warehouse(spark, root, mode)
+    landed = list_partitions(spark, landing_path(root), BATCH_COL)
+    for x in landed:
+        if start.isoformat() <= x <= end.isoformat():
+            wh.require_loaded(date.fromisoformat(x))
     if mode == "scd2":
         dims = {n: with_day_validity(wh.read_hist(n, end)) for n in DIMS}
     else:
-        landing = read_landing(spark, root).where(F.col(BATCH_COL) <= F.lit(end))
-        on_day = landing.where(F.to_date("date") == F.col(BATCH_COL)).drop(BATCH_COL)
-        st = stage(on_day, None)
-        dims = {n: with_day_validity(scd2_backfill(st[n], spec)) for n, spec in DIMS.items()}
-    fact = (spark.read.parquet(wh.path("fact_transactions"))
-            .where(F.col("trans_dt").between(F.lit(start), F.lit(end)))
-            .drop("trans_dt"))
-    rep = fraud_report(fact, dims, day_report_dt(), domains)
-    # report_dt is the end of the row's own day; the partition is that day.
-    rep = rep.withColumn("load_dt", F.date_sub(F.to_date("report_dt"), 1))
-    (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_dt").parquet(wh.path("report")))
+        dims = {n: with_day_validity(_scd1_versions(wh, n, start, end)) for n in DIMS}
+    fact = wh.read_fact_range(start, end).drop("trans_dt")
+    rep = fraud_report(fact, dims, ts_literal(run_ts or default_run_ts()), domains, keep=(DAY,))
+    rep = rep.withColumnRenamed(DAY, "load_dt")
+    drop_days(spark, wh.path("report"), "load_dt", days_in(start, end))
+    wh.write_range(rep, "report", ["load_dt"])
+
+
+def _scd1_versions(wh: Warehouse, name: str, start: date, end: date):
+    """Versions of an SCD1 dimension in force from ``start`` to ``end``."""
+    spec = DIMS[name]
+    snapshot = wh.read_dim_day(name, start - timedelta(days=1))
+    since = start if snapshot is None else date.fromisoformat(snapshot) + timedelta(days=1)
+    if snapshot is None:  # nothing stored before: from the first batch on
+        first = list_partitions(wh.spark, landing_path(wh.root), BATCH_COL)[:1]
+        since = min([start, *map(date.fromisoformat, first)])
+    landing = read_landing_range(wh.spark, wh.root, since, end)
+    on_day = landing.where(F.to_date("date") == F.col(BATCH_COL)).drop(BATCH_COL)
+    new = variants(stage(on_day, None)[name], spec, by_day=True).drop("load_dt")
+    base = wh.read_dim(name, start - timedelta(days=1))
+    return scd1_chain(base, new, spec).select(*spec.columns, "start_dt", "end_dt")
 
 
 __all__ = ["run_report", "report_range", "report_dims", "DAY"]

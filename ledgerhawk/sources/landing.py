@@ -1,18 +1,25 @@
 """Landing: read one daily transaction file, conform it to the landing
-schema, drop blank rows, type it, and append it to the landing area."""
+schema, drop blank rows, type it, and append it to the landing area.
+
+No row vanishes on the way: a cell that does not parse into its type is NULL
+in its column and kept as text in ``bad_cells``; rows of another day, without a
+date, with bad cells or with NULLs that a dimension refuses end up in the
+quarantine with a reason when their batch is loaded."""
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
 
 from ..config import as_date, day_end, day_start
-from ..schemas import LANDING
+from ..schemas import DIMS, LANDING, NOT_NULL
 
 BATCH_COL = "batch_dt"
+BAD_CELLS = "bad_cells"
 LANDING_COLUMNS = [f.name for f in LANDING.fields]
 
 
@@ -27,26 +34,52 @@ def _read_raw(spark: SparkSession, path: str | list[str], fmt: str, **options: s
 
 
 def read_daily(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
-               schema: StructType = LANDING, **options: str) -> DataFrame:
-    """Read daily transaction file(s) and conform them to ``schema``."""
-    return conform(_read_raw(spark, path, fmt, **options), schema)
+               schema: StructType = LANDING, bad_cells: bool = False, **options: str) -> DataFrame:
+    """Read daily transaction file(s) and conform them to ``schema``, each by its
+    own column names; ``bad_cells`` keeps the text of unparsable cells (what :func:`land` stores)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    parts = [conform(raw, schema, bad_cells=bad_cells)
+             for raw in (_read_raw(spark, p, fmt, **options) for p in paths)]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def conform(df: DataFrame, schema: StructType = LANDING, keep: tuple[str, ...] = ()) -> DataFrame:
+def conform(df: DataFrame, schema: StructType = LANDING, keep: tuple[str, ...] = (),
+            bad_cells: bool = False) -> DataFrame:
     """Select the fixed column list by name; a missing column becomes all-NULL.
 
     Values are typed with ``try_cast``, so an unparsable cell turns into NULL
-    instead of failing the job (:func:`cast_rejects` lists such rows).
-    Columns named in ``keep`` are carried along unchanged."""
+    instead of failing the job. With ``bad_cells`` the text of such cells is kept
+    in a map of that name (NULL for a clean row; an existing one is carried on);
+    :func:`cast_rejects` lists such rows. Columns named in ``keep`` are carried along unchanged."""
     present = {c.lower(): c for c in df.columns}
     out = []
+    if bad_cells and BAD_CELLS in df.columns:
+        keep = (*keep, BAD_CELLS)
+    elif bad_cells:
+        out.append(_bad_cells(df, schema).alias(BAD_CELLS))
     for f in schema.fields:
         src = present.get(f.name.lower())
         if src is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             out.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
-    return df.select(*out, *keep)
+    return df.select(*(out[1:] + out[:1] if bad_cells and len(out) > len(schema.fields) else out), *keep)
+
+
+def _bad_cells(df: DataFrame, schema: StructType):
+    """Map of column name to text for the row's cells that do not parse."""
+    present = {c.lower(): c for c in df.columns}
+    cells = []
+    for f in schema.fields:
+        src = present.get(f.name.lower())
+        if src is not None and not isinstance(f.dataType, StringType):
+            col = F.col(f"`{src}`")
+            bad = col.isNotNull() & col.try_cast(f.dataType).isNull()
+            cells.append(F.when(bad, F.struct(F.lit(f.name).alias("key"), col.cast("string").alias("value"))))
+    if not cells:
+        return F.lit(None).cast("map<string,string>")
+    found = F.filter(F.array(*cells), lambda x: x.isNotNull())
+    return F.when(F.size(found) > 0, F.map_from_entries(found))
 
 
 def cast_rejects(raw: DataFrame, schema: StructType = LANDING) -> DataFrame:
@@ -76,46 +109,51 @@ def landing_path(root: str) -> str:
     return f"{root.rstrip('/')}/landing"
 
 
-def _write_batches(df: DataFrame, root: str) -> None:
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL)
-     .parquet(landing_path(root)))
+def _batch_schema() -> StructType:
+    return StructType([*LANDING.fields, StructField(BAD_CELLS, MapType(StringType(), StringType())),
+                       StructField(BATCH_COL, DateType())])
+
+
+def _write_batches(df: DataFrame, root: str, days: list[date]) -> None:
+    """Write the batches of ``days`` (one job), replacing what they held before."""
+    if len(days) == 1:
+        (df.drop(BATCH_COL).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{landing_path(root)}/{BATCH_COL}={days[0].isoformat()}"))
+        return
+    from .warehouse import drop_days
+    drop_days(df.sparkSession, landing_path(root), BATCH_COL, days)
+    df.write.mode("append").partitionBy(BATCH_COL).parquet(landing_path(root))
 
 
 def land(df: DataFrame, root: str, batch_dt: date | str) -> None:
     """Write one daily batch to ``landing/batch_dt=d``.
 
-    Dynamic partition overwrite makes a re-run of the same batch replace it
-    instead of duplicating it; the commit is one atomic Spark job."""
-    _write_batches(drop_blank(conform(df)).withColumn(BATCH_COL, F.lit(as_date(batch_dt))), root)
+    The day's directory is overwritten as a whole, so a re-run, also with a
+    smaller or an empty batch, replaces it; the commit is one Spark job."""
+    day = as_date(batch_dt)
+    _write_batches(drop_blank(conform(df, bad_cells=True)), root, [day])
 
 
 def land_many(spark: SparkSession, files: dict[str, date | str], root: str,
               fmt: str = "parquet", **options: str) -> None:
-    """Land several daily files in one job: one read over the path list, the
-    batch day of each row taken from the name of its source file."""
-    raw = _read_raw(spark, list(files), fmt, **options)
-    # One row per listed file: bounded by the call, safe to broadcast.
-    fmap = spark.createDataFrame(
-        [(_file_name(p), as_date(d)) for p, d in files.items()], f"_name string, {BATCH_COL} date"
-    )
-    tagged = raw.withColumn("_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    tagged = tagged.join(F.broadcast(fmap), "_name")
-    _write_batches(drop_blank(conform(tagged, keep=(BATCH_COL,))), root)
-
-
-def _file_name(p: str) -> str:
-    return p.rstrip("/").split("/")[-1]
+    """Land several daily files (or folders of files) in one job. Each is read by
+    its own column names and belongs to the day it was listed with; a listed path
+    that does not exist fails the job."""
+    from .warehouse import path_exists
+    missing = [p for p in files if not path_exists(spark, p)]
+    if missing:
+        raise FileNotFoundError(f"not found: {missing}")
+    parts = [read_daily(spark, p, fmt, bad_cells=True, **options).withColumn(BATCH_COL, F.lit(as_date(d))) for p, d in files.items()]
+    rows = drop_blank(reduce(DataFrame.unionByName, parts))
+    _write_batches(rows, root, sorted({as_date(d) for d in files.values()}))
 
 
 def read_landing(spark: SparkSession, root: str, batch_dt: date | str | None = None) -> DataFrame:
     """Landing rows, optionally of one batch (only that directory is listed)."""
     from .warehouse import read_partition
     if batch_dt is None:
-        return spark.read.parquet(landing_path(root))
-    schema = StructType(LANDING.fields + [StructField(BATCH_COL, DateType())])
-    return read_partition(spark, landing_path(root), BATCH_COL, as_date(batch_dt).isoformat(), schema)
+        return spark.read.schema(_batch_schema()).parquet(landing_path(root))
+    return read_partition(spark, landing_path(root), BATCH_COL, as_date(batch_dt).isoformat(), _batch_schema())
 
 
 def read_landing_range(spark: SparkSession, root: str, start: date | str, end: date | str) -> DataFrame:
@@ -126,8 +164,8 @@ def read_landing_range(spark: SparkSession, root: str, start: date | str, end: d
     base = landing_path(root)
     days = [d for d in list_partitions(spark, base, BATCH_COL) if lo <= d <= hi]
     if not days:
-        return spark.createDataFrame([], StructType(LANDING.fields + [StructField(BATCH_COL, DateType())]))
-    return spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={d}" for d in days])
+        return spark.createDataFrame([], _batch_schema())
+    return spark.read.schema(_batch_schema()).option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={d}" for d in days])
 
 
 def split_late(landing: DataFrame, d: date | str) -> tuple[DataFrame, DataFrame]:
@@ -144,3 +182,28 @@ def split_late(landing: DataFrame, d: date | str) -> tuple[DataFrame, DataFrame]
               .otherwise(F.lit("early")))
     off = landing.where(ts.isNull() | (ts < lo) | (ts >= hi)).withColumn("reason", reason)
     return on, off
+
+
+def row_problems(landing: DataFrame) -> DataFrame:
+    """``problems``: what keeps (parts of) a row out of the warehouse. A NULL key or
+    attribute keeps the row out of that dimension, which refuses NULLs; a row
+    with bad cells is loaded with NULL in their place."""
+    checks = []
+    for name, spec in DIMS.items():
+        key, *attrs = [spec.source[c] for c in spec.columns]
+        hole = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in attrs])
+        checks.append(F.when(F.col(f"`{key}`").isNull(), F.lit(f"null_key:{name}"))
+                      .when(hole, F.lit(f"null_attribute:{name}")))
+    from ..schemas import FACT_SOURCE
+    fact = reduce(lambda a, b: a | b, [F.col(f"`{FACT_SOURCE[c]}`").isNull() for c in NOT_NULL["transactions"]])
+    checks.append(F.when(fact, F.lit("null_column:transactions")))
+    if BAD_CELLS in landing.columns:
+        checks.append(F.when(F.col(BAD_CELLS).isNotNull(), F.lit("bad_cell")))
+    return landing.withColumn("problems", F.filter(F.array(*checks), lambda x: x.isNotNull()))
+
+
+def quarantined(on_day: DataFrame, off_day: DataFrame) -> DataFrame:
+    """Rows that did not (fully) enter the warehouse, with their reasons."""
+    partial = row_problems(on_day).where(F.size("problems") > 0) \
+        .withColumn("reason", F.array_join("problems", ",")).drop("problems")
+    return off_day.unionByName(partial)

@@ -3,10 +3,11 @@ idempotent, day-partitioned writes.
 
 Parquet has no in-place UPDATE/MERGE, so dimension state is a snapshot per
 load day: a day's job reads the snapshot of the previous day and writes a
-new one, never the path it reads. Every sink is partitioned by day and
-written with dynamic partition overwrite, so re-running a day replaces its
-output instead of duplicating it, and a failed run leaves the previous day
-intact. Layout under ``root/<mode>/``::
+new one, never the path it reads. Every sink is partitioned by day and a day's
+directory is overwritten as a whole, so re-running a day replaces its output,
+also by less or by nothing. A run marker per day is removed first and written
+last: a day without one is not loaded (or not any more, after an earlier day
+was loaded again), and jobs that need it refuse to run. Layout under ``root/<mode>/``::
 
     dim_<name>/load_dt=D/                 SCD1 snapshot after day D
     dim_<name>_hist/load_dt=D/state=open  SCD2 open versions after day D
@@ -14,7 +15,8 @@ intact. Layout under ``root/<mode>/``::
     fact_transactions/trans_dt=/oper_type=/oper_result=
     report/load_dt=D
     audit/load_dt=D
-    quarantine/load_dt=D                  landing rows not of day D
+    quarantine/load_dt=D                  landing rows kept out, with the reason
+    _runs/load_dt=D                       marker of a finished run (its batch is consumed)
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
-from ..config import as_date
+from ..config import as_date, check_mode
 from ..schemas import AUDIT, DIMS, LANDING, REPORT, DimSpec
 
 TS = TimestampNTZType()
@@ -61,10 +63,22 @@ def list_partitions(spark: SparkSession, path: str, col: str) -> list[str]:
     return sorted(out)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def drop_days(spark: SparkSession, base: str, col: str, days: list) -> None:
+    """Remove the ``col=day`` directories of ``days`` (what is about to be written anew)."""
+    for d in days:
+        fs, p = _fs(spark, f"{base}/{col}={as_date(d).isoformat()}")
+        if fs.exists(p):
+            fs.delete(p, True)
 
 
 def read_partition(spark: SparkSession, base: str, col: str, value: str, schema: StructType) -> DataFrame:
@@ -74,7 +88,11 @@ def read_partition(spark: SparkSession, base: str, col: str, value: str, schema:
     path = f"{base}/{col}={value}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.option("basePath", base).parquet(path)
+    return spark.read.schema(schema).option("basePath", base).parquet(path)
+
+
+def days_in(start: date, end: date) -> list[date]:
+    return [start + timedelta(days=i) for i in range((end - start).days + 1)]
 
 
 @dataclass(frozen=True)
@@ -86,6 +104,45 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.mode}/{table}"
 
+    def __post_init__(self) -> None:
+        check_mode(self.mode)
+
+    # ---------------------------------------------------------- run markers
+
+    def _marker(self, d: date) -> str:
+        return f"{self.path('_runs')}/load_dt={d.isoformat()}"
+
+    def loaded_as(self, d: date | str) -> str | None:
+        """``state``: day ``d`` is loaded and the dimensions are stored as of its end;
+        ``range``: loaded inside a backfill; None: not loaded, or invalid since an
+        earlier day was loaded again."""
+        kinds = list_partitions(self.spark, self._marker(as_date(d)), "kind")
+        return kinds[0] if kinds else None
+
+    def invalidate_from(self, d: date) -> None:
+        """Day ``d`` is about to be loaded: it and every later day count as not loaded."""
+        later = [x for x in list_partitions(self.spark, self.path("_runs"), "load_dt") if x >= d.isoformat()]
+        drop_days(self.spark, self.path("_runs"), "load_dt", later)
+
+    def mark_loaded(self, d: date, kind: str = "state") -> None:
+        fs, p = _fs(self.spark, f"{self._marker(d)}/kind={kind}")
+        fs.mkdirs(p)
+
+    def require_previous(self, d: date, landed: list[str]) -> None:
+        """Raise unless the batch before ``d`` is loaded and its state can be read."""
+        before = [x for x in landed if x < d.isoformat()]
+        if not before:
+            return
+        kind = self.loaded_as(before[-1])
+        if kind is None or (kind == "range" and self.mode == "scd1"):
+            raise ValueError(f"{self.mode}: the batch of {before[-1]} is not loaded, or no state of that day is stored "
+                             f"(inside a backfilled range); load it before {d}, or run the backfill again")
+
+    def require_loaded(self, d: date, kinds: tuple[str, ...] = ("state", "range")) -> None:
+        if self.loaded_as(d) not in kinds:
+            raise ValueError(f"{self.mode}: day {d} is not loaded, is invalid since an earlier day was loaded "
+                             f"again, or lies inside a backfilled range without its own state")
+
     # ---------------------------------------------------------- dimensions
 
     def _latest(self, table: str, upto: date) -> str | None:
@@ -106,9 +163,16 @@ class Warehouse:
             *spec.columns, "create_dt", "update_dt")
 
     def write_dim(self, name: str, df: DataFrame, d: date | str) -> None:
-        (df.write.mode("overwrite")
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{self.path('dim_' + name)}/load_dt={as_date(d).isoformat()}"))
 
+    def clear_days(self, days: list[date]) -> None:
+        """Remove every table's directories of ``days`` (a range is about to be written)."""
+        for table, col in (("fact_transactions", "trans_dt"), ("report", "load_dt"), ("audit", "load_dt"),
+                           ("quarantine", "load_dt"), *((f"dim_{n}", "load_dt") for n in DIMS),
+                           *((f"dim_{n}_hist", "load_dt") for n in DIMS)):
+            drop_days(self.spark, self.path(table), col, days)
+
     def _open_snapshot_day(self, table: str, upto: date) -> tuple[str | None, bool]:
         """Latest day <= ``upto`` holding an open snapshot, and whether it
         alone gives the state at ``upto`` (no later partition up to then)."""
@@ -171,9 +235,9 @@ class Warehouse:
         if not exact:
             return self._rebuilt(name, upto)
         opened = self.read_open(name, upto)
-        closed = (self.spark.read.parquet(self.path(table))
-                  .where((F.col("state") == "closed") & (F.col("load_dt") <= F.lit(upto)))
-                  .select(*spec.columns, "start_dt", "end_dt"))
+        stored = StructType(dim_schema(spec, "scd2").fields + [StructField("state", StringType())])
+        closed = (self._read_days(table, "load_dt", stored, None, upto)
+                  .where(F.col("state") == "closed").select(*spec.columns, "start_dt", "end_dt"))
         return closed.unionByName(opened)
 
     def write_hist_day(self, name: str, step: DataFrame, d: date | str) -> None:
@@ -181,63 +245,82 @@ class Warehouse:
         ``state=open`` (the new snapshot), rows closed that day to
         ``state=closed``."""
         state = F.when(F.col("end_dt").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-        (step.withColumn("state", state).write.mode("overwrite")
+        (step.withColumn("state", state).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("state")
          .parquet(f"{self.path('dim_' + name + '_hist')}/load_dt={as_date(d).isoformat()}"))
 
     def write_hist_range(self, name: str, hist: DataFrame, end: date | str) -> None:
-        """One write for a multi-day result: each version closed before
+        """One write for a multi-day result, into cleared days: each version closed before
         ``end`` goes under the day it closed (``state=closed``); open
         versions and those closed on ``end`` form the snapshot of ``end``."""
         end_day = F.lit(as_date(end))
         (hist.withColumn("load_dt", F.coalesce(F.to_date("end_dt"), end_day))
          .withColumn("state", F.when(F.col("end_dt").isNull(), F.lit("open")).otherwise(F.lit("closed")))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_dt", "state").parquet(self.path(f"dim_{name}_hist")))
+         .hint("rebalance", "load_dt", "state")
+         .write.mode("append").partitionBy("load_dt", "state").parquet(self.path(f"dim_{name}_hist")))
 
     # ---------------------------------------------------------- fact, report, audit
 
-    def _write_days(self, df: DataFrame, table: str, parts: list[str]) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path(table)))
+    def _write_day(self, df: DataFrame, table: str, col: str, d: date | str, parts: tuple[str, ...] = ()) -> None:
+        """Overwrite one day's directory as a whole (an empty frame empties it)."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts)
+         .parquet(f"{self.path(table)}/{col}={as_date(d).isoformat()}"))
+
+    def write_range(self, df: DataFrame, table: str, parts: list[str]) -> None:
+        """Many days in one job, into days that :meth:`clear_days` emptied. The rebalance
+        splits large partitions and puts small ones into one file each."""
+        (df.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(self.path(table)))
 
-    def write_fact(self, stg_tx: DataFrame) -> None:
+    def write_fact(self, stg_tx: DataFrame, d: date | str | None = None) -> None:
         """Fact rows partitioned by day, then operation type and result (the
-        reference's two-level list partitions under a day level)."""
-        self._write_days(stg_tx.withColumn("trans_dt", F.to_date("trans_date")),
-                         "fact_transactions", ["trans_dt", "oper_type", "oper_result"])
+        reference's two-level list partitions under a day level): one day, or
+        (``d`` None) a cleared range."""
+        parts = ("oper_type", "oper_result")
+        if d is None:
+            self.write_range(stg_tx.withColumn("trans_dt", F.to_date("trans_date")), "fact_transactions",
+                             ["trans_dt", *parts])
+        else:
+            self._write_day(stg_tx.hint("rebalance", *parts), "fact_transactions", "trans_dt", d, parts)
 
     def read_fact(self, d: date | str | None = None) -> DataFrame:
         cols = fact_schema().fieldNames()
         if d is None:
-            return self.spark.read.parquet(self.path("fact_transactions")).select(*cols)
+            return self.read_fact_range(None, None).select(*cols)
         empty = StructType(fact_schema().fields + [StructField("trans_dt", DateType())])
         return read_partition(self.spark, self.path("fact_transactions"), "trans_dt",
                               as_date(d).isoformat(), empty).select(*cols)
 
-    def write_report(self, report: DataFrame, load_dt) -> None:
-        df = report.withColumn("load_dt", load_dt if not isinstance(load_dt, (str, date))
-                               else F.lit(as_date(load_dt)))
-        self._write_days(df.select(*REPORT.fieldNames(), "load_dt"), "report", ["load_dt"])
+    def read_fact_range(self, start: date | None, end: date | None) -> DataFrame:
+        """Fact rows of the days from ``start`` to ``end``: only their directories are listed."""
+        return self._read_days("fact_transactions", "trans_dt", fact_schema(), start, end)
+
+    def _read_days(self, table: str, col: str, schema: StructType, start: date | None, end: date | None) -> DataFrame:
+        full = StructType(schema.fields + [StructField(col, DateType())])
+        days = [x for x in list_partitions(self.spark, self.path(table), col)
+                if (start is None or x >= start.isoformat()) and (end is None or x <= end.isoformat())]
+        if not days:
+            return self._empty(full)
+        base = self.path(table)
+        return self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/{col}={x}" for x in days])
+
+    def write_report(self, report: DataFrame, d: date | str) -> None:
+        self._write_day(report.select(*REPORT.fieldNames()), "report", "load_dt", d)
 
     def read_report(self, d: date | str | None = None) -> DataFrame:
         if d is None:
-            return self.spark.read.parquet(self.path("report"))
+            return self._read_days("report", "load_dt", REPORT, None, None)
         empty = StructType(REPORT.fields + [StructField("load_dt", DateType())])
         return read_partition(self.spark, self.path("report"), "load_dt", as_date(d).isoformat(), empty)
 
-    def write_audit(self, audit: DataFrame, load_dt) -> None:
-        df = audit.withColumn("load_dt", load_dt if not isinstance(load_dt, (str, date))
-                              else F.lit(as_date(load_dt)))
-        # 9 rows a day: one partition per day (sub-partitions by table and
-        # action would only make tiny files).
-        self._write_days(df.select(*AUDIT.fieldNames(), "load_dt").coalesce(1), "audit", ["load_dt"])
+    def write_audit(self, audit: DataFrame, d: date | str) -> None:
+        # 9 rows a day: one file (sub-partitions by table and action would only make tiny ones)
+        self._write_day(audit.select(*AUDIT.fieldNames()).coalesce(1), "audit", "load_dt", d)
 
     def read_audit(self, d: date | str | None = None) -> DataFrame:
         if d is None:
-            return self.spark.read.parquet(self.path("audit"))
+            return self._read_days("audit", "load_dt", AUDIT, None, None)
         empty = StructType(AUDIT.fields + [StructField("load_dt", DateType())])
         return read_partition(self.spark, self.path("audit"), "load_dt", as_date(d).isoformat(), empty)
 
-    def write_quarantine(self, rows: DataFrame, load_dt: date | str) -> None:
-        self._write_days(rows.withColumn("load_dt", F.lit(as_date(load_dt))), "quarantine", ["load_dt"])
+    def write_quarantine(self, rows: DataFrame, d: date | str) -> None:
+        self._write_day(rows, "quarantine", "load_dt", d)

@@ -1,8 +1,8 @@
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 
-from ledgerhawk.config import as_date, default_run_ts
+from ledgerhawk.config import as_date, check_mode, default_run_ts
 
 
 @pytest.mark.parametrize("text", ["2020-05-01", "2020-5-1", " 2020-05-01 ", "2020-05-01 10:00:00",
@@ -16,5 +16,13 @@ def test_bad_day_parameter():
         as_date("2020-13-01")
 
 
-def test_default_run_ts():
-    assert default_run_ts("2024-1-15") == "2024-01-16 00:00:00"
+def test_default_run_ts_is_now():
+    assert abs((datetime.fromisoformat(default_run_ts()) - datetime.now(timezone.utc).replace(tzinfo=None))
+               .total_seconds()) < 60
+
+
+@pytest.mark.parametrize("mode,gate", [("scd1", "typo_gate"), ("scd1", "literal"), ("scd2", "all_or_nothing"),
+                                       ("scd3", "per_key")])
+def test_unknown_modes_and_gates_are_refused(mode, gate):
+    with pytest.raises(ValueError):
+        check_mode(mode, gate)

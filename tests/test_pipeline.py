@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
+from ledgerhawk.config import FIXTURE_DOMAINS
 from ledgerhawk.plans.daily import run_day
 from ledgerhawk.plans.etl import backfill
 from ledgerhawk.plans.report import report_range
@@ -17,11 +18,11 @@ DAY = "2024-01-15"
 @pytest.fixture(scope="module")
 def warehouse(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("wh"))
-    lnd = fixture_landing(spark, SF0001).withColumn("batch_dt", F.to_date("date"))
+    lnd = fixture_landing(spark, SF0001).withColumn("batch_dt", F.to_date("date")).where(F.col("batch_dt") <= DAY)
     lnd.write.partitionBy("batch_dt").parquet(root + "/landing")
     for mode in ("scd1", "scd2"):
         backfill(spark, root, "2024-01-01", "2024-01-14", mode)
-        run_day(spark, root, DAY, mode)
+        run_day(spark, root, DAY, mode, domains=FIXTURE_DOMAINS)
     return root
 
 
@@ -46,7 +47,7 @@ def test_rerun_is_idempotent(spark, warehouse):
     wh = Warehouse(spark, warehouse, "scd2")
     before = (wh.read_report(DAY).count(), wh.read_fact(DAY).count(), wh.read_audit(DAY).count(),
               wh.read_hist("clients", DAY).count())
-    run_day(spark, warehouse, DAY, "scd2")
+    run_day(spark, warehouse, DAY, "scd2", domains=FIXTURE_DOMAINS)
     after = (wh.read_report(DAY).count(), wh.read_fact(DAY).count(), wh.read_audit(DAY).count(),
              wh.read_hist("clients", DAY).count())
     assert before == after
@@ -80,7 +81,7 @@ def test_dimension_counts_and_history(spark, warehouse):
 def test_report_range_matches_daily(spark, warehouse, mode):
     wh = Warehouse(spark, warehouse, mode)
     daily = wh.read_report(DAY).drop("report_dt", "load_dt").collect()
-    report_range(spark, warehouse, "2024-01-15", "2024-01-15", mode)
+    report_range(spark, warehouse, "2024-01-15", "2024-01-15", mode, FIXTURE_DOMAINS)
     rng = wh.read_report(DAY).drop("report_dt", "load_dt").collect()
     assert sorted(map(tuple, daily)) == sorted(map(tuple, rng))
     assert sorted(dict(counts(wh.read_report(DAY))).values()) == [5, 7, 9]
@@ -97,7 +98,7 @@ def test_catalog_tables_and_state_views(spark, warehouse):
     assert cur == 10
 
 
-@pytest.mark.skipif(not __import__("os").environ.get("LH_SLOW"), reason="4-minute replay; set LH_SLOW=1")
+@pytest.mark.skipif(not __import__("os").environ.get("LH_SLOW"), reason="30-day replay; set LH_SLOW=1")
 def test_literal_modes_golden_counts_sf001(spark, tmp_path):
     """FIXTURES.md §3 'literal' semantics at sf0.01 (day-by-day replay)."""
     from conftest import SF001
@@ -199,3 +200,109 @@ def test_backfill_equals_daily_replay(spark, tmp_path, mode):
         else:
             s, t = a.read_hist(name, "2024-01-05"), b.read_hist(name, "2024-01-05")
         assert s.exceptAll(t).count() == 0 and t.exceptAll(s).count() == 0, name
+
+
+HEADER = "trans_id string, date timestamp_ntz, card string, account string, client string, amount decimal(10,2), " \
+         "oper_type string, oper_result string, terminal string, last_name string, first_name string, " \
+         "patronymic string, date_of_birth timestamp_ntz, passport string, passport_valid_to timestamp_ntz, " \
+         "phone string, account_valid_to timestamp_ntz, terminal_type string, city string, address string"
+
+
+def operation(i, t, card="C1", oper_type="Оплата", result="Успешно", amount=1, passport_to="2024-01-01"):
+    from datetime import datetime
+    from decimal import Decimal
+    day = datetime.fromisoformat
+    return (str(i), day(t), card, "A" + card, "K" + card, Decimal(amount), oper_type, result, "T1", "L", "F", "P",
+            day("1980-01-01"), "PP" + card, day(passport_to), "+7", day("2030-01-01"), "ATM", "City", "Street")
+
+
+def land_rows(spark, root, day, rows):
+    from ledgerhawk.sources import land
+    land(spark.createDataFrame(rows, HEADER), root, day)
+
+
+@pytest.mark.parametrize("mode", ["scd1", "scd2"])
+def test_corrected_smaller_batch_replaces_all_output(spark, tmp_path, mode):
+    root, wh = str(tmp_path), Warehouse(spark, str(tmp_path), mode)
+    land_rows(spark, root, "2024-05-01", [operation(1, "2024-05-01 10:00"), operation(2, "2024-05-01 11:00", "C2")])
+    run_day(spark, root, "2024-05-01", mode)
+    assert wh.read_fact("2024-05-01").count() == 2 and wh.read_report("2024-05-01").count() == 2
+    land_rows(spark, root, "2024-05-01", [operation(1, "2024-05-01 10:00", oper_type="Снятие",
+                                                    passport_to="2030-01-01")])
+    run_day(spark, root, "2024-05-01", mode)
+    assert [r.oper_type for r in wh.read_fact("2024-05-01").collect()] == ["Снятие"]
+    assert wh.read_report("2024-05-01").count() == 0
+    audit = {(r.table_name, r.action): r.amount for r in wh.read_audit("2024-05-01").collect()}
+    assert audit[("transactions", "INSERTED")] == 1 and audit[("cards", "INSERTED")] == 1
+    land_rows(spark, root, "2024-05-01", [])  # an emptied day
+    run_day(spark, root, "2024-05-01", mode)
+    assert wh.read_fact("2024-05-01").count() == 0 and wh.read_fact().count() == 0
+
+
+@pytest.mark.parametrize("mode", ["scd1", "scd2"])
+def test_reloading_a_past_day_invalidates_later_days(spark, tmp_path, mode):
+    from ledgerhawk.plans.etl import run_etl
+    from ledgerhawk.plans.report import run_report
+    root, wh = str(tmp_path), Warehouse(spark, str(tmp_path), mode)
+    for d in ("01", "02", "03"):
+        land_rows(spark, root, f"2024-05-{d}", [operation(d, f"2024-05-{d} 10:00", "C" + d)])
+    with pytest.raises(ValueError):  # the batch before is not loaded
+        run_etl(spark, root, "2024-05-02", mode)
+    for d in ("01", "02", "03"):
+        run_etl(spark, root, f"2024-05-{d}", mode)
+    land_rows(spark, root, "2024-05-01", [operation("01", "2024-05-01 10:00", "C9")])
+    run_etl(spark, root, "2024-05-01", mode)
+    for job in (run_report, run_etl):
+        with pytest.raises(ValueError):
+            job(spark, root, "2024-05-03", mode)
+    run_etl(spark, root, "2024-05-02", mode)
+    read = wh.read_dim if mode == "scd1" else wh.read_open
+    assert {r.card_num for r in read("cards", "2024-05-02").collect()} == {"C9", "C02"}
+
+
+def test_sub_range_and_report_inside_a_backfill(spark, tmp_path):
+    from ledgerhawk.plans.report import run_report
+    root = str(tmp_path)
+    for d in ("01", "02", "03", "04"):
+        land_rows(spark, root, f"2024-05-{d}", [operation(d, f"2024-05-{d} 10:00", "C" + d)])
+    for mode in ("scd1", "scd2"):
+        backfill(spark, root, "2024-05-01", "2024-05-04", mode)
+    with pytest.raises(ValueError):  # scd1 stores no state of that day
+        run_report(spark, root, "2024-05-02", "scd1")
+    report_range(spark, root, "2024-05-02", "2024-05-02", "scd1")
+    assert Warehouse(spark, root, "scd1").read_report("2024-05-02").count() == 1
+    run_report(spark, root, "2024-05-02", "scd2")
+    assert Warehouse(spark, root, "scd2").read_report("2024-05-02").count() == 1
+    with pytest.raises(ValueError):
+        backfill(spark, root, "2024-05-03", "2024-05-04", "scd1")
+    backfill(spark, root, "2024-05-03", "2024-05-04", "scd2")
+    assert Warehouse(spark, root, "scd2").read_open("cards", "2024-05-04").count() == 4
+
+
+def test_failed_dimension_job_leaves_the_day_not_loaded(spark, tmp_path, monkeypatch):
+    from ledgerhawk.plans import etl
+    from ledgerhawk.plans.report import run_report
+    root = str(tmp_path)
+    land_rows(spark, root, "2024-05-01", [operation(1, "2024-05-01 10:00")])
+    etl.run_etl(spark, root, "2024-05-01")
+    load = etl.load_dimension
+
+    def broken(wh, name, *rest):
+        if name == "cards":
+            raise RuntimeError("lost")
+        return load(wh, name, *rest)
+
+    monkeypatch.setattr(etl, "load_dimension", broken)
+    with pytest.raises(RuntimeError):
+        etl.run_etl(spark, root, "2024-05-01")
+    with pytest.raises(ValueError):
+        run_report(spark, root, "2024-05-01")
+
+
+def test_rule_4_on_reference_values_by_default(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [operation(i, f"2024-05-01 10:0{i}", result="Успешно" if i == 4 else "Отказ", amount=100 - i,
+                      passport_to="2030-01-01") for i in range(1, 5)]
+    land_rows(spark, root, "2024-05-01", rows)
+    run_day(spark, root, "2024-05-01")
+    assert [r.fraud_type for r in Warehouse(spark, root).read_report("2024-05-01").collect()] == ["Попытка подбора сумм"]
