@@ -94,8 +94,8 @@ def blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
                           "n": pa.array(n[at], pa.int64())}):
                 size = len(next(iter(kind.values())))
                 kind["block"] = pa.array(np.full(size, first + k), pa.int64())
-                yield pa.RecordBatch.from_arrays([kind.get(c, pa.nulls(size, t)) for c, t in zip(names, _TYPES, strict=True)],
-                                                 names)
+                columns = [kind.get(c, pa.nulls(size, t)) for c, t in zip(names, _TYPES, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, _BLOCKS)
 
@@ -244,23 +244,25 @@ class Model:
     tables: Tables
     net: Attention
 
-    def score(self, ids: list[bytes]) -> np.ndarray:
-        """Log10 probability of each text from its packed subword ids."""
-        if not ids:
-            return np.zeros(0)
+    def symbol_logs(self, flat: np.ndarray, before: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Natural log probability of every symbol of texts laid end to end."""
         t = self.tables
-        flat, before, bounds = _closed(ids, len(t.of) - 1)
-        classes, rows = t.of[before], t.row[before]
-        total = np.add.reduceat(t.log_within(classes, flat), bounds[:-1])
-        after = t.of[flat]
+        classes, rows, after = t.of[before], t.row[before], t.of[flat]
+        out = t.log_within(classes, flat)
         first, text = windows(bounds)
         per = (1 << 14) // HOP
         for k in range(0, len(first), per):
             part = slice(k, k + per)
             w, at, real = window_rows(classes, bounds, first[part], text[part])
-            got = self.net.log_class(w, rows[at], after[at])
-            total += np.bincount(text[part], np.where(real, got, 0).sum(axis=1, dtype=np.float64), len(ids))
-        return total / np.log(10)
+            out[at[real]] += self.net.log_class(w, rows[at], after[at])[real]
+        return out
+
+    def score(self, ids: list[bytes]) -> np.ndarray:
+        """Log10 probability of each text from its packed subword ids."""
+        if not ids:
+            return np.zeros(0)
+        flat, before, bounds = _closed(ids, len(self.tables.of) - 1)
+        return np.add.reduceat(self.symbol_logs(flat, before, bounds), bounds[:-1]) / np.log(10)
 
 
 def _closed(ids: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -291,11 +293,12 @@ def _summed(rows: DataFrame, run, size: int) -> np.ndarray:
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for vector in run(batches):
             at = np.flatnonzero(vector)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(vector[at].astype(float), pa.float64())],
-                                             ["i", "x"])
+            values = pa.array(vector[at].astype(float), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), values], ["i", "x"])
 
     out = np.zeros(size)
-    got = rows.mapInArrow(sparse, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()  # size rows at most
+    sums = rows.mapInArrow(sparse, "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
+    got = sums.toPandas()  # at most `size` rows
     out[got["i"].to_numpy(dtype=int)] = got["x"]
     return out
 
@@ -412,7 +415,8 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("row"), batch.column("doc_id"),
                                               pa.array(got, pa.float64())], ["block", "row", "doc_id", "score"])
 
-    scored = rows.select("block", "row", "doc_id", "ids").mapInArrow(attend, "block long, row int, doc_id long, score double")
+    scored = rows.select("block", "row", "doc_id", "ids") \
+        .mapInArrow(attend, "block long, row int, doc_id long, score double")
     return scored.join(based, ["block", "row"]).select(
-        "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"),
-        "base_score", "score")
+        "doc_id", held_out().alias("held_out"), "n_tokens", "n_known",
+        F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

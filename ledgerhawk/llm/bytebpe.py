@@ -6,8 +6,9 @@ in parallel. The pattern looks only forward, so once two scans of the same text
 share a boundary they agree from there on: chunks are stitched at the first
 boundary in the overlap that both have and that the earlier chunk's end cannot
 have disturbed. Where an overlap holds none (one pre-token longer than the
-overlap), the earlier scan goes on over the later chunk's text instead. The stitched pieces are then encoded by the ranks, each on
-its own; a bounded memo only saves encoding a piece twice. Decoding gathers each id's raw bytes.
+overlap), the earlier scan goes on over the later chunk's text instead. The
+stitched pieces are then encoded by the ranks, each on its own; a bounded memo
+only saves encoding a piece twice. Decoding gathers each id's raw bytes.
 
 Ids travel as packed little-endian unsigned 32-bit integers (``ids`` binary).
 
@@ -166,8 +167,8 @@ def encode(docs: DataFrame, ranks: str | None = None, chunk: int = CHUNK, overla
             for d, parts in zip(batch.column("doc_id"), batch.column("parts"), strict=True):
                 parts = sorted(parts.as_py(), key=lambda p: p["k"])
                 pieces = stitch(bpe, [p["text"] for p in parts], [p["ends"] for p in parts], chunk)
-                yield pa.RecordBatch.from_arrays([pa.array([d.as_py()], pa.int64()),
-                                                  pa.array([bpe.encode_pieces(pieces)], pa.binary())], ["doc_id", "ids"])
+                ids = pa.array([bpe.encode_pieces(pieces)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([d.as_py()], pa.int64()), ids], ["doc_id", "ids"])
 
     last = F.greatest(F.ceil((F.length("text") - overlap) / F.lit(chunk)).cast("int") - 1, F.lit(0))
     chunks = docs.where(long).withColumn("row", F.monotonically_increasing_id()) \

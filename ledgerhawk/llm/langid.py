@@ -78,7 +78,8 @@ def describe(pieces: list[str]) -> Pieces:
     points = np.frombuffer(("\0" + "\0".join(words) + "\0").encode("utf-32-le"), dtype="<u4")
     # one trigram around every letter, with the gap between words as a letter of its own
     at = np.flatnonzero(points)
-    mixed = points[at - 1] * np.uint32(0x9E3779B1) ^ points[at] * np.uint32(0x85EBCA77) ^ points[at + 1] * np.uint32(0xC2B2AE3D)
+    mixed = points[at - 1] * np.uint32(0x9E3779B1) ^ points[at] * np.uint32(0x85EBCA77) \
+        ^ points[at + 1] * np.uint32(0xC2B2AE3D)
     grams = ((mixed * np.uint32(0x27D4EB2F)) >> np.uint32(16)).astype(np.int64) % BUCKETS
     starts = np.cumsum(letters) - letters
     first = points[at[np.minimum(starts, len(at) - 1)]] if len(at) else np.zeros(len(words), dtype=np.uint32)
