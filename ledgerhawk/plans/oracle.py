@@ -15,7 +15,6 @@ from ..config import (
     FRAUD_CITY_HOP,
     FRAUD_EXPIRED_ACCOUNT,
     FRAUD_EXPIRED_PASSPORT,
-    REFERENCE_OPER_TYPES,
 )
 from ..schemas import DIMS, FACT_SOURCE, LANDING, LANDING_WIDTHS
 from .registry import LAST_DAY, REPORT_DAY, RUN_TS
@@ -132,6 +131,24 @@ def _with(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join([LANDING_SQL, *ctes]) + "\n" + body
 
 
+#: The landing rows with the faults that the Spark queries inject, in SQL of its own.
+_DIRTY_SQL = LANDING_SQL.replace("landing AS (", "clean AS (", 1) + """,
+landing AS (SELECT * REPLACE (
+    CASE WHEN CAST(trans_id AS BIGINT) % 7 <> 3 THEN passport END AS passport,
+    CASE WHEN CAST(trans_id AS BIGINT) % 11 <> 5 THEN phone END AS phone,
+    CASE WHEN CAST(trans_id AS BIGINT) % 83 <> 7 THEN client END AS client,
+    CASE WHEN CAST(trans_id AS BIGINT) % 13 = 1 THEN 'gift' ELSE oper_type END AS oper_type,
+    CASE WHEN CAST(trans_id AS BIGINT) % 17 <> 2 THEN oper_result END AS oper_result,
+    CASE WHEN CAST(trans_id AS BIGINT) % 19 = 4 THEN repeat('x', 60) ELSE last_name END AS last_name)
+  FROM clean)"""
+#: Picks a third of the keys, alike in both engines.
+_LAST = "ascii(right({c}, 1))"
+
+
+def _dirty_with(ctes: list[str], body: str) -> str:
+    return _with(ctes, body).replace(LANDING_SQL, _DIRTY_SQL)
+
+
 def _report_select(src: str, fraud_dt: str, fraud_type: str, report_dt: str) -> str:
     return (f"SELECT {fraud_dt} AS fraud_dt, passport_num AS passport, fio, phone, "
             f"{fraud_type} AS fraud_type, {report_dt} AS report_dt FROM {src}")
@@ -286,7 +303,8 @@ def _dq_history_sql() -> str:
                      OR (end_dt IS NOT NULL AND nxt IS NULL) OR end_dt <> nxt) AS n_violations
 FROM (SELECT *, LEAD(start_dt) OVER (PARTITION BY {spec.key} ORDER BY start_dt) AS nxt,
              COUNT(*) FILTER (WHERE end_dt IS NULL) OVER (PARTITION BY {spec.key}) AS n_open_k
-      FROM {n}_hist) h""")
+      FROM (SELECT * REPLACE (CASE WHEN {_LAST.format(c=spec.key)} % 3 = 0 THEN end_dt + INTERVAL 1 DAY ELSE end_dt END
+                              AS end_dt) FROM {n}_hist)) h""")
     return _with(ctes, "\nUNION ALL\n".join(parts))
 
 
@@ -378,23 +396,55 @@ def build() -> dict[str, str]:
     o["report_day_scd1"] = _report_day_sql()
     o["report_day_scd2"] = o["report_day_scd1"]
     o["report_all_days"] = _report_all_days_sql()
-    o["dq_duplicate_keys"] = _with([stg_sql("clients", "stg", _on_day("date", D))],
-                                   """SELECT client_id, COUNT(*) AS n_rows FROM stg
-                                      GROUP BY client_id HAVING COUNT(*) > 1""")
-    o["dq_orphans"] = _with(
-        hist_sql("accounts", prev, "a") + [stg_sql("cards", "stg", _on_day("date", D))],
-        """SELECT card_num, account_num, MIN(create_dt) AS create_dt FROM stg
-           WHERE card_num IS NOT NULL AND account_num IS NOT NULL
-             AND account_num NOT IN (SELECT account_num FROM a_hist WHERE account_num IS NOT NULL)
-           GROUP BY card_num, account_num""")
-    o["dq_nulls"] = _with([], "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM landing"
-        for c in LANDING_COLS))
-    allowed = ", ".join(_q(v) for v in REFERENCE_OPER_TYPES)
-    o["dq_domain"] = _with([], f"""SELECT oper_type, COUNT(*) AS n_rows FROM landing
-        WHERE date IS NOT NULL AND (oper_type IS NULL OR oper_type NOT IN ({allowed})) GROUP BY oper_type""")
-    o["dq_width"] = _with([], "\nUNION ALL\n".join(
+    states = [x for n in DIMS for x in [*hist_sql(n, LAST_DAY, n), scd1_sql(n, n)]]
+    o["dq_duplicate_keys"] = _with(states, "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS table_name, COUNT(*) AS n_keys, CAST(2 * COUNT(*) AS BIGINT) AS n_rows FROM {src}
+            WHERE {_LAST.format(c=spec.key)} % 3 = 0"""
+        for n, spec in DIMS.items() for table, src in ((f"dim_{n}", f"{n}_scd1"), (f"dim_{n}_hist", f"{n}_hist"))))
+    old = [x for n in DIMS for x in hist_sql(n, prev, f"old_{n}")]
+    now = [x for n in DIMS for x in hist_sql(n, date(9999, 1, 1), n)]
+    o["dq_orphans"] = _with(old + now, "\nUNION ALL\n".join(
+        f"""SELECT '{child}' AS child, '{parent}' AS parent, COUNT(*) AS n_rows FROM {src}
+            WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {key} FROM old_{parent}_hist)"""
+        for child, src, fk, parent, key in (
+            ("accounts", "(SELECT * FROM accounts_hist WHERE end_dt IS NULL)", "client", "clients", "client_id"),
+            ("cards", "(SELECT * FROM cards_hist WHERE end_dt IS NULL)", "account_num", "accounts", "account_num"),
+            ("fact", "(SELECT card FROM landing WHERE date IS NOT NULL)", "card", "cards", "card_num"),
+            ("fact", "(SELECT terminal FROM landing WHERE date IS NOT NULL)", "terminal", "terminals", "terminal_id"))))
+    refused = {"clients": "client last_name first_name patronymic date_of_birth passport passport_valid_to phone",
+               "accounts": "account account_valid_to client", "cards": "card account",
+               "terminals": "terminal terminal_type city address",
+               "transactions": "trans_id date card oper_type amount oper_result terminal"}
+    named = {("clients", "client"): "client_id", ("clients", "passport"): "passport_num",
+             ("accounts", "account"): "account_num", ("accounts", "account_valid_to"): "valid_to",
+             ("cards", "card"): "card_num", ("cards", "account"): "account_num", ("terminals", "terminal"): "terminal_id",
+             ("terminals", "city"): "terminal_city", ("terminals", "address"): "terminal_address",
+             ("transactions", "date"): "trans_date", ("transactions", "card"): "card_num",
+             ("transactions", "amount"): "amt"}
+    o["dq_nulls"] = _dirty_with([], "\nUNION ALL\n".join(
+        f"""SELECT '{named.get((t, c), c)}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null,
+            '{t}' AS table_name FROM landing WHERE date IS NOT NULL""" for t, cols in refused.items() for c in cols.split()))
+    o["dq_domain"] = _dirty_with([], """
+        SELECT 'oper_type' AS column_name, oper_type AS value, COUNT(*) AS n_rows FROM landing
+        WHERE date IS NOT NULL AND (oper_type IS NULL OR oper_type NOT IN ('withdrawal', 'refill', 'payment')) GROUP BY 2
+        UNION ALL
+        SELECT 'oper_result', oper_result, COUNT(*) FROM landing
+        WHERE date IS NOT NULL AND (oper_result IS NULL OR oper_result NOT IN ('success', 'refused')) GROUP BY 2""")
+    o["dq_width"] = _dirty_with([], "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE length({c}) > {w}) AS n_too_long FROM landing"
         for c, w in LANDING_WIDTHS.items()))
+    o["dq_numeric"] = _with([], """SELECT trans_id FROM landing
+        WHERE CAST(trans_id AS BIGINT) % 23 = 6 AND abs(amount) * 1000000000 >= 100000000""")
+    o["landing_rejects"] = _with(["""bad AS (SELECT trans_id, CAST(trans_id AS BIGINT) % 97 = 3 AS d,
+        CAST(trans_id AS BIGINT) % 89 = 5 AS a, CAST(trans_id AS BIGINT) % 83 = 7 AS c FROM landing)"""],
+        """SELECT trans_id, 'bad_cell' AS reason FROM bad WHERE d OR a
+           UNION ALL SELECT trans_id, 'null_column:transactions' FROM bad WHERE d OR a
+           UNION ALL SELECT trans_id, 'null_key:clients' FROM bad WHERE c
+           UNION ALL SELECT trans_id, 'null_attribute:accounts' FROM bad WHERE c""")
+    for mode in ("scd1", "scd2"):
+        o[f"{mode}_clients_nulls"] = o[f"{mode}_clients"].replace(LANDING_SQL, _DIRTY_SQL).replace(
+            "WHERE client_id IS NOT NULL GROUP BY",
+            "WHERE client_id IS NOT NULL AND passport_num IS NOT NULL AND phone IS NOT NULL GROUP BY")
+    o["rule_amount_probe_ref"] = o["rule_amount_probe"]
     o["dq_history"] = _dq_history_sql()
     return o

@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_DOMAINS, REFERENCE_OPER_TYPES, day_start, ts_literal
+from ..config import FIXTURE_DOMAINS, REFERENCE_DOMAINS, day_start, ts_literal
 from ..operators import (
     amount_sequence,
     audit_fact,
@@ -27,6 +27,7 @@ from ..operators import (
     fraud_report,
     insert_missing,
     null_violations,
+    numeric_violations,
     orphans,
     rule_amount_probe,
     rule_city_hop,
@@ -43,7 +44,8 @@ from ..operators import (
 from ..operators.rules import day_report_dt
 from ..operators.quality import history_check
 from ..operators.scd import anti_null_aware, scd1_upsert_literal, scd2_merge_literal, with_day_validity
-from ..schemas import DIMS, LANDING, LANDING_WIDTHS
+from ..schemas import DIMS, LANDING, LANDING_WIDTHS, NOT_NULL
+from ..sources.landing import row_problems
 from ..sources import conform, drop_blank, fixture_landing, split_late
 
 REPORT_DAY = date(2024, 1, 15)
@@ -277,54 +279,145 @@ def q_report_all_days(spark, sf_dir):
     return fraud_report(fact, versioned_dims(lnd), day_report_dt(), FIXTURE_DOMAINS)
 
 
+# ------------------------------------------------------------------ rejects and NULLs
+
+def _dirty(landing: DataFrame) -> DataFrame:
+    """Landing rows with faults spread by trans_id: NULLs, values outside the
+    domains and over-long text among clean ones."""
+    i = F.col("trans_id").cast("bigint")
+    faults = {
+        "passport": F.when(i % 7 == 3, F.lit(None)).otherwise(F.col("passport")),
+        "phone": F.when(i % 11 == 5, F.lit(None)).otherwise(F.col("phone")),
+        "client": F.when(i % 83 == 7, F.lit(None)).otherwise(F.col("client")),
+        "oper_type": F.when(i % 13 == 1, F.lit("gift")).otherwise(F.col("oper_type")),
+        "oper_result": F.when(i % 17 == 2, F.lit(None)).otherwise(F.col("oper_result")),
+        "last_name": F.when(i % 19 == 4, F.repeat(F.lit("x"), 60)).otherwise(F.col("last_name")),
+    }
+    return landing.withColumns(faults)
+
+
+def q_landing_rejects(spark, sf_dir):
+    """Text cells that do not parse and NULLs that the tables refuse: every
+    such row with each of its reasons."""
+    i = F.col("trans_id").cast("bigint")
+    raw = _landing(spark, sf_dir)
+    raw = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).withColumns({
+        "date": F.when(i % 97 == 3, F.lit("no day")).otherwise(F.col("date")),
+        "amount": F.when(i % 89 == 5, F.lit("much")).otherwise(F.col("amount")),
+        "client": F.when(i % 83 == 7, F.lit(None)).otherwise(F.col("client"))})
+    rows = row_problems(conform(raw, LANDING, bad_cells=True))
+    return rows.select("trans_id", F.explode("problems").alias("reason"))
+
+
+def q_scd1_clients_nulls(spark, sf_dir):
+    """Clients (type 1) from rows some of which hold NULLs: those are kept out."""
+    return scd1_state(_dirty(_landing(spark, sf_dir)), "clients", LAST_DAY)
+
+
+def q_scd2_clients_nulls(spark, sf_dir):
+    return scd2_state(_dirty(_landing(spark, sf_dir)), "clients", LAST_DAY)
+
+
+def q_rule_amount_probe_ref(spark, sf_dir):
+    """Rule 4 with the default (reference) domains, on the fixture's results mapped to them."""
+    lnd = _landing(spark, sf_dir)
+    result = F.when(F.col("oper_result") == FIXTURE_DOMAINS.success, REFERENCE_DOMAINS.success) \
+        .otherwise(REFERENCE_DOMAINS.refused)
+    fact = _fact(lnd, REPORT_DAY).withColumn("oper_result", result)
+    return rule_amount_probe(fact, scd1_dims(lnd, REPORT_DAY), _run_ts())
+
+
 # ------------------------------------------------------------------ data quality
 
+def _third(key: str):
+    """About a third of the keys: by the code of the last character."""
+    return F.ascii(F.substring(key, -1, 1)) % 3 == 0
+
+
+def _every_third_twice(df: DataFrame, key: str) -> DataFrame:
+    return df.unionByName(df.where(_third(key)))
+
+
 def q_dq_duplicate_keys(spark, sf_dir):
-    """Clients staged more than once on the report day (one row per
-    operation): the staging feed is not key-unique, variants are."""
-    return duplicate_keys(stage(_landing(spark, sf_dir), REPORT_DAY)["clients"], ["client_id"])
+    """Primary keys of the dimensions (type 1 state) and histories (key, start_dt),
+    with every third key stored twice: the duplicated keys per table."""
+    staged = stage(_landing(spark, sf_dir), None)
+    parts = []
+    for n, spec in DIMS.items():
+        hist = scd2_backfill(staged[n], spec)
+        for table, df, keys in ((f"dim_{n}", current(hist), [spec.key]),
+                                (f"dim_{n}_hist", hist, [spec.key, "start_dt"])):
+            dup = duplicate_keys(_every_third_twice(df, spec.key), keys)
+            parts.append(dup.agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_keys"),
+                                 F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")))
+    return _union(parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def q_dq_orphans(spark, sf_dir):
-    """Cards staged on the report day whose account is not in the account
-    dimension loaded up to the day before (foreign key cards -> accounts)."""
+    """The four foreign keys over all days, against parents as of the report day's
+    eve: rows whose parent came later or never."""
     lnd = _landing(spark, sf_dir)
-    accounts = scd1_backfill(stage(_before(lnd, REPORT_DAY), None)["accounts"], DIMS["accounts"])
-    cards = variants(stage(lnd, REPORT_DAY)["cards"], DIMS["cards"])
-    return orphans(cards, "account_num", accounts, "account_num")
+    old = stage(_before(lnd, REPORT_DAY), None)
+    parents = {n: scd1_backfill(old[n], spec) for n, spec in DIMS.items()}
+    now = stage(lnd, None)
+    children = {n: scd1_backfill(now[n], spec) for n, spec in DIMS.items()}
+    keys = (("accounts", children["accounts"], "client", "clients"),
+            ("cards", children["cards"], "account_num", "accounts"), ("fact", now["transactions"], "card_num", "cards"), ("fact", now["transactions"], "terminal", "terminals"))
+    return _union([orphans(df, fk, parents[parent], DIMS[parent].key)
+                   .agg(F.lit(child).alias("child"), F.lit(parent).alias("parent"), F.count(F.lit(1)).alias("n_rows"))
+                   for child, df, fk, parent in keys])
 
 
 def q_dq_nulls(spark, sf_dir):
-    lnd = _landing(spark, sf_dir)
-    return null_violations(lnd, lnd.columns)
+    """NOT NULL columns of the dimensions' and the fact's feeds, with NULLs among the rows."""
+    st = stage(_dirty(_landing(spark, sf_dir)), None)
+    return _union([null_violations(st[n], list(cols)).withColumn("table_name", F.lit(n))
+                   for n, cols in NOT_NULL.items() if n in st])
 
 
 def q_dq_domain(spark, sf_dir):
-    """Operation types outside the reference's list partitions."""
-    f = stage(_landing(spark, sf_dir), None)["transactions"]
-    return (domain_violations(f, "oper_type", REFERENCE_OPER_TYPES)
-            .groupBy("oper_type").agg(F.count(F.lit(1)).alias("n_rows")))
+    """Operation types and results outside the list domains."""
+    f = stage(_dirty(_landing(spark, sf_dir)), None)["transactions"]
+    return _union([domain_violations(f, c, allowed).groupBy(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+                   .agg(F.count(F.lit(1)).alias("n_rows"))
+                   for c, allowed in (("oper_type", FIXTURE_DOMAINS.oper_types),
+                                      ("oper_result", FIXTURE_DOMAINS.oper_results))])
 
 
 def q_dq_width(spark, sf_dir):
-    return width_violations(_landing(spark, sf_dir), LANDING_WIDTHS)
+    return width_violations(_dirty(_landing(spark, sf_dir)), LANDING_WIDTHS)
+
+
+def q_dq_numeric(spark, sf_dir):
+    """Amounts, some of them a billion times as large, that do not fit numeric(10,2)."""
+    i = F.col("trans_id").cast("bigint")
+    big = _landing(spark, sf_dir).select("trans_id", F.when(i % 23 == 6, F.col("amount").cast("decimal(28,2)") * 1000000000)
+                                         .otherwise(F.col("amount")).cast("decimal(28,2)").alias("amount"))
+    return numeric_violations(big, "amount").select("trans_id")
 
 
 def q_dq_history(spark, sf_dir):
-    """History invariants of every SCD2 dimension after the last day:
-    versions, open versions and violations per table."""
+    """History invariants of every SCD2 dimension after the last day, with the
+    closed versions of every third key ending a day late: versions, open
+    versions and violations per table."""
     lnd = _landing(spark, sf_dir)
     parts = []
     for n, spec in DIMS.items():
-        h = history_check(scd2_state(lnd, n, LAST_DAY), spec.key)
+        hist = scd2_state(lnd, n, LAST_DAY).withColumn("end_dt", F.when(
+            _third(spec.key), F.col("end_dt") + F.expr("INTERVAL '1' DAY")).otherwise(F.col("end_dt")))
+        h = history_check(hist, spec.key)
         parts.append(h.agg(F.lit(n).alias("table_name"),
                            F.count(F.lit(1)).alias("n_versions"),
                            F.count_if(F.col("end_dt").isNull()).alias("n_open"),
                            F.count_if(F.col("problem").isNotNull()).alias("n_violations")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(parts)
 
 
 def build() -> dict:
@@ -360,6 +453,10 @@ def build() -> dict:
         "rule_expired_account": _rule_query(rule_expired_account),
         "rule_city_hop": _rule_query(rule_city_hop),
         "rule_amount_probe": _rule_query(rule_amount_probe, domains=FIXTURE_DOMAINS),
+        "rule_amount_probe_ref": q_rule_amount_probe_ref,
+        "landing_rejects": q_landing_rejects,
+        "scd1_clients_nulls": q_scd1_clients_nulls,
+        "scd2_clients_nulls": q_scd2_clients_nulls,
         "report_day_scd1": q_report_day_scd1,
         "report_day_scd2": q_report_day_scd2,
         "report_all_days": q_report_all_days,
@@ -368,6 +465,7 @@ def build() -> dict:
         "dq_nulls": q_dq_nulls,
         "dq_domain": q_dq_domain,
         "dq_width": q_dq_width,
+        "dq_numeric": q_dq_numeric,
         "dq_history": q_dq_history,
     })
     return q

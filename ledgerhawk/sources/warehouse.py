@@ -138,6 +138,18 @@ class Warehouse:
             raise ValueError(f"{self.mode}: the batch of {before[-1]} is not loaded, or no state of that day is stored "
                              f"(inside a backfilled range); load it before {d}, or run the backfill again")
 
+    def starts_at(self, d: date) -> bool:
+        """Whether no day before ``d`` was ever loaded: the state before it is empty."""
+        return not [x for x in list_partitions(self.spark, self.path("_runs"), "load_dt") if x < d.isoformat()]
+
+    def empty_hist(self, name: str) -> DataFrame:
+        return self._empty(dim_schema(DIMS[name], "scd2"))
+
+    def read_written_versions(self, name: str, d: date) -> DataFrame:
+        """What day ``d``'s SCD2 job wrote: versions started, closed or still open."""
+        stored = StructType(dim_schema(DIMS[name], "scd2").fields + [StructField("state", StringType())])
+        return read_partition(self.spark, self.path(f"dim_{name}_hist"), "load_dt", d.isoformat(), stored)
+
     def require_loaded(self, d: date, kinds: tuple[str, ...] = ("state", "range")) -> None:
         if self.loaded_as(d) not in kinds:
             raise ValueError(f"{self.mode}: day {d} is not loaded, is invalid since an earlier day was loaded "
@@ -176,12 +188,14 @@ class Warehouse:
     def _open_snapshot_day(self, table: str, upto: date) -> tuple[str | None, bool]:
         """Latest day <= ``upto`` holding an open snapshot, and whether it
         alone gives the state at ``upto`` (no later partition up to then)."""
-        days = [d for d in list_partitions(self.spark, self.path(table), "load_dt") if d <= upto.isoformat()]
+        stored = list_partitions(self.spark, self.path(table), "load_dt")
+        days = [d for d in stored if d <= upto.isoformat()]
         for i in range(len(days) - 1, -1, -1):
             states = list_partitions(self.spark, f"{self.path(table)}/load_dt={days[i]}", "state")
-            if "open" in states:
+            # a finished daily run may leave no open version at all
+            if "open" in states or self.loaded_as(days[i]) == "state":
                 return days[i], i == len(days) - 1
-        return None, not days
+        return None, not stored
 
     def open_snapshot_is_exact(self, name: str, upto: date | str) -> bool:
         """Whether the state at ``upto`` is a stored open snapshot (else it is
@@ -205,8 +219,10 @@ class Warehouse:
         if day is None and exact:
             return self._empty(schema)
         if exact:
-            return self.spark.read.schema(schema).parquet(
-                f"{self.path(table)}/load_dt={day}/state=open").select(*spec.columns, "start_dt", "end_dt")
+            path = f"{self.path(table)}/load_dt={day}/state=open"
+            if not path_exists(self.spark, path):
+                return self._empty(schema)
+            return self.spark.read.schema(schema).parquet(path).select(*spec.columns, "start_dt", "end_dt")
         return self._rebuilt(name, upto).where(F.col("end_dt").isNull())
 
     def _rebuilt(self, name: str, upto: date) -> DataFrame:
@@ -215,10 +231,12 @@ class Warehouse:
         table = f"dim_{name}_hist"
         days = list_partitions(self.spark, self.path(table), "load_dt")
         last_open, _ = self._open_snapshot_day(table, date.fromisoformat(days[-1]))
-        every = (self.spark.read.parquet(self.path(table))
-                 .where((F.col("state") == "closed")
-                        | ((F.col("state") == "open") & (F.col("load_dt") == F.lit(date.fromisoformat(last_open)))))
-                 .select(*spec.columns, "start_dt", "end_dt"))
+        stored = StructType(dim_schema(spec, "scd2").fields + [StructField("state", StringType())])
+        live = F.col("state") == "closed"
+        if last_open is not None:
+            live |= (F.col("state") == "open") & (F.col("load_dt") == F.lit(date.fromisoformat(last_open)))
+        every = self._read_days(table, "load_dt", stored, None, None).where(live) \
+            .select(*spec.columns, "start_dt", "end_dt")
         hi = F.lit((upto + timedelta(days=1)).isoformat()).cast("timestamp_ntz")
         return every.where(F.col("start_dt") < hi).withColumn(
             "end_dt", F.when(F.col("end_dt") < hi, F.col("end_dt")))

@@ -12,13 +12,13 @@ from ledgerhawk.plans import registry
 
 ALL_DAYS = {
     "/root/testdata/sf0.001": (232, 418, 93, 2),
-    "/root/testdata/sf0.01": (1993, 2039, 792, 1),
-    "/root/testdata/sf0.1": (19528, 19432, 7112, 24),
+    "/root/testdata/sf0.01": (1993, 2039, 808, 1),
+    "/root/testdata/sf0.1": (19528, 19432, 8283, 24),
 }
 REPORT_DAY = {
     "/root/testdata/sf0.001": (5, 9, 7, 0),
-    "/root/testdata/sf0.01": (57, 54, 25, 1),
-    "/root/testdata/sf0.1": (596, 495, 237, 4),
+    "/root/testdata/sf0.01": (57, 54, 24, 1),
+    "/root/testdata/sf0.1": (596, 495, 274, 4),
 }
 ORDER = (FRAUD_EXPIRED_PASSPORT, FRAUD_EXPIRED_ACCOUNT, FRAUD_CITY_HOP, FRAUD_AMOUNT_PROBE)
 
@@ -40,9 +40,9 @@ def test_report_day(spark, sf_dir):
 
 @pytest.mark.parametrize("sf_dir,counts", [
     ("/root/testdata/sf0.01", {"clients": (150, 438), "accounts": (362, 362), "cards": (150, 362),
-                               "terminals": (10, 39)}),
+                               "terminals": (100, 390)}),
     ("/root/testdata/sf0.1", {"clients": (1500, 4371), "accounts": (3656, 3656), "cards": (1500, 3656),
-                              "terminals": (10, 39)}),
+                              "terminals": (1000, 3900)}),
 ])
 def test_dimension_rows_after_last_day(spark, sf_dir, counts):
     lnd = registry.fixture_landing(spark, sf_dir)

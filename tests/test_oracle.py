@@ -6,12 +6,13 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__ as E  # noqa: E402
+from ledgerhawk.plans import oracle, registry  # noqa: E402
 from conftest import SF0001
 from tools.check_oracle import TABLES, digest
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.build()
+ORACLES = oracle.build()
 
 
 @pytest.fixture(scope="module")

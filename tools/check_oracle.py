@@ -42,7 +42,7 @@ def digest(cols, rows):
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    import __spark_entry__ as E
+    from ledgerhawk.plans import oracle, registry
     from ledgerhawk.config import build_session
     spark = build_session("local[8]", spark__sql__shuffle__partitions="8")
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,7 +51,7 @@ def main() -> int:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    qs, sqls = E.queries(), E.oracle_sql()
+    qs, sqls = registry.build(), oracle.build()
     bad = 0
     for k, fn in qs.items():
         if only and k not in only:
