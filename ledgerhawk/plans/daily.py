@@ -1,4 +1,4 @@
-"""The daily driver: ETL then report, day after day."""
+"""The daily driver: ETL, quality counts, report, day after day."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import SparkSession
 
 from ..config import REFERENCE_DOMAINS, Domains, as_date
+from .checks import check_day
 from .etl import run_etl
 from .report import run_report
 
@@ -19,9 +20,10 @@ def days_between(start: date | str, end: date | str) -> list[date]:
 def run_day(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
             run_ts: str | None = None, gate: str = "per_key",
             domains: Domains = REFERENCE_DOMAINS) -> None:
-    """``run_etl`` then ``run_report`` for one day. Each output is one
-    atomic job per table; a failed day is simply run again."""
+    """``run_etl``, the data-quality counts and ``run_report`` for one day. Each output
+    is one atomic job per table; a failed day is not marked as loaded and simply run again."""
     run_etl(spark, root, d, mode, run_ts, gate)
+    check_day(spark, root, d, mode, domains)
     run_report(spark, root, d, mode, run_ts, domains)
 
 

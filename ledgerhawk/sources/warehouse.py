@@ -16,6 +16,7 @@ was loaded again), and jobs that need it refuse to run. Layout under ``root/<mod
     report/load_dt=D
     audit/load_dt=D
     quarantine/load_dt=D                  landing rows kept out, with the reason
+    quality/load_dt=D                     counts of the day's data-quality checks
     _runs/load_dt=D                       marker of a finished run (its batch is consumed)
 """
 
@@ -26,12 +27,14 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ..config import as_date, check_mode
 from ..schemas import AUDIT, DIMS, LANDING, REPORT, DimSpec
 
 TS = TimestampNTZType()
+QUALITY = StructType([StructField("check_name", StringType()), StructField("table_name", StringType()),
+                      StructField("column_name", StringType()), StructField("n_rows", LongType())])
 
 
 def dim_schema(spec: DimSpec, mode: str) -> StructType:
@@ -340,5 +343,12 @@ class Warehouse:
         empty = StructType(AUDIT.fields + [StructField("load_dt", DateType())])
         return read_partition(self.spark, self.path("audit"), "load_dt", as_date(d).isoformat(), empty)
 
+    def write_quality(self, counts: DataFrame, d: date | str) -> None:
+        self._write_day(counts, "quality", "load_dt", d)
+
+    def read_quality(self, d: date | str) -> DataFrame:
+        full = StructType(QUALITY.fields + [StructField("load_dt", DateType())])
+        return read_partition(self.spark, self.path("quality"), "load_dt", as_date(d).isoformat(), full)
+
     def write_quarantine(self, rows: DataFrame, d: date | str) -> None:
         self._write_day(rows, "quarantine", "load_dt", d)

@@ -112,7 +112,7 @@ def test_literal_modes_golden_counts_sf001(spark, tmp_path):
         run_etl(spark, root, d, "scd2", gate="literal")
     w1, w2 = Warehouse(spark, root, "scd1"), Warehouse(spark, root, "scd2")
     assert {n: w1.read_dim(n, "2024-01-30").count() for n in ("clients", "accounts", "cards", "terminals")} == \
-        {"clients": 134, "accounts": 268, "cards": 134, "terminals": 10}
+        {"clients": 134, "accounts": 268, "cards": 134, "terminals": 100}
     h = w2.read_hist("cards", "2024-01-30")
     assert h.count() == 6853 and h.where("end_dt IS NULL").count() == 4006
     assert h.groupBy("card_num", "start_dt").count().where("count > 1").count() == 212
@@ -306,3 +306,18 @@ def test_rule_4_on_reference_values_by_default(spark, tmp_path):
     land_rows(spark, root, "2024-05-01", rows)
     run_day(spark, root, "2024-05-01")
     assert [r.fraud_type for r in Warehouse(spark, root).read_report("2024-05-01").collect()] == ["Попытка подбора сумм"]
+
+
+def test_quality_counts_of_a_day(spark, tmp_path):
+    """Violations beside clean rows: an unknown client, a value outside its domain, a NULL amount."""
+    root = str(tmp_path)
+    good, bad = operation(1, "2024-05-01 10:00"), list(operation(2, "2024-05-01 11:00", "C2", oper_type="gift"))
+    bad[4], bad[5] = None, None  # client and amount
+    land_rows(spark, root, "2024-05-01", [good, tuple(bad)])
+    run_day(spark, root, "2024-05-01")
+    n = {(r.check_name, r.table_name, r.column_name): r.n_rows
+         for r in Warehouse(spark, root).read_quality("2024-05-01").collect()}
+    assert n[("orphans", "cards", "account_num")] == 1 and n[("orphans", "transactions", "card_num")] == 0
+    assert n[("domain", "transactions", "oper_type")] == 1 and n[("domain", "transactions", "oper_result")] == 0
+    assert n[("null", "transactions", "amt")] == 1 and n[("null", "clients", "phone")] == 0
+    assert n[("duplicate_keys", "cards", "card_num")] == 0 and ("width", "terminals", "terminal_address") in n
