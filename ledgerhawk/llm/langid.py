@@ -194,7 +194,7 @@ def _label(texts: pa.Array, model: Model, penalty: float) -> tuple[list, list, l
     turns = np.ones(len(path), dtype=bool)
     turns[1:] = (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])
     first = np.flatnonzero(turns)
-    last = np.append(first[1:], len(path)) - 1
+    last = np.append(first, len(path))[1:] - 1
     spans: list[list] = [[] for _ in range(n)]
     inside = place - offsets[text_of] if len(place) else place
     for d, a, b, k in zip(text_of[first].tolist(), inside[first].tolist(), inside[last].tolist(),
