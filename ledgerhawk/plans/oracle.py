@@ -9,6 +9,7 @@ so the Spark operators are checked against a different formulation.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 from ..config import (
     FRAUD_AMOUNT_PROBE,
@@ -16,8 +17,35 @@ from ..config import (
     FRAUD_EXPIRED_ACCOUNT,
     FRAUD_EXPIRED_PASSPORT,
 )
-from ..schemas import DIMS, FACT_SOURCE, LANDING, LANDING_WIDTHS
-from .registry import LAST_DAY, REPORT_DAY, RUN_TS
+
+#: The mapping and the days, written out here: the code under test has its own.
+REPORT_DAY, LAST_DAY, RUN_TS = date(2024, 1, 15), date(2024, 1, 30), "2024-01-16 00:00:00"
+
+
+def _mapping(text: str) -> dict[str, str]:
+    return dict(pair.split("=") for pair in text.split())
+
+
+def _dim(text: str) -> SimpleNamespace:
+    source = _mapping(text)
+    key, *attrs = source
+    return SimpleNamespace(key=key, attrs=attrs, columns=list(source), source=source)
+
+
+DIMS = {
+    "clients": _dim("client_id=client last_name=last_name first_name=first_name patronymic=patronymic "
+                    "date_of_birth=date_of_birth passport_num=passport passport_valid_to=passport_valid_to phone=phone"),
+    "accounts": _dim("account_num=account valid_to=account_valid_to client=client"),
+    "cards": _dim("card_num=card account_num=account"),
+    "terminals": _dim("terminal_id=terminal terminal_type=terminal_type terminal_city=city terminal_address=address"),
+}
+FACT_SOURCE = _mapping("trans_id=trans_id trans_date=date card_num=card oper_type=oper_type amt=amount "
+                       "oper_result=oper_result terminal=terminal")
+LANDING_COLS = ("trans_id date card account account_valid_to client last_name first_name patronymic date_of_birth "
+                "passport passport_valid_to phone oper_type amount oper_result terminal terminal_type city "
+                "address").split()
+LANDING_WIDTHS = {c: 50 for c in LANDING_COLS
+                  if c not in ("date", "account_valid_to", "date_of_birth", "passport_valid_to", "amount")}
 
 DN = "date_diff('day', DATE '2024-01-01', CAST(e.ts AS DATE))"
 
@@ -51,9 +79,6 @@ landing AS (
   JOIN nation n2 ON n2.n_nationkey = s.s_nationkey
 )"""
 
-LANDING_COLS = [f.name for f in LANDING.fields]
-
-
 def _ts(d: date) -> str:
     return f"TIMESTAMP '{d.isoformat()} 00:00:00'"
 
@@ -119,6 +144,16 @@ def current_dims_sql(upto: date) -> list[str]:
     return ctes
 
 
+def dims_in_force_sql(day: date) -> list[str]:
+    """``cur_<dim>`` from the whole history: the version in force at the end of ``day``."""
+    ctes = []
+    for n in DIMS:
+        ctes += hist_sql(n, LAST_DAY, n)
+        ctes.append(f"""cur_{n} AS (SELECT * FROM {n}_hist WHERE start_dt < {_ts(_next(day))}
+             AND (end_dt IS NULL OR end_dt >= {_ts(_next(day))}))""")
+    return ctes
+
+
 PROFILE_SQL = """profile AS (
   SELECT cd.card_num, ac.valid_to AS account_valid_to, cl.passport_num, cl.passport_valid_to,
          cl.last_name || ' ' || cl.first_name || ' ' || cl.patronymic AS fio, cl.phone
@@ -197,8 +232,8 @@ PROBES_SQL = """probes AS (SELECT card_num, last_trans_date AS trans_date FROM a
   WHERE oper_result_total = 1 AND last_oper = 'success' AND prev_less_than_cur_total = 0)"""
 
 
-def _report_day_sql() -> str:
-    ctes = current_dims_sql(D) + [_fact_day(), PROFILE_SQL, *CITY_SEQ_CTES, CITY_HOPS_SQL,
+def _report_day_sql(dims) -> str:
+    ctes = dims(D) + [_fact_day(), PROFILE_SQL, *CITY_SEQ_CTES, CITY_HOPS_SQL,
                                   AMOUNT_SEQ_SQL, PROBES_SQL]
     body = "\nUNION ALL\n".join([
         _report_select(
@@ -382,7 +417,7 @@ def build() -> dict[str, str]:
     enriched = ("SELECT trans_id, trans_date, card_num, passport_num, fio, phone, passport_valid_to, "
                 "account_valid_to FROM fact JOIN profile USING (card_num)")
     o["tx_enriched"] = _with(current_dims_sql(D) + [_fact_day(), PROFILE_SQL], enriched)
-    o["tx_enriched_current"] = o["tx_enriched"]
+    o["tx_enriched_current"] = _with(dims_in_force_sql(D) + [_fact_day(), PROFILE_SQL], enriched)
     o["city_sequence"] = _with(current_dims_sql(D) + [_fact_day(), *CITY_SEQ_CTES], "SELECT * FROM cseq")
     o["amount_sequence"] = _with([_fact_day(), AMOUNT_SEQ_SQL], "SELECT * FROM aseq")
     o["rule_expired_passport"] = _rule12("passport_valid_to < trans_date", FRAUD_EXPIRED_PASSPORT)
@@ -393,8 +428,8 @@ def build() -> dict[str, str]:
     o["rule_amount_probe"] = _with(current_dims_sql(D) + [_fact_day(), PROFILE_SQL, AMOUNT_SEQ_SQL, PROBES_SQL],
                                    _report_select("probes JOIN profile USING (card_num)", "trans_date",
                                                   _q(FRAUD_AMOUNT_PROBE), RUN))
-    o["report_day_scd1"] = _report_day_sql()
-    o["report_day_scd2"] = o["report_day_scd1"]
+    o["report_day_scd1"] = _report_day_sql(current_dims_sql)
+    o["report_day_scd2"] = _report_day_sql(dims_in_force_sql)
     o["report_all_days"] = _report_all_days_sql()
     states = [x for n in DIMS for x in [*hist_sql(n, LAST_DAY, n), scd1_sql(n, n)]]
     o["dq_duplicate_keys"] = _with(states, "\nUNION ALL\n".join(
