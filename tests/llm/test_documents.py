@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_fixtures import none, odd, sample  # noqa: F401
 from ledgerhawk.llm import attention_lm, langid, licenses, outliers, qda, simhash
 from ledgerhawk.llm.common import doc_bucket, read
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from llm_fixtures import none, odd  # noqa: F401
 from ledgerhawk.llm import langid, multi_index, outliers, packing, queries, simhash
 from ledgerhawk.llm.common import read
 

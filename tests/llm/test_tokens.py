@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm_fixtures import none, odd, sample  # noqa: F401
 from ledgerhawk.llm import bytebpe, packing, queries, simple8b
 from ledgerhawk.llm.common import shared_folder
 from ledgerhawk.llm.subword import encoder
