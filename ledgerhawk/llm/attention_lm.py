@@ -47,11 +47,11 @@ from .common import distinct_pieces, fold, keep, prepared, text_groups
 from .subword import default_path, encoder
 
 CLASSES, WIDTH, HOP = 256, 16, 16
-EVERY, ROUNDS, BATCH, RATE = 16, 2, 64, 0.01
+EVERY, ROUNDS, BATCH, RATE = 32, 2, 32, 0.01
 ALPHA = 0.1
 #: Weight of the class before against the id before, and of the class alone against the class before.
 BACK_ID, BACK_CLASS = 20.0, 5.0
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 14 << 20
 _NEVER = np.float32(-1e9)
 
 
@@ -162,7 +162,7 @@ class Attention:
     """Parameters ``p`` (one float32 vector) and the batched forward and backward passes."""
 
     def __init__(self, skip: np.ndarray, p: np.ndarray | None = None, seed: int = 5):
-        self.skip = skip  # log p(class | row of the id before)
+        self.skip, self.prior = skip, np.exp(skip)  # log p(class | row of the id before), and p itself
         k, d = skip.shape[1], WIDTH
         self.shapes = {"q": (k + 1, d), "k": (k + 1, d), "v": (k + 1, d), "pos": (HOP, 2 * HOP), "out": (d, k)}
         sizes = [int(np.prod(s)) for s in self.shapes.values()]
@@ -189,6 +189,16 @@ class Attention:
         a /= a.sum(axis=2, keepdims=True)
         return there, q, k, v, a, a @ v
 
+    def _attend(self, w: np.ndarray) -> np.ndarray:
+        """The last of :meth:`_hidden` alone, without what only the gradient needs."""
+        there = np.where(w < 0, len(self.part("q")) - 1, w)
+        s = (self.part("q") / np.float32(np.sqrt(WIDTH)))[there[:, HOP:]] @ self.part("k")[there].transpose(0, 2, 1)
+        s += np.clip(self.part("pos"), -40, 40) + self.mask
+        begins = np.flatnonzero(w[:, 0] < 0)  # windows that reach back before their text
+        s[begins] += np.where(w[begins] < 0, _NEVER, np.float32(0))[:, None, :]
+        np.exp(s, out=s)
+        return (s @ self.part("v")[there]) / s.sum(axis=2)[:, :, None]
+
     def _logits(self, rows: np.ndarray, h: np.ndarray) -> np.ndarray:
         z = h.reshape(-1, WIDTH) @ self.part("out")
         z += self.skip[rows.reshape(-1)]
@@ -196,10 +206,15 @@ class Attention:
         return z
 
     def log_class(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Log probability of the classes ``y`` (windows, HOP); ``rows``: of the ids before them."""
-        z = self._logits(rows, self._hidden(w)[-1])
-        hit = z[np.arange(y.size), y.reshape(-1)]
-        return (hit - np.log(np.exp(z, out=z).sum(axis=1))).reshape(y.shape)
+        """Log probability of the classes ``y`` (windows, HOP); ``rows``: of the ids before them.
+
+        softmax(skip + a) is p(class | id before) * exp(a), normalised: one product and one sum."""
+        rows, y = rows.reshape(-1), y.reshape(-1)
+        a = self._attend(w).reshape(-1, WIDTH) @ self.part("out")
+        np.exp(np.minimum(a, 60, out=a), out=a)
+        here = np.arange(len(y))
+        hit = np.log(a[here, y]) + self.skip[rows, y]
+        return (hit - np.log(np.einsum("nk,nk->n", a, self.prior[rows]))).reshape(-1, HOP)
 
     def gradient(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray, real: np.ndarray) -> np.ndarray:
         """Gradient of the mean loss over the ``real`` places."""
@@ -250,7 +265,7 @@ class Model:
         classes, rows, after = t.of[before], t.row[before], t.of[flat]
         out = t.log_within(classes, flat)
         first, text = windows(bounds)
-        per = (1 << 14) // HOP
+        per = 64  # windows at a time: their arrays stay in the processor's cache
         for k in range(0, len(first), per):
             part = slice(k, k + per)
             w, at, real = window_rows(classes, bounds, first[part], text[part])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from .common import distinct_pieces
 
 #: Words remembered by one worker (about 150 bytes each).
-MEMO_WORDS = 1_200_000
+MEMO_WORDS = 1_000_000
 _TAIL = ".,;:!?"
 
 
