@@ -9,11 +9,13 @@ equal training mass. One layer of causal self-attention in numpy predicts the cl
 
     z = log p(class | id before) + attention(classes before) @ out
 
-The conditional counts come from all training documents; query, key, value, position
-and output parameters are learned by gradient steps. All tables are bounded by
-ids seen x classes. Windows of ``2 * HOP`` symbols overlap by half: the first half is context
-only, so every symbol is scored once, from HOP to 2 * HOP - 1 symbols of
-context, in batches with a causal mask.
+in two choices, the class's group (of 16) and the class in its group, so that a
+symbol costs two small softmaxes. The conditional counts come from all training
+documents; query, key, value, position and output parameters are learned by
+gradient steps. All tables are bounded by ids seen x classes. Windows of
+``2 * HOP`` symbols overlap by half: the first half is context only, so every
+symbol is scored once, from HOP to 2 * HOP - 1 symbols of context, in batches
+with a causal mask.
 
 Training is data parallel: each task runs Adam over its own windows (one of
 ``EVERY`` of every training document, so it grows with the corpus) from common
@@ -47,7 +49,7 @@ from .common import distinct_pieces, fold, keep, prepared, text_groups
 from .subword import default_path, encoder
 
 CLASSES, WIDTH, HOP = 256, 16, 16
-EVERY, ROUNDS, BATCH, RATE = 32, 2, 32, 0.01
+EVERY, ROUNDS, BATCH, RATE = 16, 2, 64, 0.01
 ALPHA = 0.1
 #: Weight of the class before against the id before, and of the class alone against the class before.
 BACK_ID, BACK_CLASS = 20.0, 5.0
@@ -113,7 +115,7 @@ class Tables:
     row: np.ndarray  # row of each id in `skip`: its own if seen in training, else its class's
     column: np.ndarray  # column of each id in `pairs`; the last for all unseen ids
     share: np.ndarray  # p(id | class)
-    skip: np.ndarray  # log p(class | id before)
+    skip: np.ndarray  # p(class | id before)
     pairs: np.ndarray  # counts of (class before, id)
     pair_totals: np.ndarray  # counts of (class before, class)
     seen: int  # ids seen in training
@@ -145,7 +147,7 @@ class Tables:
         np.add.at(by_class, first, next_class)
         by_class = (by_class + 0.5) / (by_class + 0.5).sum(axis=1, keepdims=True)
         own = (next_class + BACK_ID * by_class[first]) / (next_class.sum(axis=1, keepdims=True) + BACK_ID)
-        self.skip = np.log(np.concatenate((own, by_class))).astype(np.float32)
+        self.skip = np.concatenate((own, by_class)).astype(np.float32)
         self.pairs = next_id.astype(np.float32)
         column_class = np.zeros(next_id.shape[1], dtype=np.int64)
         column_class[self.column[known]] = self.of[known]
@@ -162,9 +164,14 @@ class Attention:
     """Parameters ``p`` (one float32 vector) and the batched forward and backward passes."""
 
     def __init__(self, skip: np.ndarray, p: np.ndarray | None = None, seed: int = 5):
-        self.skip, self.prior = skip, np.exp(skip)  # log p(class | row of the id before), and p itself
         k, d = skip.shape[1], WIDTH
-        self.shapes = {"q": (k + 1, d), "k": (k + 1, d), "v": (k + 1, d), "pos": (HOP, 2 * HOP), "out": (d, k)}
+        self.groups = int(k ** 0.5)
+        self.size = k // self.groups
+        self.skip = skip  # p(class | row of the id before)
+        self.prior = skip.reshape(-1, self.groups, self.size)
+        self.group_prior = self.prior.sum(axis=2)
+        self.shapes = {"q": (k + 1, d), "k": (k + 1, d), "v": (k + 1, d), "pos": (HOP, 2 * HOP),
+                       "group": (d, self.groups), "sub": (self.groups, d, self.size)}
         sizes = [int(np.prod(s)) for s in self.shapes.values()]
         if p is None:
             rng = np.random.default_rng(seed)
@@ -199,33 +206,42 @@ class Attention:
         np.exp(s, out=s)
         return (s @ self.part("v")[there]) / s.sum(axis=2)[:, :, None]
 
-    def _logits(self, rows: np.ndarray, h: np.ndarray) -> np.ndarray:
-        z = h.reshape(-1, WIDTH) @ self.part("out")
-        z += self.skip[rows.reshape(-1)]
-        z -= z.max(axis=1, keepdims=True)
-        return z
+    def _choices(self, rows: np.ndarray, y: np.ndarray):
+        """The two choices that make a class: its group, then the class in its group. Yields
+        places, name and index of the output weights, p(choice | id before), and what was chosen."""
+        yield np.arange(len(y)), "group", slice(None), self.group_prior[rows], y // self.size
+        for g in range(self.groups):
+            at = np.flatnonzero(y // self.size == g)
+            if len(at):
+                yield at, "sub", g, self.prior[rows[at], g], y[at] % self.size
+
+    @staticmethod
+    def _share(h: np.ndarray, weights: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        """softmax(log prior + h @ weights)"""
+        a = np.exp(np.clip(h @ weights, -60, 60)) * prior
+        return a / a.sum(axis=1, keepdims=True)
 
     def log_class(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Log probability of the classes ``y`` (windows, HOP); ``rows``: of the ids before them.
-
-        softmax(skip + a) is p(class | id before) * exp(a), normalised: one product and one sum."""
-        rows, y = rows.reshape(-1), y.reshape(-1)
-        a = self._attend(w).reshape(-1, WIDTH) @ self.part("out")
-        np.exp(np.minimum(a, 60, out=a), out=a)
-        here = np.arange(len(y))
-        hit = np.log(a[here, y]) + self.skip[rows, y]
-        return (hit - np.log(np.einsum("nk,nk->n", a, self.prior[rows]))).reshape(-1, HOP)
+        """Log probability of the classes ``y`` (windows, HOP); ``rows``: of the ids before them."""
+        h, shape = self._attend(w).reshape(-1, WIDTH), y.shape
+        total = np.zeros(y.size)
+        for at, name, i, prior, chosen in self._choices(rows.reshape(-1), y.reshape(-1)):
+            total[at] += np.log(self._share(h[at], self.part(name)[i], prior)[np.arange(len(at)), chosen])
+        return total.reshape(shape)
 
     def gradient(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray, real: np.ndarray) -> np.ndarray:
         """Gradient of the mean loss over the ``real`` places."""
-        there, q, k, v, a, h = self._hidden(w)
-        dz = np.exp(self._logits(rows, h))
-        dz /= dz.sum(axis=1, keepdims=True)
-        dz[np.arange(y.size), y.reshape(-1)] -= 1
-        dz *= (real.reshape(-1) / max(1, real.sum()))[:, None]
-        g = np.zeros_like(self.p)
-        self.part("out", g)[:] = h.reshape(-1, WIDTH).T @ dz
-        dh = (dz @ self.part("out").T).reshape(h.shape)
+        there, q, k, v, a, hidden = self._hidden(w)
+        h = hidden.reshape(-1, WIDTH)
+        g, dh = np.zeros_like(self.p), np.zeros_like(h)
+        weight = (real.reshape(-1) / max(1, real.sum()))[:, None]
+        for at, name, i, prior, chosen in self._choices(rows.reshape(-1), y.reshape(-1)):
+            dz = self._share(h[at], self.part(name)[i], prior)
+            dz[np.arange(len(at)), chosen] -= 1
+            dz *= weight[at]
+            self.part(name, g)[i] += h[at].T @ dz
+            dh[at] += dz @ self.part(name)[i].T
+        dh = dh.reshape(hidden.shape)
         da = dh @ v.transpose(0, 2, 1)
         ds = a * (da - (a * da).sum(axis=2, keepdims=True))
         self.part("pos", g)[:] = ds.sum(axis=0)
@@ -265,7 +281,7 @@ class Model:
         classes, rows, after = t.of[before], t.row[before], t.of[flat]
         out = t.log_within(classes, flat)
         first, text = windows(bounds)
-        per = 64  # windows at a time: their arrays stay in the processor's cache
+        per = 512  # windows at a time
         for k in range(0, len(first), per):
             part = slice(k, k + per)
             w, at, real = window_rows(classes, bounds, first[part], text[part])
