@@ -17,9 +17,9 @@ gradient steps. All tables are bounded by ids seen x classes. Windows of
 symbol is scored once, from HOP to 2 * HOP - 1 symbols of context, in batches
 with a causal mask.
 
-Training is data parallel: each task runs Adam over its own windows (one of
-``EVERY`` of every training document, so it grows with the corpus) from common
-parameters, and Spark averages the results, ``ROUNDS`` times.
+Training is data parallel: each task runs Adam over its own windows from common
+parameters, and Spark averages the results, ``ROUNDS`` times. The rounds share the
+windows out: every window of every training document takes one gradient step.
 
 The base score is a word unigram over the counts of all training words. Texts are
 written once as blocks of bounded size with each block's distinct words; counts
@@ -49,7 +49,7 @@ from .common import distinct_pieces, fold, keep, prepared, text_groups
 from .subword import default_path, encoder
 
 CLASSES, WIDTH, HOP = 256, 16, 16
-EVERY, ROUNDS, BATCH, RATE = 16, 2, 64, 0.01
+ROUNDS, BATCH, RATE = 2, 64, 0.01
 ALPHA = 0.1
 #: Weight of the class before against the id before, and of the class alone against the class before.
 BACK_ID, BACK_CLASS = 20.0, 5.0
@@ -262,6 +262,12 @@ def windows(bounds: np.ndarray):
     return bounds[:-1][text] + hop * HOP, text
 
 
+def turn_windows(bounds: np.ndarray, turn: int) -> np.ndarray:
+    """The windows (by number) that learn in a round: each in one round, neighbours in different ones."""
+    place, text = windows(bounds)
+    return np.flatnonzero(((place - bounds[:-1][text]) // HOP + text) % ROUNDS == turn)
+
+
 def window_rows(before: np.ndarray, bounds: np.ndarray, first: np.ndarray, text: np.ndarray):
     """Classes before each place of the windows (-1 before the text), their places, and which are real."""
     at = first[:, None] + np.arange(-HOP, HOP)
@@ -378,8 +384,7 @@ def _averaged(train_rows: DataFrame, net: Attention, tables: Tables, n_ids: int,
             flat, before, bounds = _closed(ids, n_ids)
             classes, rows, after = tables.of[before], tables.row[before], tables.of[flat]
             place, text = windows(bounds)
-            hop = (place - bounds[:-1][text]) // HOP
-            pick = rng.permutation(np.flatnonzero((hop + text + turn) % EVERY == 0))
+            pick = rng.permutation(turn_windows(bounds, turn))
             for k in range(0, len(pick), BATCH):
                 at, step = pick[k:k + BATCH], step + 1
                 w, where, real = window_rows(classes, bounds, place[at], text[at])

@@ -250,6 +250,13 @@ def test_lm_gradient_is_the_slope():
         assert (loss(up) - loss(down)) / 2e-4 == pytest.approx(g[i], abs=2e-4)
 
 
+def test_lm_learns_from_every_window_once():
+    for sizes in ([1] * 40, [5, 16, 17, 300, 1, 0, 900]):
+        bounds = np.append(0, np.cumsum(sizes))
+        picked = [attention_lm.turn_windows(bounds, turn) for turn in range(attention_lm.ROUNDS)]
+        assert sorted(np.concatenate(picked).tolist()) == list(range(sum(-(-n // attention_lm.HOP) for n in sizes)))
+
+
 def test_lm_odd_rows(odd, none):
     got = attention_lm.score(odd).collect()
     assert len(got) == odd.count() and all(r.score < 0 and r.n_tokens >= 1 for r in got)
