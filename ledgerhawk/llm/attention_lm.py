@@ -7,19 +7,21 @@ The ids of the whole text (an end id closes it) are predicted one after the othe
 Classes are ``CLASSES`` groups of ids: the most frequent ones alone, the rest in bins of
 equal training mass. One layer of causal self-attention in numpy predicts the class:
 
-    z = log p(class | id before) + attention(classes before) @ out
+    z = log p(class | id before) + attention(ids before) @ out
 
 in two choices, the class's group (of 16) and the class in its group, so that a
 symbol costs two small softmaxes. The conditional counts come from all training
 documents; query, key, value, position and output parameters are learned by
-gradient steps. All tables are bounded by ids seen x classes. Windows of
+gradient steps. Every id seen in training has a query, key and value of its own; the
+others share their class's, the mean of its ids. All tables are bounded by ids seen x classes. Windows of
 ``2 * HOP`` symbols overlap by half: the first half is context only, so every
 symbol is scored once, from HOP to 2 * HOP - 1 symbols of context, in batches
 with a causal mask.
 
 Training is data parallel: each task runs Adam over its own windows from common
 parameters, and Spark averages the results, ``ROUNDS`` times. The rounds share the
-windows out: every window of every training document takes one gradient step.
+windows out: every window of every training document takes one gradient step. A step
+touches the rows of its own ids only, and a row's average is weighted by its steps.
 
 The base score is a word unigram over the counts of all training words. Texts are
 written once as blocks of bounded size with each block's distinct words; counts
@@ -160,6 +162,11 @@ class Tables:
         return np.log(hits / (self.pair_totals[before, self.of[ids]] + BACK_CLASS))
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums along the last axis, as a product."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones((x.shape[-1], 1), dtype=x.dtype)).reshape(*x.shape[:-1], 1)
+
+
 class Attention:
     """Parameters ``p`` (one float32 vector) and the batched forward and backward passes."""
 
@@ -168,11 +175,15 @@ class Attention:
         self.groups = int(k ** 0.5)
         self.size = k // self.groups
         self.skip = skip  # p(class | row of the id before)
-        self.prior = skip.reshape(-1, self.groups, self.size)
-        self.group_prior = self.prior.sum(axis=2)
-        self.shapes = {"q": (k + 1, d), "k": (k + 1, d), "v": (k + 1, d), "pos": (HOP, 2 * HOP),
+        self.prior = skip.reshape(-1, self.size)  # by row and group
+        self.group_prior = skip.reshape(-1, self.groups, self.size).sum(axis=2)
+        # query, key and value of every row of `skip`, and of nothing there; then what all windows share
+        self.rows = len(skip) + 1
+        self.shapes = {"embed": (self.rows, 3 * d), "pos": (HOP, 2 * HOP),
                        "group": (d, self.groups), "sub": (self.groups, d, self.size)}
         sizes = [int(np.prod(s)) for s in self.shapes.values()]
+        self.shapes["pad"] = (-sum(sizes) % (3 * d),)  # all parameters are rows of 3 WIDTH
+        sizes.append(self.shapes["pad"][0])
         if p is None:
             rng = np.random.default_rng(seed)
             p = rng.normal(0, 0.1, sum(sizes)).astype(np.float32)
@@ -185,72 +196,111 @@ class Attention:
         i = list(self.shapes).index(name)
         return (self.p if p is None else p)[self.cuts[i]:self.cuts[i + 1]].reshape(self.shapes[name])
 
+    def _embedded(self, w: np.ndarray):
+        """Rows of the ids in the windows, and their queries (second half only), keys and values."""
+        there = np.where(w < 0, self.rows - 1, w)
+        e = self.part("embed").take(there, axis=0)
+        return there, e[:, HOP:, :WIDTH], e[:, :, WIDTH:2 * WIDTH], e[:, :, 2 * WIDTH:]
+
     def _hidden(self, w: np.ndarray):
-        """w: (windows, 2 HOP) classes, each of the symbol before a place; -1 is nothing there."""
-        there = np.where(w < 0, len(self.part("q")) - 1, w)
-        q, k, v = self.part("q")[there[:, HOP:]], self.part("k")[there], self.part("v")[there]
-        s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + (self.part("pos") + self.mask)
-        s += np.where(w < 0, _NEVER, np.float32(0))[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
-        a = np.exp(s)
-        a /= a.sum(axis=2, keepdims=True)
-        return there, q, k, v, a, a @ v
+        """w: (windows, 2 HOP) rows, each of the id before a place; -1 is nothing there."""
+        there, q, k, v = self._embedded(w)
+        s = q @ k.transpose(0, 2, 1)
+        s *= np.float32(1 / np.sqrt(WIDTH))
+        s += np.clip(self.part("pos"), -40, 40) + self.mask
+        begins = np.flatnonzero(w[:, 0] < 0)  # windows that reach back before their text
+        s[begins] += np.where(w[begins] < 0, _NEVER, np.float32(0))[:, None, :]
+        np.exp(s, out=s)
+        s /= _sums(s)
+        return there, q, k, v, s, s @ v
 
     def _attend(self, w: np.ndarray) -> np.ndarray:
         """The last of :meth:`_hidden` alone, without what only the gradient needs."""
-        there = np.where(w < 0, len(self.part("q")) - 1, w)
-        s = (self.part("q") / np.float32(np.sqrt(WIDTH)))[there[:, HOP:]] @ self.part("k")[there].transpose(0, 2, 1)
+        _, q, k, v = self._embedded(w)
+        s = (q / np.float32(np.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
         s += np.clip(self.part("pos"), -40, 40) + self.mask
         begins = np.flatnonzero(w[:, 0] < 0)  # windows that reach back before their text
         s[begins] += np.where(w[begins] < 0, _NEVER, np.float32(0))[:, None, :]
         np.exp(s, out=s)
-        return (s @ self.part("v")[there]) / s.sum(axis=2)[:, :, None]
-
-    def _choices(self, rows: np.ndarray, y: np.ndarray):
-        """The two choices that make a class: its group, then the class in its group. Yields
-        places, name and index of the output weights, p(choice | id before), and what was chosen."""
-        yield np.arange(len(y)), "group", slice(None), self.group_prior[rows], y // self.size
-        for g in range(self.groups):
-            at = np.flatnonzero(y // self.size == g)
-            if len(at):
-                yield at, "sub", g, self.prior[rows[at], g], y[at] % self.size
+        return (s @ v) / _sums(s)
+
+    def _choices(self, h: np.ndarray, rows: np.ndarray, y: np.ndarray):
+        """The two choices that make a class: its group, then the class in its group. Returns the groups
+        chosen and their shares; places in order of group, bounds of each group's, and the shares there."""
+        group = y // self.size
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        cuts = np.append(0, np.cumsum(np.bincount(group, minlength=self.groups))).tolist()
+        sorted_h, z = h[order], np.empty((len(y), self.size), dtype=h.dtype)
+        for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if a < b:
+                np.matmul(sorted_h[a:b], self.part("sub")[g], out=z[a:b])
+        inside = self._share(z, self.prior.take(rows[order] * self.groups + group[order], axis=0))
+        return group, self._share(h @ self.part("group"), self.group_prior.take(rows, axis=0)), \
+            order, cuts, sorted_h, inside
 
     @staticmethod
-    def _share(h: np.ndarray, weights: np.ndarray, prior: np.ndarray) -> np.ndarray:
-        """softmax(log prior + h @ weights)"""
-        a = np.exp(np.clip(h @ weights, -60, 60)) * prior
-        return a / a.sum(axis=1, keepdims=True)
+    def _share(z: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        """softmax(log prior + z), in place"""
+        np.clip(z, -60, 60, out=z)
+        np.exp(z, out=z)
+        z *= prior
+        z /= _sums(z)
+        return z
 
     def log_class(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log probability of the classes ``y`` (windows, HOP); ``rows``: of the ids before them."""
-        h, shape = self._attend(w).reshape(-1, WIDTH), y.shape
-        total = np.zeros(y.size)
-        for at, name, i, prior, chosen in self._choices(rows.reshape(-1), y.reshape(-1)):
-            total[at] += np.log(self._share(h[at], self.part(name)[i], prior)[np.arange(len(at)), chosen])
-        return total.reshape(shape)
-
-    def gradient(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray, real: np.ndarray) -> np.ndarray:
-        """Gradient of the mean loss over the ``real`` places."""
+        flat, every = y.reshape(-1), np.arange(y.size)
+        group, share, order, _, _, inside = self._choices(self._attend(w).reshape(-1, WIDTH), rows.reshape(-1), flat)
+        total = np.log(share[every, group]).astype(float)
+        total[order] += np.log(inside[every, flat[order] % self.size])
+        return total.reshape(y.shape)
+
+    def gradient_rows(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray, real: np.ndarray):
+        """Gradient of the mean loss over the ``real`` places: the rows of ``p`` (as rows of 3 WIDTH)
+        that the windows touch, and their gradients."""
         there, q, k, v, a, hidden = self._hidden(w)
-        h = hidden.reshape(-1, WIDTH)
-        g, dh = np.zeros_like(self.p), np.zeros_like(h)
-        weight = (real.reshape(-1) / max(1, real.sum()))[:, None]
-        for at, name, i, prior, chosen in self._choices(rows.reshape(-1), y.reshape(-1)):
-            dz = self._share(h[at], self.part(name)[i], prior)
-            dz[np.arange(len(at)), chosen] -= 1
-            dz *= weight[at]
-            self.part(name, g)[i] += h[at].T @ dz
-            dh[at] += dz @ self.part(name)[i].T
+        h, flat, every = hidden.reshape(-1, WIDTH), y.reshape(-1), np.arange(y.size)
+        rest = np.zeros(len(self.p) - self.cuts[1], dtype=self.p.dtype)
+        pos, out, sub = (rest[i - self.cuts[1]:j - self.cuts[1]].reshape(self.shapes[name])
+                         for name, i, j in zip(list(self.shapes)[1:4], self.cuts[1:], self.cuts[2:], strict=False))
+        weight = (real.reshape(-1) / max(1, real.sum()))[:, None].astype(h.dtype)
+        group, dz, order, cuts, sorted_h, inside = self._choices(h, rows.reshape(-1), flat)
+        dz[every, group] -= 1
+        dz *= weight
+        out[:] = h.T @ dz
+        dh = dz @ self.part("group").T
+        inside[every, flat[order] % self.size] -= 1
+        inside *= weight[order]
+        back = np.empty_like(sorted_h)
+        for g, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if i < j:
+                sub[g] = sorted_h[i:j].T @ inside[i:j]
+                np.matmul(inside[i:j], self.part("sub")[g].T, out=back[i:j])
+        dh[order] += back
         dh = dh.reshape(hidden.shape)
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-        self.part("pos", g)[:] = ds.sum(axis=0)
-        ds /= np.float32(np.sqrt(WIDTH))
-        for name, at, value in (("q", there[:, HOP:], ds @ k), ("k", there, ds.transpose(0, 2, 1) @ q),
-                                ("v", there, a.transpose(0, 2, 1) @ dh)):
-            one = np.zeros((at.size, self.shapes[name][0]), dtype=np.float32)
-            one[np.arange(at.size), at.reshape(-1)] = 1
-            self.part(name, g)[:] = one.T @ value.reshape(-1, WIDTH)
+        ds = dh @ v.transpose(0, 2, 1)
+        # sum over keys of a * ds is hidden * dh summed over the width
+        ds -= _sums(hidden * dh)
+        ds *= a
+        pos[:] = ds.sum(axis=0)
+        ds *= np.float32(1 / np.sqrt(WIDTH))
+        de = np.zeros((*there.shape, 3 * WIDTH), dtype=h.dtype)
+        np.matmul(ds, k, out=de[:, HOP:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=de[:, :, WIDTH:2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dh, out=de[:, :, 2 * WIDTH:])
+        at = there.reshape(-1)
+        order = np.argsort(at.astype(np.uint16) if self.rows < 1 << 16 else at, kind="stable")  # 16 bits: radix
+        at = at[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        sums = np.add.reduceat(de.reshape(-1, 3 * WIDTH).take(order, axis=0), first, axis=0)
+        shared = rest.reshape(-1, 3 * WIDTH)
+        return np.append(at[first], np.arange(self.rows, self.rows + len(shared))), np.concatenate((sums, shared))
+
+    def gradient(self, w: np.ndarray, rows: np.ndarray, y: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """Gradient of the mean loss over the ``real`` places, of all parameters."""
+        g = np.zeros_like(self.p)
+        at, value = self.gradient_rows(w, rows, y, real)
+        g.reshape(-1, 3 * WIDTH)[at] = value
         return g
 
 
@@ -269,7 +319,7 @@ def turn_windows(bounds: np.ndarray, turn: int) -> np.ndarray:
 
 
 def window_rows(before: np.ndarray, bounds: np.ndarray, first: np.ndarray, text: np.ndarray):
-    """Classes before each place of the windows (-1 before the text), their places, and which are real."""
+    """What stands before each place of the windows (-1 before the text), their places, and which are real."""
     at = first[:, None] + np.arange(-HOP, HOP)
     real = at[:, HOP:] < bounds[1:][text][:, None]
     w = np.where(at >= bounds[:-1][text][:, None], before[np.clip(at, 0, len(before) - 1)], -1)
@@ -290,7 +340,7 @@ class Model:
         per = 512  # windows at a time
         for k in range(0, len(first), per):
             part = slice(k, k + per)
-            w, at, real = window_rows(classes, bounds, first[part], text[part])
+            w, at, real = window_rows(rows, bounds, first[part], text[part])
             out[at[real]] += self.net.log_class(w, rows[at], after[at])[real]
         return out
 
@@ -366,39 +416,63 @@ def train(train_rows: DataFrame, n_ids: int) -> Model:
         both = np.zeros(k)
     tables.fill(both[:seen * k].reshape(seen, k), both[seen * k:].reshape(k, seen + 1))
     net = Attention(tables.skip)
+    net.p = _with_class_rows(net, tables)
     for turn in range(ROUNDS):
         net = Attention(tables.skip, _averaged(train_rows, net, tables, n_ids, turn))
+        net.p = _with_class_rows(net, tables)
     return Model(tables, net)
 
 
+def _with_class_rows(net: Attention, tables: Tables) -> np.ndarray:
+    """The parameters with each class's own row (for ids not seen) the mean of its seen ids' rows."""
+    own = Attention(net.skip, net.p.copy())
+    embed, n = own.part("embed"), len(tables.pair_totals)
+    known = np.flatnonzero(tables.row < tables.seen)
+    total, weight = np.zeros((n, embed.shape[1])), np.zeros(n)
+    np.add.at(total, tables.of[known], tables.share[known, None] * embed[tables.row[known]])
+    np.add.at(weight, tables.of[known], tables.share[known])
+    some = np.flatnonzero(weight)
+    embed[tables.seen + some] = total[some] / weight[some, None]
+    return own.p
+
+
 def _averaged(train_rows: DataFrame, net: Attention, tables: Tables, n_ids: int, turn: int) -> np.ndarray:
-    """Parameters after every task's own pass over its windows, averaged by steps taken."""
+    """Parameters after every task's own pass over its windows, row by row averaged by steps taken."""
     shared = train_rows.sparkSession.sparkContext.broadcast((tables, net))  # bounded: ids seen x classes
+    columns = [f"x{c}" for c in range(3 * WIDTH)]
 
-    def learn(batches):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, net = shared.value
         own = Attention(net.skip, net.p.copy())
+        p = own.p.reshape(-1, 3 * WIDTH)
         rng = np.random.default_rng([turn, TaskContext.get().partitionId()])
-        first, second, step = np.zeros_like(own.p), np.zeros_like(own.p), 0
+        first, second, taken, step = np.zeros_like(p), np.zeros_like(p), np.zeros(len(p), dtype=np.int64), 0
         for ids in _portions(batches):
             flat, before, bounds = _closed(ids, n_ids)
-            classes, rows, after = tables.of[before], tables.row[before], tables.of[flat]
+            rows, after = tables.row[before], tables.of[flat]
             place, text = windows(bounds)
             pick = rng.permutation(turn_windows(bounds, turn))
             for k in range(0, len(pick), BATCH):
                 at, step = pick[k:k + BATCH], step + 1
-                w, where, real = window_rows(classes, bounds, place[at], text[at])
-                g = own.gradient(w, rows[where], after[where], real.astype(np.float32))
-                first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
-                rate = RATE / (1 + turn) / (1 + step / 500)
-                own.p -= (rate * (first / (1 - 0.9 ** step))
-                          / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
-        if step:
-            yield np.append(own.p * np.float64(step), step)
-
-    size = len(net.p)
-    got = _summed(train_rows, learn, size + 1)
-    return (got[:size] / got[size]).astype(np.float32) if got[size] else net.p
+                w, where, real = window_rows(rows, bounds, place[at], text[at])
+                i, g = own.gradient_rows(w, rows[where], after[where], real.astype(np.float32))
+                taken[i] += 1
+                f, s = 0.9 * first[i] + 0.1 * g, 0.99 * second[i] + 0.01 * g * g
+                first[i], second[i] = f, s
+                n = taken[i, None].astype(np.float32)
+                rate = np.float32(RATE / (1 + turn) / (1 + step / 500))
+                p[i] -= rate * (f / (1 - np.float32(0.9) ** n)) / (np.sqrt(s / (1 - np.float32(0.99) ** n)) + np.float32(1e-6))
+        i = np.flatnonzero(taken)
+        weighted = (p[i] * taken[i, None].astype(float)).T
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(taken[i]), *map(pa.array, weighted)],
+                                         ["i", "n", *columns])
+
+    sums = train_rows.mapInArrow(learn, ", ".join(["i int", "n long", *(f"{c} double" for c in columns)])) \
+        .groupBy("i").agg(*[F.sum(c).alias(c) for c in ["n", *columns]])
+    got = sums.toPandas()  # a row per id seen at most
+    out = net.p.copy()
+    out.reshape(-1, 3 * WIDTH)[got["i"].to_numpy(dtype=int)] = got[columns].to_numpy() / got["n"].to_numpy()[:, None]
+    return out
 
 
 # ---------------------------------------------------------------- scores

@@ -257,6 +257,17 @@ def test_lm_learns_from_every_window_once():
         assert sorted(np.concatenate(picked).tolist()) == list(range(sum(-(-n // attention_lm.HOP) for n in sizes)))
 
 
+def test_lm_attention_sees_ids_not_classes():
+    """Two contexts that differ in one id, not in its class, beyond the id directly before."""
+    t, net, _ = toy_model()
+    a, b = np.flatnonzero(t.of == np.bincount(t.of).argmax())[:2].tolist()
+    model, logs = attention_lm.Model(t, net), []
+    for x in (a, b):
+        text = np.array([3, x, 5, 6, 7], dtype="<u2").tobytes()
+        logs.append(model.symbol_logs(*attention_lm._closed([text], 40))[4])
+    assert t.of[a] == t.of[b] and logs[0] != logs[1]
+
+
 def test_lm_odd_rows(odd, none):
     got = attention_lm.score(odd).collect()
     assert len(got) == odd.count() and all(r.score < 0 and r.n_tokens >= 1 for r in got)
