@@ -11,10 +11,16 @@ the whole sequence of words, so a passage in another language becomes a span of
 its own and a stray foreign-looking word does not. All texts of a batch advance
 together, one word per step.
 
-``lang_pred`` is the language with most letters, ``score`` its share of the letters.
+``lang_pred`` is the language with most letters, ``score`` its share of the letters; a
+word in a script that no language was seen in is no evidence, so its letters count
+for no language, but among all letters.
 
-Defined cases: NULL texts and texts without a letter are ``und`` with score 0; a
-word in a script that no language was seen in favours none; with nothing to
+A second pass over the training documents learns how well a language's own texts fit
+it: a histogram per language of their mean log probability per letter. The least a
+text needs (``least``) lies as far below the 1 in 1,000 worst as that below the median.
+
+Defined cases: NULL texts and texts without a letter are ``und`` with score 0; a text
+wholly in unseen scripts has the first language by name, with score 0; with nothing to
 learn from every text is ``und``; ties go to the first language by name; repeated
 rows are labelled alike; an empty table gives an empty result; extra columns are
 ignored.
@@ -40,6 +46,8 @@ ALPHA = 0.1
 PENALTY = 12.0
 #: A language is a candidate for a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.001
+#: Share of a language's training documents that may fit badly, and histogram buckets a nat.
+BAD_FIT, FIT_BUCKETS = 0.001, 16
 GROUP_BYTES = 24 << 20
 
 #: First code point of each script range (Unicode blocks); a range ends where the next begins.
@@ -92,6 +100,11 @@ class Model:
     langs: list[str]
     logp: np.ndarray  # BUCKETS x languages
     allowed: np.ndarray  # scripts x languages
+    least: np.ndarray  # least log probability per letter of a text in each language
+
+    def tells(self, p: Pieces) -> np.ndarray:
+        """Which pieces are evidence: words in a script that some language was seen in."""
+        return (p.letters > 0) & self.allowed[p.script].any(axis=1)
 
     def scores(self, p: Pieces) -> np.ndarray:
         """Log probability of each piece under each language; equal where nothing tells them apart."""
@@ -138,7 +151,38 @@ def train(docs: DataFrame, alpha: float = ALPHA) -> Model:
     table[counts["bucket"].to_numpy(dtype=int), np.searchsorted(langs, counts["lang"]) if langs else []] = counts["n"]
     grams, scripts = table[:BUCKETS], table[BUCKETS:]
     logp = np.log(grams + alpha) - np.log(grams.sum(axis=0) + alpha * BUCKETS)
-    return Model(langs, logp, scripts >= np.maximum(scripts.sum(axis=0) * SCRIPT_SHARE, 1))
+    allowed = scripts >= np.maximum(scripts.sum(axis=0) * SCRIPT_SHARE, 1)
+    model = Model(langs, logp, allowed, np.full(len(langs), -np.inf))
+    if langs:
+        model.least = _least(rows, model)
+    return model
+
+
+def _least(rows: DataFrame, model: Model) -> np.ndarray:
+    """Least log probability per letter of each language, from all its training documents."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_groups(batches):
+            codes, pieces, offsets = distinct_pieces(batch.column("text"), pc.utf8_lower)
+            p = describe(pieces)
+            told = np.where(model.tells(p), p.letters, 0)
+            scores = np.where(told[:, None] > 0, model.scores(p)[:-1], 0.0)
+            n, text_of = batch.num_rows, np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            own = np.searchsorted(model.langs, batch.column("lang").to_pylist())
+            letters = np.bincount(text_of, told[codes], n)
+            fit = np.bincount(text_of, scores[codes, own[text_of]], n)
+            some = np.flatnonzero(letters)
+            at = np.floor(fit[some] / letters[some] * FIT_BUCKETS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(own[some].astype(np.int32)), pa.array(at)], ["lang", "at"])
+
+    # at most a row per language and bucket, of some hundred buckets
+    got = rows.mapInArrow(measure, "lang int, at int").groupBy("lang", "at").count().toPandas()
+    least = np.full(len(model.langs), -np.inf)
+    for k, counts in got.sort_values("at").groupby("lang"):
+        upto, at = counts["count"].cumsum().to_numpy(), counts["at"].to_numpy()
+        worst, median = (at[np.searchsorted(upto, share * upto[-1], side="right")] for share in (BAD_FIT, 0.5))
+        least[k] = (2 * worst - median) / FIT_BUCKETS
+    return least
 
 
 def viterbi(scores: np.ndarray, codes: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarray:
@@ -175,22 +219,27 @@ _SPAN = "array<struct<first_word:bigint,n_words:bigint,lang:string>>"
 OUT = f"doc_id long, lang_pred string, score double, n_spans int, spans {_SPAN}"
 
 
-def _label(texts: pa.Array, model: Model, penalty: float) -> tuple[list, list, list]:
-    """Language, score and spans of each text."""
+def _label(texts: pa.Array, model: Model, penalty: float) -> tuple[list, list, list, list]:
+    """Language, score, spans and whether the language fits (``Model.least``) of each text."""
     codes, pieces, offsets = distinct_pieces(texts, pc.utf8_lower)
     p = describe(pieces)
     n, n_lang = len(texts), len(model.langs)
     if not n_lang:
-        return [UND] * n, [0.0] * n, [[]] * n
+        return [UND] * n, [0.0] * n, [[]] * n, [False] * n
     # only pieces with a letter are words; places are counted over white-space pieces
     worded = p.letters[codes] > 0
     place = np.flatnonzero(worded)
     words = codes[place]
     bounds = np.concatenate(([0], np.cumsum(worded)))[offsets]
-    path = viterbi(model.scores(p), words, bounds, penalty)
+    scores = model.scores(p)
+    path = viterbi(scores, words, bounds, penalty)
     text_of = np.repeat(np.arange(n), np.diff(bounds))
-    votes = np.bincount(text_of * n_lang + path, p.letters[words], n * n_lang).reshape(n, n_lang)
-    total, best = votes.sum(axis=1), votes.argmax(axis=1)
+    told = np.where(model.tells(p), p.letters, 0)[words]
+    votes = np.bincount(text_of * n_lang + path, told, n * n_lang).reshape(n, n_lang)
+    total, best = np.bincount(text_of, p.letters[words], n), votes.argmax(axis=1)
+    mine = (path == best[text_of]) & (told > 0)
+    fit = np.bincount(text_of[mine], scores[words[mine], path[mine]], n)
+    fits = fit >= model.least[best] * np.maximum(votes[np.arange(n), best], 1)
     turns = np.ones(len(path), dtype=bool)
     turns[1:] = (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])
     first = np.flatnonzero(turns)
@@ -202,7 +251,7 @@ def _label(texts: pa.Array, model: Model, penalty: float) -> tuple[list, list, l
         spans[d].append({"first_word": a, "n_words": b - a + 1, "lang": model.langs[k]})
     langs = [model.langs[k] if t else UND for k, t in zip(best.tolist(), total.tolist(), strict=True)]
     score = np.divide(votes[np.arange(n), best], total, out=np.zeros(n), where=total > 0)
-    return langs, score.tolist(), spans
+    return langs, score.tolist(), spans, fits.tolist()
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
@@ -210,7 +259,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_groups(batches, limit=GROUP_BYTES):
-            langs, score, spans = _label(batch.column("text"), model, penalty)
+            langs, score, spans, _ = _label(batch.column("text"), model, penalty)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(score, pa.float64()),
                  pa.array(list(map(len, spans)), pa.int32()),
@@ -232,13 +281,14 @@ def train_on(docs: DataFrame) -> Model:
 
 
 def with_language(docs: DataFrame, min_score: float) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose language is found with ``min_score`` or more."""
+    """The rows of ``docs`` (all columns) whose language is found with ``min_score`` or more and fits the text."""
     model = train_on(docs)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_groups(batches, limit=GROUP_BYTES):
-            langs, score, _ = _label(batch.column("text").cast(pa.string()), model, PENALTY)
-            good = [lang != UND and s >= min_score for lang, s in zip(langs, score, strict=True)]
+            langs, score, _, fits = _label(batch.column("text").cast(pa.string()), model, PENALTY)
+            good = [lang != UND and s >= min_score and fit
+                    for lang, s, fit in zip(langs, score, fits, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(select, T.StructType(docs.schema.fields))

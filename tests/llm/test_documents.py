@@ -127,6 +127,22 @@ def test_spans_of_mixed_text_and_scripts(spark):
     assert (got[11].lang_pred, got[11].score, got[12].lang_pred) == ("und", 0.0, "und")
 
 
+def test_text_in_an_unknown_script_or_language_is_no_language(spark):
+    en, fr = "the house and the water of the ring ", "la maison et les eaux dans une rue "
+    zh, other = "你好 世界 ", "kqxz wvjq zzkx "
+    rows = [(i, t * 20, lang) for i, (t, lang) in enumerate([(en, "en"), (fr, "fr")] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    probe = [(100, zh * 9), (101, en + zh * 2), (102, en * 3), (103, other * 9), (104, "the house " + zh * 9)]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(probe, "doc_id long, text string"), model).collect()}
+    assert got[100].score == 0 and got[102].score == 1 and got[102].lang_pred == "en"
+    assert got[101].lang_pred == "en" and got[101].score == pytest.approx(28 / 36)
+    assert got[104].score < 0.2
+    more = docs.unionByName(spark.createDataFrame([(*p, None) for p in probe], docs.schema))
+    kept = {r.doc_id for r in langid.with_language(more, 0.4).collect()}
+    assert kept & set(range(100, 105)) == {101, 102} and set(range(40)) <= kept
+
+
 def test_language_odd_rows(odd, none):
     model = langid.train_on(odd)
     got = langid.identify(odd, model).collect()
