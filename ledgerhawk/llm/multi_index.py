@@ -16,8 +16,9 @@ product, masks the cells a query does not visit, and reranks what can reach the
 Unclustered vectors need a large share for a given recall; lower
 ``visit_share`` for clustered ones. Recall is measured against brute force in the tests.
 
-Defined cases: NULL, empty and zero vectors, vectors holding NULL or a non-finite
-component, and vectors of another length than the commonest one take no part;
+Defined cases: rows with a NULL vec_id (they cannot be named in a result), NULL, empty
+and zero vectors, vectors holding NULL or a non-finite component, and vectors of
+another length than the commonest one of the others take no part;
 rows with the query's own vec_id are no candidates; ties go to the smaller
 vec_id; an empty table gives an empty result; extra columns are ignored.
 """
@@ -45,7 +46,7 @@ def usable(embeddings: DataFrame, column: str = "embedding") -> DataFrame:
     """``vec_id, vec`` of the vectors that take part."""
     rows = prepared(embeddings, vec_id="bigint", **{column: "array<double>"}).withColumnRenamed(column, "vec")
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    rows = rows.where(F.col("vec").isNotNull() & ~F.coalesce(bad, F.lit(False)) & F.exists("vec", lambda x: x != 0))
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & ~F.coalesce(bad, F.lit(False)) & F.exists("vec", lambda x: x != 0))
     sizes = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     return rows.where(F.size("vec") == (sizes[0]["d"] if sizes else 0))
 

@@ -66,6 +66,21 @@ def test_odd_vectors_ties_and_copies(spark):
     assert multi_index.nearest_neighbours(few.limit(0), 50).count() == 0
 
 
+def test_vectors_without_id_are_no_neighbours(spark):
+    """The nearest vector has no id, and ids above 2^53 share its block."""
+    rng = np.random.default_rng(3)
+    big = 2**53 + 1
+    rows = [(big + 2 * i, rng.normal(size=6).tolist()) for i in range(30)]
+    query, near = 50, rng.normal(size=6).tolist()
+    rows = [r for r in rows if r[0] % 50] + [(query, near)]
+    df = spark.createDataFrame([*rows, *[(None, near)] * 3], "vec_id long, embedding array<double>")
+    got = multi_index.nearest_neighbours(df, 50).toPandas().sort_values("rank")
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    best = brute(ids, x, len(rows) - 1)
+    assert set(got.query_id) == {query} and got.vec_id.tolist() == [i for i, _ in best]
+    assert got.score.tolist() == pytest.approx([c for _, c in best])
+
+
 def test_pipeline_equals_its_operators(spark):
     sf = "/root/testdata/sf0.001"
     got = corpus_pipeline.run(spark, sf).toPandas()
