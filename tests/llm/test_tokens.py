@@ -49,6 +49,15 @@ def test_word_encoder_equals_the_library(text):
     assert ids.tolist() == exp + exp and bounds.tolist() == [0, len(exp), len(exp), 2 * len(exp)]
 
 
+def test_special_tokens_in_a_text_are_ordinary_text():
+    import pyarrow as pa
+    plain = Tokenizer.from_file(WORDS)  # unmodified
+    for text, same in (("It's 3.5 of a | <b> text", True), ("a <|endoftext|> b", False), ("<|startoftext|>", False)):
+        ids = encoder(WORDS).encode(pa.array([text]))[0].tolist()
+        assert (ids == plain.encode(text, add_special_tokens=False).ids) == same
+        assert not set(ids) & {plain.token_to_id("<|endoftext|>"), plain.token_to_id("<|startoftext|>")}
+
+
 @settings(max_examples=150, deadline=None)
 @given(TEXT, st.integers(1, 12), st.integers(1, 12))
 def test_stitching_equals_one_scan(text, step, overlap):
