@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, bytebpe, langid, licenses, multi_index, outliers, packing, qda, simhash, simple8b
+from . import (
+    alignment,
+    attention_lm,
+    bytebpe,
+    langid,
+    licenses,
+    multi_index,
+    outliers,
+    packing,
+    qda,
+    simhash,
+    simple8b,
+)
 from .common import read, shared_folder
 
 
@@ -58,10 +70,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_multi_index, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules,
-        op8_attention_lm, op9_licenses, op10_quality_classifier)}
+        op8_attention_lm, op9_licenses, op10_quality_classifier, op11_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
