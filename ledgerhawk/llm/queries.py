@@ -15,6 +15,7 @@ from . import (
     multi_index,
     outliers,
     packing,
+    parity_join,
     qda,
     simhash,
     simple8b,
@@ -74,12 +75,38 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
 
+def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_multi_index, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules,
-        op8_attention_lm, op9_licenses, op10_quality_classifier, op11_alignment)}
+        op8_attention_lm, op9_licenses, op10_quality_classifier, op11_alignment, op13_parity_join)}
+
+
+#: DuckDB: shingles of every text, pairs by common shingles, components by recursion.
+_PARITY_JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, s.n
+"""
 
 
 def oracle_sql() -> dict[str, str]:
     """Only what DuckDB can express; the other queries have brute-force tests."""
-    return {}
+    return {"op13_parity_join": _PARITY_JOIN_SQL}
