@@ -10,6 +10,7 @@ from . import (
     alignment,
     attention_lm,
     bytebpe,
+    collocations,
     langid,
     licenses,
     multi_index,
@@ -75,6 +76,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.join(read(spark, sf_dir, "documents"))
 
@@ -82,14 +87,48 @@ def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_multi_index, op3_simhash, op4_byte_bpe, op5_simple8b, op6_language, op7_quality_rules,
-        op8_attention_lm, op9_licenses, op10_quality_classifier, op11_alignment, op13_parity_join)}
-
+        op8_attention_lm, op9_licenses, op10_quality_classifier, op11_alignment, op12_collocations, op13_parity_join)}
+
+
+#: DuckDB: windows of one to five words by position, counted; every cut and every inner phrase by joins.
+_COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT lang, doc, unnest(p) AS piece, generate_subscripts(p, 1) AS at FROM (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+    FROM documents)),
+parted AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS w FROM pieces),
+phrases AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM parted, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY lang, k, phrase HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM parted GROUP BY lang),
+cuts AS (
+  SELECT lang, k, phrase, f, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') AS tail
+  FROM (SELECT lang, k, phrase, f, unnest(range(1, k)) AS j FROM counts WHERE k > 1)),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, c.j, h.f AS l, t.f AS r, n.n,
+         (1000::HUGEINT * c.f * n.n) // (h.f::HUGEINT * t.f) AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail
+  JOIN totals n ON n.lang = c.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase, f
+  FROM (SELECT lang, k, phrase, f, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, k, phrase, f, unnest(range(2, k)) AS m FROM counts WHERE k > 2)))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+  SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest w
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = w.lang AND i.phrase = w.phrase AND 100 * i.f >= 100 * w.a))
+WHERE rank <= 2000
+"""
 
 #: DuckDB: shingles of every text, pairs by common shingles, components by recursion.
 _PARITY_JOIN_SQL = r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w
   FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
@@ -109,4 +148,4 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.x =
 
 def oracle_sql() -> dict[str, str]:
     """Only what DuckDB can express; the other queries have brute-force tests."""
-    return {"op13_parity_join": _PARITY_JOIN_SQL}
+    return {"op12_collocations": _COLLOCATIONS_SQL, "op13_parity_join": _PARITY_JOIN_SQL}
