@@ -43,10 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, prepared, text_groups
-from .dense import SEGMENT, Mph, build_segment, mixed, segment_of, tree_sum, vectors
+from .dense import SEGMENT, Mph, build_segment, distinct, mixed, segment_of, tree_sum, vectors
 
 #: Distinct words a worker remembers, and words it encodes in one call.
-MEMO_WORDS, CALL_WORDS = 400_000, 256
+MEMO_WORDS, CALL_WORDS = 600_000, 4096
 #: Pairs in one broadcast table (12 bytes each and 3 bits).
 PAIRS = 8_000_000
 #: Pair counts that a task holds before it passes them on.
@@ -69,13 +69,43 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class Piece:
-    """One aligned word: counts, its links' pairs (with repeats) and its groups as text."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "pairs", "groups")
-
-    def __init__(self, n_a: int, n_b: int, n_groups: int, pairs: np.ndarray, groups: bytes):
-        self.n_a, self.n_b, self.n_groups, self.pairs, self.groups = n_a, n_b, n_groups, pairs, groups
+class Pool:
+    """Aligned words by number: counts, the pairs of their links and their groups as text, in growing flat arrays.
+    Number 0 is a word that a side does not reproduce."""
+
+    def __init__(self):
+        #: n_a, n_b, n_groups, n_links, end of its pairs, end of its text
+        self.rows = np.zeros((1 << 12, 6), dtype=np.int64)
+        self.pairs = np.zeros(1 << 14, dtype=np.uint32)
+        self.text = bytearray()
+        self.n, self.n_pairs = 1, 0
+
+    def add(self, counts: np.ndarray, pairs: np.ndarray, sizes: np.ndarray, text: bytes) -> np.ndarray:
+        """Rows (n_a, n_b, n_groups, n_links), their pairs and text one after the other; returns their numbers."""
+        m = len(counts)
+        while self.n + m > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        while self.n_pairs + len(pairs) > len(self.pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
+        new = self.rows[self.n:self.n + m]
+        new[:, :4] = counts
+        new[:, 4] = self.n_pairs + np.cumsum(counts[:, 3])
+        new[:, 5] = len(self.text) + np.cumsum(sizes)
+        self.pairs[self.n_pairs:self.n_pairs + len(pairs)] = pairs
+        self.text += text
+        self.n, self.n_pairs = self.n + m, self.n_pairs + len(pairs)
+        return np.arange(self.n - m, self.n)
+
+    def texts(self, numbers: np.ndarray) -> list[bytes]:
+        lo, hi = self.rows[np.maximum(numbers - 1, 0), 5].tolist(), self.rows[numbers, 5].tolist()
+        return [bytes(self.text[x:y]) for x, y in zip(lo, hi, strict=True)]
+
+    def links(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' pairs one after the other, and each one's place in ``numbers``."""
+        n = self.rows[numbers, 3]
+        starts = self.rows[numbers, 4] - n
+        place = np.repeat(np.arange(len(numbers)), n)
+        return self.pairs[np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)], place
 
 
 class Aligner:
@@ -99,122 +129,136 @@ class Aligner:
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         self.space = self.b.piece_to_id("▁")
+        # a separator and the decimal id, left-aligned, as bytes
+        ids = np.char.mod(" %d", np.arange(max(len(self.bytes_a), len(self.bytes_b)))).astype("S")
+        self.digits = ids.view(np.uint8).reshape(len(ids), -1)
+        self.n_digits = np.char.str_len(ids)
         #: Characters before which a word may be cut off: no piece of B holds them behind another character.
         self.safe = {c for c, mark in ((" ", "▁"), ("\n", "\n"))
                      if not any(mark in p.lstrip("▁") for p in pieces)} - ({"\n"} if any("\n" in p for p in pieces) else set())
-        self.memo: dict[str, Piece | None] = {}
+        self.memo: dict[str, int] = {}
+        self.pool = Pool()
         self.memo_words = memo_words
 
     # ------------------------------------------------------------ words
 
-    def _ids(self, word: str) -> tuple[list[int], list[int]]:
-        """Both sides' ids of a word that starts with a space or line feed, as inside a text."""
-        a = self.a.encode(word, add_special_tokens=False).ids
-        if word[0] == " ":
-            return a, self.b.encode(word[1:]) or [self.space]
-        b = self.b.encode(word)
-        return a, b[1:] if b[:1] == [self.space] else []
+    def ids_a(self, text: str) -> list[int]:
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> Piece | None:
-        """None if a side's tokens do not spell ``raw``."""
+    def align(self, raw: bytes, a: list[int], b: list[int]) -> int:
+        """The number of the alignment of ``raw``; 0 if a side's tokens do not spell it."""
         if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return None
-        return self._merged(a, b)
-
-    def _merged(self, a: list[int], b: list[int]) -> Piece:
-        """Walks both lists of token ends at once; every step is a link."""
-        size_a, size_b = self.bytes_a, self.bytes_b
-        pairs, groups, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        end_a, end_b = len(size_a[a[0]]), len(size_b[b[0]])
-        while True:
-            pairs.append(a[i] << 15 | b[j])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                if i == len(a):
-                    break
-                from_a, from_b = i, j
-                end_a += len(size_a[a[i]])
-                end_b += len(size_b[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(size_a[a[i]])
-            else:
-                j += 1
-                end_b += len(size_b[b[j]])
-        return Piece(len(a), len(b), len(groups), np.array(pairs, dtype=np.uint32), ";".join(groups).encode())
-
-    def words(self, words: list[str]) -> list[Piece | None]:
-        """Each word's alignment; a word starts with a space or line feed."""
+            return 0
+        return int(self._merged(np.array(a), np.array(b), np.array([len(raw)]), np.ones(1, dtype=bool))[0])
+
+    def _merged(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray, fits: np.ndarray) -> np.ndarray:
+        """Numbers of the words that end at the byte offsets ``ends`` and fit both sides' tokens."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        every = distinct(np.concatenate([ends_a, ends_b]))  # a link between any two neighbours
+        at_a, at_b = np.searchsorted(ends_a, every), np.searchsorted(ends_b, every)
+        pairs = (a[at_a] << 15 | b[at_b]).astype(np.uint32)
+        closes = (ends_a[at_a] == every) & (ends_b[at_b] == every)
+        word = np.searchsorted(ends, every)
+        groups = every[closes]
+        n = len(ends)
+        word_a, word_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
+        counts = np.column_stack([np.bincount(word_a, minlength=n), np.bincount(word_b, minlength=n),
+                                  np.bincount(word[closes], minlength=n), np.bincount(word, minlength=n)])
+        # groups as text: A ids then B ids; ; between groups, | before the first B id, else a comma
+        group = np.concatenate([np.searchsorted(groups, ends_a), np.searchsorted(groups, ends_b)])
+        side = np.concatenate([np.zeros(len(a), dtype=np.int8), np.ones(len(b), dtype=np.int8)])
+        order = np.lexsort((side, group))  # stable: ids stay in order
+        ids, group, side = np.concatenate([a, b])[order], group[order], side[order]
+        of = np.concatenate([word_a, word_b])[order]
+        first = np.concatenate([[True], (group[1:] != group[:-1]) | (side[1:] != side[:-1])])
+        mark = np.where(~first, ord(","), np.where(side == 1, ord("|"), ord(";"))).astype(np.uint8)
+        letters, size = self.digits[ids], self.n_digits[ids].copy()
+        letters[:, 0] = mark
+        shown = np.arange(letters.shape[1]) < size[:, None]
+        leads = np.concatenate([[True], of[1:] != of[:-1]])  # a word's text begins without a separator
+        shown[leads, 0] = False
+        shown &= fits[of][:, None]
+        sizes = np.bincount(of, weights=shown.sum(axis=1), minlength=n).astype(np.int64)
+        out = np.zeros(n, dtype=np.int64)
+        out[fits] = self.pool.add(counts[fits], pairs[fits[word]], sizes[fits], letters[shown].tobytes())
+        return out
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Each word's number in the pool; a word starts with a space or line feed."""
         memo = self.memo
-        if len(memo) > self.memo_words:
-            memo.clear()
         new = [w for w in dict.fromkeys(words) if w not in memo]
-        simple = [w for w in new if len(w) > 1 and w[0] in self.safe and w[1:].split() == [w[1:]]]
+        simple = [w for w in new if len(w) > 1 and w[0] in self.safe and len(w.split()) == 1 and not w[-1].isspace()
+                  and not w[1].isspace()]
         for k in range(0, len(simple), CALL_WORDS):
             self._together(simple[k:k + CALL_WORDS])
         for w in new:
             if w not in memo:
-                memo[w] = self.align(w.encode(), *self._ids(w)) if w[0] in self.safe else None
-        return [memo[w] for w in words]
+                memo[w] = self.align(w.encode(), *self._ids(w)) if w[0] in self.safe else 0
+        return np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _ids(self, word: str) -> tuple[list[int], list[int]]:
+        """Both sides' ids of a word that starts with a space or line feed, as inside a text."""
+        if word[0] == " ":
+            return self.ids_a(word), self.b.encode(word[1:]) or [self.space]
+        b = self.b.encode(word)
+        return self.ids_a(word), b[1:] if b[:1] == [self.space] else []
 
     def _together(self, words: list[str]) -> None:
         """Encodes many words in one call and cuts the ids at their ends; what does not fit is left."""
         text = "".join([" x", *words])  # starts with a space whatever comes first
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
-        raw = [w.encode() for w in words]
-        if b"".join(map(self.bytes_a.__getitem__, a)) != text.encode() or b"".join(map(self.bytes_b.__getitem__, b)) != text.encode():
+        a, b = self.ids_a(text), self.b.encode(text[1:])
+        raw = text.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return
-        ends = np.cumsum([2, *map(len, raw)])
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        cut_a, cut_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        fits = (ends_a[cut_a] == ends) & (ends_b[cut_b] == ends)
-        cut_a, cut_b = (cut_a + 1).tolist(), (cut_b + 1).tolist()
-        for k, word in enumerate(words):
-            if fits[k] and fits[k + 1]:
-                self.memo[word] = self._merged(a[cut_a[k]:cut_a[k + 1]], b[cut_b[k]:cut_b[k + 1]])
+        a, b = np.array(a), np.array(b)
+        ends = np.cumsum([2, *(map(len, words) if len(raw) == len(text) else (len(w.encode()) for w in words))])
+        known = np.isin(ends, np.cumsum(self.size_a[a])) & np.isin(ends, np.cumsum(self.size_b[b]))
+        fits = known.copy()
+        fits[1:] &= known[:-1]
+        fits[0] = False
+        numbers = self._merged(a, b, ends, fits)[1:].tolist()
+        self.memo.update((w, k) for w, k in zip(words, numbers, strict=True) if k)
 
     # ------------------------------------------------------------ texts
 
-    def whole(self, text: str) -> Piece | None:
+    def whole(self, text: str) -> int:
         """One text by its definition."""
         if not text:
-            return None
-        return self.align((" " + text).encode(), self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
-
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, list[Piece], np.ndarray]:
-        """``(codes, pieces, offsets)``: text ``i`` (null: empty) is made of the pieces
-        ``codes[offsets[i]:offsets[i+1]]``; none if it has no tokens."""
+            return 0
+        return self.align((" " + text).encode(), self.ids_a(" " + text), self.b.encode(text))
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(numbers, offsets)``: text ``i`` (null: empty) is made of the words
+        ``numbers[offsets[i]:offsets[i+1]]`` of the pool; none if it has no tokens."""
+        if len(self.memo) > self.memo_words:
+            self.memo, self.pool = {}, Pool()
         texts = pc.fill_null(texts.cast(pa.string()), "")
         cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         offsets = np.asarray(cut.offsets, dtype=np.int64)
         flat = cut.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        codes, distinct = np.asarray(flat.indices), flat.dictionary.to_pylist()
+        codes, spelled = np.asarray(flat.indices), flat.dictionary.to_pylist()
         offsets = offsets - offsets[0]
-        pieces = self.words([p if p[:1] == "\n" else " " + p for p in distinct])
-        odd = np.array([not p or p[-1].isspace() or q is None for p, q in zip(distinct, pieces, strict=True)], dtype=bool)
+        numbers = self.words([p if p[:1] == "\n" else " " + p for p in spelled])
+        odd = np.array([not p or p[-1].isspace() for p in spelled], dtype=bool) | (numbers == 0)
+        numbers = numbers[codes] if len(codes) else np.zeros(0, dtype=np.int64)
         if not odd.any():
-            return codes, pieces, offsets
+            return numbers, offsets
         hits = np.concatenate([[0], np.cumsum(odd[codes])])
-        redo = np.flatnonzero(hits[offsets[1:]] > hits[offsets[:-1]])
         parts, sizes, at = [], np.diff(offsets), 0
-        for i in redo.tolist():
-            parts.append(codes[offsets[at]:offsets[i]])
-            found = self._careful(texts[i].as_py())
-            parts.append(np.arange(len(pieces), len(pieces) + len(found)))
-            pieces += found
-            sizes[i], at = len(found), i + 1
-        parts.append(codes[offsets[at]:])
-        return np.concatenate(parts).astype(np.int64), pieces, np.concatenate([[0], np.cumsum(sizes)])
-
-    def _careful(self, text: str) -> list[Piece]:
+        for i in np.flatnonzero(hits[offsets[1:]] > hits[offsets[:-1]]).tolist():
+            parts += [numbers[offsets[at]:offsets[i]], self._careful(texts[i].as_py())]
+            sizes[i], at = len(parts[-1]), i + 1
+        parts.append(numbers[offsets[at]:])
+        return np.concatenate(parts).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _careful(self, text: str) -> np.ndarray:
         if not text:
-            return []
+            return np.zeros(0, dtype=np.int64)
         found = self.words(_CUT.split(" " + text))
-        if None not in found:
+        if (found > 0).all():
             return found
         one = self.whole(text)
-        return [] if one is None else [one]
+        return np.array([one] if one else [], dtype=np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -223,24 +267,15 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _spread(values: np.ndarray, sizes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs (``sizes`` long) numbered ``of``, one after the other, and each result's place in ``of``."""
-    starts, n = (np.cumsum(sizes) - sizes)[of], sizes[of]
-    place = np.repeat(np.arange(len(of)), n)
-    return values[np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)], place
-
-
-def pair_counts(codes: np.ndarray, pieces: list[Piece], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pair_counts(engine: Aligner, numbers: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of a slice and how many of its texts hold each."""
-    if not len(codes):
+    if not len(numbers):
         return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
     docs = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    used, codes = np.unique(codes, return_inverse=True)
-    own = [np.unique(pieces[c].pairs) for c in used.tolist()]
-    names, flat = np.unique(np.concatenate(own), return_inverse=True)
-    seen = np.unique(docs * len(used) + codes)  # a word's pairs once a document
-    pair, place = _spread(flat, np.array([len(x) for x in own]), seen % len(used))
-    both = np.unique(seen[place] // len(used) * len(names) + pair)
+    seen = distinct(docs * engine.pool.n + numbers)  # a word's pairs once a document
+    pairs, place = engine.pool.links(seen % engine.pool.n)
+    names = distinct(pairs)
+    both = distinct((seen // engine.pool.n)[place] * len(names) + np.searchsorted(names, pairs))
     return names, np.bincount(both % len(names), minlength=len(names))
 
 
@@ -258,7 +293,7 @@ def local_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine, held, n = aligner(path_a, path_b), {"pairs": [], "docs": []}, 0
         for batch in text_groups(batches):
-            names, counts = pair_counts(*engine.texts(batch.column("text")))
+            names, counts = pair_counts(engine, *engine.texts(batch.column("text")))
             held["pairs"].append(names)
             held["docs"].append(counts)
             n += len(names)
@@ -346,29 +381,32 @@ def best_counts(counted: DataFrame) -> DataFrame:
     return counted.select("keys", "vec").mapInArrow(run, "a bigint, best bigint").groupBy("a").agg(F.max("best").alias("best"))
 
 
-def _per_text(values: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values[codes])]) if len(codes) else np.zeros(1, dtype=np.int64)
+def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(values)])
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
 def _looked_up(engine: Aligner, texts: pa.Array, mph: Mph, counts: np.ndarray, best: np.ndarray) -> dict[str, pa.Array]:
-    codes, pieces, offsets = engine.texts(texts)
-    sizes = np.array([len(p.pairs) if p else 0 for p in pieces], dtype=np.int64)
-    flat = np.concatenate([p.pairs for p in pieces if p] or [np.zeros(0, dtype=np.uint32)])
-    names, back = np.unique(flat, return_inverse=True)
+    numbers, offsets = engine.texts(texts)
+    words = distinct(numbers)
+    codes = np.zeros(engine.pool.n, dtype=np.int64)
+    codes[words] = np.arange(len(words))
+    codes = codes[numbers]
+    pairs, of = engine.pool.links(words)
+    names = distinct(pairs)
+    back = np.searchsorted(names, pairs)
     slots = mph.slots(names)
     known = slots >= 0
     n = np.zeros(len(names), dtype=np.int64)
     n[known] = counts[slots[known]]
     is_best = known & (n == best[(names >> 15).astype(np.int64)])
-    of = np.repeat(np.arange(len(pieces)), sizes)
-    total, top = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+    total, top = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
     np.add.at(total, of, n[back])
-    np.add.at(top, of, is_best[back])
-    columns = {c: np.array([getattr(p, c) if p else 0 for p in pieces], dtype=np.int64) for c in ("n_a", "n_b", "n_groups")}
-    columns |= {"n_links": sizes, "n_best": top, "count_sum": total}
-    out = {c: pa.array(_per_text(v, codes, offsets)) for c, v in columns.items()}
-    names_of, at, listed = [p.groups if p else b"" for p in pieces], offsets.tolist(), codes.tolist()
+    np.add.at(top, of, is_best[back].astype(np.int64))
+    rows = engine.pool.rows[words]
+    columns = {"n_a": rows[:, 0], "n_b": rows[:, 1], "n_groups": rows[:, 2], "n_links": rows[:, 3], "n_best": top, "count_sum": total}
+    out = {c: pa.array(_per_text(v[codes], offsets)) for c, v in columns.items()}
+    names_of, at, listed = engine.pool.texts(words), offsets.tolist(), codes.tolist()
     out["groups_sha256"] = pa.array([
         hashlib.sha256(b";".join(map(names_of.__getitem__, listed[lo:hi]))).hexdigest() if hi > lo else ""
         for lo, hi in zip(at, at[1:], strict=False)], pa.string())
@@ -384,9 +422,9 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     spark = docs.sparkSession
     docs = prepared(docs, doc_id="bigint", text="string")
     local = keep(local_counts(docs, path_a, path_b))
-    distinct = keep(local.select("pair", "h").distinct())
-    segments = max(1, -(-distinct.count() // SEGMENT))
-    hashed = keep(perfect_hash(distinct, segments))
+    pairs_found = keep(local.select("pair", "h").distinct())
+    segments = max(1, -(-pairs_found.count() // SEGMENT))
+    hashed = keep(perfect_hash(pairs_found, segments))
     step = max(1, pairs // (2 * SEGMENT))  # a segment holds its expected number of keys, far from twice as many
 
     def shard(first: int, table: DataFrame) -> list:

@@ -64,16 +64,17 @@ def as_rows(df):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=6))
 def test_words_make_up_the_text(texts):
-    codes, pieces, offsets = engine().texts(pa.array(texts, pa.string()))
+    numbers, offsets = engine().texts(pa.array(texts, pa.string()))
+    pool = engine().pool
     for i, text in enumerate(texts):
-        own = [pieces[c] for c in codes[offsets[i]:offsets[i + 1]].tolist()]
+        own = numbers[offsets[i]:offsets[i + 1]]
         f = by_definition(text)
         if f is None:
-            assert own == []
+            assert len(own) == 0
         else:
-            assert (sum(p.n_a for p in own), sum(p.n_b for p in own)) == (len(f[0]), len(f[1]))
-            assert ";".join(p.groups.decode() for p in own) == ";".join(f[2])
-            assert [(int(x) >> 15, int(x) & 32767) for p in own for x in p.pairs] == f[3]
+            assert pool.rows[own, :4].sum(axis=0).tolist() == [len(f[0]), len(f[1]), len(f[2]), len(f[3])]
+            assert b";".join(pool.texts(own)).decode() == ";".join(f[2])
+            assert [(int(x) >> 15, int(x) & 32767) for x in pool.links(own)[0]] == f[3]
 
 
 @settings(max_examples=50, deadline=None)
