@@ -14,7 +14,7 @@ lists of ends.
    ``PAIRS`` pairs; more pairs are looked up by several passes, which add up.
 
 Neither vocabulary joins characters across the start of a run of white space that
-begins with a space or a line feed, so a text's tokens are those of its words one after
+begins with a space or a line feed, nor a letter and the punctuation behind it (checked when the files are loaded), so a text's tokens are those of its words one after
 the other. A worker aligns each distinct word of a slice once (a bounded memo saves it
 across slices) and gathers with numpy. Texts in which that does not hold (other white
 space, two spaces) are cut more carefully, and a text with a word that does not come
@@ -53,6 +53,8 @@ PAIRS = 8_000_000
 HELD_PAIRS = 1_000_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: Punctuation that both sides part from a letter before it.
+_TAIL = ".,;:!?"
 COLUMNS = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
@@ -69,6 +71,26 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def _encoder(spec: dict, path: str, table: list[bytes]):
+    """``text -> ids`` of a byte-level BPE. If ids are in the order of the merges (as ranks), the same
+    vocabulary and merges run in the faster library; special tokens are plain text either way."""
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    vocab, special = spec["model"]["vocab"], {t["id"] for t in spec["added_tokens"]}
+    plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+        "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    if plain and all(vocab[x + y] == 256 + i for i, (x, y) in enumerate(merges)):
+        import public_tokenizers
+        import tiktoken
+
+        ranks = {b: i for i, b in enumerate(table) if i not in special}
+        return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
 class Pool:
     """Aligned words by number: counts, the pairs of their links and their groups as text, in growing flat arrays.
     Number 0 is a word that a side does not reproduce."""
@@ -112,17 +134,16 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str, memo_words: int = MEMO_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = _byte_letters()
         with open(path_a, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes_a[i] = bytes(letters[c] for c in token)
+        self.ids_a = _encoder(spec, path_a, self.bytes_a)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
@@ -136,15 +157,14 @@ class Aligner:
         #: Characters before which a word may be cut off: no piece of B holds them behind another character.
         self.safe = {c for c, mark in ((" ", "▁"), ("\n", "\n"))
                      if not any(mark in p.lstrip("▁") for p in pieces)} - ({"\n"} if any("\n" in p for p in pieces) else set())
+        #: Whether no piece of B joins a letter and the punctuation mark behind it.
+        self.parts_tails = not any(x.isalpha() and y in _TAIL for p in pieces for x, y in zip(p, p[1:], strict=False))
         self.memo: dict[str, int] = {}
         self.pool = Pool()
         self.memo_words = memo_words
 
     # ------------------------------------------------------------ words
 
-    def ids_a(self, text: str) -> list[int]:
-        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
     def align(self, raw: bytes, a: list[int], b: list[int]) -> int:
         """The number of the alignment of ``raw``; 0 if a side's tokens do not spell it."""
         if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
@@ -193,13 +213,17 @@ class Aligner:
             self._together(simple[k:k + CALL_WORDS])
         for w in new:
             if w not in memo:
-                memo[w] = self.align(w.encode(), *self._ids(w)) if w[0] in self.safe else 0
+                memo[w] = self.align(w.encode(), *self._ids(w)) if w[0] in self.safe or w[0] in _TAIL else 0
         return np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words))
 
     def _ids(self, word: str) -> tuple[list[int], list[int]]:
         """Both sides' ids of a word that starts with a space or line feed, as inside a text."""
         if word[0] == " ":
             return self.ids_a(word), self.b.encode(word[1:]) or [self.space]
+        if word[0] in _TAIL:  # behind a letter
+            letter = self.b.encode("a")
+            b = self.b.encode("a" + word)
+            return self.ids_a(word), b[len(letter):] if b[:len(letter)] == letter else []
         b = self.b.encode(word)
         return self.ids_a(word), b[1:] if b[:1] == [self.space] else []
 
@@ -238,19 +262,37 @@ class Aligner:
         flat = cut.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         codes, spelled = np.asarray(flat.indices), flat.dictionary.to_pylist()
         offsets = offsets - offsets[0]
-        numbers = self.words([p if p[:1] == "\n" else " " + p for p in spelled])
+        heads = [self._head(p) for p in spelled]
+        tails = [p[len(h):] for p, h in zip(spelled, heads, strict=True)]
+        numbers = self.words([h if h[:1] == "\n" else " " + h for h in heads])
+        behind = np.zeros(len(spelled), dtype=np.int64)
+        at = np.flatnonzero(np.array([bool(t) for t in tails], dtype=bool))
+        behind[at] = self.words([tails[i] for i in at.tolist()])
         odd = np.array([not p or p[-1].isspace() for p in spelled], dtype=bool) | (numbers == 0)
-        numbers = numbers[codes] if len(codes) else np.zeros(0, dtype=np.int64)
+        odd[at] |= behind[at] == 0
+        hits = np.concatenate([[0], np.cumsum(odd[codes])]) if len(codes) else np.zeros(1, dtype=np.int64)
+        redo = np.flatnonzero(hits[offsets[1:]] > hits[offsets[:-1]])
+        if len(codes):  # a word, then its tail where it has one
+            both = np.column_stack([numbers[codes], behind[codes]])
+            kept = both > 0
+            kept[:, 0] = True
+            numbers, offsets = both[kept], np.concatenate([[0], np.cumsum(kept.sum(axis=1))])[offsets]
+        else:
+            numbers = np.zeros(0, dtype=np.int64)
         if not odd.any():
             return numbers, offsets
-        hits = np.concatenate([[0], np.cumsum(odd[codes])])
         parts, sizes, at = [], np.diff(offsets), 0
-        for i in np.flatnonzero(hits[offsets[1:]] > hits[offsets[:-1]]).tolist():
+        for i in redo.tolist():
             parts += [numbers[offsets[at]:offsets[i]], self._careful(texts[i].as_py())]
             sizes[i], at = len(parts[-1]), i + 1
         parts.append(numbers[offsets[at]:])
         return np.concatenate(parts).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
 
+    def _head(self, piece: str) -> str:
+        """The piece without the punctuation marks behind its last letter."""
+        head = piece.rstrip(_TAIL) if self.parts_tails else piece
+        return head if head[-1:].isalpha() else piece
+
     def _careful(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=np.int64)
