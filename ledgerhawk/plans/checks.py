@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import REFERENCE_DOMAINS, Domains, as_date
+from ..operators.keys import FACT_KEY
 from ..operators.quality import domain_violations, duplicate_keys, null_violations, orphans, width_violations
 from ..schemas import DIMS, NOT_NULL
 from ..sources.warehouse import QUALITY, Warehouse
@@ -21,12 +22,14 @@ from .report import report_dims
 #: Foreign keys (child, column, parent) and declared widths other than 50.
 FOREIGN_KEYS = (("accounts", "client", "clients"), ("cards", "account_num", "accounts"),
                 ("transactions", "card_num", "cards"), ("transactions", "terminal", "terminals"))
-WIDTHS = {"terminal_address": 100, "account_num": 100}
+WIDTHS = {"terminal_address": 100, "account_num": 100, "fio": 150, "fraud_type": 100}
 
 
-def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DOMAINS) -> DataFrame:
-    """``check_name, table_name, column_name, n_rows`` for the dimensions and the
-    fact (``transactions``) of a day, zero counts included."""
+def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DOMAINS,
+                   quarantine: DataFrame | None = None) -> DataFrame:
+    """``check_name, table_name, column_name, n_rows`` for the dimensions, the
+    fact (``transactions``) and the ``report`` of a day, zero counts included.
+    ``quarantine``: rows kept out; those refused for their key count as ``duplicate_keys``."""
 
     def count(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
         return df.agg(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
@@ -38,6 +41,10 @@ def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DO
                              F.col(name).alias("column_name"), F.col(n).alias("n_rows"))
 
     parts = [count(duplicate_keys(tables[n], [s.key]), "duplicate_keys", n, s.key) for n, s in DIMS.items()]
+    twice = duplicate_keys(tables["transactions"].na.drop(subset=list(FACT_KEY)), list(FACT_KEY)).select(F.lit(1).alias("x"))
+    if quarantine is not None:
+        twice = twice.union(quarantine.where(F.array_contains(F.split("reason", ","), "duplicate_key")).select(F.lit(1)))
+    parts.append(count(twice, "duplicate_keys", "transactions", ",".join(FACT_KEY)))
     parts += [count(orphans(tables[c], fk, tables[p], DIMS[p].key), "orphans", c, fk) for c, fk, p in FOREIGN_KEYS]
     for name, df in tables.items():
         text = {f.name: WIDTHS.get(f.name, 50) for f in df.schema.fields if f.dataType.simpleString() == "string"}
@@ -48,11 +55,17 @@ def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DO
     return reduce(DataFrame.unionByName, parts)
 
 
+def quality_day(wh: Warehouse, d: date, domains: Domains = REFERENCE_DOMAINS) -> None:
+    """The counts of day ``d`` into the load ``wh``."""
+    wh.require_loaded(d, ("state",) if wh.mode == "scd1" else ("state", "range"))
+    tables = {**report_dims(wh, d), "transactions": wh.read_fact(d), "report": wh.read_report(d)}
+    counts = quality_counts(tables, domains, wh.read_quarantine(d))
+    wh.write_quality(counts.select(*QUALITY.fieldNames()).coalesce(1), d)
+
+
 def check_day(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
               domains: Domains = REFERENCE_DOMAINS) -> None:
-    """Write the counts of loaded day ``d`` (replacing an earlier run's)."""
-    d = as_date(d)
-    wh = Warehouse(spark, root, mode)
-    wh.require_loaded(d, ("state",) if mode == "scd1" else ("state", "range"))
-    tables = {**report_dims(wh, d), "transactions": wh.read_fact(d)}
-    wh.write_quality(quality_counts(tables, domains).select(*QUALITY.fieldNames()).coalesce(1), d)
+    """Write and publish the counts of loaded day ``d`` (replacing an earlier run's)."""
+    wh = Warehouse(spark, root, mode).begin()
+    quality_day(wh, as_date(d), domains)
+    wh.publish()

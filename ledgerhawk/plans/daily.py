@@ -1,4 +1,4 @@
-"""The daily driver: ETL, quality counts, report, day after day."""
+"""The daily driver: ETL, report and quality counts, day after day."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from ..config import REFERENCE_DOMAINS, Domains, as_date
-from .checks import check_day
-from .etl import run_etl
-from .report import run_report
+from ..config import REFERENCE_DOMAINS, Domains, as_date, check_mode, default_run_ts
+from ..sources.warehouse import Warehouse
+from .checks import quality_day
+from .etl import load_day
+from .report import report_day
 
 
 def days_between(start: date | str, end: date | str) -> list[date]:
@@ -20,11 +21,16 @@ def days_between(start: date | str, end: date | str) -> list[date]:
 def run_day(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
             run_ts: str | None = None, gate: str = "per_key",
             domains: Domains = REFERENCE_DOMAINS) -> None:
-    """``run_etl``, the data-quality counts and ``run_report`` for one day. Each output
-    is one atomic job per table; a failed day is not marked as loaded and simply run again."""
-    run_etl(spark, root, d, mode, run_ts, gate)
-    check_day(spark, root, d, mode, domains)
-    run_report(spark, root, d, mode, run_ts, domains)
+    """The ETL, the fraud report and the data-quality counts of one day as one unit:
+    a single manifest publishes all their tables. If any job fails, readers keep what they
+    had (also of later days), and the day is simply run again."""
+    check_mode(mode, gate)
+    d, run_ts = as_date(d), run_ts or default_run_ts()
+    wh = Warehouse(spark, root, mode).begin()
+    load_day(wh, d, run_ts, gate)
+    report_day(wh, d, run_ts, domains)
+    quality_day(wh, d, domains)
+    wh.publish()
 
 
 def run_days(spark: SparkSession, root: str, start: date | str, end: date | str,

@@ -5,9 +5,12 @@ The four dimension merges and the fact load are independent, so they are
 submitted as concurrent Spark jobs (one driver thread each); on a cluster
 they share the executors, here they overlap their small stages.
 
-A load is one unit: its run marker is removed before anything is written and
-set after everything is, and loading a day makes every later day count as not
-loaded, because its state was built on the old one.
+A load is one unit: everything goes into a version of its own, and one manifest
+makes all of it visible (:mod:`ledgerhawk.sources.manifest`). The same manifest makes every later day
+stale, because its state was built on the old one. A load that fails changes nothing that readers see.
+
+The fact has a primary key (:mod:`ledgerhawk.operators.keys`): rows with the key of an earlier
+operation, of the batch or of any day before, are quarantined as ``duplicate_key``.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from ..config import (
 from ..operators import audit_fact, audit_scd1, audit_scd2, scd1_upsert, scd2_step, stage, variants
 from ..operators.scd import collapse_scd1, scd1_chain, scd1_upsert_literal, scd2_merge_literal
 from ..schemas import DIMS
-from ..sources.landing import BATCH_COL, landing_path, quarantined, read_landing, read_landing_range, split_late
-from ..sources.warehouse import Warehouse, days_in, list_partitions
+from ..operators.keys import FACT_KEY, blooms, key_rows, may_hold, repeated_in
+from ..schemas import FACT_SOURCE
+from ..sources.landing import BATCH_COL, PLACE, landed_days, quarantined, read_landing, read_landing_range, split_late
+from ..sources.warehouse import VERSION, Warehouse, days_in, list_partitions
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -69,8 +74,7 @@ def load_dimension(wh: Warehouse, name: str, day_variants: DataFrame, d: date, r
         wh.write_dim(name, merge(dim, day_variants, spec), d)
         return audit_scd1(wh.read_dim(name, d), name, d, run_ts)
     # Inside a backfilled range the state of the day before is rebuilt from
-    # every stored version, possibly including this day's own partition,
-    # which is about to be overwritten: cut the lineage first.
+    # every stored version: cut the lineage first.
     first = wh.starts_at(d)
     stable = first or wh.open_snapshot_is_exact(name, prev)
     if not stable and not configured_checkpoint_dir(wh.spark):
@@ -92,32 +96,77 @@ def load_dimension(wh: Warehouse, name: str, day_variants: DataFrame, d: date, r
 
 
 def _landed(wh: Warehouse) -> list[str]:
-    return list_partitions(wh.spark, landing_path(wh.root), BATCH_COL)
+    return landed_days(wh.spark, wh.root)
 
 
-def run_etl(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
-            run_ts: str | None = None, gate: str = "per_key") -> None:
-    """Load batch ``d`` from ``root/landing``: quarantine what cannot enter, merge
-    the four dimensions, write the fact and the audit.
+def known_keys(wh: Warehouse, keys: DataFrame, before: date) -> DataFrame | None:
+    """The key columns of those ``keys (h, key)`` that a fact of a day before ``before`` has; None if no day can."""
+    now = wh.manifest()
+    days = [d for d in now.days_of("fact_blooms") if d < before.isoformat()]
+    base = wh.path("fact_blooms")
+    sizes = sorted({int(s) for d in days for s in list_partitions(
+        wh.spark, f"{base}/load_dt={d}/{VERSION}={now.version(d, 'fact_blooms')}", "slices")})
+    if not sizes:
+        return None
+    hits = _materialize(may_hold(keys, wh.read_fact_blooms(before), sizes))
+    hit_days = sorted(r.load_dt.isoformat() for r in hits.select("load_dt").distinct().collect())  # at most the loaded days
+    if not hit_days:
+        return None
+    return hits.join(wh.read_fact_keys(hit_days).select("load_dt", "h", *FACT_KEY), ["load_dt", "h", *FACT_KEY], "left_semi") \
+        .select(*FACT_KEY).distinct()
 
-    The batch before ``d`` must be loaded. A re-run reads the state of the day
-    before and overwrites the day's outputs; later days must then be run again."""
-    check_mode(mode, gate)
-    d = as_date(d)
-    run_ts = run_ts or default_run_ts()
-    wh = Warehouse(spark, root, mode)
+
+def duplicates(wh: Warehouse, rows: DataFrame, before: date) -> DataFrame:
+    """``_place`` of the landing ``rows`` whose key an earlier row of them or a fact of a day before has."""
+    named = rows.select(*[F.col(src).alias(dst) for dst, src in FACT_SOURCE.items() if dst in FACT_KEY], "date", PLACE)
+    found = repeated_in(named, ["date", PLACE]).select(PLACE)
+    known = known_keys(wh, key_rows(named), before)
+    if known is not None:
+        found = found.union(named.join(known, list(FACT_KEY), "left_semi").select(PLACE)).distinct()
+    return _materialize(found)
+
+
+def write_key_index(wh: Warehouse, days: list[date]) -> None:
+    """Sorted keys and Bloom filters of the facts that this load wrote for ``days``."""
+    fact = wh.read_fact_range(min(days), max(days)).withColumnRenamed("trans_dt", "load_dt")
+    keys = key_rows(fact, "load_dt").repartitionByRange("load_dt", "h").sortWithinPartitions("load_dt", "h")
+    wh.write_range(keys, "fact_keys", ["load_dt"], days)
+    written = wh.read_fact_keys([d.isoformat() for d in days])
+    wh.write_range(blooms(written.select("h", "load_dt")), "fact_blooms", ["load_dt", "slices"], days)
+
+
+def load_day(wh: Warehouse, d: date, run_ts: str, gate: str = "per_key") -> None:
+    """The ETL of one day into the load ``wh`` (from :meth:`Warehouse.begin`); nothing is visible yet."""
     wh.require_previous(d, _landed(wh))
-    wh.invalidate_from(d)
-    on_day, off_day = split_late(read_landing(spark, root, d).drop(BATCH_COL), d)
+    wh.replace_days([d], {d: "state"})
+    on_day, off_day = split_late(read_landing(wh.spark, wh.root, d, place=True).drop(BATCH_COL), d)
+    again = duplicates(wh, on_day, d)
     stg = stage(on_day, d)
+    facts = stage(on_day.join(again, PLACE, "left_anti"), d)["transactions"]
     jobs = [lambda n=n, s=s: load_dimension(wh, n, variants(stg[n], s), d, run_ts, gate)
             for n, s in DIMS.items()]
-    jobs += [lambda: wh.write_fact(stg["transactions"], d),
-             lambda: wh.write_quarantine(quarantined(on_day, off_day), d)]
+
+    def fact_job():
+        wh.write_fact(facts, d)
+        write_key_index(wh, [d])
+
+    jobs += [fact_job, lambda: wh.write_quarantine(quarantined(on_day, off_day, again), d)]
     audits = [a for a in _concurrently(jobs) if a is not None]
     audits.append(audit_fact(wh.read_fact(d), d, run_ts))
     wh.write_audit(_union_all(audits), d)
-    wh.mark_loaded(d)
+
+
+def run_etl(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
+            run_ts: str | None = None, gate: str = "per_key") -> None:
+    """Load batch ``d`` from ``root/landing``: quarantine what cannot enter, merge
+    the four dimensions, write the fact and the audit, and publish all of it at once.
+
+    The batch before ``d`` must be loaded. A re-run reads the state of the day
+    before and replaces the day's outputs; later days must then be run again."""
+    check_mode(mode, gate)
+    wh = Warehouse(spark, root, mode).begin()
+    load_day(wh, as_date(d), run_ts or default_run_ts(), gate)
+    wh.publish()
 
 
 def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
@@ -128,16 +177,16 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     the day before ``start``: variants are grouped per key and day, chained
     once per key, and each day's audit is derived from the version starts
     and ends. Leaves the dimension state as of ``end``; what the range's days held
-    before is removed, and later days count as not loaded."""
+    before is replaced, and later days turn stale."""
     check_mode(mode)
     start, end = as_date(start), as_date(end)
     run_ts = run_ts or default_run_ts()
-    wh = Warehouse(spark, root, mode)
+    wh = Warehouse(spark, root, mode).begin()
     landed = _landed(wh)
     wh.require_previous(start, landed)
     prev = start - timedelta(days=1)
     before = {}
-    for n in DIMS:  # the state of the day before, also if it is stored in the days that are written anew
+    for n in DIMS:  # the state of the day before, read before the range's days are replaced
         if mode == "scd1":
             before[n] = wh.read_dim(n, prev)
         elif wh.starts_at(start):
@@ -147,15 +196,19 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
             if not exact and not configured_checkpoint_dir(spark):
                 raise ValueError(f"loading from {start} inside a backfilled range needs spark.checkpoint.dir")
             before[n] = wh.read_open(n, prev) if exact else _materialize(wh.read_open(n, prev))
-    wh.invalidate_from(start)
-    wh.clear_days(days_in(start, end))
-    batches = read_landing_range(spark, root, start, end)
+    range_days = days_in(start, end)
+    has_batch = {date.fromisoformat(x) for x in landed}
+    wh.replace_days(range_days, {x: "range" for x in range_days if x in has_batch} | {end: "state"})
+    batches = read_landing_range(spark, root, start, end, place=True)
     day = F.to_date("date")
-    on_day = batches.where(day == F.col(BATCH_COL)).drop(BATCH_COL)
+    mine = batches.where(day == F.col(BATCH_COL))
+    on_day = mine.drop(BATCH_COL)
     off_day = batches.where(day.isNull() | (day != F.col(BATCH_COL)))
     reason = (F.when(F.col("date").isNull(), F.lit("no_date"))
               .when(day < F.col(BATCH_COL), F.lit("late")).otherwise(F.lit("early")))
+    again = duplicates(wh, on_day, start)
     stg = stage(on_day, None)
+    facts = stage(on_day.join(again, PLACE, "left_anti"), None)["transactions"].drop("load_dt")
 
     def dim_job(name):
         spec = DIMS[name]
@@ -166,16 +219,18 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
             wh.write_dim(name, collapse_scd1(chain, spec), end)
             return _daily_audit_scd1(chain, name, start)
         step = scd2_step(before[name], v, spec)
-        wh.write_hist_range(name, step, end)
+        wh.write_hist_range(name, step, range_days)
         written = wh.read_hist(name, end).where(
             (F.col("start_dt") >= day_start(start)) | (F.col("end_dt") >= day_start(start)))
         return _daily_audit_scd2(written, name, start)
 
+    def fact_job():
+        wh.write_fact(facts, days=range_days)
+        write_key_index(wh, range_days)
+
     jobs = [lambda n=n: dim_job(n) for n in DIMS]
-    jobs += [lambda: wh.write_fact(stg["transactions"].drop("load_dt")),
-             lambda: wh.write_range(quarantined(batches.where(day == F.col(BATCH_COL)),
-                                                off_day.withColumn("reason", reason))
-                                    .withColumnRenamed(BATCH_COL, "load_dt"), "quarantine", ["load_dt"])]
+    jobs += [fact_job, lambda: wh.write_range(quarantined(mine, off_day.withColumn("reason", reason), again)
+                                              .withColumnRenamed(BATCH_COL, "load_dt"), "quarantine", ["load_dt"], range_days)]
     audits = [a for a in _concurrently(jobs) if a is not None]
     # counted on what was written, from its partition values
     fact_audit = (wh.read_fact_range(start, end).groupBy(F.col("trans_dt").alias("load_dt"))
@@ -193,11 +248,8 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     audit = spine.join(counts, ["load_dt", "table_name", "action"], "left").select(
         "table_name", "action", F.coalesce(F.col("amount"), F.lit(0)).cast("int").alias("amount"),
         ts_literal(run_ts).alias("action_date"), "load_dt")
-    wh.write_range(audit, "audit", ["load_dt"])
-    for x in (date.fromisoformat(x) for x in landed):
-        if start <= x < end:
-            wh.mark_loaded(x, "range")
-    wh.mark_loaded(end)
+    wh.write_range(audit, "audit", ["load_dt"], range_days)
+    wh.publish()
 
 
 def _audit_rows(counts: DataFrame, name: str) -> DataFrame:

@@ -13,8 +13,8 @@ from ..operators import fraud_report, stage, variants
 from ..operators.rules import DAY
 from ..operators.scd import scd1_chain, with_day_validity
 from ..schemas import DIMS
-from ..sources.landing import BATCH_COL, landing_path, read_landing_range
-from ..sources.warehouse import Warehouse, days_in, drop_days, list_partitions
+from ..sources.landing import BATCH_COL, landed_days, read_landing_range
+from ..sources.warehouse import Warehouse, days_in
 
 
 def report_dims(wh: Warehouse, d: date) -> dict:
@@ -25,16 +25,20 @@ def report_dims(wh: Warehouse, d: date) -> dict:
     return {n: wh.read_open(n, d) for n in DIMS}
 
 
+def report_day(wh: Warehouse, d: date, run_ts: str, domains: Domains = REFERENCE_DOMAINS) -> None:
+    """The report of day ``d`` into the load ``wh``; nothing is visible yet."""
+    wh.require_loaded(d, ("state",) if wh.mode == "scd1" else ("state", "range"))
+    wh.write_report(fraud_report(wh.read_fact(d), report_dims(wh, d), ts_literal(run_ts), domains), d)
+
+
 def run_report(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
                run_ts: str | None = None, domains: Domains = REFERENCE_DOMAINS) -> None:
-    """Write the four rules' rows for day ``d`` to ``report/load_dt=d``
+    """Write and publish the four rules' rows for day ``d``
     (replacing an earlier run of the same day, also by no rows). The day must be
     loaded; in ``scd1`` with its own stored state (else use :func:`report_range`)."""
-    d = as_date(d)
-    wh = Warehouse(spark, root, mode)
-    wh.require_loaded(d, ("state",) if mode == "scd1" else ("state", "range"))
-    rep = fraud_report(wh.read_fact(d), report_dims(wh, d), ts_literal(run_ts or default_run_ts()), domains)
-    wh.write_report(rep, d)
+    wh = Warehouse(spark, root, mode).begin()
+    report_day(wh, as_date(d), run_ts or default_run_ts(), domains)
+    wh.publish()
 
 
 def report_range(spark: SparkSession, root: str, start: date | str, end: date | str,
@@ -45,9 +49,8 @@ def report_range(spark: SparkSession, root: str, start: date | str, end: date |
     the last stored snapshot before ``start`` chained with the range's batches
     (the states the daily loads had, per-key gate)."""
     start, end = as_date(start), as_date(end)
-    wh = Warehouse(spark, root, mode)
-    landed = list_partitions(spark, landing_path(root), BATCH_COL)
-    for x in landed:
+    wh = Warehouse(spark, root, mode).begin()
+    for x in landed_days(spark, root):
         if start.isoformat() <= x <= end.isoformat():
             wh.require_loaded(date.fromisoformat(x))
     if mode == "scd2":
@@ -57,8 +60,9 @@ def report_range(spark: SparkSession, root: str, start: date | str, end: date |
     fact = wh.read_fact_range(start, end).drop("trans_dt")
     rep = fraud_report(fact, dims, ts_literal(run_ts or default_run_ts()), domains, keep=(DAY,))
     rep = rep.withColumnRenamed(DAY, "load_dt")
-    drop_days(spark, wh.path("report"), "load_dt", days_in(start, end))
-    wh.write_range(rep, "report", ["load_dt"])
+    now = wh.manifest()
+    wh.write_range(rep, "report", ["load_dt"], [x for x in days_in(start, end) if now.kind(x.isoformat())])
+    wh.publish()
 
 
 def _scd1_versions(wh: Warehouse, name: str, start: date, end: date):
@@ -67,7 +71,7 @@ def _scd1_versions(wh: Warehouse, name: str, start: date, end: date):
     snapshot = wh.read_dim_day(name, start - timedelta(days=1))
     since = start if snapshot is None else date.fromisoformat(snapshot) + timedelta(days=1)
     if snapshot is None:  # nothing stored before: from the first batch on
-        first = list_partitions(wh.spark, landing_path(wh.root), BATCH_COL)[:1]
+        first = landed_days(wh.spark, wh.root)[:1]
         since = min([start, *map(date.fromisoformat, first)])
     landing = read_landing_range(wh.spark, wh.root, since, end)
     on_day = landing.where(F.to_date("date") == F.col(BATCH_COL)).drop(BATCH_COL)

@@ -3,20 +3,22 @@
 ``init_warehouse`` declares every table of a warehouse root as an external
 Parquet table (``CREATE TABLE IF NOT EXISTS … USING parquet PARTITIONED BY …
 LOCATION``), so the data can be queried with SQL; ``refresh_warehouse``
-picks up partitions written since; ``register_state_views`` exposes the
-dimensions as they stood after a given day under the reference's names
-(``dim_clients`` … or ``dim_clients_hist`` …).
+picks up what was landed and published since and drops the partitions of replaced or stale
+versions; ``register_state_views`` exposes the dimensions as they stood after a given day
+under the reference's names (``dim_clients`` … or ``dim_clients_hist`` …).
 """
 
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from ..schemas import AUDIT, DIMS, LANDING, REPORT
-from .warehouse import Warehouse, dim_schema, fact_schema
+from .landing import BAD_CELLS_FIELD, PART_COL
+from .warehouse import QUALITY, VERSION, Warehouse, dim_schema, fact_schema
 
 
 def _ddl(schema: StructType, extra: list[tuple[str, str]]) -> str:
@@ -27,23 +29,27 @@ def _ddl(schema: StructType, extra: list[tuple[str, str]]) -> str:
 
 def _tables(wh: Warehouse) -> dict[str, tuple[str, str, list[str]]]:
     """name -> (column DDL, location, partition columns)."""
+    landing = StructType([*LANDING.fields, BAD_CELLS_FIELD])
+    by_day = [("load_dt", "date"), (VERSION, "string")]
+
+    def daily(schema: StructType, table: str, extra: tuple = (), more: tuple = ()) -> tuple[str, str, list[str]]:
+        return (_ddl(schema, [*extra, *by_day, *more]), wh.path(table), [n for n, _ in (*by_day, *more)])
+
     t = {
-        "srs_load": (_ddl(LANDING, [("batch_dt", "date")]), f"{wh.root.rstrip('/')}/landing", ["batch_dt"]),
-        "fact_transactions": (_ddl(fact_schema(), [("trans_dt", "date")]), wh.path("fact_transactions"),
-                              ["trans_dt", "oper_type", "oper_result"]),
-        "report": (_ddl(REPORT, [("load_dt", "date")]), wh.path("report"), ["load_dt"]),
-        "meta": (_ddl(AUDIT, [("load_dt", "date")]), wh.path("audit"), ["load_dt"]),
-        "quarantine": (_ddl(LANDING, [("reason", "string"), ("load_dt", "date")]), wh.path("quarantine"),
-                       ["load_dt"]),
+        "srs_load": (_ddl(landing, [("batch_dt", "date"), (PART_COL, "string")]), f"{wh.root.rstrip('/')}/landing",
+                     ["batch_dt", PART_COL]),
+        "fact_transactions": (_ddl(fact_schema(), [("trans_dt", "date"), (VERSION, "string")]), wh.path("fact_transactions"),
+                              ["trans_dt", VERSION, "oper_type", "oper_result"]),
+        "report": daily(REPORT, "report"),
+        "meta": daily(AUDIT, "audit"),
+        "quality": daily(QUALITY, "quality"),
+        "quarantine": daily(landing, "quarantine", (("reason", "string"),)),
     }
     for name, spec in DIMS.items():
         if wh.mode == "scd1":
-            t[f"dim_{name}_snapshots"] = (_ddl(dim_schema(spec, "scd1"), [("load_dt", "date")]),
-                                          wh.path(f"dim_{name}"), ["load_dt"])
+            t[f"dim_{name}_snapshots"] = daily(dim_schema(spec, "scd1"), f"dim_{name}")
         else:
-            t[f"dim_{name}_hist_snapshots"] = (
-                _ddl(dim_schema(spec, "scd2"), [("load_dt", "date"), ("state", "string")]),
-                wh.path(f"dim_{name}_hist"), ["load_dt", "state"])
+            t[f"dim_{name}_hist_snapshots"] = daily(dim_schema(spec, "scd2"), f"dim_{name}_hist", more=(("state", "string"),))
     return t
 
 
@@ -65,14 +71,25 @@ def init_warehouse(spark: SparkSession, root: str, mode: str = "scd1", database:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet "
                   f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}'")
         names.append(full)
-    refresh_warehouse(spark, names)
+    refresh_warehouse(spark, names, wh)
     return names
 
 
-def refresh_warehouse(spark: SparkSession, tables: list[str]) -> None:
-    """Register partitions written since the tables were declared."""
+def refresh_warehouse(spark: SparkSession, tables: list[str], wh: Warehouse) -> None:
+    """Register the partitions that the manifest of ``wh`` names, and only those."""
+    now = wh.manifest()
+    locations = {location: name for name, (_, location, _) in _tables(wh).items()}
+    tables_of = {name: location.rsplit("/", 1)[1] for location, name in locations.items()}
     for t in tables:
         spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+        table = tables_of[t.split(".")[-1].strip("`")]
+        if table != "landing":
+            for (text,) in spark.sql(f"SHOW PARTITIONS {t}").collect():
+                parts = [p.split("=", 1) for p in text.split("/")]
+                day, version = parts[0][1], parts[1][1]
+                if now.version(day, table) != version or now.kind(day) is None:
+                    spec = ", ".join(f"`{c}` = '{unquote(v)}'" for c, v in parts)
+                    spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({spec})")  # external: files stay
         spark.sql(f"REFRESH TABLE {t}")
 
 

@@ -3,8 +3,13 @@ schema, drop blank rows, type it, and append it to the landing area.
 
 No row vanishes on the way: a cell that does not parse into its type is NULL
 in its column and kept as text in ``bad_cells``; rows of another day, without a
-date, with bad cells or with NULLs that a dimension refuses end up in the
-quarantine with a reason when their batch is loaded."""
+date, with bad cells, with NULLs that a dimension refuses or with the key of an earlier
+operation end up in the quarantine with a reason when their batch is loaded.
+
+All writers share one layout, ``landing/batch_dt=D/part=P``: ``land`` and ``land_many``
+own the part ``land`` of a day, the file stream one part per epoch. A writer replaces
+its own parts only, so late files of the stream and corrected batches can be mixed
+freely. Days that older releases wrote (files directly under the day, or ``epoch=E``) are read as well."""
 
 from __future__ import annotations
 
@@ -13,13 +18,20 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, MapType, StringType, StructField, StructType
 
 from ..config import as_date, day_end, day_start
 from ..schemas import DIMS, LANDING, NOT_NULL
+from .manifest import hadoop_path
 
 BATCH_COL = "batch_dt"
+PART_COL = "part"
+#: The part of a day that :func:`land` and :func:`land_many` write.
+LAND_PART = "land"
 BAD_CELLS = "bad_cells"
+BAD_CELLS_FIELD = StructField(BAD_CELLS, MapType(StringType(), StringType()))
+#: Where a landing row is stored: (file, row in it).
+PLACE = "_place"
 LANDING_COLUMNS = [f.name for f in LANDING.fields]
 
 
@@ -109,29 +121,47 @@ def landing_path(root: str) -> str:
     return f"{root.rstrip('/')}/landing"
 
 
-def _batch_schema() -> StructType:
-    return StructType([*LANDING.fields, StructField(BAD_CELLS, MapType(StringType(), StringType())),
-                       StructField(BATCH_COL, DateType())])
+def _batch_schema(*extra: StructField) -> StructType:
+    return StructType([*LANDING.fields, BAD_CELLS_FIELD, StructField(BATCH_COL, DateType()), *extra])
+
+
+def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """``(name, is a directory)`` of what data readers see in a directory."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+    return sorted(c for c in found if c[0][0] not in "_.")
+
 
+def _drop_parts(spark: SparkSession, root: str, day: date, part: str) -> None:
+    """Remove what ``part`` of ``day`` held, also in the layouts of older releases."""
+    for name, is_dir in _children(spark, f"{landing_path(root)}/{BATCH_COL}={day.isoformat()}"):
+        old = not is_dir if part == LAND_PART else name == part.replace("-", "=")
+        if old or name == f"{PART_COL}={part}":
+            fs, p = hadoop_path(spark, f"{landing_path(root)}/{BATCH_COL}={day.isoformat()}/{name}")
+            fs.delete(p, True)
 
-def _write_batches(df: DataFrame, root: str, days: list[date]) -> None:
-    """Write the batches of ``days`` (one job), replacing what they held before."""
+
+def write_batches(df: DataFrame, root: str, days: list[date], part: str = LAND_PART) -> None:
+    """Write one part of the batches of ``days`` (one job), replacing what it held before.
+    ``df`` has the day of each row in ``batch_dt`` unless there is only one."""
+    for day in days:
+        _drop_parts(df.sparkSession, root, day, part)
     if len(days) == 1:
         (df.drop(BATCH_COL).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(f"{landing_path(root)}/{BATCH_COL}={days[0].isoformat()}"))
-        return
-    from .warehouse import drop_days
-    drop_days(df.sparkSession, landing_path(root), BATCH_COL, days)
-    df.write.mode("append").partitionBy(BATCH_COL).parquet(landing_path(root))
+         .parquet(f"{landing_path(root)}/{BATCH_COL}={days[0].isoformat()}/{PART_COL}={part}"))
+    elif days:
+        df.withColumn(PART_COL, F.lit(part)).write.mode("append").partitionBy(BATCH_COL, PART_COL).parquet(landing_path(root))
 
 
 def land(df: DataFrame, root: str, batch_dt: date | str) -> None:
-    """Write one daily batch to ``landing/batch_dt=d``.
+    """Write one daily batch to the landing.
 
-    The day's directory is overwritten as a whole, so a re-run, also with a
-    smaller or an empty batch, replaces it; the commit is one Spark job."""
+    A re-run, also with a smaller or an empty batch, replaces the batch; the commit
+    is one Spark job. What a file stream landed for the day stays."""
     day = as_date(batch_dt)
-    _write_batches(drop_blank(conform(df, bad_cells=True)), root, [day])
+    write_batches(drop_blank(conform(df, bad_cells=True)), root, [day])
 
 
 def land_many(spark: SparkSession, files: dict[str, date | str], root: str,
@@ -139,33 +169,55 @@ def land_many(spark: SparkSession, files: dict[str, date | str], root: str,
     """Land several daily files (or folders of files) in one job. Each is read by
     its own column names and belongs to the day it was listed with; a listed path
     that does not exist fails the job."""
-    from .warehouse import path_exists
-    missing = [p for p in files if not path_exists(spark, p)]
+    missing = [p for p in files if not (found := hadoop_path(spark, p))[0].exists(found[1])]
     if missing:
         raise FileNotFoundError(f"not found: {missing}")
     parts = [read_daily(spark, p, fmt, bad_cells=True, **options).withColumn(BATCH_COL, F.lit(as_date(d))) for p, d in files.items()]
     rows = drop_blank(reduce(DataFrame.unionByName, parts))
-    _write_batches(rows, root, sorted({as_date(d) for d in files.values()}))
+    write_batches(rows, root, sorted({as_date(d) for d in files.values()}))
+
+
+def _read_days(spark: SparkSession, root: str, days: list[str], place: bool) -> DataFrame:
+    """Rows of the batches of ``days``: only their directories are listed, and
+    directories of one layout are read together."""
+    base, paths = landing_path(root), {PART_COL: [], "epoch": [], "": []}
+    for day in days:
+        at = f"{base}/{BATCH_COL}={day}"
+        children = _children(spark, at)
+        files = [f"{at}/{name}" for name, is_dir in children if not is_dir]
+        paths[""] += files if len(files) < len(children) else [at] * bool(files)
+        for kind in (PART_COL, "epoch"):
+            paths[kind] += [f"{at}/{name}" for name, is_dir in children if is_dir and name.startswith(kind + "=")]
+    parts = []
+    for kind, own in paths.items():
+        if own:
+            schema = _batch_schema(*[StructField(kind, StringType())] * bool(kind))
+            rows = spark.read.schema(schema).option("basePath", base).parquet(*own)
+            where = [F.struct("_metadata.file_path", "_metadata.row_index").alias(PLACE)] * place
+            parts.append(rows.select(*_batch_schema().fieldNames(), *where))
+    if not parts:
+        place_type = StructField(PLACE, StructType([StructField("file_path", StringType()), StructField("row_index", LongType())]))
+        return spark.createDataFrame([], _batch_schema(*[place_type] * place))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def landed_days(spark: SparkSession, root: str) -> list[str]:
+    """Days with a batch, in order."""
+    days = (name.split("=", 1)[1] for name, _ in _children(spark, landing_path(root)) if name.startswith(BATCH_COL + "="))
+    return sorted(days)
 
 
-def read_landing(spark: SparkSession, root: str, batch_dt: date | str | None = None) -> DataFrame:
-    """Landing rows, optionally of one batch (only that directory is listed)."""
-    from .warehouse import read_partition
-    if batch_dt is None:
-        return spark.read.schema(_batch_schema()).parquet(landing_path(root))
-    return read_partition(spark, landing_path(root), BATCH_COL, as_date(batch_dt).isoformat(), _batch_schema())
+def read_landing(spark: SparkSession, root: str, batch_dt: date | str | None = None, place: bool = False) -> DataFrame:
+    """Landing rows, optionally of one batch (only that directory is listed).
+    ``place`` adds where each row is stored."""
+    return _read_days(spark, root, landed_days(spark, root) if batch_dt is None else [as_date(batch_dt).isoformat()], place)
 
 
-def read_landing_range(spark: SparkSession, root: str, start: date | str, end: date | str) -> DataFrame:
+def read_landing_range(spark: SparkSession, root: str, start: date | str, end: date | str, place: bool = False) -> DataFrame:
     """Landing rows of the batches from ``start`` to ``end``: only those
     partition directories are listed and read."""
-    from .warehouse import list_partitions
     lo, hi = as_date(start).isoformat(), as_date(end).isoformat()
-    base = landing_path(root)
-    days = [d for d in list_partitions(spark, base, BATCH_COL) if lo <= d <= hi]
-    if not days:
-        return spark.createDataFrame([], _batch_schema())
-    return spark.read.schema(_batch_schema()).option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={d}" for d in days])
+    return _read_days(spark, root, [d for d in landed_days(spark, root) if lo <= d <= hi], place)
 
 
 def split_late(landing: DataFrame, d: date | str) -> tuple[DataFrame, DataFrame]:
@@ -202,8 +254,13 @@ def row_problems(landing: DataFrame) -> DataFrame:
     return landing.withColumn("problems", F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
 
-def quarantined(on_day: DataFrame, off_day: DataFrame) -> DataFrame:
-    """Rows that did not (fully) enter the warehouse, with their reasons."""
-    partial = row_problems(on_day).where(F.size("problems") > 0) \
-        .withColumn("reason", F.array_join("problems", ",")).drop("problems")
-    return off_day.unionByName(partial)
+def quarantined(on_day: DataFrame, off_day: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Rows that did not (fully) enter the warehouse, with their reasons. ``repeated`` holds
+    the ``_place`` of the rows whose key an earlier operation has."""
+    rows = row_problems(on_day)
+    if repeated is not None:
+        rows = rows.join(repeated.withColumn("_again", F.lit(True)), PLACE, "left").withColumn(
+            "problems", F.when(F.col("_again"), F.concat("problems", F.array(F.lit("duplicate_key")))).otherwise(F.col("problems"))
+        ).drop("_again")
+    partial = rows.where(F.size("problems") > 0).withColumn("reason", F.array_join("problems", ",")).drop("problems")
+    return off_day.unionByName(partial).drop(PLACE)

@@ -23,8 +23,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..config import REFERENCE_DOMAINS, Domains, check_mode
 from ..plans.daily import run_day
 from ..schemas import LANDING
-from ..sources.landing import BATCH_COL, drop_blank, landing_path, read_daily
-from ..sources.warehouse import Warehouse, list_partitions
+from ..sources.landing import BATCH_COL, drop_blank, landed_days, read_daily, write_batches
+from ..sources.warehouse import Warehouse
 
 MAX_FILES = 31
 
@@ -34,11 +34,11 @@ def _land_epoch(spark: SparkSession, files: list[str], fmt: str, epoch_id: int,
     (rows.where(F.col(BATCH_COL).isNull()).drop(BATCH_COL).withColumn("reason", F.lit("no_date"))
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
      .parquet(f"{root.rstrip('/')}/{mode}/quarantine_undated/epoch={epoch_id}"))
-    dated = rows.where(F.col(BATCH_COL).isNotNull()).withColumn("epoch", F.lit(epoch_id))
-    (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL, "epoch").parquet(landing_path(root)))
+    dated = rows.where(F.col(BATCH_COL).isNotNull())
     # the days in at most MAX_FILES daily files
-    return sorted(r[0] for r in dated.select(BATCH_COL).distinct().collect())
+    days = sorted(r[0] for r in dated.select(BATCH_COL).distinct().collect())
+    write_batches(dated, root, days, f"epoch-{epoch_id}")
+    return days
 
 
 def start_daily_file_stream(spark: SparkSession, inbox: str, root: str, checkpoint: str,
@@ -56,9 +56,10 @@ def start_daily_file_stream(spark: SparkSession, inbox: str, root: str, checkpoi
         days = _land_epoch(spark, files, fmt, epoch_id, root, mode) if files else []
         if days:
             wh = Warehouse(spark, root, mode)
-            landed = [date.fromisoformat(x) for x in list_partitions(spark, landing_path(root), BATCH_COL)]
+            landed = [date.fromisoformat(x) for x in landed_days(spark, root)]
             # a file for an older day: the days after it were built on the old state
-            for day in [x for x in landed if x >= days[0] and (x in days or wh.loaded_as(x))]:
+            loaded = {x for x in landed if wh.loaded_as(x)}
+            for day in [x for x in landed if x >= days[0] and (x in days or x in loaded)]:
                 run_day(spark, root, day, mode, domains=domains)
 
     writer = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

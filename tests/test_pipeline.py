@@ -279,12 +279,11 @@ def test_sub_range_and_report_inside_a_backfill(spark, tmp_path):
     assert Warehouse(spark, root, "scd2").read_open("cards", "2024-05-04").count() == 4
 
 
-def test_failed_dimension_job_leaves_the_day_not_loaded(spark, tmp_path, monkeypatch):
+def test_failed_dimension_job_leaves_the_day_as_it_was(spark, tmp_path, monkeypatch):
     from ledgerhawk.plans import etl
     from ledgerhawk.plans.report import run_report
     root = str(tmp_path)
     land_rows(spark, root, "2024-05-01", [operation(1, "2024-05-01 10:00")])
-    etl.run_etl(spark, root, "2024-05-01")
     load = etl.load_dimension
 
     def broken(wh, name, *rest):
@@ -295,8 +294,15 @@ def test_failed_dimension_job_leaves_the_day_not_loaded(spark, tmp_path, monkeyp
     monkeypatch.setattr(etl, "load_dimension", broken)
     with pytest.raises(RuntimeError):
         etl.run_etl(spark, root, "2024-05-01")
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError):  # never loaded
         run_report(spark, root, "2024-05-01")
+    monkeypatch.setattr(etl, "load_dimension", load)
+    etl.run_etl(spark, root, "2024-05-01")
+    monkeypatch.setattr(etl, "load_dimension", broken)
+    with pytest.raises(RuntimeError):
+        etl.run_etl(spark, root, "2024-05-01")
+    run_report(spark, root, "2024-05-01")  # on what was published before
+    assert Warehouse(spark, root).read_report("2024-05-01").count() == 1
 
 
 def test_rule_4_on_reference_values_by_default(spark, tmp_path):
