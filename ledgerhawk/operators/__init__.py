@@ -43,7 +43,7 @@ from .scd import (
     version_chain,
     with_day_validity,
 )
-from .sequence import exact_lag, hot_groups
+from .sequence import exact_lag
 from .staging import stage, variants
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -4,13 +4,13 @@ Every rule works on fact rows tagged with their ``day``. Dimensions are
 either snapshots (one row per key: an SCD1 table or the open SCD2 rows) or
 histories with ``valid_from_day``/``valid_to_day`` (see
 ``scd.with_day_validity``), in which case each join takes the version in
-force at the end of the row's day. The same code therefore serves one day
+force at the end of the row's day (:func:`versions_in_force`). The same code therefore serves one day
 and a whole backfill of days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (
@@ -37,21 +37,41 @@ def with_day(fact: DataFrame) -> DataFrame:
             .withColumn(DAY, F.to_date("trans_date")))
 
 
-def _valid_on(dim: DataFrame, day: Column) -> Column | None:
-    if "valid_from_day" not in dim.columns:
-        return None
-    return (dim["valid_from_day"] <= day) & (dim["valid_to_day"].isNull() | (dim["valid_to_day"] > day))
+def _is_history(dim: DataFrame) -> bool:
+    return "valid_from_day" in dim.columns
+
+
+def versions_in_force(pairs: DataFrame, versions: DataFrame, key: str, take: list[str]) -> DataFrame:
+    """``pairs (key, day)`` with the columns ``take`` of the version in force at the end of the
+    day, as ``_d_<column>``; pairs without one drop.
+
+    An as-of join in one ordered pass per key: versions (at the day they start) and
+    pairs are merged, and the last version before a pair is its own unless it has ended.
+    A key costs its days plus its versions, never their product."""
+    version = F.struct(*[F.col(c) for c in take], "valid_to_day")
+    starts = versions.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.col("valid_from_day").alias("_at"), F.lit(0).alias("_probe"),
+        F.col("start_dt").alias("_since"), version.alias("_v"))
+    probes = pairs.select(F.col("_k"), F.col(DAY).alias("_at"), F.lit(1).alias("_probe"),
+                          F.lit(None).cast("timestamp_ntz").alias("_since"), F.lit(None).cast(starts.schema["_v"].dataType).alias("_v"))
+    before = Window.partitionBy("_k").orderBy("_at", "_probe", "_since").rowsBetween(Window.unboundedPreceding, 0)
+    found = starts.unionByName(probes).withColumn("_v", F.last("_v", ignorenulls=True).over(before)).where("_probe = 1")
+    ended = F.col("_v.valid_to_day") <= F.col("_at")
+    return found.where(F.col("_v").isNotNull() & ~F.coalesce(ended, F.lit(False))).select(
+        "_k", F.col("_at").alias(DAY), *[F.col(f"_v.{c}").alias(f"_d_{c}") for c in take])
 
 
 def _join_dim(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str, take: list[str]) -> DataFrame:
-    """Inner join on the key (and, for histories, the version of the row's day)."""
-    d = dim.select(F.col(dim_key).alias("_k"), *[F.col(c).alias(f"_d_{c}") for c in take],
-                   *[c for c in ("valid_from_day", "valid_to_day") if c in dim.columns])
-    cond = left[left_key] == d["_k"]
-    valid = _valid_on(d, left[DAY])
-    if valid is not None:
-        cond = cond & valid
-    return left.join(d, cond).select(*left.columns, *[F.col(f"_d_{c}").alias(c) for c in take])
+    """Inner join on the key; for histories, with the version of the row's day. That is found once
+    for each distinct (key, day) and then joined by equality, so rows never multiply by versions."""
+    if not _is_history(dim):
+        d = dim.select(F.col(dim_key).alias("_k"), *[F.col(c).alias(f"_d_{c}") for c in take])
+        joined = left.join(d, left[left_key] == d["_k"])
+    else:
+        pairs = left.where(F.col(left_key).isNotNull()).select(F.col(left_key).alias("_k"), DAY).distinct()
+        d = versions_in_force(pairs, dim, dim_key, take).withColumnRenamed(DAY, "_day")
+        joined = left.join(d, (left[left_key] == d["_k"]) & (left[DAY] == d["_day"]))
+    return joined.select(*[left[c] for c in left.columns], *[F.col(f"_d_{c}").alias(c) for c in take])
 
 
 def card_profile(card_days: DataFrame, cards: DataFrame, accounts: DataFrame,
@@ -132,7 +152,7 @@ def city_sequence(fact: DataFrame, terminals: DataFrame, hot_rows: int = HOT_ROW
     f = with_day(fact).select("trans_id", "trans_date", "card_num", "terminal", DAY)
     t = _join_dim(f, terminals, "terminal", "terminal_id", ["terminal_city"]).drop("terminal")
     t = t.withColumnRenamed("terminal_city", "city")
-    s = exact_lag(t, ["card_num", DAY], ORDER, ["trans_date", "city"], hot_rows=hot_rows)
+    s = exact_lag(t, ["card_num", DAY], ORDER, ["trans_date", "city"], hot_rows=hot_rows, sizes=f)
     return s.select("trans_id", "trans_date", "card_num", DAY, F.col("city").alias("cur_city"),
                     "prev_trans_date", "prev_city")
 

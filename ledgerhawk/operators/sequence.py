@@ -1,94 +1,69 @@
-"""Skew-safe ``LAG`` over long ordered sequences.
+"""Skew-safe ``LAG`` over long ordered sequences, in one exchange of the rows.
 
 ``LAG(x) OVER (PARTITION BY card, day ORDER BY ts)`` is one exchange and one
-sort, and that is what runs for every group of ordinary size. A group with more
-than ``HOT_ROWS`` rows would be one long task; such groups are found beforehand
-by a count that is combined map-side into a fixed number of hash buckets (so it
-shuffles next to nothing), and only their rows are cut into ranges of the
-order. The previous row is then taken inside each range, and a range's first row
-gets the last row of the ranges before, from one row per range. The result is
-exactly ``LAG`` however the rows are cut, also if all rows share one minute.
+sort. A group with very many rows would be one long task, so its rows are cut into ranges
+of the order: rows are exchanged and sorted by (group, range), the previous row is taken
+inside each range, and a range's first row gets the last row of the ranges
+before it from a small boundary table, joined on what the rows are already partitioned by.
+
+Which groups are cut is decided while the query runs, inside its plan: rows are counted per
+hash bucket of their group (65,536 counts, combined map-side), and buckets far above both
+``hot_rows`` and the mean get cut points from approximate percentiles of their times. Both
+are scalar subqueries, so no job runs before the action, no list of keys reaches the driver
+program, and without such buckets every range is 0 and the boundary table empty. The
+result is exactly ``LAG`` however the rows are cut, also if all rows share one time.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one group that a single task may sort.
+#: Rows that a single task may sort for one group.
 HOT_ROWS = 1_000_000
-#: Ranges that all hot groups together are cut into, and the sample the cut points come from.
-RANGES, _SAMPLE = 256, 20_000
-_BUCKETS = 1 << 16
-
+#: Ranges of a bucket, hash buckets, and how far above the mean bucket a hot one is.
+RANGES, _BUCKETS, _FACTOR = 64, 1 << 16, 16
 
-def hot_groups(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """Keys of the groups with more than ``hot_rows`` rows (at most one per
-    ``hot_rows`` rows of the input, so the list stays short)."""
-    bucket = F.pmod(F.xxhash64(*by), F.lit(_BUCKETS))
-    full = [r["b"] for r in df.groupBy(bucket.alias("b")).count().where(F.col("count") > hot_rows).collect()]
-    if not full:
-        return []
-    counts = df.where(bucket.isin(full)).groupBy(*by).count().where(F.col("count") > hot_rows)
-    return [tuple(r[c] for c in by) for r in counts.collect()]
 
+def _bucket(by: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*by), F.lit(_BUCKETS)).cast("int")
 
-def _in_groups(by: list[str], keys: list[tuple]) -> Column:
-    one = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, k, strict=True)])
-           for k in keys]
-    return reduce(lambda a, b: a | b, one)
 
+def hot_buckets(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row: the buckets (at most ``_BUCKETS / _FACTOR``) of groups that are too long for a task."""
+    sizes = df.groupBy(_bucket(by).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    full = sizes.agg(F.collect_list(F.when(F.col("n") > hot_rows, F.struct("b", "n"))).alias("full"), F.sum("n").alias("total"))
+    return full.select(F.transform(F.filter("full", lambda x: x["n"] * _BUCKETS > F.col("total") * _FACTOR),
+                                   lambda x: x["b"]).alias("hot"))
 
-def exact_lag(df: DataFrame, by: list[str], order: list[str], values: list[str],
-              prefix: str = "prev_", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``prev_<v>``: the value of ``v`` on the previous row of the same
-    ``by`` group in ``order`` (``LAG``); ``order`` must not leave ties that matter."""
-    hot = hot_groups(df, by, hot_rows)
-    w = Window.partitionBy(*by).orderBy(*order)
-
-    def plain(rows: DataFrame) -> DataFrame:
-        return rows.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
 
-    if not hot:
-        return plain(df)
-    is_hot = _in_groups(by, hot)
-    rows = df.where(is_hot)
-    return plain(df.where(~is_hot)).unionByName(
-        _lag_by_ranges(rows, by, order, values, prefix, _range_bounds(rows, by, order)))
+def cut_points(df: DataFrame, by: list[str], first: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row: a map from each hot bucket to ascending cut points of column ``first``."""
+    hot = df.where(F.array_contains(hot_buckets(df, by, hot_rows).scalar(), _bucket(by)))
+    shares = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    cuts = hot.groupBy(_bucket(by).alias("b")).agg(F.percentile_approx(first, shares, F.lit(1000)).alias("cuts"))
+    return cuts.agg(F.map_from_entries(F.collect_list(F.struct("b", "cuts"))).alias("cuts"))
 
 
-def _range_bounds(rows: DataFrame, by: list[str], order: list[str]) -> dict[tuple, list[tuple]]:
-    """Per hot group about ``RANGES`` cut points of the order, from a sample of
-    bounded expected size. They only decide how the work is split."""
-    n = rows.count()
-    picked = rows.select(*by, *order).sample(min(1.0, _SAMPLE / max(1, n)), seed=1).collect()
-    groups: dict[tuple, list[tuple]] = {}
-    for r in picked:
-        at = tuple(r[c] for c in order)
-        if None not in at:
-            groups.setdefault(tuple(r[c] for c in by), []).append(at)
-    step = max(1, len(picked) // RANGES)
-    return {k: sorted(v)[step // 2::step] for k, v in groups.items()}
-
-
-def _lag_by_ranges(df: DataFrame, by: list[str], order: list[str], values: list[str], prefix: str,
-                   bounds: dict[tuple, list[tuple]]) -> DataFrame:
-    """``LAG`` of few, very large groups: each is cut into ranges of the order."""
+def exact_lag(df: DataFrame, by: list[str], order: list[str], values: list[str], prefix: str = "prev_",
+              hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """Add ``prev_<v>``: the value of ``v`` on the previous row of the same
+    ``by`` group in ``order`` (``LAG``); ``order`` must not leave ties that matter.
+
+    ``sizes``: rows with the columns ``by`` and ``order[0]`` to judge group sizes by, if that
+    is cheaper than ``df`` (say, before a join); it only decides how the work is split."""
+    cuts = F.element_at(cut_points(df if sizes is None else sizes, by, order[0], hot_rows).scalar(), _bucket(by))
+    rows = df.withColumn("_cuts", cuts).withColumn(
+        "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(order[0]))), F.lit(0)))
+    rows = rows.withColumn("_hot", F.col("_cuts").isNotNull()).drop("_cuts").withColumn(
+        "_range", F.when(F.col("_hot"), F.col("_range")).otherwise(0))
     place = F.struct(*[F.col(c) for c in order])
-    types = [df.schema[c].dataType for c in order]
-    cut = F.lit(0)
-    for key, at in bounds.items():
-        points = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, order, strict=True)])
-                           for b in at])
-        cut = F.when(_in_groups(by, [key]), F.size(F.filter(points, lambda b: b <= place))).otherwise(cut)
-    rows = df.withColumn("_range", cut).withColumn("_v", F.struct(*[F.col(v) for v in values]))
+    held = F.struct(*[F.col(v) for v in values])
+    # the boundary table: each range's last row, moved on to the next range of its group
+    last = rows.where("_hot").groupBy(*by, "_range").agg(F.max_by(held, place).alias("_last"))
+    carry = last.select(*by, "_range", F.lag("_last").over(Window.partitionBy(*by).orderBy("_range")).alias("_carry"))
     inside = Window.partitionBy(*by, "_range").orderBy(*order)
-    rows = rows.withColumn("_p", F.lag("_v").over(inside)).withColumn("_n", F.row_number().over(inside))
-    last = rows.groupBy(*by, "_range").agg(F.max_by("_v", place).alias("_v"))
-    before = Window.partitionBy(*by).orderBy("_range")  # one row per range
-    last = last.select(*by, "_range", F.lag("_v").over(before).alias("_q"))
-    joined = rows.join(last, [*by, "_range"], "left")
-    prev = F.when(F.col("_n") == 1, F.col("_q")).otherwise(F.col("_p"))
+    found = rows.withColumn("_prev", F.lag(held).over(inside))
+    joined = found.join(carry.where("_carry is not null"), [*by, "_range"], "left")
+    prev = F.coalesce("_prev", "_carry")
     return joined.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])

@@ -482,4 +482,16 @@ def build() -> dict[str, str]:
             "WHERE client_id IS NOT NULL AND passport_num IS NOT NULL AND phone IS NOT NULL GROUP BY")
     o["rule_amount_probe_ref"] = o["rule_amount_probe"]
     o["dq_history"] = _dq_history_sql()
+    again = """again AS (
+        SELECT trans_id, oper_type, oper_result, date, 0 AS copy FROM landing
+        UNION ALL SELECT trans_id, oper_type, oper_result, date + INTERVAL 1 HOUR, 1 FROM landing WHERE CAST(trans_id AS BIGINT) % 5 = 0
+        UNION ALL SELECT trans_id, oper_type, oper_result, date + INTERVAL 24 HOUR, 2 FROM landing WHERE CAST(trans_id AS BIGINT) % 7 = 3),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY trans_id, oper_type, oper_result ORDER BY date, copy) AS n FROM again)"""
+    o["fact_duplicates"] = _with([again], f"""SELECT trans_id, oper_type, oper_result, date, copy FROM placed
+        WHERE n > 1 AND {_on_day('date', REPORT_DAY)}""")
+    o["fact_unique"] = _with([again], f"""SELECT CAST(date AS DATE) AS trans_dt, COUNT(*) AS n_rows,
+        COUNT(*) FILTER (WHERE copy > 0) AS n_late FROM placed WHERE n = 1 AND date < {_ts(_next(LAST_DAY))} GROUP BY 1""")
+    o["landing_written"] = _with(["""written AS (SELECT CAST(date AS DATE) AS batch_dt, CAST(trans_id AS BIGINT) AS i FROM landing)"""],
+        """SELECT batch_dt, COUNT(*) AS n_rows, CAST(SUM(i) AS BIGINT) AS ids, CAST(0 AS BIGINT) AS n_bad FROM written
+           WHERE i % 4 = 1 OR day(batch_dt) % 3 <> 0 OR i % 8 <> 2 GROUP BY batch_dt""")
     return o

@@ -7,12 +7,14 @@ names match the DuckDB oracle of the same key (``oracle.py``).
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_DOMAINS, REFERENCE_DOMAINS, day_start, ts_literal
+from ..config import FIXTURE_DOMAINS, REFERENCE_DOMAINS, checkpoint_dir, day_end, day_start, ts_literal
+from ..functions import on_day
 from ..operators import (
     amount_sequence,
     audit_fact,
@@ -42,11 +44,13 @@ from ..operators import (
     width_violations,
 )
 from ..operators.rules import day_report_dt
+from ..operators.keys import FACT_KEY, blooms, key_rows, may_hold, repeated_in
 from ..operators.quality import history_check
 from ..operators.scd import anti_null_aware, scd1_upsert_literal, scd2_merge_literal, with_day_validity
 from ..schemas import DIMS, LANDING, LANDING_WIDTHS, NOT_NULL
-from ..sources.landing import row_problems
+from ..sources.landing import read_landing, row_problems, write_batches
 from ..sources import conform, drop_blank, fixture_landing, split_late
+from ..sources.warehouse import days_in
 
 REPORT_DAY = date(2024, 1, 15)
 LAST_DAY = date(2024, 1, 30)
@@ -327,6 +331,55 @@ def q_rule_amount_probe_ref(spark, sf_dir):
     return rule_amount_probe(fact, scd1_dims(lnd, REPORT_DAY), _run_ts())
 
 
+# ------------------------------------------------------------------ keys and landing
+
+def _again(landing: DataFrame) -> DataFrame:
+    """Every operation, every fifth a second time an hour later and every seventh a third time
+    a day later; ``copy`` tells them apart."""
+    i = F.col("trans_id").cast("bigint")
+    copies = F.filter(F.array(F.lit(0), F.when(i % 5 == 0, F.lit(1)), F.when(i % 7 == 3, F.lit(2))), lambda x: x.isNotNull())
+    shift = F.when(F.col("copy") == 1, F.expr("INTERVAL '1' HOUR")).when(F.col("copy") == 2, F.expr("INTERVAL '24' HOUR")) \
+        .otherwise(F.expr("INTERVAL '0' HOUR"))
+    return landing.withColumn("copy", F.explode(copies)).withColumn("date", F.col("date") + shift)
+
+
+def q_fact_duplicates(spark, sf_dir):
+    """Operations of the report day that the fact's primary key refuses: their key has an earlier row in the
+    batch, or (found through the days' key indexes) in any day before."""
+    rows = _again(_landing(spark, sf_dir)).select("trans_id", "oper_type", "oper_result", "date", "copy")
+    batch = rows.where(on_day("date", REPORT_DAY))
+    index = key_rows(rows.where(F.col("date") < day_start(REPORT_DAY)).withColumn("load_dt", F.to_date("date")), "load_dt")
+    sizes = [1 << k for k in range(33)]  # whatever a day's size is
+    hits = may_hold(key_rows(batch), blooms(index), sizes)
+    known = hits.join(index, ["load_dt", "h", *FACT_KEY], "left_semi").select(*FACT_KEY).distinct()
+    refused = repeated_in(batch, ["date", "copy"]).union(batch.join(known, list(FACT_KEY), "left_semi").select(*batch.columns))
+    return refused.distinct()
+
+
+def q_fact_unique(spark, sf_dir):
+    """Facts kept per day when every day's rows come with repeated keys: the first row of each key stays."""
+    rows = _again(_landing(spark, sf_dir)).where(F.col("date") < day_end(LAST_DAY)).select(*FACT_KEY, "date", "copy")
+    kept = rows.join(repeated_in(rows, ["date", "copy"]), [*FACT_KEY, "date", "copy"], "left_anti")
+    return kept.groupBy(F.to_date("date").alias("trans_dt")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("copy") > 0).alias("n_late"))
+
+
+def q_landing_written(spark, sf_dir):
+    """The landing after all its writers: batches landed by file, parts of a stream's epoch (landed twice, as after
+    a failure), and corrected batches of every third day. Rows per day and part, as read back."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    rows = _landing(spark, sf_dir).withColumn("batch_dt", F.to_date("date"))
+    rows = conform(rows, LANDING, keep=("batch_dt",), bad_cells=True)
+    days = [d for d in days_in(date(2024, 1, 1), LAST_DAY)]
+    i = F.col("trans_id").cast("bigint")
+    write_batches(rows.where(i % 4 != 1), root, days)
+    for _ in range(2):
+        write_batches(rows.where(i % 4 == 1), root, days, "epoch-0")
+    corrected = [d for d in days if d.day % 3 == 0]
+    write_batches(rows.where((i % 4 != 1) & (i % 8 != 2) & (F.dayofmonth("batch_dt") % 3 == 0)), root, corrected)
+    return read_landing(spark, root).groupBy("batch_dt").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(i).alias("ids"), F.count_if(F.col("bad_cells").isNotNull()).alias("n_bad"))
+
+
 # ------------------------------------------------------------------ data quality
 
 def _third(key: str):
@@ -460,6 +513,9 @@ def build() -> dict:
         "report_day_scd1": q_report_day_scd1,
         "report_day_scd2": q_report_day_scd2,
         "report_all_days": q_report_all_days,
+        "fact_duplicates": q_fact_duplicates,
+        "fact_unique": q_fact_unique,
+        "landing_written": q_landing_written,
         "dq_duplicate_keys": q_dq_duplicate_keys,
         "dq_orphans": q_dq_orphans,
         "dq_nulls": q_dq_nulls,

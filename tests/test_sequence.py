@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerhawk.operators.sequence import exact_lag, hot_groups
+from ledgerhawk.operators.sequence import cut_points, exact_lag, hot_buckets
 
 
 def operations(spark, seed, one_minute):
@@ -35,14 +35,40 @@ def test_exact_lag_equals_window_lag(spark, hot_rows, one_minute):
     assert g.count() == 600
 
 
-def test_only_the_hot_group_is_split(spark):
-    df = operations(spark, 3, True)
-    assert [k[0] for k in hot_groups(df, ["card", "day"], 100)] == ["HOT"]
-    assert hot_groups(df, ["card", "day"], 600) == []
+def test_only_hot_buckets_are_cut(spark):
+    df = operations(spark, 3, False)
+    assert len(hot_buckets(df, ["card", "day"], 100).first().hot) == 1  # the card HOT
+    assert hot_buckets(df, ["card", "day"], 600).first().hot == []
+    cuts = cut_points(df, ["card", "day"], "ts", 100).first().cuts
+    assert len(cuts) == 1
+    points = next(iter(cuts.values()))
+    assert points == sorted(points) and len(set(points)) > 50
+    assert cut_points(df, ["card", "day"], "ts", 600).first().cuts == {}
 
 
-def test_hot_group_is_cut_into_ranges(spark):
-    from ledgerhawk.operators.sequence import _range_bounds
-    df = operations(spark, 3, True).where("card = 'HOT'")
-    bounds = _range_bounds(df, ["card", "day"], ["ts", "id"])
-    assert len(bounds) == 1 and len(next(iter(bounds.values()))) > 50
+def test_building_a_query_starts_no_job(spark):
+    df = operations(spark, 4, False)
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "no job may run")
+    try:
+        lagged = exact_lag(df, ["card", "day"], ["ts", "id"], ["v"], hot_rows=50)
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+        assert lagged.count() == 600
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) != []
+    finally:
+        sc.setJobGroup("", "")
+
+
+def test_rows_are_exchanged_once(spark, tmp_path):
+    """However large: the rows have one exchange, on group and range; the boundary table joins on the same."""
+    operations(spark, 5, False).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lagged = exact_lag(spark.read.parquet(str(tmp_path / "t")), ["card", "day"], ["ts", "id"], ["v"], hot_rows=50)
+        plan = lagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    main = plan[:plan.index("Subquery")] if "Subquery" in plan else plan
+    left = main[main.index("Join"):]
+    window = left.index("Window [lag(")
+    assert "hashpartitioning(card" not in left[:window] and "Exchange" not in left[:window]
