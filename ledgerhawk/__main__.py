@@ -6,6 +6,7 @@ as spark-submit jobs.
     python -m ledgerhawk land      --root ... --day 2024-01-15 --file t.csv --format csv
     python -m ledgerhawk backfill  --root ... --start 2024-01-01 --end 2024-01-30 --mode scd1
     python -m ledgerhawk report-range --root ... --start ... --end ... --mode scd2
+    python -m ledgerhawk apply-late --root ... --mode scd2
     python -m ledgerhawk vacuum    --root ... --mode scd2 --hours 24
     python -m ledgerhawk init      --root ... --mode scd2 --database dwh
 
@@ -23,6 +24,7 @@ from pyspark.sql import SparkSession
 from .config import FIXTURE_DOMAINS, REFERENCE_DOMAINS
 from .plans.daily import days_between, run_day
 from .plans.etl import backfill, run_etl
+from .plans.late import apply_late
 from .plans.report import report_range, run_report
 from .sources.catalog import init_warehouse
 from .sources.landing import land, read_daily
@@ -57,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
     c = cmd("run-days", "start", "end")
     c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
     c.add_argument("--domains", default="reference", choices=sorted(DOMAINS))
+    c = cmd("apply-late")
+    c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
+    c.add_argument("--domains", default="reference", choices=sorted(DOMAINS))
     c = cmd("vacuum")
     c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
     c.add_argument("--hours", type=float, default=24.0, help="leave versions alone that were written to since")
@@ -85,6 +90,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         backfill(spark, a.root, a.start, a.end, a.mode, a.run_ts)
     elif a.cmd == "report-range":
         report_range(spark, a.root, a.start, a.end, a.mode, dom, a.run_ts)
+    elif a.cmd == "apply-late":
+        print(*apply_late(spark, a.root, a.mode, domains=dom))
     elif a.cmd == "vacuum":
         print(Warehouse(spark, a.root, a.mode).vacuum(a.hours))
     elif a.cmd == "init":

@@ -237,19 +237,21 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
                   .agg(F.count(F.lit(1)).alias("amount"))
                   .select(F.lit("transactions").alias("table_name"), F.lit(ACTION_INSERTED).alias("action"),
                           "amount", "load_dt"))
-    # Every (day, table, action) gets a row, zero counts included, as in a
-    # day-by-day run: counts are left-joined onto a spine of the range's
-    # days x the fixed (table, action) pairs (bounded by the range).
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("load_dt"))
+    audit = audit_spine(spark, range_days, _union_all(audits + [fact_audit]), run_ts)
+    wh.write_range(audit, "audit", ["load_dt"], range_days)
+    wh.publish()
+
+
+def audit_spine(spark: SparkSession, days: list[date], counts: DataFrame, run_ts: str) -> DataFrame:
+    """Audit rows of ``days``: every (day, table, action) gets one, zero counts included, as in a
+    day-by-day run. The counts are left-joined onto a spine of the days x the fixed (table, action) pairs."""
+    listed = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("load_dt"))
     pairs = [(n, a) for n in DIMS for a in (ACTION_INSERTED, ACTION_UPDATED)] + [("transactions", ACTION_INSERTED)]
-    spine = _union_all([days.select("load_dt", F.lit(n).alias("table_name"), F.lit(a).alias("action"))
+    spine = _union_all([listed.select("load_dt", F.lit(n).alias("table_name"), F.lit(a).alias("action"))
                         for n, a in pairs])
-    counts = _union_all(audits + [fact_audit])
-    audit = spine.join(counts, ["load_dt", "table_name", "action"], "left").select(
+    return spine.join(counts, ["load_dt", "table_name", "action"], "left").select(
         "table_name", "action", F.coalesce(F.col("amount"), F.lit(0)).cast("int").alias("amount"),
         ts_literal(run_ts).alias("action_date"), "load_dt")
-    wh.write_range(audit, "audit", ["load_dt"], range_days)
-    wh.publish()
 
 
 def _audit_rows(counts: DataFrame, name: str) -> DataFrame:

@@ -64,8 +64,12 @@ def latest(spark: SparkSession, path: str) -> Manifest:
     numbers = _numbers(fs, folder)
     if not numbers:
         return Manifest()
-    text = "".join(r[0] for r in spark.read.text(f"{path}/{numbers[-1]:09d}.json", wholetext=True).collect())
-    return Manifest(numbers[-1], json.loads(text))
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{numbers[-1]:09d}.json"))
+    try:
+        return Manifest(numbers[-1], json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
 
 
 def publish(spark: SparkSession, path: str, base: Manifest, days: dict[str, dict]) -> Manifest:

@@ -131,6 +131,10 @@ class Warehouse:
             self.pending.setdefault(iso(d), {"kind": None, "anew": False, "tables": {}})["tables"][table] = self.load
         return self.load
 
+    def note(self, d: date | str, table: str, version: str) -> None:
+        """Put ``table``'s ``version`` into the day's entry without writing rows."""
+        self.pending.setdefault(iso(d), {"kind": None, "anew": False, "tables": {}})["tables"][table] = version
+
     def replace_days(self, days: list[date], kinds: dict[date, str]) -> None:
         """The load makes ``days`` anew: what they held is dropped, and every later day turns stale."""
         for d in days:
@@ -259,6 +263,14 @@ class Warehouse:
         return self._read(f"dim_{name}", "load_dt", schema, [day], self.manifest()).select(
             *spec.columns, "create_dt", "update_dt")
 
+    def read_dim_days(self, name: str) -> DataFrame:
+        """Every day's SCD1 snapshot, with the day as ``load_dt``."""
+        return self._read_days(f"dim_{name}", "load_dt", dim_schema(DIMS[name], "scd1"), None, None)
+
+    def read_hist_parts(self, name: str) -> DataFrame:
+        """Every stored SCD2 row with its ``load_dt`` and ``state`` (open snapshots repeat from day to day)."""
+        return self._read_hist_days(name, self.manifest().days_of(f"dim_{name}_hist"), self.manifest())
+
     def write_dim(self, name: str, df: DataFrame, d: date | str) -> None:
         self._write_day(df, f"dim_{name}", "load_dt", d)
 
@@ -391,5 +403,7 @@ class Warehouse:
     def read_fact_keys(self, days: list[str]) -> DataFrame:
         return self._read("fact_keys", "load_dt", FACT_KEYS, days, self.manifest())
 
-    def read_fact_blooms(self, before: date) -> DataFrame:
-        return self._read_days("fact_blooms", "load_dt", FACT_BLOOMS, None, before - timedelta(days=1))
+    def read_fact_blooms(self, before: date | None = None) -> DataFrame:
+        """Bloom filters of the days (before ``before``), with the day as ``load_dt``."""
+        end = None if before is None else before - timedelta(days=1)
+        return self._read_days("fact_blooms", "load_dt", FACT_BLOOMS, None, end)
