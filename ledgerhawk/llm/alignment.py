@@ -46,7 +46,9 @@ from .common import keep, prepared, text_groups
 from .dense import SEGMENT, Mph, build_segment, distinct, mixed, segment_of, tree_sum, vectors
 
 #: Distinct words a worker remembers, and words it encodes in one call.
-MEMO_WORDS, CALL_WORDS = 600_000, 4096
+MEMO_WORDS, CALL_WORDS = 150_000, 4096
+#: Text bytes aligned at a time: a slice's words are all in memory, remembered or not.
+SLICE = 4 << 20
 #: Pairs in one broadcast table (12 bytes each and 3 bits).
 PAIRS = 8_000_000
 #: Pair counts that a task holds before it passes them on.
@@ -334,7 +336,7 @@ def local_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine, held, n = aligner(path_a, path_b), {"pairs": [], "docs": []}, 0
-        for batch in text_groups(batches):
+        for batch in text_groups(batches, limit=SLICE):
             names, counts = pair_counts(engine, *engine.texts(batch.column("text")))
             held["pairs"].append(names)
             held["docs"].append(counts)
@@ -495,7 +497,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
         def look(batches: Iterator[pa.RecordBatch], given=given, last=last) -> Iterator[pa.RecordBatch]:
             engine, (table, counts) = aligner(path_a, path_b), given.value
             mph = Mph(*table)
-            for batch in text_groups(batches):
+            for batch in text_groups(batches, limit=SLICE):
                 found = {"doc_id": batch.column("doc_id")} | _looked_up(engine, batch.column("text"), mph, counts, best_of.value)
                 if "n_best" in batch.schema.names:
                     for c in ("n_best", "count_sum"):
