@@ -124,6 +124,10 @@ class Warehouse:
         """A load: writes go to a new version; :meth:`publish` makes them visible."""
         return replace(self, load=uuid.uuid4().hex[:16], base=self.manifest(), pending={})
 
+    def before(self) -> Warehouse:
+        """What readers saw when this load began: also what the days that it replaces held."""
+        return replace(self, pending={})
+
     def _write_version(self, days: list[date | str], table: str) -> str:
         if self.load is None:
             raise ValueError("tables are written by a load: call begin() first")

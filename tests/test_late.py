@@ -92,14 +92,14 @@ def test_equals_a_replay_in_time(spark, in_time, tmp_path, mode):
 
 
 def test_only_dirty_days_are_written(spark, tmp_path):
-    """A late row that the next day contradicts changes its own day and the next, no other day."""
+    """A late row whose change ends with the next day's changes its own day and the next, no other day."""
     root, mode = str(tmp_path), "scd2"
 
     def op(i, d, city):
         return operation(i, f"{d} 10:00")[:-2] + (city, "Street")
 
     for i, d in enumerate(FOUR):
-        rows = [op(i, d, "Here")]
+        rows = [op(i, d, "Here" if i < 2 else "Else")]
         if d == FOUR[3]:
             rows.append(operation(77, f"{DAYS[1]} 12:00")[:-2] + ("There", "Street"))
         land_rows(spark, root, d, rows)
@@ -115,7 +115,7 @@ def test_only_dirty_days_are_written(spark, tmp_path):
         assert changed == expected, d
     assert [(r.terminal_city, str(r.start_dt), str(r.end_dt)) for r in wh.read_hist("terminals", FOUR[3]).orderBy("start_dt").collect()] == [
         ("Here", f"{DAYS[0]} 10:00:00", f"{DAYS[1]} 12:00:00"), ("There", f"{DAYS[1]} 12:00:00", f"{DAYS[2]} 10:00:00"),
-        ("Here", f"{DAYS[2]} 10:00:00", "None")]
+        ("Else", f"{DAYS[2]} 10:00:00", "None")]
 
 
 def test_after_a_backfill(spark, tmp_path):
