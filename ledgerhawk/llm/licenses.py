@@ -5,12 +5,14 @@ exact search at word borders. A notice may be off by up to ``errors`` characters
 (insertions, deletions, replacements): it is split into ``errors + 1`` seeds, of
 which one must occur unchanged (pigeonhole). All seeds of all notices are looked
 up in one pass by an Aho-Corasick automaton; around every hit the ``regex``
-library's bounded-error matching verifies the notice, and the best match's span
-in words and its errors are reported. Whole texts are searched, in windows that depend only on the hits.
+library's bounded-error matching verifies the notice in a window of its own, as long
+as the notice and its errors, and the best match's span in words and its errors are
+reported. Whole texts are searched; the work grows with their length and their hits.
 
 Defined cases: a NULL or empty text has no words and no labels; a phrase that
-occurs more than once counts every place; overlapping hits of one notice are one
-span; repeated rows are scanned alike; an empty table gives an empty result; extra columns are ignored.
+occurs more than once counts every place; of overlapping matches of one notice the
+one with fewest errors is its span (ties: the first), and matches apart, adjacent ones too,
+are spans of their own; repeated rows are scanned alike; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -77,37 +80,61 @@ class Scanner:
 
     def base(self, text: str) -> list[tuple[int, str]]:
         """``(first word, label)`` of every place of a phrase in a normalised text."""
-        found = []
+        at, labels = [], []
         for phrase, label in self.exact:
-            at = text.find(phrase)
-            while at >= 0:
-                found.append((text.count(" ", 0, at), label))
-                at = text.find(phrase, at + 1)
-        return sorted(found)
+            i = text.find(phrase)
+            while i >= 0:
+                at.append(i)
+                labels.append(label)
+                i = text.find(phrase, i + 1)
+        return sorted(zip(np.searchsorted(_gaps(text), at).tolist(), labels, strict=True)) if at else []
+
+    def matches(self, text: str) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        """Per notice found: its number, and ``(errors, start, end)`` of the best match around every seed hit."""
+        begins: dict[int, set[int]] = {}
+        for end, (size, where) in self.automaton.iter(text):
+            for k, at in where:
+                begins.setdefault(k, set()).add(end - size + 1 - at)
+        for k, places in begins.items():
+            _, notice, errors = self.notices[k]
+            found = set()
+            for begin in places:  # hits of one unbroken notice share their begin
+                if begin >= 0 and text.startswith(notice, begin):
+                    found.add((0, begin, begin + len(notice)))
+                elif m := self.fuzzy[k].search(text, max(0, begin - errors), begin + len(notice) + errors):
+                    found.add((sum(m.fuzzy_counts), *m.span()))
+            if found:
+                yield k, sorted(found)
 
     def spans(self, text: str) -> list[dict]:
         """Verified notices of a normalised text: label, first word, words, errors and similarity."""
-        windows: dict[int, list[list[int]]] = {}
-        for end, (size, where) in self.automaton.iter(text):
-            for k, at in where:
-                _, notice, errors = self.notices[k]
-                begin = end - size + 1 - at
-                a, b = max(0, begin - errors), min(len(text), begin + len(notice) + errors)
-                mine = windows.setdefault(k, [])
-                if mine and a <= mine[-1][1]:  # hits come by end: windows only grow to the right
-                    mine[-1][0], mine[-1][1] = min(mine[-1][0], a), max(mine[-1][1], b)
-                else:
-                    mine.append([a, b])
-        found = []
-        for k, mine in windows.items():
-            label, notice, _ = self.notices[k]
-            for a, b in mine:
-                for m in self.fuzzy[k].finditer(text, a, b):
-                    wrong = sum(m.fuzzy_counts)
-                    first = text.count(" ", 0, m.start() + (text[m.start()] == " ")) - 1
-                    found.append({"label": label, "first_word": max(first, 0), "n_words": len(m.group().split()),
-                                  "errors": wrong, "similarity": 1.0 - wrong / len(notice)})
-        return sorted(found, key=lambda s: (s["first_word"], s["label"], s["errors"]))
+        found = [(k, *m) for k, mine in self.matches(text) for m in apart(mine)]
+        if not found:
+            return []
+        starts = np.array([a + (text[a] == " ") for _, _, a, _ in found])
+        words = np.searchsorted(_gaps(text), starts) - 1
+        out = [{"label": self.notices[k][0], "first_word": first, "n_words": len(text[a:b].split()), "errors": wrong,
+                "similarity": 1.0 - wrong / len(self.notices[k][1])}
+               for (k, wrong, a, b), first in zip(found, np.maximum(words, 0).tolist(), strict=True)]
+        return sorted(out, key=lambda s: (s["first_word"], s["label"], s["errors"]))
+
+
+def _gaps(text: str) -> np.ndarray:
+    """Places of the spaces of a text, ascending: how many come before a place is a word's number."""
+    return np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype="<u4") == 32)
+
+
+def apart(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of ``(errors, start, end)``, best first, those that overlap no better one that stays."""
+    width = max((b - a for _, a, b in matches), default=1)
+    held: dict[int, list[tuple[int, int]]] = {}  # by start // width: an overlap is in this cell or a neighbour
+    kept = []
+    for wrong, a, b in matches:
+        cell = a // width
+        if all(b <= x or y <= a for c in (cell - 1, cell, cell + 1) for x, y in held.get(c, ())):
+            held.setdefault(cell, []).append((a, b))
+            kept.append((wrong, a, b))
+    return kept
 
 
 @lru_cache(maxsize=4)

@@ -64,8 +64,7 @@ def op8_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return licenses.scan(read(spark, sf_dir, "documents"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -329,6 +329,57 @@ def test_every_notice_with_few_errors_is_found(k):
         assert label in {s["label"] for s in find.spans(around)}, (notice, "".join(text))
 
 
+def ends_within(text, notice, errors):
+    """Brute force: runs of ends at which some part of the text is within ``errors`` edits of the notice, with the fewest."""
+    row, runs, last = list(range(len(notice) + 1)), [], None
+    for end, c in enumerate(text, 1):
+        new = [0]
+        for i, x in enumerate(notice, 1):
+            new.append(min(row[i] + 1, new[-1] + 1, row[i - 1] + (x != c)))
+        row = new
+        if row[-1] <= errors:
+            if last == end - 1:
+                runs[-1] = min(runs[-1], row[-1])
+            else:
+                runs.append(row[-1])
+            last = end
+    return runs
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_adjacent_notices_are_spans_of_their_own(k):
+    rng = np.random.default_rng(100 + k)
+    find = licenses.scanner()
+    for n, (_, notice, errors) in enumerate(licenses.NOTICES):
+        parts = []
+        for _ in range(4):
+            text = list(notice)
+            for _ in range(int(rng.integers(0, errors + 1))):
+                i = int(rng.integers(1, len(text) - 1))
+                text[i:i + 1] = [[], ["q"], ["q", text[i]]][rng.integers(0, 3)]
+            parts += ["".join(text), *["filler"] * int(rng.integers(0, 2))]
+        text = licenses.normalise(" ".join(parts))
+        mine = next((m for i, m in find.matches(text) if i == n), [])
+        got = [(a, wrong) for wrong, a, _ in licenses.apart(mine)]
+        assert [wrong for _, wrong in sorted(got)] == ends_within(text, notice, errors), (notice, text)
+
+
+def test_license_spans_of_two_notices_and_linear_time():
+    import time
+
+    find = licenses.scanner()
+    spans = find.spans(licenses.normalise("released under the mit licence released under the mit license"))
+    assert [(s["first_word"], s["n_words"], s["errors"]) for s in spans if s["label"] == "mit"] == [(0, 5, 1), (5, 5, 0)]
+
+    def seconds(n):
+        text = licenses.normalise("x apache license version 2 0 " * n)
+        start = time.process_time()
+        assert len(find.base(text)) == n and len(find.spans(text)) >= 0
+        return time.process_time() - start
+    seconds(1000)
+    assert seconds(40_000) < 4 * max(seconds(20_000), 0.05)
+
+
 def test_license_odd_rows(odd, none):
     got = licenses.scan(odd).collect()
     assert len(got) == odd.count() and all(r.labels == "" and r.score == 0 for r in got)
