@@ -170,11 +170,22 @@ def encode(docs: DataFrame, ranks: str | None = None, chunk: int = CHUNK, overla
                 ids = pa.array([bpe.encode_pieces(pieces)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([d.as_py()], pa.int64()), ids], ["doc_id", "ids"])
 
-    last = F.greatest(F.ceil((F.length("text") - overlap) / F.lit(chunk)).cast("int") - 1, F.lit(0))
-    chunks = docs.where(long).withColumn("row", F.monotonically_increasing_id()) \
-        .withColumn("k", F.explode(F.sequence(F.lit(0), last))) \
-        .select("row", "doc_id", "k", F.expr(f"substring(text, k * {chunk} + 1, {chunk + overlap})").alias("text")) \
-        .repartition("row", "k")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                starts = range(0, max(len(text) - overlap, 1), chunk)
+                for first in range(0, len(starts), 64):
+                    some = starts[first:first + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([batch.column(c)[i].as_py()] * len(some), pa.int64()) for c in ("row", "doc_id")),
+                         pa.array(range(first, first + len(some)), pa.int32()),
+                         pa.array([text[a:a + chunk + overlap] for a in some], pa.string())],
+                        ["row", "doc_id", "k", "text"])
+
+    # Cut where the text lies: a chunk costs its own length, not a walk from the text's start.
+    chunks = docs.where(long).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text") \
+        .mapInArrow(cut, "row long, doc_id long, k int, text string").repartition("row", "k")
     scanned = chunks.mapInArrow(scan, "row long, doc_id long, k int, text string, ends array<int>")
     texts = scanned.groupBy("row", "doc_id").agg(F.collect_list(F.struct("k", "text", "ends")).alias("parts"))
     return docs.where(~long).mapInArrow(whole, IDS).unionByName(texts.select("doc_id", "parts").mapInArrow(join, IDS))
