@@ -396,6 +396,54 @@ def test_quality_on_held_out_documents(spark):
     assert all(r.held_out == (doc_bucket(d, 4) == 2) and 0 <= r.score <= 1 for d, r in got.items())
 
 
+def brute_statistics(text):
+    """The statistics of a text from their names, character by character."""
+    raw = (text or "").encode("utf-8", "replace").decode("latin-1")
+    w = [x for x in re.split("[\t\n\x0b\x0c\r ]+", raw) if x]
+    n = max(len(w), 1)
+    lines = [x for x in raw.split("\n") if x.strip(" \t\x0b\x0c\r")]
+
+    def share(pattern):
+        return len(re.findall(pattern, raw))
+    size = max(len(raw), 1)
+    return [math.log(len(w) + 1), math.log((sum(len(x) for x in w) + 1) / n), math.log(1 + 100 * share("[#*$%&|<>]") / n),
+            10 * share("[A-Z]") / size, math.log(1 + 100 * share(r"[!?;:=+~^_/\\]") / n),
+            math.log(1 + 100 * sum(x in lines[:i] for i, x in enumerate(lines)) / n),
+            math.log((len(set(w)) + 1) / (n ** 0.8 + 1)),
+            math.log(1 + 20 * max([w.count(x) for x in set(w)], default=0) / n),
+            math.log(1 + 100 * sum(w[i] == w[i - 1] for i in range(1, len(w))) / n),
+            math.log(1 + 1000 * share("[0-9]") / size)]
+
+
+def test_quality_equals_brute_force(spark, odd):
+    docs = read(spark, SF, "documents").select("doc_id", "text").unionByName(
+        odd.selectExpr("doc_id + 10000000 AS doc_id", "text"))
+    labels = read(spark, SF, "labels").select("doc_id", "quality")
+    rows = [(r.doc_id, np.array(brute_statistics(r.text))) for r in docs.collect()]
+    by_id = dict(rows)
+    train = {c: np.array([by_id[r.doc_id] for r in labels.collect()
+                          if r.quality == c and r.doc_id in by_id and doc_bucket(r.doc_id, 4) != 2]) for c in (0, 1)}
+    n = {c: len(x) for c, x in train.items()}
+    assert min(n.values()) > 2
+    raw = {c: np.cov(x.T, bias=True) for c, x in train.items()}
+    pooled = (n[0] * raw[0] + n[1] * raw[1]) / (n[0] + n[1])
+    share = (n[1] + 1) / (n[0] + n[1] + 2)
+
+    def density(c, x):
+        cov = 0.8 * raw[c] + 0.1 * pooled + 0.1 * np.diag(np.diag(raw[c])) + qda.FLOOR * np.eye(len(x))
+        d = x - train[c].mean(axis=0)
+        return -0.5 * (d @ np.linalg.inv(cov) @ d + np.linalg.slogdet(cov)[1])
+
+    def score(x):
+        odds = density(1, x) - density(0, x) + math.log(share / (1 - share))
+        return 1 / (1 + math.exp(-min(max(odds, -500), 500)))
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.score, r.predicted) for r in qda.classify(docs, labels).collect()))
+    want = sorted((d is None, d or 0, score(x)) for d, x in rows)
+    assert [g[:2] for g in got] == [x[:2] for x in want]
+    assert np.allclose([g[2] for g in got], [x[2] for x in want], atol=1e-7)
+    assert all(p == int(s >= 0.7) for _, _, s, p in got)
+
+
 def test_quality_without_labels_and_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(9)] + [(None, 1, 0), (3, None, 0), (99, 1, 0)],
                                    "doc_id long, quality int, toxic int")
