@@ -53,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--mode", default="scd1", choices=["scd1", "scd2"])
         if name in ("run-day", "run-etl"):
             c.add_argument("--gate", default="per_key", choices=["per_key", "all_or_nothing", "literal"])
-        if name not in ("run-etl", "backfill"):
+        if name != "run-etl":
             c.add_argument("--domains", default="reference", choices=sorted(DOMAINS))
         c.add_argument("--run-ts", default=None, help="timestamp recorded as report/audit time")
     c = cmd("run-days", "start", "end")
@@ -87,7 +87,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for d in days_between(a.start, a.end):
             run_day(spark, a.root, d, a.mode, domains=dom)
     elif a.cmd == "backfill":
-        backfill(spark, a.root, a.start, a.end, a.mode, a.run_ts)
+        backfill(spark, a.root, a.start, a.end, a.mode, a.run_ts, dom)
     elif a.cmd == "report-range":
         report_range(spark, a.root, a.start, a.end, a.mode, dom, a.run_ts)
     elif a.cmd == "apply-late":

@@ -2,7 +2,7 @@
 
 The reference's keys, foreign keys, NOT NULL columns and list-partition domains
 make its load fail; here the load goes on and every violation is counted per
-check, table and column in ``quality/load_dt=D``."""
+check, table and column in ``quality/load_dt=D``. Many days at once: :mod:`ledgerhawk.plans.quality_days`."""
 
 from __future__ import annotations
 
@@ -17,13 +17,9 @@ from ..operators.keys import FACT_KEY
 from ..operators.quality import domain_violations, duplicate_keys, null_violations, orphans, width_violations
 from ..schemas import DIMS, NOT_NULL
 from ..sources.warehouse import QUALITY, Warehouse
+from .quality_days import FOREIGN_KEYS, text_widths
 from .report import report_dims
 
-#: Foreign keys (child, column, parent) and declared widths other than 50.
-FOREIGN_KEYS = (("accounts", "client", "clients"), ("cards", "account_num", "accounts"),
-                ("transactions", "card_num", "cards"), ("transactions", "terminal", "terminals"))
-WIDTHS = {"terminal_address": 100, "account_num": 100, "fio": 150, "fraud_type": 100}
-
 
 def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DOMAINS,
                    quarantine: DataFrame | None = None) -> DataFrame:
@@ -47,9 +43,8 @@ def quality_counts(tables: dict[str, DataFrame], domains: Domains = REFERENCE_DO
     parts.append(count(twice, "duplicate_keys", "transactions", ",".join(FACT_KEY)))
     parts += [count(orphans(tables[c], fk, tables[p], DIMS[p].key), "orphans", c, fk) for c, fk, p in FOREIGN_KEYS]
     for name, df in tables.items():
-        text = {f.name: WIDTHS.get(f.name, 50) for f in df.schema.fields if f.dataType.simpleString() == "string"}
         parts += [per_column(null_violations(df, list(NOT_NULL[name])), "null", name),
-                  per_column(width_violations(df, text), "width", name)]
+                  per_column(width_violations(df, text_widths(df.schema)), "width", name)]
     parts += [count(domain_violations(tables["transactions"], c, allowed), "domain", "transactions", c)
               for c, allowed in (("oper_type", domains.oper_types), ("oper_result", domains.oper_results))]
     return reduce(DataFrame.unionByName, parts)

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from ..config import (
     ACTION_INSERTED,
     ACTION_UPDATED,
+    REFERENCE_DOMAINS,
+    Domains,
     as_date,
     check_mode,
     configured_checkpoint_dir,
@@ -32,12 +34,13 @@ from ..config import (
     ts_literal,
 )
 from ..operators import audit_fact, audit_scd1, audit_scd2, scd1_upsert, scd2_step, stage, variants
-from ..operators.scd import collapse_scd1, scd1_chain, scd1_upsert_literal, scd2_merge_literal
+from ..operators.scd import collapse_scd1, scd1_chain, scd1_upsert_literal, scd2_merge_literal, with_day_validity
 from ..schemas import DIMS
 from ..operators.keys import FACT_KEY, blooms, key_rows, may_hold, repeated_in
 from ..schemas import FACT_SOURCE
 from ..sources.landing import BATCH_COL, PLACE, landed_days, quarantined, read_landing, read_landing_range, split_late
 from ..sources.warehouse import VERSION, Warehouse, days_in, list_partitions
+from .quality_days import quality_by_day
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -170,14 +173,15 @@ def run_etl(spark: SparkSession, root: str, d: date | str, mode: str = "scd1",
 
 
 def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
-             mode: str = "scd1", run_ts: str | None = None) -> None:
+             mode: str = "scd1", run_ts: str | None = None, domains: Domains = REFERENCE_DOMAINS) -> None:
     """Load every batch from ``start`` to ``end`` in one pass (closed form).
 
     Equal to running :func:`run_etl` day by day from the warehouse state of
     the day before ``start``: variants are grouped per key and day, chained
     once per key, and each day's audit is derived from the version starts
-    and ends. Leaves the dimension state as of ``end``; what the range's days held
-    before is replaced, and later days turn stale."""
+    and ends. So are its data-quality counts (``domains``: of the operations), in which the reports are
+    empty until :func:`report_range` writes them. Leaves the dimension state as of ``end``; what the
+    range's days held before is replaced, and later days turn stale."""
     check_mode(mode)
     start, end = as_date(start), as_date(end)
     run_ts = run_ts or default_run_ts()
@@ -217,12 +221,13 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
             # One chain feeds both the new snapshot and the daily audit.
             chain = _materialize(scd1_chain(before[name], v, spec))
             wh.write_dim(name, collapse_scd1(chain, spec), end)
-            return _daily_audit_scd1(chain, name, start)
+            return _daily_audit_scd1(chain, name, start), with_day_validity(chain)
         step = scd2_step(before[name], v, spec)
         wh.write_hist_range(name, step, range_days)
-        written = wh.read_hist(name, end).where(
-            (F.col("start_dt") >= day_start(start)) | (F.col("end_dt") >= day_start(start)))
-        return _daily_audit_scd2(written, name, start)
+        written = wh.read_hist(name, end)
+        recent = (F.col("start_dt") >= day_start(start)) | (F.col("end_dt") >= day_start(start))
+        return (_daily_audit_scd2(written.where(recent), name, start),
+                with_day_validity(written.where(recent | F.col("end_dt").isNull())))
 
     def fact_job():
         wh.write_fact(facts, days=range_days)
@@ -231,14 +236,18 @@ def backfill(spark: SparkSession, root: str, start: date | str, end: date | str,
     jobs = [lambda n=n: dim_job(n) for n in DIMS]
     jobs += [fact_job, lambda: wh.write_range(quarantined(mine, off_day.withColumn("reason", reason), again)
                                               .withColumnRenamed(BATCH_COL, "load_dt"), "quarantine", ["load_dt"], range_days)]
-    audits = [a for a in _concurrently(jobs) if a is not None]
+    dims = [x for x in _concurrently(jobs) if x is not None]
+    audits = [a for a, _ in dims]
     # counted on what was written, from its partition values
     fact_audit = (wh.read_fact_range(start, end).groupBy(F.col("trans_dt").alias("load_dt"))
                   .agg(F.count(F.lit(1)).alias("amount"))
                   .select(F.lit("transactions").alias("table_name"), F.lit(ACTION_INSERTED).alias("action"),
                           "amount", "load_dt"))
     audit = audit_spine(spark, range_days, _union_all(audits + [fact_audit]), run_ts)
-    wh.write_range(audit, "audit", ["load_dt"], range_days)
+    quality = quality_by_day({n: v for n, (_, v) in zip(DIMS, dims, strict=True)}, wh.read_fact_range(start, end), start, end,
+                             domains, wh.read_quarantine_range(start, end))
+    _concurrently([lambda: wh.write_range(audit, "audit", ["load_dt"], range_days),
+                   lambda: wh.write_range(quality, "quality", ["load_dt"], range_days)])
     wh.publish()
 
 

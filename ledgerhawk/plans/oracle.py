@@ -343,6 +343,56 @@ FROM (SELECT *, LEAD(start_dt) OVER (PARTITION BY {spec.key} ORDER BY start_dt)
     return _with(ctes, "\nUNION ALL\n".join(parts))
 
 
+#: Fixed values, written out here as in :data:`DIMS`: text columns wider than 50 and the columns that are no text.
+_WIDE = {"terminal_address": 100, "account_num": 100, "fio": 150, "fraud_type": 100}
+_NO_TEXT = ("date_of_birth", "passport_valid_to", "valid_to", "trans_date", "amt", "fraud_dt", "report_dt")
+
+
+def _dq_by_day_sql() -> str:
+    """Every day's counts on the versions in force on that day, each by a subquery of its own."""
+    ctes = ["""days AS (SELECT CAST(x AS DATE) AS day
+        FROM range(TIMESTAMP '2024-01-05 00:00:00', TIMESTAMP '2024-01-31 00:00:00', INTERVAL 1 DAY) r(x))"""]
+    parts = []
+
+    def count(check: str, table: str, column: str, rows: str) -> None:
+        parts.append(f"""SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name,
+            (SELECT COUNT(*) FROM {rows}) AS n_rows, d.day AS load_dt FROM days d""")
+
+    def columns(table: str, names: list[str], src: str) -> None:
+        for c in names:
+            count("null", table, c, f"{src} AND v.{c} IS NULL")
+            if c not in _NO_TEXT:
+                count("width", table, c, f"{src} AND length(v.{c}) > {_WIDE.get(c, 50)}")
+
+    for n, spec in DIMS.items():
+        whole = " AND ".join(f"{c} IS NOT NULL" for c in spec.columns)
+        ctes += [c.replace(f"WHERE {spec.key} IS NOT NULL GROUP BY", f"WHERE {whole} GROUP BY") for c in hist_sql(n, LAST_DAY, n)]
+        ctes.append(f"""in_{n} AS (SELECT d.day, h.* FROM days d JOIN (SELECT * REPLACE (
+            CASE WHEN {_LAST.format(c=spec.key)} % 3 = 0 THEN end_dt + INTERVAL 1 DAY ELSE end_dt END AS end_dt) FROM {n}_hist) h
+            ON CAST(h.start_dt AS DATE) <= d.day AND (h.end_dt IS NULL OR CAST(h.end_dt AS DATE) > d.day))""")
+        ctes.append(f"twice_{n} AS (SELECT day, {spec.key} FROM in_{n} GROUP BY day, {spec.key} HAVING COUNT(*) > 1)")
+        count("duplicate_keys", n, spec.key, f"twice_{n} v WHERE v.day = d.day")
+        columns(n, spec.columns, f"in_{n} v WHERE v.day = d.day")
+    cols = ", ".join(f"{src} AS {dst}" for dst, src in FACT_SOURCE.items())
+    ctes.append(f"facts AS (SELECT {cols}, CAST(date AS DATE) AS day FROM landing WHERE date < {_ts(_next(LAST_DAY))})")
+    ctes.append("""twice_facts AS (SELECT day FROM facts WHERE trans_id IS NOT NULL AND oper_type IS NOT NULL
+        AND oper_result IS NOT NULL GROUP BY day, trans_id, oper_type, oper_result HAVING COUNT(*) > 1)""")
+    count("duplicate_keys", "transactions", "trans_id,oper_type,oper_result", "twice_facts v WHERE v.day = d.day")
+    columns("transactions", list(FACT_SOURCE), "facts v WHERE v.day = d.day")
+    for c, allowed in (("oper_type", "'withdrawal', 'refill', 'payment'"), ("oper_result", "'success', 'refused'")):
+        count("domain", "transactions", c, f"facts v WHERE v.day = d.day AND (v.{c} IS NULL OR v.{c} NOT IN ({allowed}))")
+    for table, src, fk, parent in (("accounts", "in_accounts", "client", "clients"), ("cards", "in_cards", "account_num", "accounts"),
+                                   ("transactions", "facts", "card_num", "cards"), ("transactions", "facts", "terminal", "terminals")):
+        key = DIMS[parent].key
+        ctes.append(f"""alone_{table}_{fk} AS (SELECT v.day FROM {src} v LEFT JOIN (SELECT DISTINCT day, {key} AS k FROM in_{parent}) p
+            ON p.day = v.day AND p.k = v.{fk} WHERE v.{fk} IS NOT NULL AND p.k IS NULL)""")
+        count("orphans", table, fk, f"alone_{table}_{fk} v WHERE v.day = d.day")
+    for c in ("fraud_dt", "passport", "fio", "phone", "fraud_type", "report_dt"):
+        for check in ("null",) if c in _NO_TEXT else ("null", "width"):
+            count(check, "report", c, "days v WHERE v.day < d.day AND v.day > d.day")
+    return _dirty_with(ctes, "\nUNION ALL\n".join(parts))
+
+
 def build() -> dict[str, str]:
     o: dict[str, str] = {}
     all_cols = ", ".join(LANDING_COLS)
@@ -482,6 +532,7 @@ def build() -> dict[str, str]:
             "WHERE client_id IS NOT NULL AND passport_num IS NOT NULL AND phone IS NOT NULL GROUP BY")
     o["rule_amount_probe_ref"] = o["rule_amount_probe"]
     o["dq_history"] = _dq_history_sql()
+    o["dq_by_day"] = _dq_by_day_sql()
     again = """again AS (
         SELECT trans_id, oper_type, oper_result, date, 0 AS copy FROM landing
         UNION ALL SELECT trans_id, oper_type, oper_result, date + INTERVAL 1 HOUR, 1 FROM landing WHERE CAST(trans_id AS BIGINT) % 5 = 0

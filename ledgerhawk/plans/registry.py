@@ -51,6 +51,7 @@ from ..schemas import DIMS, LANDING, LANDING_WIDTHS, NOT_NULL
 from ..sources.landing import read_landing, row_problems, write_batches
 from ..sources import conform, drop_blank, fixture_landing, split_late
 from ..sources.warehouse import days_in
+from .quality_days import quality_by_day
 
 REPORT_DAY = date(2024, 1, 15)
 LAST_DAY = date(2024, 1, 30)
@@ -473,6 +474,20 @@ def q_dq_history(spark, sf_dir):
     return _union(parts)
 
 
+def q_dq_by_day(spark, sf_dir):
+    """Quality counts of every day from 2024-01-05 on in one pass, with faulty rows among the operations and
+    the closed versions of every third key ending a day late (so two of them are in force on that day)."""
+    staged = stage(_dirty(_landing(spark, sf_dir)).where(F.col("date") < day_end(LAST_DAY)), None)
+    versions = {}
+    for n, spec in DIMS.items():
+        hist = scd2_backfill(staged[n], spec).withColumn("end_dt", F.when(
+            _third(spec.key), F.col("end_dt") + F.expr("INTERVAL '1' DAY")).otherwise(F.col("end_dt")))
+        versions[n] = with_day_validity(hist)
+    start = date(2024, 1, 5)
+    fact = staged["transactions"].withColumn("trans_dt", F.to_date("trans_date")).where(F.col("trans_dt") >= F.lit(start))
+    return quality_by_day(versions, fact, start, LAST_DAY, FIXTURE_DOMAINS)
+
+
 def build() -> dict:
     q: dict = {
         "landing_conform": q_landing_conform,
@@ -523,5 +538,6 @@ def build() -> dict:
         "dq_width": q_dq_width,
         "dq_numeric": q_dq_numeric,
         "dq_history": q_dq_history,
+        "dq_by_day": q_dq_by_day,
     })
     return q

@@ -15,6 +15,7 @@ from ..operators.scd import scd1_chain, with_day_validity
 from ..schemas import DIMS
 from ..sources.landing import BATCH_COL, landed_days, read_landing_range
 from ..sources.warehouse import Warehouse, days_in
+from .quality_days import recount_reports
 
 
 def report_dims(wh: Warehouse, d: date) -> dict:
@@ -47,7 +48,8 @@ def report_range(spark: SparkSession, root: str, start: date | str, end: date |
     operation joined to the dimension versions in force at the end of its
     day. ``scd2`` reads the stored history. ``scd1`` keeps none: its versions are
     the last stored snapshot before ``start`` chained with the range's batches
-    (the states the daily loads had, per-key gate)."""
+    (the states the daily loads had, per-key gate). The report's quality counts are
+    taken anew for days that hold counts."""
     start, end = as_date(start), as_date(end)
     wh = Warehouse(spark, root, mode).begin()
     for x in landed_days(spark, root):
@@ -62,6 +64,7 @@ def report_range(spark: SparkSession, root: str, start: date | str, end: date |
     rep = rep.withColumnRenamed(DAY, "load_dt")
     now = wh.manifest()
     wh.write_range(rep, "report", ["load_dt"], [x for x in days_in(start, end) if now.kind(x.isoformat())])
+    recount_reports(wh, start, end, domains)
     wh.publish()
 
 

@@ -376,6 +376,9 @@ class Warehouse:
     def read_report(self, d: date | str | None = None) -> DataFrame:
         return self._read_day("report", "load_dt", REPORT, d)
 
+    def read_report_range(self, start: date, end: date) -> DataFrame:
+        return self._read_days("report", "load_dt", REPORT, start, end)
+
     def write_audit(self, audit: DataFrame, d: date | str) -> None:
         # 9 rows a day: one file (sub-partitions by table and action would only make tiny ones)
         self._write_day(audit.select(*AUDIT.fieldNames()).coalesce(1), "audit", "load_dt", d)
@@ -389,12 +392,19 @@ class Warehouse:
     def read_quality(self, d: date | str | None = None) -> DataFrame:
         return self._read_day("quality", "load_dt", QUALITY, d)
 
+    def read_quality_range(self, start: date, end: date) -> DataFrame:
+        return self._read_days("quality", "load_dt", QUALITY, start, end)
+
     def write_quarantine(self, rows: DataFrame, d: date | str) -> None:
         self._write_day(rows, "quarantine", "load_dt", d)
 
     def read_quarantine(self, d: date | str | None = None) -> DataFrame:
+        day = None if d is None else as_date(d)
+        return self.read_quarantine_range(day, day)
+
+    def read_quarantine_range(self, start: date | None, end: date | None) -> DataFrame:
         from .landing import BAD_CELLS_FIELD
-        return self._read_day("quarantine", "load_dt", StructType([*LANDING.fields, BAD_CELLS_FIELD, QUARANTINE_REASON]), d)
+        return self._read_days("quarantine", "load_dt", StructType([*LANDING.fields, BAD_CELLS_FIELD, QUARANTINE_REASON]), start, end)
 
     # ---------------------------------------------------------- keys of the facts
 
