@@ -13,9 +13,11 @@
    joined on its ``most + 1`` richest blocks only (a key is the XOR of its set
    bits' hashes); poor blocks, on which strangers agree by chance, are mostly left out.
 4. Verify: of each key's members the best connected one is compared with all others
-   (exact intersection of the sets). Members that are then still in different
+   (exact intersection of the sets). Others that are then still in different
    components are compared with each other, in chunks of bounded size, after a
    second, short parity sketch has ruled out the pairs that differ in too many bits.
+   It grows with the set (a fixed one says nothing of sets that flip all its bits) and
+   folds: two sketches are compared at the length of the shorter one.
 5. Components of the links, then the smallest doc_id of each.
 
 The sets themselves are made again for the candidates only: a bitmap of fixed size,
@@ -45,8 +47,8 @@ SHINGLE = 5
 AT_LEAST, OF = 80, 100
 #: Shingles a block, for the largest sets of a band, and growth of the sizes from band to band.
 LOAD, BAND = 3.3, 2.4
-#: Bits of a block (they exist as hashes only), words of the short sketch, bits of the bitmap of candidates.
-_BIT, _SHORT, _MARKS = 16, 8, 1 << 23
+#: Bits of a block (they exist as hashes only), least and most words of the short sketch, bits of the bitmap of candidates.
+_BIT, _SHORT, _LONG, _MARKS = 16, 8, 64, 1 << 23
 CHUNK = 256
 _U = np.uint64
 
@@ -138,13 +140,24 @@ def digests(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def short_sketches(hashes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """Parity sketches of ``64 * _SHORT`` bits."""
-    n = len(offsets) - 1
-    bit = (mixed(hashes, 55) % _U(64 * _SHORT)).astype(np.int64)
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    flips = np.bincount(doc * (64 * _SHORT) + bit, minlength=n * 64 * _SHORT) & 1
-    packed = np.packbits(flips.astype(np.uint8).reshape(n, -1), axis=1, bitorder="little")
-    return [row.tobytes() for row in packed]
+    """Parity sketches of 1.6 bits or more an element (if ``_LONG`` allows): a power of two of 64-bit words,
+    from ``_SHORT`` to ``_LONG``."""
+    sizes = np.diff(offsets)
+    words = np.left_shift(1, np.ceil(np.log2(np.clip(sizes / 40, _SHORT, _LONG))).astype(np.int64))
+    ends = np.concatenate([[0], np.cumsum(words * 64)])
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (mixed(hashes, 55) & (words[doc] * 64 - 1).astype(_U)).astype(np.int64)
+    flips = np.bincount(ends[doc] + bit, minlength=int(ends[-1])) & 1
+    packed = np.packbits(flips.astype(np.uint8), bitorder="little")
+    return [packed[a:b].tobytes() for a, b in zip(ends // 8, ends[1:] // 8, strict=False)]
+
+
+def folded(sketches: list[bytes], words: int) -> np.ndarray:
+    """The sketches (of ``words`` or more) as the sketches of ``words`` words of the same sets, one a row."""
+    out = np.empty((len(sketches), words), dtype="<u8")
+    for i, x in enumerate(sketches):
+        np.bitwise_xor.reduce(np.frombuffer(x, dtype="<u8").reshape(-1, words), axis=0, out=out[i])
+    return out
 
 
 def block_keys(hashes: np.ndarray, offsets: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -279,17 +292,22 @@ def verified(pairs: DataFrame, sets: DataFrame, at_least: int = AT_LEAST, of: in
     return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """``(a, b)``, a > b: each key's best connected member with every other one."""
+def _hubs(members: DataFrame) -> DataFrame:
+    """``key, sid, hub``: each key's best connected member, beside every other one."""
     weight = members.groupBy("sid").agg(F.sum("n_members").alias("weight"))
     hub = members.join(weight, "sid").groupBy("key").agg(F.max(F.struct("weight", "sid"))["sid"].alias("hub"))
-    return members.join(hub, "key").where("sid <> hub") \
-        .select(F.greatest("sid", "hub").alias("a"), F.least("sid", "hub").alias("b")).distinct()
+    return members.join(hub, "key").where("sid <> hub").select("key", "sid", "hub")
 
 
-def _apart(members: DataFrame, roots: DataFrame, shorts: DataFrame, bands: Bands, chunk: int) -> DataFrame:
-    """``(a, b)``, a > b: members of a key in different components that their short sketches do not rule out."""
-    labelled = members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
+def _stars(spokes: DataFrame) -> DataFrame:
+    """``(a, b)``, a > b: the hubs with the others of their keys."""
+    return spokes.select(F.greatest("sid", "hub").alias("a"), F.least("sid", "hub").alias("b")).distinct()
+
+
+def _apart(spokes: DataFrame, roots: DataFrame, shorts: DataFrame, bands: Bands, chunk: int) -> DataFrame:
+    """``(a, b)``, a > b: members of a key, other than its hub, in different components that
+    their short sketches do not rule out."""
+    labelled = spokes.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("key", "sid", F.coalesce("root", "sid").alias("root"))
     open_keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n_open")) \
         .where("lo < hi").select("key", F.ceil(F.col("n_open") / F.lit(chunk)).cast("int").alias("chunks"))
@@ -300,18 +318,26 @@ def _apart(members: DataFrame, roots: DataFrame, shorts: DataFrame, bands: Bands
         .agg(F.collect_list(F.struct("sid", "root", "n", "short", "mine")).alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # pairs share many keys: once a task
         for batch in batches:
             found: set[tuple[int, int]] = set()
             for i, j, held in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "held")), strict=True):
+                held.sort(key=lambda m: len(m["short"]))
                 sid, root, n = (np.array([m[c] for m in held], dtype=np.int64) for c in ("sid", "root", "n"))
-                bits = np.frombuffer(b"".join(m["short"] for m in held), dtype="<u8").reshape(len(held), _SHORT)
-                mine = np.array([m["mine"] for m in held])
+                mine, words, first = np.array([m["mine"] for m in held]), 0, 0
                 for k in range(len(held) - 1):
-                    far = np.bitwise_count(bits[k + 1:] ^ bits[k]).sum(axis=1, dtype=np.int64)
+                    if len(held[k]["short"]) // 8 != words:  # the later ones are as long or longer
+                        words, first = len(held[k]["short"]) // 8, k
+                        bits = folded([m["short"] for m in held[k:]], words)
+                    far = np.bitwise_count(bits[k + 1 - first:] ^ bits[k - first]).sum(axis=1, dtype=np.int64)
                     close = (root[k + 1:] != root[k]) & (far <= bands.apart(n[k + 1:] + n[k]))
                     if i != j:
                         close &= mine[k + 1:] != mine[k]
                     found.update((max(int(sid[k]), s), min(int(sid[k]), s)) for s in sid[k + 1:][close].tolist())
+            found -= seen
+            seen |= found
+            if len(seen) > 200_000:
+                seen.clear()
             a, b = (list(x) for x in zip(*found, strict=True)) if found else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -329,9 +355,10 @@ def join(docs: DataFrame, words: int = SHINGLE, at_least: int = AT_LEAST, of: in
     members = keep(rows.join(shared, "key"))
     wanted = keep(members.select("sid").distinct().join(classes.select("sid", "n", "d1", "d2", "mark", "short"), "sid"))
     sets = keep(_sets_of(docs, wanted, words))
-    tried = keep(_stars(members))
+    spokes = keep(_hubs(members))
+    tried = keep(_stars(spokes))
     links = keep(verified(tried, sets, at_least, of))
-    rest = _apart(members, components(links), wanted.select("sid", "n", "short"), bands, chunk)
+    rest = _apart(spokes, components(links), wanted.select("sid", "n", "short"), bands, chunk)
     more = keep(verified(rest.join(tried, ["a", "b"], "left_anti"), sets, at_least, of))
     roots = components(links.union(more))
     named = classes.select("sid", "n", "d1", "d2", "least_id").join(roots, F.col("sid") == F.col("node"), "left") \

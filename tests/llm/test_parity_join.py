@@ -72,6 +72,50 @@ def test_short_sketch_never_exceeds_the_difference():
         assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
 
 
+def test_short_sketches_of_all_sizes_fold_to_the_shorter():
+    rng = np.random.default_rng(4)
+    for size in (3, 90, 300, 800, 2000, 5000, 30000):
+        every = np.unique(rng.integers(0, 2**63, size * 3, dtype=np.uint64))
+        rng.shuffle(every)
+        a, b = np.sort(every[:size * 2]), np.sort(every[size:size + size // 2])
+        one, two = pj.short_sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        words = min(len(one), len(two)) // 8
+        x, y = pj.folded([one, two], words)
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        alone = pj.short_sketches(b, np.array([0, len(b)]))
+        assert alone == [two] and (pj.folded(alone, words) == y).all()
+
+
+def test_pairs_of_large_sets_far_apart_are_not_verified(spark):
+    """A key's members, half of each set in common: their pairs, the square of their number, are ruled out."""
+    rng = np.random.default_rng(6)
+    n, members = 2000, 40
+    common = rng.integers(0, 2**63, n // 2, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 2**63, n // 2, dtype=np.uint64)])) for _ in range(members)]
+    sketches = pj.short_sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    spokes = spark.createDataFrame([(1, i, 99) for i in range(members)], "key long, sid long, hub long")
+    shorts = spark.createDataFrame([(i, len(s), bytearray(x)) for i, (s, x) in enumerate(zip(sets, sketches, strict=True))],
+                                   "sid long, n long, short binary")
+    roots = spark.createDataFrame([], "node long, root long")
+    assert pj._apart(spokes, roots, shorts, pj.Bands(), 16).count() == 0
+    twins = shorts.union(spark.createDataFrame([(members, len(sets[3]), bytearray(sketches[3]))], shorts.schema))
+    more = spokes.union(spark.createDataFrame([(1, members, 99)], spokes.schema))
+    assert [tuple(r) for r in pj._apart(more, roots, twins, pj.Bands(), 16).collect()] == [(members, 3)]
+
+
+def test_large_linked_sets_meet_beside_a_hub_that_links_neither(spark):
+    """Two families around one text: links within each, none to the text in the middle nor across."""
+    rng = random.Random(8)
+    middle = [f"m{i}" for i in range(1500)]
+    rows = [(0, " ".join(middle))]
+    for f in range(2):
+        base = [f"f{f}-{i}" if i % 9 == f else w for i, w in enumerate(middle[:1300])] + middle[1300:]
+        rows += [(1 + 10 * f + i, edited(rng, base, 12)) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = as_rows(pj.join(docs, chunk=4))
+    assert got == expected(rows) and len({r[2] for r in got}) == 3
+
+
 def test_sets_are_those_of_the_words():
     texts = ["A b\tC d e F", "a b c d e f", "a b", "A  B", "b a", None, " ", "a b c d e f a b c d e f"]
     hashes, offsets = pj.shingle_sets(pa.array(texts))
