@@ -396,7 +396,7 @@ def test_quality_on_held_out_documents(spark):
     assert all(r.held_out == (doc_bucket(d, 4) == 2) and 0 <= r.score <= 1 for d, r in got.items())
 
 
-def brute_statistics(text):
+def brute_log_statistics(text):
     """The statistics of a text from their names, character by character."""
     raw = (text or "").encode("utf-8", "replace").decode("latin-1")
     w = [x for x in re.split("[\t\n\x0b\x0c\r ]+", raw) if x]
@@ -419,7 +419,7 @@ def test_quality_equals_brute_force(spark, odd):
     docs = read(spark, SF, "documents").select("doc_id", "text").unionByName(
         odd.selectExpr("doc_id + 10000000 AS doc_id", "text"))
     labels = read(spark, SF, "labels").select("doc_id", "quality")
-    rows = [(r.doc_id, np.array(brute_statistics(r.text))) for r in docs.collect()]
+    rows = [(r.doc_id, np.array(brute_log_statistics(r.text))) for r in docs.collect()]
     by_id = dict(rows)
     train = {c: np.array([by_id[r.doc_id] for r in labels.collect()
                           if r.quality == c and r.doc_id in by_id and doc_bucket(r.doc_id, 4) != 2]) for c in (0, 1)}
