@@ -48,7 +48,8 @@ PENALTY = 12.0
 SCRIPT_SHARE = 0.001
 #: Share of a language's training documents that may fit badly, and histogram buckets a nat.
 BAD_FIT, FIT_BUCKETS = 0.001, 16
-GROUP_BYTES = 24 << 20
+#: Text bytes labelled together: the arrays per word take some 20 times as much in each worker.
+GROUP_BYTES = 4 << 20
 
 #: First code point of each script range (Unicode blocks); a range ends where the next begins.
 SCRIPTS = (

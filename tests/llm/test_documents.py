@@ -153,6 +153,23 @@ def test_language_odd_rows(odd, none):
     assert {r.lang_pred for r in langid.identify(odd, langid.train_on(none)).collect()} == {"und"}
 
 
+def test_labelling_a_group_stays_small():
+    """A worker's memory while it labels the largest group it joins (two such workers share an executor's memory)."""
+    import tracemalloc
+
+    import pyarrow as pa
+    text = " ".join(f"word{i % 5000} of text" for i in range(1000))
+    rng = np.random.default_rng(4)
+    model = langid.Model(["en", "fr"], np.log(rng.random((langid.BUCKETS, 2))),
+                         np.ones((len(langid._SCRIPT_NAMES), 2), dtype=bool), np.full(2, -np.inf))
+    texts = pa.array([text] * (langid.GROUP_BYTES // len(text)))
+    tracemalloc.start()
+    langid._label(texts, model, langid.PENALTY)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+
+
 # ------------------------------------------------------------------- op7
 
 def brute_statistics(text):
