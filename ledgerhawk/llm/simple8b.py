@@ -43,6 +43,19 @@ _COUNTS = np.array([n for n, _ in SELECTORS] + [0, 1], dtype=np.int64)
 _SHIFT = np.uint64(60)
 
 
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """The first selector wide enough for each id; one more than the last for those that need an escape."""
+    width = np.zeros(len(ids), dtype=np.uint8)
+    for _, bits in SELECTORS[:-1]:
+        width += ids >> np.uint64(bits) > 0
+    width[ids >> _SHIFT > 0] = len(SELECTORS)
+    return width
+
+
+#: Of small ids, looked up.
+_WIDTHS = _widths(np.arange(1 << 16, dtype=np.uint64))
+
+
 def pack_words(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(words uint64, first word of each block, escaped ids)`` of unsigned ids."""
     ids = np.asarray(ids, dtype=np.uint64)
@@ -78,18 +91,21 @@ def _best_selectors(ids: np.ndarray, block: int) -> np.ndarray:
     n, pad = len(ids), SELECTORS[0][0]
     rows = -(-n // block)
     width = np.zeros(rows * block, dtype=np.uint8)  # bits of each id; nothing behind the last
-    for _, bits in SELECTORS[:-1]:
-        width[:n] += ids >> np.uint64(bits) > 0
-    width[:n][ids >> _SHIFT > 0] = len(SELECTORS)
-    best = np.full((rows, block), ESCAPE, dtype=np.uint8)
+    if ids.max(initial=0) < len(_WIDTHS):
+        width[:n] = _WIDTHS.take(ids.astype(np.int64))
+    else:
+        width[:n] = _widths(ids)
+    most = min(int(width.max(initial=0)), len(SELECTORS) - 1)
+    # from here on every selector fits at every place without an escape
+    best = np.where(width < len(SELECTORS), most, ESCAPE).astype(np.uint8).reshape(rows, block)
     fits = np.ones((rows, block + pad), dtype=bool)
-    for s in range(len(SELECTORS) - 1, -1, -1):
+    for s in range(most - (width.max(initial=0) <= most), -1, -1):
         count = SELECTORS[s][0]
-        fits[:, :block] = width.reshape(rows, block) <= s
+        np.less_equal(width.reshape(rows, block), s, out=fits[:, :block])
         run, size = fits, 1
         while 2 * size <= count:  # run[i]: the next `size` ids fit
             run, size = run[:, :-size] & run[:, size:], 2 * size
-        best[(run[:, :block] & run[:, count - size:count - size + block])] = s
+        np.copyto(best, np.uint8(s), where=run[:, :block] & run[:, count - size:count - size + block])
     return best.reshape(-1)[:n]
 
 

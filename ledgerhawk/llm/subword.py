@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import unicodedata
 from functools import lru_cache
 
@@ -20,7 +21,8 @@ from .common import distinct_pieces
 
 #: Words remembered by one worker (about 150 bytes each).
 MEMO_WORDS = 1_000_000
-_TAIL = ".,;:!?"
+#: ASCII punctuation; the apostrophe may belong to a contraction.
+_TAIL = string.punctuation.replace("'", "")
 
 
 def default_path() -> str:

@@ -49,6 +49,44 @@ def test_word_encoder_equals_the_library(text):
     assert ids.tolist() == exp + exp and bounds.tolist() == [0, len(exp), len(exp), 2 * len(exp)]
 
 
+def test_words_before_punctuation_are_encoded_once():
+    """Only the punctuation itself goes through the whole tokenizer; the word before it is known or plain."""
+    import pyarrow as pa
+    from ledgerhawk.llm.subword import WordEncoder
+    enc, slow = WordEncoder(WORDS), []
+    whole = enc.tokenizer
+
+    class Counted:
+        def encode_batch(self, part, **options):
+            slow.extend(part)
+            return whole.encode_batch(part, **options)
+
+    enc.tokenizer = Counted()
+    text = "stone### stone,*** \u00e9p\u00e9e&&& stone <|stone|> stone- it's- a\u0301++ x'"
+    got = enc.encode(pa.array([text]))[0].tolist()
+    assert got == whole.encode(text, add_special_tokens=False).ids
+    assert not {w for w in slow if w.startswith(("stone", "\u00e9p\u00e9e"))} and "###" in slow
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 70_000), st.integers(0, 2**64 - 1)), min_size=1, max_size=300),
+       st.sampled_from([1, 5, 64, 4096]))
+def test_each_word_holds_as_many_ids_as_fit(ids, block):
+    """Against a greedy packer, place by place."""
+    expected, at = [], 0
+    while at < len(ids):
+        end = min(len(ids), (at // block + 1) * block)
+        for n, bits in [*simple8b.SELECTORS, (1, 64)]:
+            if all(i < 1 << bits for i in ids[at:min(end, at + n)]):
+                break
+        expected.append(at)
+        at = min(end, at + n)
+    words, first, escapes = simple8b.pack_words(np.array(ids, dtype=np.uint64), block)
+    assert len(words) == len(expected) and escapes.tolist() == [i for i in ids if i >= 1 << 60]
+    assert first.tolist() == [expected.index(k) for k in range(0, len(ids), block)]
+    assert simple8b.unpack_words(words, first, escapes, len(ids), block).tolist() == ids
+
+
 def test_special_tokens_in_a_text_are_ordinary_text():
     import pyarrow as pa
     plain = Tokenizer.from_file(WORDS)  # unmodified
