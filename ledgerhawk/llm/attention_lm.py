@@ -66,14 +66,24 @@ def held_out() -> Column:
 
 # ---------------------------------------------------------------- blocks and counts
 
+def packed(codes: np.ndarray) -> bytes:
+    """Codes as four planes of bytes, lowest first: the upper ones are nearly constant, so they take little
+    room where Spark compresses them (tables, shuffles)."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 _BLOCKS = "block long, row int, doc_id long, words binary, ids binary, code int, word string, n long"
 
 
 def blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Texts in blocks of about ``BLOCK_BYTES``, as two kinds of rows.
 
-    One per text (``row``): its words as codes of its block and its subword ids, packed
-    (uint32, uint16). One per distinct word of a block (``code``): how often it occurs in
+    One per text (``row``): its words as codes of its block (:func:`packed`) and its subword ids,
+    packed (uint16). One per distinct word of a block (``code``): how often it occurs in
     the block's training documents (column ``train``)."""
     names = [c.split()[0] for c in _BLOCKS.split(", ")]
 
@@ -86,11 +96,11 @@ def blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
             n = np.bincount(codes[train], minlength=len(words))
             blank = np.array([w == "" for w in words], dtype=bool)  # around leading and trailing white space
             at = np.flatnonzero(~blank)
-            ids, bounds = enc.encode(batch.column("text"))
+            ids, bounds = enc.encode_pieces(codes, words, offsets)
             codes, ids = codes.astype("<u4"), ids.astype("<u2")
             own, mine = [], []
             for a, b, c, d in zip(offsets, offsets[1:], bounds, bounds[1:], strict=False):
-                own.append(codes[a:b][~blank[codes[a:b]]].tobytes())
+                own.append(packed(codes[a:b][~blank[codes[a:b]]]))
                 mine.append(ids[c:d].tobytes())
             for kind in ({"row": pa.array(range(batch.num_rows), pa.int32()), "doc_id": batch.column("doc_id"),
                           "words": pa.array(own, pa.binary()), "ids": pa.array(mine, pa.binary())},
@@ -502,8 +512,8 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         counts[right["code"].to_numpy(dtype=int)] = right["c"]
         logs, known = np.log10(counts + 0.1), counts > 0
         out = []
-        for row, packed in zip(left["row"], left["words"], strict=True):
-            at = np.frombuffer(packed, dtype="<u4")
+        for row, codes in zip(left["row"], left["words"], strict=True):
+            at = unpacked(codes)
             out.append((row, len(at) + 1, int(known[at].sum()) + (n_train > 0),
                         float(logs[at].sum() + np.log10(n_train + 0.1) - (len(at) + 1) * floor)))
         return pd.DataFrame(out, columns=["row", "n_tokens", "n_known", "base_score"]) \

@@ -58,15 +58,19 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids uint32, offsets int64)``; text ``i`` (null: empty) is ``ids[offsets[i]:offsets[i+1]]``."""
-        _, lengths, ids, word_of_text = self.by_word(texts)
+        return self.encode_pieces(*distinct_pieces(texts))
+
+    def encode_pieces(self, codes: np.ndarray, distinct: list[str],
+                      offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode` of texts that :func:`distinct_pieces` has cut already."""
+        _, lengths, ids, word_of_text = self.by_word(codes, distinct, offsets)
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         return ids, bounds[word_of_text]
 
-    def by_word(self, texts: pa.Array):
+    def by_word(self, codes: np.ndarray, distinct: list[str], offsets: np.ndarray):
         """White-space separated pieces: their codes' ids, gathered for the texts in order.
 
         Returns (piece codes, ids per piece, ids, offsets of each text in pieces)."""
-        codes, distinct, offsets = distinct_pieces(texts)
         known = self._pieces(distinct)
         sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) >> 2
         flat = np.frombuffer(b"".join(known), dtype="<u4")

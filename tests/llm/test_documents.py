@@ -290,6 +290,25 @@ def test_lm_learns_from_every_window_once():
         assert sorted(np.concatenate(picked).tolist()) == list(range(sum(-(-n // attention_lm.HOP) for n in sizes)))
 
 
+def test_lm_words_of_a_text_take_little_room(sample):
+    """Word codes are stored so that Spark's compression finds their upper bytes, and come back unchanged."""
+    import pyarrow as pa
+
+    from ledgerhawk.llm.subword import default_path
+    docs, rows = sample
+    written = attention_lm.blocks(docs.selectExpr("doc_id", "text", "true AS train"), default_path()).toPandas()
+    word = {(r.block, r.code): r.word for r in written[written.code.notna()].itertuples()}
+    texts, stored, plain, lz4 = dict(rows), b"", 0, pa.Codec("lz4_raw")
+    for r in written[written.row.notna()].itertuples():
+        stored += r.words
+        got = attention_lm.unpacked(r.words)
+        plain += got.nbytes
+        assert [word[r.block, c] for c in got.tolist()] == SPACE.findall(lower(texts[r.doc_id]))
+    assert len(lz4.compress(stored)) < 0.6 * plain
+    for codes in ([], [0], [1, 2**32 - 1, 70_000]):
+        assert attention_lm.unpacked(attention_lm.packed(np.array(codes, dtype=np.int64))).tolist() == codes
+
+
 def test_lm_attention_sees_ids_not_classes():
     """Two contexts that differ in one id, not in its class, beyond the id directly before."""
     t, net, _ = toy_model()
