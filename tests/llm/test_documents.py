@@ -309,6 +309,92 @@ def test_lm_words_of_a_text_take_little_room(sample):
         assert attention_lm.unpacked(attention_lm.packed(np.array(codes, dtype=np.int64))).tolist() == codes
 
 
+def test_lm_words_come_in_one_row_per_slice(spark, sample):
+    """A block's words take a row per slice, not per word, and are counted over all blocks exactly."""
+    import pyarrow as pa
+
+    from ledgerhawk.llm.subword import default_path
+    docs, rows = sample
+    texts = docs.selectExpr("doc_id", "text", "doc_id % 3 > 0 AS train").repartition(3)
+    written = attention_lm.blocks(texts, default_path(), slices=8).toPandas()
+    part = written[written.slice.notna()]
+    assert not part.duplicated(["block", "slice"]).any() and part.slice.between(0, 7).all()
+    words = {(r.block, c): w for r in part.itertuples()
+             for c, w in zip(np.frombuffer(r.codes, "<u4").tolist(), r.spelled.split("\n"), strict=True)}
+    c = collections.Counter(w for d, t in rows if d % 3 for w in SPACE.findall(lower(t)))
+    got, n, v = {}, 0, 0
+    for _, rest in part.groupby("slice"):
+        counted = attention_lm._count(pa.Table.from_pandas(
+            rest[["block", "size", "spelled", "codes", "n"]].astype({"size": int}), preserve_index=False)).to_pylist()
+        n, v = n + sum(r["n"] for r in counted), v + sum(r["v"] for r in counted)
+        for r in counted:
+            got |= {(r["block"], x): k for x, k in zip(np.frombuffer(r["codes"], "<u4").tolist(),
+                                                       np.frombuffer(r["c"], "<i8").tolist(), strict=True)}
+    assert got == {k: c[w] for k, w in words.items()}
+    assert (n, v) == (sum(c.values()), len(c))
+
+
+def toy_windows(t, ids):
+    flat, before, bounds = attention_lm._closed(ids, 40)
+    first, text = attention_lm.windows(bounds)
+    return flat, before, bounds, first, text
+
+
+def test_lm_batches_laid_out_together_give_each_its_gradient():
+    t, net, ids = toy_model()
+    flat, before, bounds, first, text = toy_windows(t, ids)
+    rows, after = t.row[before], t.of[flat]
+    some = np.random.default_rng(1).permutation(len(first))[:180].reshape(3, 60)
+    arrays = list(attention_lm.step_arrays(rows, after, bounds, first[some], text[some]))
+    steps = attention_lm.Steps(net, *arrays)
+    assert max(np.bincount(steps.there[0].reshape(-1))) > attention_lm.TURNS  # sums by turns and by row
+    for k in range(3):
+        i, g = net.gradient_rows(steps, k)
+        assert len(set(i.tolist())) == len(i)
+        got = np.zeros_like(net.p)
+        got.reshape(-1, g.shape[1])[i] = g
+        alone = net.gradient(*(x[k] for x in arrays))
+        assert got == pytest.approx(alone, abs=1e-6) and np.abs(got).max() > 1e-3
+
+
+def test_lm_adam_steps_touch_their_rows_alone():
+    t, net, ids = toy_model()
+    flat, before, bounds, first, text = toy_windows(t, ids)
+    rows, after = t.row[before], t.of[flat]
+    adam = attention_lm.Adam(attention_lm.Attention(t.skip, net.p.copy()), np.float32(0.01))
+    plain = attention_lm.Attention(t.skip, net.p.copy())
+    p = plain.p.reshape(adam.p.shape)
+    m, v, taken = np.zeros_like(p), np.zeros_like(p), np.zeros((len(p), 1), dtype=np.float32)
+    for step, k in enumerate(range(0, 40, 8), 1):
+        some = np.arange(k, k + 8)[None]
+        steps = attention_lm.Steps(adam.net, *attention_lm.step_arrays(rows, after, bounds, first[some], text[some]))
+        i, g = plain.gradient_rows(steps, 0)
+        adam.learn(steps)
+        taken[i] += 1
+        m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
+        p[i] -= 0.01 / (1 + step / 500) * (m[i] / (1 - 0.9 ** taken[i])) / (np.sqrt(v[i] / (1 - 0.99 ** taken[i])) + 1e-6)
+        assert np.abs(adam.p - p).max() < 1e-4
+    assert (adam.taken == taken[:, 0]).all() and 0 < (adam.taken == 0).sum() < len(p)
+    untouched = adam.taken == 0
+    assert (adam.p[untouched] == net.p.reshape(p.shape)[untouched]).all()
+
+
+def test_lm_consecutive_windows_score_as_single_ones():
+    """Texts of no, one, few and very many windows, scored in a run, against every window by itself."""
+    t, net, _ = toy_model()
+    rng = np.random.default_rng(2)
+    ids = [rng.integers(0, 40, n).astype("<u2").tobytes() for n in (0, 1, 15, 16, 17, 31, 32, 9000, 5, 300)]
+    flat, before, bounds, first, text = toy_windows(t, ids)
+    got = attention_lm.Model(t, net).symbol_logs(flat, before, bounds)
+    rows, want = t.row[before], np.log(t.within(t.of[before], flat))
+    for k in range(len(first)):
+        w, at, real = attention_lm.window_rows(rows, bounds, first[k:k + 1], text[k:k + 1])
+        want[at[real]] += net.log_class(w, rows[at], t.of[flat][at])[real]
+    assert got == pytest.approx(want, rel=1e-4, abs=1e-4)
+    net.p *= 400  # exponents beyond the limit: these are clipped
+    assert not attention_lm.Attention(t.skip, net.p).calm and attention_lm.Attention(t.skip, net.p / 400).calm
+
+
 def test_lm_attention_sees_ids_not_classes():
     """Two contexts that differ in one id, not in its class, beyond the id directly before."""
     t, net, _ = toy_model()
