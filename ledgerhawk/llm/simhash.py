@@ -13,6 +13,11 @@
 4. Components: alternating large-star / small-star rounds over written tables
    until nothing changes.
 
+Joins straight on written or exploded tables that grow with the corpus are sort-merge
+joins by hint: Spark sizes the first by their compressed files and the others like their
+source, so it would broadcast far more than ``autoBroadcastJoinThreshold``. Elsewhere
+a side is a shuffle, whose size Spark knows before it decides.
+
 Defined cases: NULL, empty and blank texts have fingerprint zero and are linked
 like any other; repeated rows and doc_ids keep one row each; NULL doc_ids never
 name a component (a component of NULLs only has a NULL id); an empty table gives
@@ -112,7 +117,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataF
     keyed = fps.select("fp", F.posexplode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("part", "mask")) \
         .select("fp", "part", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
     sizes = keyed.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    dealt = keyed.join(sizes, ["part", "key"]) \
+    dealt = keyed.join(sizes.hint("merge"), ["part", "key"]) \
         .withColumn("chunks", F.ceil(F.col("n") / F.lit(chunk)).cast("int")) \
         .withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -151,7 +156,7 @@ def component_map(ids: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK)
     """``(fp, root, component_id)`` per distinct fingerprint of ``ids (doc_id, fp)``."""
     per_fp = keep(ids.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     roots = components(links(per_fp.select("fp"), max_bits, chunk))
-    rooted = per_fp.join(roots, F.col("fp") == F.col("node"), "left") \
+    rooted = per_fp.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left") \
         .select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return rooted.join(least, "root").select("fp", "root", "component_id")
@@ -160,7 +165,7 @@ def component_map(ids: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK)
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
     ids = keep(with_fingerprint(prepared(docs, doc_id="bigint", text="string"), "fp", shingle).drop("text"))
-    return ids.join(component_map(ids, max_bits), "fp").select("doc_id", "fp", "component_id")
+    return ids.join(component_map(ids, max_bits).hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hexed(fp: Column) -> Column:
@@ -174,7 +179,7 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = M
     ids = keep(with_fingerprint(prepared(docs, doc_id="bigint", text="string"), "fp", shingle).drop("text"))
     fp, root, best = "__lh_fp", "__lh_root", "__lh_best"
     chosen = component_map(ids, max_bits).toDF(fp, root, best)
-    named = with_fingerprint(docs, fp, shingle).join(chosen, fp) \
+    named = with_fingerprint(docs, fp, shingle).join(chosen.hint("merge"), fp) \
         .where(F.col("doc_id").cast("bigint").eqNullSafe(F.col(best)))
     from pyspark.sql import Window
 

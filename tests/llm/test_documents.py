@@ -10,7 +10,7 @@ import xxhash
 
 from llm_fixtures import none, odd, sample  # noqa: F401
 from ledgerhawk.llm import attention_lm, langid, licenses, outliers, qda, simhash
-from ledgerhawk.llm.common import doc_bucket, read
+from ledgerhawk.llm.common import doc_bucket, keep, read
 
 SF = "/root/testdata/sf0.001"
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,6 +78,20 @@ def test_links_in_crowded_blocks(spark, chunk):
     assert [root.get(x, x) for x in fps] == [fps[i] for i in brute_components(fps)]
 
 
+def test_simhash_broadcasts_no_growing_table(spark):
+    """Spark takes the keys of written fingerprints (35 rows each) for a table as small as the fingerprints' file."""
+    docs = keep(spark.createDataFrame([(i, f"w{i} x{i % 7} y z{i % 3}") for i in range(300)], "doc_id long, text string"))
+    fps = keep(simhash.with_fingerprint(docs).select("fp").distinct())
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "Broadcast" not in plan(simhash.links(fps))
+    for df in (simhash.near_duplicates(docs), simhash.one_per_component(docs)):
+        assert re.search(r"\w+Join", plan(df))[0] == "SortMergeJoin"  # the topmost
+
+
 def test_simhash_odd_rows(odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == odd.count()
