@@ -159,7 +159,8 @@ def with_cells(rows: DataFrame) -> DataFrame:
         F.when(large, F.concat(F.lit("cell "), F.to_json(F.struct("c.lang", "c.source"))))
         .when(F.col("rest") >= MIN_ROWS, F.concat(F.lit("rest "), F.to_json(F.struct("c.lang"))))
         .otherwise("rest").alias("cell"))
-    return rows.withColumn("own", own).join(cells, "own").drop("own")
+    # written, so that Spark knows how few they are: of a join it expects the product, and would broadcast the rows instead
+    return rows.withColumn("own", own).join(keep(cells), "own").drop("own")
 
 
 def mcd(rows: DataFrame, c_steps: int = C_STEPS) -> DataFrame:

@@ -226,6 +226,17 @@ def test_mcd_resists_a_cluster_of_outliers(spark):
     assert np.abs([m[f"m{i}"] for i in range(5)]).max() < 0.5
 
 
+def test_rows_are_not_broadcast_to_their_cells(spark):
+    """Spark expects a join to have the product of its sides' sizes, so the few cells passed for more than the rows."""
+    rows = keep(spark.range(3000).selectExpr("concat('l', id % 7) AS lang", "concat('s', id % 5) AS source", "rand(1) AS x"))
+    got = outliers.with_cells(rows)
+    side = re.search(r"BroadcastHashJoin .*?(Build\w+)", got._jdf.queryExecution().executedPlan().toString())
+    assert side is None or side[1] == "BuildRight"
+    assert {(r.lang, r.source): r.cell for r in got.collect()} == {
+        (f"l{i % 7}", f"s{i % 5}"): f'cell {{"lang":"l{i % 7}","source":"s{i % 5}"}}' for i in range(35)}
+    assert got.count() == 3000
+
+
 def test_outliers_odd_rows(odd, none):
     got = outliers.verdicts(odd).collect()
     assert len(got) == odd.count()
